@@ -45,6 +45,7 @@ def _search_block(
 ) -> DataFrame:
     """Each task's best k vectors for one block of queries."""
     unit_queries = _unit(queries)
+    id_type = vectors.schema[vector_id].dataType.simpleString()
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best = None
@@ -53,7 +54,8 @@ def _search_block(
                 rows = batch.iloc[start : start + BATCH_ROWS]
                 matrix = _unit(np.stack(rows[column].to_numpy()).astype("float64"))
                 scores = np.round(unit_queries @ matrix.T, DIGITS)
-                ids = np.broadcast_to(rows[vector_id].to_numpy(), scores.shape)
+                ids = rows[vector_id].to_numpy()
+                ids = np.broadcast_to(ids.astype(str) if id_type == "string" else ids, scores.shape)
                 best = _best([(scores, ids)] if best is None else [best, (scores, ids)], k)
         if best is not None:
             scores, ids = best
@@ -66,7 +68,7 @@ def _search_block(
             )
 
     present = vectors.select(vector_id, column).filter(F.col(column).isNotNull())
-    return present.mapInPandas(scan, f"query_id long, {vector_id} long, similarity double")
+    return present.mapInPandas(scan, f"query_id long, {vector_id} {id_type}, similarity double")
 
 
 def top_k_similar(
@@ -80,7 +82,7 @@ def top_k_similar(
 ) -> DataFrame:
     """Rows ``(query_id, <vector_id>, similarity, position)`` with position 1 to k.
 
-    Ids are integers. Similarities are rounded to nine digits; equal ones are ordered by id. A zero
+    Query ids are integers, vector ids integers or text. Similarities are rounded to nine digits; equal ones are ordered by id. A zero
     vector has similarity 0 to everything. Blocks of queries are numbered by rank, so any number of
     queries is searched completely.
     """
@@ -109,8 +111,9 @@ def top_k_similar(
         if rows
     ]
     if not found:
+        id_type = vectors.schema[vector_id].dataType.simpleString()
         return vectors.sparkSession.createDataFrame(
-            [], f"query_id long, {vector_id} long, similarity double, position int"
+            [], f"query_id long, {vector_id} {id_type}, similarity double, position int"
         )
     order = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), F.col(vector_id))
     merged = reduce(DataFrame.unionByName, found).withColumn("position", F.row_number().over(order))

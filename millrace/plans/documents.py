@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -15,6 +15,7 @@ from millrace.functions.guard import (
     Policy,
     action_of,
     findings,
+    guard_tokens,
     guarded_text,
 )
 from millrace.functions.text import CHUNK_OVERLAP, CHUNK_TOKENS, any_keyword, chunk_starts, preview, words
@@ -55,23 +56,28 @@ def chunk_documents(
     )
 
 
-def lexical_vectors(
-    docs: DataFrame, key: str, text: str, dimensions: int = VECTOR_DIMENSIONS, column: str = "embedding"
-) -> DataFrame:
-    """Unit-length word-weight vectors, for use where no embedding model is at hand."""
-    tokens = docs.select(key, words(F.lower(F.col(text))).alias("_words"))
+def fit_lexical(texts: DataFrame, text: str, dimensions: int = VECTOR_DIMENSIONS) -> PipelineModel:
+    """Word-weight model for use where no embedding model is at hand."""
     steps = [
         HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dimensions),
         IDF(inputCol="_counts", outputCol="_weights"),
         Normalizer(inputCol="_weights", outputCol="_unit"),
     ]
-    vectors = Pipeline(stages=steps).fit(tokens).transform(tokens)
-    return vectors.select(key, vector_to_array("_unit", "float32").alias(column))
+    return Pipeline(stages=steps).fit(texts.select(words(F.lower(F.col(text))).alias("_words")))
+
+
+def lexical_vectors(
+    model: PipelineModel, texts: DataFrame, key: str, text: str, column: str = "embedding"
+) -> DataFrame:
+    """Unit-length word-weight vector of each text as an array of floats."""
+    tokens = texts.select(key, words(F.lower(F.col(text))).alias("_words"))
+    return model.transform(tokens).select(key, vector_to_array("_unit", "float32").alias(column))
 
 
 def guard(df: DataFrame, text: str, direction: str, policy: Policy = DEFAULT_POLICY) -> DataFrame:
     """Add ``findings``, ``guardrail_action`` and ``guarded_text``; ``direction`` is input or output."""
-    checked = df.withColumn("findings", findings(text, policy))
+    cut = df.withColumn("_tokens", guard_tokens(text))
+    checked = cut.withColumn("findings", findings(text, policy, "_tokens")).drop("_tokens")
     return checked.withColumns(
         {
             "guardrail_action": action_of(F.col("findings")),

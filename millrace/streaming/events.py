@@ -17,10 +17,14 @@ METRIC_WINDOW = "5 minutes"
 
 
 def arriving_files(
-    spark: SparkSession, path: str, schema: StructType | str, files_per_batch: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str,
+    pattern: str = "*.parquet",
+    files_per_batch: int | None = None,
 ) -> DataFrame:
     """Stream over the ``.parquet`` files of a folder; other files are passed over."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)
@@ -50,7 +54,8 @@ def metric_windows(
     scale: int | None = None,
 ) -> DataFrame:
     """Average per metric and time window, for tables and (with ``late``) for streams."""
-    timed = df.withWatermark(ts, late) if late else df
+    zoned = df.withColumn(ts, F.col(ts).cast("timestamp"))
+    timed = zoned.withWatermark(ts, late) if late else zoned
     grouped = timed.groupBy(F.window(ts, window).alias("_w"), metric)
     return grouped.agg(average(value, scale).alias("average"), F.count(F.lit(1)).alias("samples")).select(
         F.col("_w.start").alias("window_start"), metric, "average", "samples"

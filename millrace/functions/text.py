@@ -23,7 +23,7 @@ CITATION_TYPE = (
 
 def words(text: Column | str) -> Column:
     """White-space-separated words; none for empty or null text."""
-    return F.filter(F.split(F.coalesce(_col(text), F.lit("")), BLANKS), lambda word: word != "")
+    return F.array_remove(F.split(F.coalesce(_col(text), F.lit("")), BLANKS), "")
 
 
 def any_keyword(text: Column | str, keywords: Column | str) -> Column:

@@ -18,9 +18,9 @@ def category_codes(df: DataFrame, columns: Sequence[str], order_key: Sequence[st
     shuffle, and the numbering of a column with very many values is spread over range partitions.
     """
     cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
-    long = df.select(
-        F.struct(*order_key).alias("_at"), F.explode(F.array(*cells)).alias("_cell")
-    ).select("_at", "_cell.column", "_cell.value")
+    # A single order column keeps the minimum in the hash aggregate; a struct would have to be sorted.
+    at = F.col(order_key[0]) if len(order_key) == 1 else F.struct(*order_key)
+    long = df.select(at.alias("_at"), F.inline(F.array(*cells)))
     first = long.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.min("_at").alias("_at"))
     ranked = with_rank(first, ["_at"], "_rank", groups=["column"])
     return ranked.select("column", "value", (F.col("_rank") - 1).cast("int").alias("code"))

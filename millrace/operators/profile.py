@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.cleaning import is_blank
@@ -50,13 +50,18 @@ def value_distribution(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def ingest_aggregates(key: str, date_text: str) -> dict[str, Column]:
+    """Null or blank keys, and the sorted years (a set bounded by the calendar), as aggregates."""
+    return {
+        "null_or_blank_keys": F.count_if(is_blank(key)),
+        "years": F.array_sort(F.collect_set(year_part(date_text))),
+    }
+
+
 def ingest_stats(df: DataFrame, key: str, date_text: str) -> DataFrame:
-    """One row: rows, null or blank keys, and the sorted years (a set bounded by the calendar)."""
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(is_blank(key)).alias("null_or_blank_keys"),
-        F.array_sort(F.collect_set(year_part(date_text))).alias("years"),
-    )
+    """One row: rows and the ingest aggregates."""
+    stats = ingest_aggregates(key, date_text)
+    return df.agg(F.count(F.lit(1)).alias("rows"), *[value.alias(name) for name, value in stats.items()])
 
 
 def rows_per_month(df: DataFrame, date_text: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ranking import with_rank
+from millrace.operators.ranking import attach_by, with_rank
 
 TOP_K_ROWS = 10_000
 
@@ -17,14 +17,14 @@ def hash_key(keys: Sequence[str], seed: int) -> Column:
     return F.md5(F.concat_ws("-", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
 
 
-def hash_sample(df: DataFrame, keys: Sequence[str], fraction: float, seed: int) -> DataFrame:
-    """A sample that depends only on keys and seed, not on partitioning. A plain filter: no shuffle.
+def in_share(keys: Sequence[str], fraction: float, seed: int) -> Column:
+    """True for about ``fraction`` of the keys, judged by the first eight hex digits of their digest."""
+    return F.substring(hash_key(keys, seed), 1, 8) < f"{int(fraction * 16**8):08x}"
 
-    The first eight hex digits of the digest are compared with the fraction, so a share near
-    ``fraction`` of the keys is kept.
-    """
-    bound = f"{int(fraction * 16**8):08x}"
-    return df.filter(F.substring(hash_key(keys, seed), 1, 8) < bound)
+
+def hash_sample(df: DataFrame, keys: Sequence[str], fraction: float, seed: int) -> DataFrame:
+    """A sample that depends only on keys and seed, not on partitioning. A plain filter: no shuffle."""
+    return df.filter(in_share(keys, fraction, seed))
 
 
 def first_rows(df: DataFrame, order: Sequence[str], n: int = 200_000) -> DataFrame:
@@ -48,8 +48,8 @@ def stratified_split(
     ranked = with_rank(
         df.withColumn("_digest", hash_key(keys, seed)), ["_digest", *keys], "_rank", groups=[label]
     )
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
+    # The last rank of a class is its size. The ranked rows are stored, so the input runs only once.
+    sizes = ranked.groupBy(label).agg(F.max("_rank").alias("_size"))
     cut = F.floor(F.col("_size") * test_share + 0.5)
     split = F.when(F.col("_rank") <= cut, F.lit("test")).otherwise(F.lit("train"))
-    joined = ranked.join(sizes.withColumnRenamed(label, "_label"), ranked[label].eqNullSafe(F.col("_label")))
-    return joined.withColumn("split", split).select(*df.columns, "split")
+    return attach_by(ranked, sizes, [label]).withColumn("split", split).select(*df.columns, "split")

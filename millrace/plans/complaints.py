@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping
 from typing import Any
 
@@ -12,9 +13,9 @@ from millrace.functions.cleaning import blank_to_null, safe_date, safe_timestamp
 from millrace.functions.measures import rate
 from millrace.functions.timeparts import month_part, month_start, year_part
 from millrace.operators.merge import run_incremental
-from millrace.operators.profile import ingest_stats
-from millrace.operators.quality import DataTestFailure, enforce, key_share_test
-from millrace.sources.writers import write_by_month
+from millrace.operators.profile import ingest_aggregates
+from millrace.operators.quality import MAX_NULL_KEY_SHARE, DataTestFailure
+from millrace.sources.writers import write_parquet
 
 # Staged columns by treatment, and the columns of the incremental fact.
 CLEANED = [
@@ -157,15 +158,21 @@ def ingest(
     date_text: str = "Date received",
     skip_existing: bool = False,
 ) -> dict[str, Any] | None:
-    """Write text rows as a year/month table and return the manifest; an unfit input is not published.
+    """Write text rows as a Hive-style ``year=/month=`` table and return the manifest.
 
-    With ``skip_existing`` nothing is read or written, but the table must be there: None is returned.
+    Everything the manifest says is observed during the one write. An empty table or too many rows
+    without a key is an error. With ``skip_existing`` nothing is written, but the table must be
+    there: None is returned.
     """
     if skip_existing:
         if rows.sparkSession.read.parquet(out).isEmpty():
             raise DataTestFailure(f"ingest is to be skipped but there is no data under {out}")
         return None
-    enforce(key_share_test(rows, key))
+    started = time.time()
     parts = rows.withColumns({"year": year_part(date_text), "month": month_part(date_text)})
-    written = write_by_month(parts, out)
-    return {**written, **ingest_stats(rows, key, date_text).first().asDict()}
+    stats = ingest_aggregates(key, date_text)
+    manifest = write_parquet(parts, out, ["year", "month"], "complaints", observe=stats)
+    keyless = manifest["null_or_blank_keys"]
+    if manifest["row_count"] == 0 or keyless > manifest["row_count"] * MAX_NULL_KEY_SHARE:
+        raise DataTestFailure(f"{keyless} of {manifest['row_count']} rows written have no key")
+    return {**manifest, "elapsed_sec": round(time.time() - started, 1)}

@@ -15,7 +15,6 @@ from millrace.functions.guard import (
     Policy,
     action_of,
     findings,
-    guard_tokens,
     guarded_text,
 )
 from millrace.functions.text import CHUNK_OVERLAP, CHUNK_TOKENS, any_keyword, chunk_starts, preview, words
@@ -76,8 +75,8 @@ def lexical_vectors(
 
 def guard(df: DataFrame, text: str, direction: str, policy: Policy = DEFAULT_POLICY) -> DataFrame:
     """Add ``findings``, ``guardrail_action`` and ``guarded_text``; ``direction`` is input or output."""
-    cut = df.withColumn("_tokens", guard_tokens(text))
-    checked = cut.withColumn("findings", findings(text, policy, "_tokens")).drop("_tokens")
+    lowered = df.withColumn("_lowered", F.lower(F.col(text)))
+    checked = lowered.withColumn("findings", findings(text, policy, "_lowered")).drop("_lowered")
     return checked.withColumns(
         {
             "guardrail_action": action_of(F.col("findings")),

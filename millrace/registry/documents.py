@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.guard import (
@@ -15,7 +15,7 @@ from millrace.functions.guard import (
     NOT_LETTERS,
     PHONE,
     SSN,
-    TOPIC_PATTERNS,
+    TOPIC_PHRASES,
     WORDS_NEEDED,
     anonymize,
     card_numbers,
@@ -41,7 +41,14 @@ from millrace.plans.documents import (
     report_cases,
 )
 from millrace.registry import query, table
-from millrace.session import materialize
+from millrace.session import materialize, spread
+
+
+
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents, dealt out to all cores for the work on their texts."""
+    return spread(table(spark, sf, "documents"))
+
 
 CHUNKS = r"""
 WITH w AS (
@@ -58,7 +65,7 @@ FROM s
 
 @query("chunk_documents", CHUNKS)
 def chunks(spark: SparkSession, sf: str) -> DataFrame:
-    return chunk_documents(table(spark, sf, "documents"), "doc_id", "text")
+    return chunk_documents(documents(spark, sf), "doc_id", "text")
 
 
 @query(
@@ -88,7 +95,7 @@ def topk(spark: SparkSession, sf: str) -> DataFrame:
 @query("retrieve_chunks")
 def retrieve_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """The five document chunks nearest to each benchmark text, by word weights."""
-    pieces = chunk_documents(table(spark, sf, "documents"), "doc_id", "text").select(
+    pieces = chunk_documents(documents(spark, sf), "doc_id", "text").select(
         F.concat_ws("-", F.col("doc_id").cast("string"), F.col("chunk_no").cast("string")).alias("chunk_id"),
         "chunk_text",
     )
@@ -129,7 +136,7 @@ FROM documents
 """,
 )
 def redact_pii(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id",
         anonymize("text").alias("clean_text"),
         has_ssn("text").alias("has_ssn"),
@@ -144,7 +151,7 @@ def _found(text: str, tokens: str) -> str:
         for name, strength in CONTENT_FILTERS.items()
     )
     return f"""concat_ws(',', {categories},
-      CASE WHEN regexp_matches(lower({text}), '{"|".join(TOPIC_PATTERNS)}') THEN 'IllegalActivity' END,
+      CASE WHEN regexp_matches(lower({text}), '{"|".join(TOPIC_PHRASES)}') THEN 'IllegalActivity' END,
       CASE WHEN regexp_matches({text}, '{SSN}') THEN 'US_SOCIAL_SECURITY_NUMBER' END,
       CASE WHEN len({_cards(text)}) > 0 THEN 'CREDIT_DEBIT_CARD_NUMBER' END)"""
 
@@ -163,7 +170,7 @@ FROM found
 )
 def guard_actions(spark: SparkSession, sf: str) -> DataFrame:
     """Documents guarded as messages: English ones on their way in, others on their way out."""
-    docs = table(spark, sf, "documents").withColumn(
+    docs = documents(spark, sf).withColumn(
         "direction", F.when(F.col("lang") == "en", "input").otherwise("output")
     )
     checked = guard(docs, "text", "direction")
@@ -179,10 +186,9 @@ def _answers(spark: SparkSession, sf: str) -> DataFrame:
     every fifth gets one. Even turns cite a source twice, the others none.
     """
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
-    following = Window.partitionBy("conv_id").orderBy("turn")
-    answered = turns.withColumn("answer", F.lead("text").over(following)).filter(
-        (F.col("role") == "user") & F.col("answer").isNotNull()
-    )
+    # Joined on conversation and turn, so that a long conversation is spread over the tasks.
+    replies = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
+    answered = turns.filter("role = 'user'").join(replies, ["conv_id", "turn"])
     uri = F.concat(F.lit("s3://answers/"), F.col("conv_id").cast("string"))
     reference = F.struct(F.struct(F.struct(uri.alias("uri")).alias("s3Location")).alias("location"))
     citation = F.struct(F.array(reference, reference).alias("retrievedReferences"))

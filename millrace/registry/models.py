@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import words
 from millrace.operators.encode import encode_categories
-from millrace.operators.sampling import stratified_split
+from millrace.operators.sampling import in_share, stratified_split
 from millrace.plans.drift import drift_report
 from millrace.plans.latency import latency_summary
 from millrace.plans.training import (
@@ -22,7 +22,7 @@ from millrace.plans.training import (
 )
 from millrace.registry import query, table
 from millrace.registry.features import training_rows
-from millrace.session import materialize
+from millrace.session import materialize, spread
 
 HALF = "2024-01-16"
 
@@ -74,7 +74,7 @@ TEXT_FEATURES = ["n_chars", "n_words", "mean_word", "unlike", "digits", "capital
 def document_measures(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled documents with plain text measures and a three-class target."""
     docs = table(spark, sf, "documents").select("doc_id", "text", "n_chars")
-    labelled = table(spark, sf, "labels").join(docs, "doc_id")
+    labelled = spread(table(spark, sf, "labels").join(docs, "doc_id"))
     text, n = F.col("text"), F.greatest(F.length("text"), F.lit(1))
     return labelled.withColumn("_words", words("text")).select(
         "doc_id",
@@ -102,12 +102,12 @@ def classify_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("ranker")
 def ranker(spark: SparkSession, sf: str) -> DataFrame:
-    """Boosted binary ranker on returned-or-not lines: log-loss on training and validation rows."""
-    rows = training_rows(spark, sf).withColumn("cut", F.col("l_orderkey") % 5 == 0)
+    """Boosted binary ranker on returned-or-not lines, a fifth of the orders held out for validation:
+    log-loss on both parts."""
+    rows = training_rows(spark, sf)
+    held_out = in_share(["l_orderkey"], 0.2, 42)
     keys = ["l_orderkey", "l_linenumber", "item_id", "rating"]
-    encoded = ranking_rows(
-        rows.filter(~F.col("cut")).drop("cut"), rows.filter("cut").drop("cut"), keys
-    )
+    encoded = ranking_rows(rows.filter(~held_out), rows.filter(held_out), keys)
     features = ["rating", "price_raw", "has_brand", "main_category_idx", "price_bucket_idx"]
     stored = materialize(encoded, "ranking").fillna(0.0, ["rating", "price_raw"]).fillna(0, ["has_brand"])
     scored = score(train_ranker(stored, features), stored, "1")

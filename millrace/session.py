@@ -76,3 +76,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     """
     stored = materialize(df, "side")
     return F.broadcast(stored) if stored.count() <= max_rows else stored
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores if the scan has fewer partitions than the session has cores.
+
+    For work that is heavy per row: a file with one row group is one task, however long its texts.
+    A scan with enough partitions is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -5,20 +5,27 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
 def write_parquet(
-    df: DataFrame, path: str, by: Sequence[str] = (), dataset: str = "", source: str = ""
+    df: DataFrame,
+    path: str,
+    by: Sequence[str] = (),
+    dataset: str = "",
+    source: str = "",
+    observe: Mapping[str, Column] | None = None,
 ) -> dict[str, Any]:
     """Overwrite a Parquet table and return its run metrics, counted during the write itself.
 
     Rows are rebalanced on the partition columns first: small partitions get few files, and a
-    partition that holds a large share of the rows is still written by many tasks.
+    partition that holds a large share of the rows is still written by many tasks. ``observe`` adds
+    aggregates to the metrics.
     """
     run = Observation()
     metrics = [F.count(F.lit(1)).alias("row_count")]
+    metrics += [value.alias(name) for name, value in (observe or {}).items()]
     if by:
         metrics.append(F.size(F.collect_set(F.struct(*by))).alias("partitions"))
     observed = df.observe(run, *metrics)
@@ -29,11 +36,6 @@ def write_parquet(
     return {"dataset": dataset, "input_path": source, "output_path": path, **run.get}
 
 
-def write_by_month(df: DataFrame, path: str, year: str = "year", month: str = "month") -> dict[str, Any]:
-    """Overwrite a Hive-style ``year=/month=`` table."""
-    return write_parquet(df, path, by=[year, month])
-
-
 def write_splits(splits: Mapping[str, DataFrame], path: str) -> dict[str, Any]:
     """Write named splits as one table partitioned by ``split``."""
     tagged = [frame.withColumn("split", F.lit(name)) for name, frame in splits.items()]

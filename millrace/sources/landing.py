@@ -50,8 +50,13 @@ def land(raw: DataFrame, loaded_at: Column | None = None) -> DataFrame:
 
 
 def land_parquet(spark: SparkSession, path: str, loaded_at: Column | None = None) -> DataFrame:
-    """Land the ``.parquet`` files under a path."""
-    return land(spark.read.option("pathGlobFilter", "*.parquet").parquet(path), loaded_at)
+    """Land the ``.parquet`` files under a path.
+
+    Schemas are merged over all files: by default a scan knows the columns of one file only, and a
+    column under another spelling would be lost. A column a file lacks is a null in its variants.
+    """
+    files = spark.read.option("pathGlobFilter", "*.parquet").option("mergeSchema", True)
+    return land(files.parquet(path), loaded_at)
 
 
 def typed_view(landing: DataFrame, spellings: Mapping[str, Sequence[str]] = COMPLAINT_SPELLINGS) -> DataFrame:

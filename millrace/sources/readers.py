@@ -29,6 +29,7 @@ WINE_COLUMNS = [
 SPLITS = ["train", "valid", "test"]
 
 _OVERFLOW = "_overflow"
+SPARE_FIELDS = 8  # surplus fields looked at per line
 
 
 def wine_schema() -> T.StructType:
@@ -55,14 +56,16 @@ def read_splits(spark: SparkSession, base: str, splits: Sequence[str] = SPLITS)
 def read_text_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Every column as text, with a column ``_overflow`` that is non-null on lines with too many fields.
 
-    Quoted line breaks and doubled quotes are understood; short lines are filled with null. Pass
-    ``columns`` to save the look at the header.
+    Quoted line breaks and doubled quotes are understood; short lines are filled with null. Surplus
+    fields that are all empty do no harm: such a line is a good one. Pass ``columns`` to save the look
+    at the header.
     """
     options = dict(header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8")
     names = list(columns) if columns else spark.read.csv(path, **options).columns
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, _OVERFLOW]])
-    # An empty field must stay apart from an absent one, so that a trailing empty field overflows too.
-    return spark.read.csv(path, schema=schema, nullValue="\u0000", emptyValue="", **options)
+    spare = [f"{_OVERFLOW}_{i}" for i in range(SPARE_FIELDS)]
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, *spare]])
+    lines = spark.read.csv(path, schema=schema, **options)
+    return lines.withColumn(_OVERFLOW, F.coalesce(*spare)).drop(*spare)
 
 
 def split_malformed(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -132,7 +135,7 @@ def read_cases(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """One row per text file: its path and its whole text."""
+    """One row per text file: its path and its whole text. Spark scans pass over empty files."""
     files = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
     return files.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")
@@ -140,7 +143,7 @@ def read_documents(spark: SparkSession, path: str, pattern: str = "*") -> DataFr
 
 
 def list_documents(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Files under a prefix with size and time; contents are not read."""
+    """Non-empty files under a prefix with size and time; contents are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     return files.option("recursiveFileLookup", True).load(path).select("path", "length", "modificationTime")
 

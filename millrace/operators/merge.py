@@ -35,11 +35,15 @@ def merge_touched_partitions(
 ) -> DataFrame:
     """New contents of just the partitions the updates fall into.
 
-    Valid only if a key never moves to another partition. Write the result with
-    ``spark.sql.sources.partitionOverwriteMode=dynamic`` to leave all other partitions alone.
+    Only the values of the partition column are fetched, so that the scan of the target skips all
+    other partitions. Valid only if a key never moves to another partition. Write the result with
+    ``spark.sql.sources.partitionOverwriteMode=dynamic`` to leave the other partitions alone.
     """
-    touched = updates.select(partition).distinct()
-    return merge_by_key(target.join(touched, partition, "left_semi"), updates, keys)
+    values = [row[0] for row in updates.select(partition).distinct().collect()]
+    touched = F.col(partition).isin([v for v in values if v is not None])
+    if None in values:
+        touched = touched | F.col(partition).isNull()
+    return merge_by_key(target.filter(touched), updates, keys)
 
 
 def incremental_build(

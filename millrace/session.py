@@ -69,6 +69,13 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_intermediates(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables. Call it once no frame built on them is needed."""
+    folder = f"{shared_dir(spark)}/millrace/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast once its row count is known to be small; else leave it as it is.
 

@@ -41,8 +41,8 @@ def yes_no_flag(text: Column | str) -> Column:
 
 
 def safe_date(text: Column | str, pattern: str | None = None) -> Column:
-    """Date from text, null if it is not a date."""
-    return F.try_to_date(_col(text), pattern) if pattern else F.try_to_date(_col(text))
+    """Date from text or timestamp, null if it is not a date."""
+    return F.try_to_date(_col(text), pattern) if pattern else _col(text).try_cast("date")
 
 
 def safe_timestamp(value: Column | str) -> Column:

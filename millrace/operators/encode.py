@@ -14,15 +14,22 @@ from millrace.session import materialize
 def category_codes(df: DataFrame, columns: Sequence[str], order_key: Sequence[str]) -> DataFrame:
     """Rows ``(column, value, code)``: code 0 is the value seen first by ``order_key``.
 
-    All columns are numbered in one pass. Values are reduced to their first occurrence before the
-    shuffle, and the numbering of a column with very many values is spread over range partitions.
+    Values first seen at the same key are numbered by value. All but the last column of the key should
+    be coarse (a split, a file). All columns are numbered in one pass: values are reduced to their first
+    occurrence before the shuffle, and the numbering of a column with very many values is spread over
+    range partitions.
     """
+    *coarse, fine = order_key
     cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
-    # A single order column keeps the minimum in the hash aggregate; a struct would have to be sorted.
-    at = F.col(order_key[0]) if len(order_key) == 1 else F.struct(*order_key)
-    long = df.select(at.alias("_at"), F.inline(F.array(*cells)))
-    first = long.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.min("_at").alias("_at"))
-    ranked = with_rank(first, ["_at"], "_rank", groups=["column"])
+    long = df.select(*order_key, F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
+    # The minimum of one plain column stays in a hash aggregate; that of a struct has to be sorted, so
+    # it is taken of what the first aggregate leaves over.
+    first = long.groupBy("column", "value", *coarse).agg(F.min(fine).alias(fine))
+    if coarse:
+        first = first.groupBy("column", "value").agg(F.min(F.struct(*order_key)).alias("_at"))
+    else:
+        first = first.withColumnRenamed(fine, "_at")
+    ranked = with_rank(first, ["_at", "value"], "_rank", groups=["column"])
     return ranked.select("column", "value", (F.col("_rank") - 1).cast("int").alias("code"))
 
 

@@ -60,7 +60,7 @@ def stage(
     """Typed, cleaned rows with a key. Listed columns the input lacks are left out."""
     have = set(typed.columns)
     chosen: dict[str, Column] = {key: F.col(key)}
-    chosen |= {c: safe_date(F.col(c).cast("string")) for c in dates if c in have}
+    chosen |= {c: safe_date(c) for c in dates if c in have}
     chosen |= {c: blank_to_null(c) for c in cleaned if c in have}
     chosen |= {c: F.col(c) for c in untouched if c in have}
     chosen |= {flag: yes_no_flag(c) for c, flag in flags.items() if c in have}

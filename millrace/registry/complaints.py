@@ -13,7 +13,7 @@ from millrace.sources.landing import land_parquet, read_with_rescue, typed_view,
 
 
 def complaint_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Untyped rows: product is the part type, company the supplier, flags the two status letters."""
+    """Rows to stage: product is the part type, company the supplier, flags the two status letters."""
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag", "l_linestatus"
     )
@@ -21,8 +21,8 @@ def complaint_rows(spark: SparkSession, sf: str) -> DataFrame:
     flag = F.col("l_returnflag")
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("l_orderkey").alias("complaint_id"),
-        F.col("l_shipdate").cast("date").cast("string").alias("date_received"),
-        F.concat(F.lit(" "), F.col("p_type"), F.lit(" ")).alias("product"),
+        F.col("l_shipdate").alias("date_received"),
+        F.col("p_type").alias("product"),
         F.concat(F.lit("Supplier#"), F.col("l_suppkey").cast("string")).alias("company"),
         F.when(flag == "R", "Yes").when(flag == "N", "no").otherwise("").alias("timely_response"),
         F.when(F.col("l_linestatus") == "F", "TRUE").otherwise("0").alias("consumer_disputed"),

@@ -104,10 +104,9 @@ def classify_documents(spark: SparkSession, sf: str) -> DataFrame:
 def ranker(spark: SparkSession, sf: str) -> DataFrame:
     """Boosted binary ranker on returned-or-not lines, a fifth of the orders held out for validation:
     log-loss on both parts."""
-    rows = training_rows(spark, sf)
+    rows = materialize(training_rows(spark, sf), "rows")
     held_out = in_share(["l_orderkey"], 0.2, 42)
-    keys = ["l_orderkey", "l_linenumber", "item_id", "rating"]
-    encoded = ranking_rows(rows.filter(~held_out), rows.filter(held_out), keys)
+    encoded = ranking_rows(rows.filter(~held_out), rows.filter(held_out), ["l_orderkey"])
     features = ["rating", "price_raw", "has_brand", "main_category_idx", "price_bucket_idx"]
     stored = materialize(encoded, "ranking").fillna(0.0, ["rating", "price_raw"]).fillna(0, ["has_brand"])
     scored = score(train_ranker(stored, features), stored, "1")

@@ -124,7 +124,7 @@ WITH raw AS (
 SELECT event_id,
        CASE WHEN k % 3 = 0 THEN NULL ELSE CAST(CAST(ts AS DATE) AS VARCHAR) END AS day,
        CASE WHEN k % 5 = 0 THEN NULL ELSE event_type END AS label,
-       CASE k % 6 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN false WHEN 3 THEN false END AS flag,
+       CASE k % 6 WHEN 0 THEN 'true' WHEN 1 THEN 'true' WHEN 2 THEN 'false' WHEN 3 THEN 'false' END AS flag,
        CASE WHEN k % 3 = 0 THEN 'unknown' ELSE CAST(year(ts) AS VARCHAR) END AS year,
        CASE WHEN k % 3 = 0 THEN '00' ELSE lpad(CAST(month(ts) AS VARCHAR), 2, '0') END AS month,
        CASE WHEN k % 3 = 0 THEN NULL
@@ -149,7 +149,7 @@ def staging_clean(spark: SparkSession, sf: str) -> DataFrame:
         "event_id",
         safe_date("date_text").cast("string").alias("day"),
         blank_to_null("label_text").alias("label"),
-        yes_no_flag("flag_text").alias("flag"),
+        yes_no_flag("flag_text").cast("string").alias("flag"),
         year_part("date_text").alias("year"),
         month_part("date_text").alias("month"),
         month_start(safe_date("date_text")).cast("string").alias("month_start"),
@@ -204,11 +204,11 @@ def variant_keys(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "schema_merge_rescue",
     """
-SELECT o_orderkey, CAST(NULL AS BIGINT) AS c_custkey,
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(NULL AS VARCHAR) AS c_custkey,
        CAST(NULL AS VARCHAR) AS rescued_segment, o_orderpriority AS rescued_priority, 5 AS rescued_fields
 FROM orders
 UNION ALL
-SELECT NULL, c_custkey, c_mktsegment, NULL, 4 FROM customer
+SELECT NULL, CAST(c_custkey AS VARCHAR), c_mktsegment, NULL, 4 FROM customer
 """,
 )
 def schema_merge_rescue(spark: SparkSession, sf: str) -> DataFrame:
@@ -216,8 +216,8 @@ def schema_merge_rescue(spark: SparkSession, sf: str) -> DataFrame:
     paths = [f"{sf}/orders.parquet", f"{sf}/customer.parquet"]
     merged = read_with_rescue(spark, ["o_orderkey", "c_custkey"], *paths)
     return merged.select(
-        "o_orderkey",
-        "c_custkey",
+        F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        F.col("c_custkey").cast("string").alias("c_custkey"),
         F.try_element_at("_rescued", F.lit("c_mktsegment")).alias("rescued_segment"),
         F.try_element_at("_rescued", F.lit("o_orderpriority")).alias("rescued_priority"),
         F.size("_rescued").alias("rescued_fields"),

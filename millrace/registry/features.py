@@ -93,7 +93,7 @@ def zone_hour(spark: SparkSession, sf: str) -> DataFrame:
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity + l_discount + l_tax AS total,
        l_discount / greatest(l_quantity, CAST(10 AS DOUBLE)) AS guarded,
        l_extendedprice / l_quantity AS unit_price,
-       CASE l_returnflag WHEN 'R' THEN 0 WHEN 'A' THEN 1 END AS class_code,
+       CAST(CASE l_returnflag WHEN 'R' THEN 0 WHEN 'A' THEN 1 END AS DOUBLE) AS class_code,
        CASE WHEN l_quantity <= 5 THEN 0 WHEN l_quantity <= 7 THEN 1 ELSE 2 END AS tier
 FROM lineitem
 """,
@@ -108,7 +108,7 @@ def measure_features(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("l_quantity") + F.col("l_discount") + F.col("l_tax")).alias("total"),
         guarded_ratio("l_discount", "l_quantity", 10.0).alias("guarded"),
         ratio("l_extendedprice", "l_quantity").alias("unit_price"),
-        lookup("l_returnflag", {"R": 0, "A": 1}).alias("class_code"),
+        lookup("l_returnflag", {"R": 0, "A": 1}).cast("double").alias("class_code"),
         score_tier("l_quantity").alias("tier"),
     )
 

@@ -203,7 +203,8 @@ def repeats(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "contract",
     """
-SELECT 'events' AS dataset, count(*) AS local_rows, count(*) AS copy_rows, 'PASS' AS status FROM events
+SELECT 'events' AS dataset, count(*) AS local_rows, CAST(count(*) AS DOUBLE) AS copy_rows, 'PASS' AS status
+FROM events
 UNION ALL SELECT 'orders', count(*), (SELECT count(*) FROM lineitem), 'FAIL' FROM orders
 UNION ALL SELECT 'customer', count(*), NULL, 'LOCAL_ONLY' FROM customer
 """,
@@ -216,4 +217,4 @@ def contracts(spark: SparkSession, sf: str) -> DataFrame:
         contract("orders", orders, table(spark, sf, "lineitem")),
         contract("customer", table(spark, sf, "customer"), None),
     ]
-    return combine(*documents)
+    return combine(*documents).withColumn("copy_rows", F.col("copy_rows").cast("double"))

@@ -14,7 +14,9 @@ def enrich(facts: DataFrame, items: DataFrame, key: str, columns: Sequence[str]
     """Left join of item columns on a shared key; ``items`` must be unique by key.
 
     No strategy is forced: a small item table is broadcast by its measured size, and in a shuffled
-    join adaptive execution splits the partition of a hot item.
+    join adaptive execution splits the partition of a hot item. It cannot do so if ``items`` was just
+    aggregated by the key, since the join then shares the aggregate's shuffle: ``materialize`` such a
+    table first.
     """
     require_columns(facts, [key])
     require_columns(items, [key])

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.dedup import latest_per_key
+from millrace.session import materialize
 
 # Fixed value: the mark of an empty target.
 EARLIEST = "1900-01-01"
@@ -57,7 +58,9 @@ def incremental_build(
     if target is None:
         return source
     order = [F.col(mark).desc(), *tie_break]
-    batch = latest_per_key(newer_rows(source, target, mark), keys, order)
+    # The batch is used twice (to remove, to add). Stored, it is computed once, and the join knows its
+    # size: small ones are broadcast, and a join with a large one can still be split by key.
+    batch = materialize(latest_per_key(newer_rows(source, target, mark), keys, order), "batch")
     return merge_by_key(target, batch, keys)
 
 

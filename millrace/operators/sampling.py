@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ranking import attach_by, with_rank
+from millrace.session import broadcast_if_small
 
 TOP_K_ROWS = 10_000
 
@@ -52,4 +53,4 @@ def stratified_split(
     sizes = ranked.groupBy(label).agg(F.max("_rank").alias("_size"))
     cut = F.floor(F.col("_size") * test_share + 0.5)
     split = F.when(F.col("_rank") <= cut, F.lit("test")).otherwise(F.lit("train"))
-    return attach_by(ranked, sizes, [label]).withColumn("split", split).select(*df.columns, "split")
+    return attach_by(ranked, broadcast_if_small(sizes), [label]).withColumn("split", split).select(*df.columns, "split")

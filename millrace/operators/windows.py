@@ -8,17 +8,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.ranking import attach_by
+from millrace.session import BROADCAST_ROWS, broadcast_if_small
 
 
-def with_group_values(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
-    """Add aggregates of each row's group, as an unordered window would.
+def with_group_values(
+    df: DataFrame, keys: Sequence[str], values: Mapping[str, Column], max_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Add aggregates of each row's group, as an unordered window would. Null keys form a group.
 
-    A window shuffles and sorts all rows by key and gives a hot key to one task. The aggregate
-    combines before its shuffle, and its result (one row per key) is joined back: broadcast when it
-    is small, else a join whose skewed partitions adaptive execution splits. Null keys form a group.
+    A window shuffles and sorts all rows by key and gives a hot key to one task. Here the aggregate
+    combines before its shuffle, and its result (one row per group) is stored. With at most
+    ``max_rows`` groups it is broadcast and the rows are not shuffled at all; otherwise adaptive
+    execution splits the partition of a hot group in the join.
     """
     grouped = df.groupBy(*keys).agg(*[value.alias(name) for name, value in values.items()])
-    return attach_by(df, grouped, list(keys)).select(*df.columns, *values)
+    side = broadcast_if_small(grouped, max_rows)
+    return attach_by(df, side, list(keys)).select(*df.columns, *values)
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:

@@ -199,12 +199,16 @@ def business_metrics(
     ``interactions`` carry the item's price; revenue counts the recommended ones.
     """
     offered = recommended.select(user, item).distinct().withColumn("_offered", F.lit(True))
-    judged = interactions.join(offered, [user, item], "left")
+    # Summed per pair first: a pair that is met very often is one row in the join.
+    pairs = interactions.groupBy(user, item).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(price).alias("_value")
+    )
+    judged = pairs.join(offered, [user, item], "left")
     taken = F.coalesce("_offered", F.lit(False))
     per_user = judged.groupBy(user).agg(
-        F.count(F.lit(1)).alias("_all"),
-        F.count_if(taken).alias("_taken"),
-        F.sum(F.when(taken, F.col(price)).otherwise(0.0)).alias("_revenue"),
+        F.sum("_n").alias("_all"),
+        F.sum(F.when(taken, F.col("_n")).otherwise(0)).alias("_taken"),
+        F.sum(F.when(taken, F.col("_value")).otherwise(0.0)).alias("_revenue"),
     )
     return per_user.agg(
         F.sum("_all").alias("interactions"),

@@ -36,7 +36,7 @@ def test_preview_is_a_top_k(spark):
 
 def test_group_values_use_no_window(spark):
     text = plan(spark, "zone_hour_features")
-    assert "Window" not in text and "HashAggregate" in text
+    assert "Window" not in text and "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
 
 
 def test_mart_aggregates_before_its_shuffle(spark):

@@ -82,9 +82,9 @@ def top_k_similar(
 ) -> DataFrame:
     """Rows ``(query_id, <vector_id>, similarity, position)`` with position 1 to k.
 
-    Query ids are integers, vector ids integers or text. Similarities are rounded to nine digits; equal ones are ordered by id. A zero
-    vector has similarity 0 to everything. Blocks of queries are numbered by rank, so any number of
-    queries is searched completely.
+    Query ids are integers, vector ids integers or text. Similarities are rounded to nine digits;
+    equal ones are ordered by id. A zero vector has similarity 0 to everything. Blocks of queries are
+    numbered by rank, so any number of queries is searched completely.
     """
     wanted = queries.select(F.col(query_id).cast("long").alias("query_id"), F.col(column).alias("_query"))
     wanted = wanted.filter(F.col("_query").isNotNull())

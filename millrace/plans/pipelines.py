@@ -90,6 +90,7 @@ def wine_pipeline(
     # Wines have no key of their own: equal rows are told apart by their number in an arbitrary but
     # fixed order.
     keyed = materialize(features.withColumn("row_id", F.monotonically_increasing_id()), "wines")
-    model, quality = train_and_evaluate(keyed, ["row_id"], **settings)
+    model, quality, report = train_and_evaluate(keyed, ["row_id"], **settings)
+    write_report(report, f"{root}/classification_report")
     save_model(spark, model, f"{root}/model", name, quality, settings)
     return {**metrics, **quality}

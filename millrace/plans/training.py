@@ -212,16 +212,19 @@ def train_and_evaluate(
     features: Sequence[str] = WINE_FEATURES,
     target: str = WINE_TARGET,
     **settings: Any,
-) -> tuple[PipelineModel, dict[str, float]]:
-    """Tier, split, train and test. Rows should already have passed their gates."""
+) -> tuple[PipelineModel, dict[str, float], DataFrame]:
+    """Tier, split, train and test: the model, its test metrics, and the report per class.
+
+    Rows should already have passed their gates.
+    """
     split = materialize(
         stratified_split(tiered(require_columns(rows, [*features, target]), target), "tier", keys), "split"
     )
     model = train_tiers(split.filter("split = 'train'"), features, **settings)
     predictions = model.transform(split.filter("split = 'test'"))
-    report = classification_report(predictions, "tier")
+    report = materialize(classification_report(predictions, "tier"), "report")
     metrics = accuracy_and_macro_f1(report).select("accuracy", "f1_macro").first().asDict()
-    return model, metrics
+    return model, metrics, report
 
 
 def save_model(

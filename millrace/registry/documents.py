@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.guard import (
@@ -269,7 +269,10 @@ SELECT doc_id, concat_ws(',', 's3://kb/' || source,
 )
 def citations(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as answers that cite their source twice, their language once, and an empty link."""
-    reference = lambda uri: F.struct(F.struct(F.struct(uri.alias("uri")).alias("s3Location")).alias("location"))
+
+    def reference(uri: Column) -> Column:
+        return F.struct(F.struct(F.struct(uri.alias("uri")).alias("s3Location")).alias("location"))
+
     source = F.concat(F.lit("s3://kb/"), "source")
     lang = F.when(F.col("lang") != "fr", F.concat(F.lit("s3://kb/"), "lang"))
     cited = F.array(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Rows up to which a side of a join may be broadcast. The tables this is used for have a
@@ -77,12 +77,10 @@ def drop_intermediates(spark: SparkSession) -> None:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast once its row count is known to be small; else leave it as it is.
-
-    The table is written first, so the count reads file footers only.
-    """
-    stored = materialize(df, "side")
-    return F.broadcast(stored) if stored.count() <= max_rows else stored
+    """Store ``df``, and mark it for broadcast if the rows counted while writing are few enough."""
+    run = Observation()
+    stored = materialize(df.observe(run, F.count(F.lit(1)).alias("rows")), "side")
+    return F.broadcast(stored) if run.get["rows"] <= max_rows else stored
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -161,7 +161,8 @@ def wines(spark):
 @pytest.mark.parametrize("boosted", [False, True])
 def test_tier_model(spark, wines, boosted, tmp_path):
     settings = dict(trees=5, depth=4, boosted=boosted)
-    model, metrics = train_and_evaluate(wines, ["id"], **settings)
+    model, metrics, report = train_and_evaluate(wines, ["id"], **settings)
+    assert report.agg(F.sum("support")).first()[0] == 48
     assert metrics["accuracy"] > 0.8 and metrics["f1_macro"] > 0.7
     bad = wines.limit(1).withColumn("alcohol", F.lit(-1.0))
     scored = score(model, wines.unionByName(bad), "7", request_rules())

@@ -58,5 +58,6 @@ def test_wine(spark, tmp_path):
     result = wine_pipeline(spark, str(folder), str(tmp_path / "out"), min_rows=240, trees=5, depth=4)
     assert result["row_count"] == 240 and result["partitions"] == 2 and result["accuracy"] > 0.9
     assert spark.read.json(str(tmp_path / "out" / "model" / "metadata")).first().model_name == "quality-tiers"
+    assert spark.read.json(str(tmp_path / "out" / "classification_report")).count() == 3
     with pytest.raises(DataTestFailure):
         wine_pipeline(spark, str(folder), str(tmp_path / "out2"), min_rows=241)

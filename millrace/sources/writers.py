@@ -28,11 +28,11 @@ def write_parquet(
     metrics += [value.alias(name) for name, value in (observe or {}).items()]
     if by:
         metrics.append(F.size(F.collect_set(F.struct(*by))).alias("partitions"))
-    observed = df.observe(run, *metrics)
-    if by:
-        observed.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
-    else:
-        observed.write.mode("overwrite").parquet(path)
+    # Observed behind the shuffle, in the writing tasks: a map task that runs again after a lost
+    # executor must not be counted twice.
+    rows = df.hint("rebalance", *by) if by else df
+    writer = rows.observe(run, *metrics).write.mode("overwrite")
+    (writer.partitionBy(*by) if by else writer).parquet(path)
     return {"dataset": dataset, "input_path": source, "output_path": path, **run.get}
 
 

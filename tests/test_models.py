@@ -13,7 +13,10 @@ from millrace.plans.recommend import (
     assign_variant,
     business_metrics,
     daily_volume,
+    factorize,
     interaction_weights,
+    model_ids,
+    model_top_n,
     negative_samples,
     ranking_metrics,
 )
@@ -226,3 +229,17 @@ def test_variants_are_stable(spark):
     assigned = assign_variant(users, "u")
     assert assigned.distinct().count() == 500
     assert 0.72 < assigned.filter("variant = 'A'").count() / 1000 < 0.88
+
+
+def test_factors_recommend_within_the_own_group(spark):
+    """Two groups of users with items of their own: nobody is offered the other group's items first."""
+    rows = [(n, f"g{n % 2}u{n % 10}", f"g{n % 2}i{(n * 7 // 10) % 8}", "click") for n in range(400)]
+    events = spark.createDataFrame(rows, "n int, user string, item string, action string")
+    coded = model_ids(events.withColumns({"u": F.col("user"), "i": F.col("item")}), "user", "item", ["n"])
+    weights = interaction_weights(coded, "user_idx", "item_idx", "action")
+    top = model_top_n(factorize(weights, "user_idx", "item_idx", rank=4), "user_idx", "item_idx", 2)
+    users = coded.select("user_idx", F.substring("u", 1, 2).alias("ug")).distinct()
+    items = coded.select("item_idx", F.substring("i", 1, 2).alias("ig")).distinct()
+    named = top.join(users, "user_idx").join(items, "item_idx")
+    assert named.count() == 20 and named.filter("ug <> ig").count() == 0
+    assert named.groupBy("user_idx").agg(F.max("position")).filter("`max(position)` <> 2").count() == 0

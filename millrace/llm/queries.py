@@ -1,4 +1,4 @@
 """Every query of this subpackage."""
 
-from millrace.llm import mixing, packing, quality, warc  # noqa: F401
+from millrace.llm import chat, kneser_ney, langid, minhash, mixing, packing, quality, topk, toxicity, warc  # noqa: F401
 from millrace.llm.common import QUERIES, SQL  # noqa: F401

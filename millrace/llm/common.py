@@ -142,3 +142,14 @@ def null_safe(left: DataFrame, right: DataFrame, names: list[str], how: str) ->
         condition = condition & left[name].eqNullSafe(renamed[f"_right_{name}"])
     joined = left.join(renamed, condition, how)
     return joined.drop(*[f"_right_{name}" for name in names])
+
+
+def hidden(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The rows under column names that clash with nothing, and the new name of each column."""
+    names = {name: f"_c{i}" for i, name in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def restored(rows: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The columns of ``hidden`` under their own names again."""
+    return rows.select(*[F.col(new).alias(old) for old, new in names.items()])

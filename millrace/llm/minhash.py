@@ -20,10 +20,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WordHash, mix, query, rows_to_table, table, texts
+from millrace.llm.common import WordHash, hidden, mix, query, restored, rows_to_table, table, texts
 from millrace.llm.components import components
 from millrace.session import materialize
 
@@ -176,22 +176,16 @@ def _leaders(members: DataFrame, number: int) -> DataFrame:
     return members.withColumn("_rank", rank).filter(F.col("_rank") <= number).select("bucket", F.col("node").alias("leader"))
 
 
-def near_duplicates(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    size: int = 5,
-    percent: int = 80,
-    bands: int = 64,
-    rows: int = 8,
-) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for each row of ``docs``.
+def internal_id(doc_id: str, text: str) -> Column:
+    """The id; for a null one, a hash of the text above all ids."""
+    hashed = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).bitwiseAND(F.lit(NO_ID - 1)) + F.lit(NO_ID)
+    return F.coalesce(F.col(doc_id).cast("long"), hashed)
 
-    Documents are linked whose sets of ``size``-word shingles have a similarity of ``percent`` or more;
-    ``component_id`` is the smallest id reachable, and ``kept`` marks its document.
+
+def near_duplicate_roots(named: DataFrame, size: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """``_id, doc_id, n_shingles, _root`` per row of ``_id, doc_id, _text``; ``_root`` is the least ``_id``
+    reachable.
     """
-    own = F.coalesce(F.col(doc_id), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).bitwiseAND(F.lit(NO_ID - 1)) + F.lit(NO_ID))
-    named = docs.select(own.alias("_id"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"))
     sketched = materialize(sketch(named, size, bands, rows), "sketch")
     filled = sketched.filter("n_shingles > 0")
     nodes = materialize(
@@ -232,10 +226,44 @@ def near_duplicates(
 
     rooted = nodes.join(roots, "node", "left").select("hi", "lo", F.coalesce("root", "node").alias("_root"))
     labelled = sketched.join(rooted, ["hi", "lo"], "left")
-    smallest = F.when(F.col("n_shingles") == 0, F.col("_id")).otherwise(F.col("_root"))
-    component = F.when(smallest < NO_ID, smallest)
-    result = labelled.select("doc_id", "n_shingles", component.alias("component_id"))
-    return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))).withColumnRenamed("doc_id", doc_id)
+    return labelled.select("_id", "doc_id", "n_shingles", F.coalesce("_root", "_id").alias("_root"))
+
+
+def near_duplicates(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    size: int = 5,
+    percent: int = 80,
+    bands: int = 64,
+    rows: int = 8,
+) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for each row of ``docs``.
+
+    Documents are linked whose sets of ``size``-word shingles have a similarity of ``percent`` or more;
+    ``component_id`` is the smallest id reachable, and ``kept`` marks its document.
+    """
+    named = docs.select(
+        internal_id(doc_id, text).alias("_id"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text")
+    )
+    found = near_duplicate_roots(named, size, percent, bands, rows)
+    component = F.when(F.col("_root") < NO_ID, F.col("_root"))
+    result = found.select(F.col("doc_id").alias(doc_id), "n_shingles", component.alias("component_id"))
+    return result.withColumn("kept", F.col(doc_id).eqNullSafe(F.col("component_id")))
+
+
+def without_near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80, bands: int = 64, rows: int = 8
+) -> DataFrame:
+    """The rows of one document of each group: the one with the smallest id, once if its row repeats."""
+    wide, names = hidden(docs)
+    wide = wide.withColumn("_id", internal_id(names[doc_id], names[text]))
+    named = wide.select("_id", F.col(names[doc_id]).cast("long").alias("doc_id"), F.col(names[text]).alias("_text"))
+    found = materialize(near_duplicate_roots(named, size, percent, bands, rows), "near-duplicates")
+    stays = wide.join(found.filter("_id != _root").select("_id").distinct(), "_id", "left_anti")
+    again = materialize(found.groupBy("_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_id"), "again")
+    once = stays.join(again, "_id", "left_anti")
+    return restored(once.unionByName(stays.join(again, "_id", "left_semi").dropDuplicates(["_id"])), names)
 
 
 @query(

@@ -132,8 +132,9 @@ def mix_copies(
     run = running_totals(rated, ["size", "_id"], {"_upto": "_units"}, ["_source"])
     half = SCALE // 2
     copies = F.floor((F.col("_upto") + half) / SCALE) - F.floor((F.col("_upto") - F.col("_units") + half) / SCALE)
+    own = [] if doc_id in carry else [F.col("_id").alias(doc_id)]
     return run.select(
-        F.col("_id").alias(doc_id), "source", "size", "source_size",
+        *own, "source", "size", "source_size",
         F.coalesce("target", F.lit(0.0)).alias("target"), copies.cast("long").alias("copies"),
         *[F.col(f"_carry_{c}").alias(c) for c in carry],
     )

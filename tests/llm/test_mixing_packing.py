@@ -162,3 +162,15 @@ def test_every_sequence_has_the_mixture(spark):
     drift = np.cumsum(whole[order], 0) - np.cumsum(whole.sum(1)[order])[:, None] * share
     longest = docs.select(F.max(F.length("text"))).first()[0]
     assert np.abs(drift).max() <= longest
+
+
+def test_words_have_the_ids_of_the_tokenizer():
+    from millrace.llm.packing import WordIds
+
+    words = WordIds(vocabulary_path())
+    odd = "ΑΣ. İstanbul! İ! ét́. don't. 'tis; x'll! a̸. ≠ ﬁ. ª! 1st.. Ⅷ. ŉ ß? IT'S. ǅ ᾳ <|endoftext|>. ÀÉ,"
+    made = [chr(c) + x for c in range(0x21, 0x3000) for x in ("a.", "!", "A")]
+    for word in [*odd.split(), *made]:
+        if word.split() == [word]:
+            ids = words.tokenizer.encode(word, add_special_tokens=False).ids
+            assert words.of(word.encode()) == np.asarray(ids, "<u4").tobytes(), word

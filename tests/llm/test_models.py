@@ -1,0 +1,203 @@
+"""Language model, toxicity and language identification: brute force, gradients, held-out accuracy."""
+
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import kneser_ney, langid, toxicity
+
+SF = "/root/testdata/sf0.01"
+DOCS = "doc_id long, text string, lang string, score string"
+
+
+def brute_kneser_ney(texts):
+    """Probabilities of a small corpus from dictionaries."""
+    tokens = lambda t: ["</s>", *re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()), "</s>"]
+    pairs = Counter(p for t in texts for p in zip(tokens(t), tokens(t)[1:]))
+    words, before, follow = Counter(), defaultdict(set), defaultdict(Counter)
+    for (u, w), n in pairs.items():
+        words[w] += n
+        before[w].add(u)
+        follow[u][w] = n
+    of_counts = lambda counts: kneser_ney.discounts(Counter(c for c in counts if c < 5))
+    high, low = of_counts(pairs.values()), of_counts(len(b) for b in before.values())
+    cut = lambda d, n: d[min(n, 3) - 1] if n else 0.0
+    spare = sum(cut(low, len(b)) for b in before.values()) / len(pairs)
+
+    def score(text):
+        total = base = 0.0
+        t = tokens(text)
+        for u, w in zip(t, t[1:]):
+            p = max(len(before[w]) - cut(low, len(before[w])), 0) / len(pairs) + spare / (len(words) + 1)
+            if u in follow:
+                n, all_n = follow[u][w], sum(follow[u].values())
+                p = max(n - cut(high, n), 0) / all_n + sum(cut(high, c) for c in follow[u].values()) / all_n * p
+            total += math.log10(p)
+            base += math.log10((words[w] + 0.5) / (sum(words.values()) + 0.5 * (len(words) + 1)))
+        return total, base, len(t) - 1, sum(words[w] > 0 for w in t[1:])
+
+    return score, sum(words.values()), words
+
+
+def test_language_model_against_brute_force(spark):
+    draw = random.Random(6)
+    corpus = [" ".join(draw.choice("abcdefgh") * draw.randint(1, 3) for _ in range(draw.randint(0, 40))) for _ in range(60)]
+    corpus += [None, "", corpus[0], "É é", "A a"]
+    asked = ["a b zz", None, "unseen words only", "é", *corpus]
+    frame = lambda rows: spark.createDataFrame([(i, t, None, "x") for i, t in enumerate(rows)], DOCS)
+    model = kneser_ney.fit(frame(corpus))
+    got = {r["doc_id"]: r for r in kneser_ney.score(frame(asked), model, ["doc_id"]).collect()}
+    score, total, _ = brute_kneser_ney(corpus)
+    for i, text in enumerate(asked):
+        want = score(text)
+        assert got[i]["score"] == pytest.approx(want[0], abs=1e-9) and got[i]["base_score"] == pytest.approx(want[1], abs=1e-9)
+        assert (got[i]["n_tokens"], got[i]["n_known"], got[i]["train_tokens"]) == (*want[2:], total)
+
+
+def test_language_model_is_a_distribution(spark):
+    frame = spark.createDataFrame([(0, "a b a c b a", None, "x"), (1, "c c a", None, "x")], DOCS)
+    model = kneser_ney.fit(frame)
+    hashes = kneser_ney.WordHash()
+    words = np.append(hashes.of([b"a", b"b", b"c", b"unknown"]), kneser_ney.END)
+    for u in words:
+        _, logs = model.score(np.full(len(words), u), words)
+        assert (10**logs).sum() == pytest.approx(1)
+
+
+def test_language_model_empty(spark):
+    nothing = spark.createDataFrame([], DOCS)
+    model = kneser_ney.fit(nothing)
+    assert kneser_ney.score(nothing, model, ["doc_id"]).count() == 0
+    row = kneser_ney.score(spark.createDataFrame([(1, "a", None, "x")], DOCS), model, ["doc_id"]).first()
+    assert row["score"] == 0 and row["train_tokens"] == 0
+
+
+def test_model_beats_base_on_held_out(spark):
+    r = kneser_ney.op3(spark, SF).groupBy("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).collect()
+    assert all(x["s"] > x["b"] for x in r)
+
+
+PLAIN = "idiot stupid moron loser stone house train apple water river music plant".split()
+
+
+@pytest.fixture(scope="module")
+def chars():
+    counts = Counter()
+    for word in PLAIN:
+        marked = f"^^{word}$"
+        counts.update(marked[i : i + 3] for i in range(len(marked) - 2))
+    return toxicity.CharModel({k: 20 * n for k, n in counts.items()})
+
+
+@pytest.mark.parametrize(
+    "written,word",
+    [("1d10t", "idiot"), ("st@pid", "stapid"), ("st-u-p-i-d", "stupid"), ("m0r0n", "moron"), ("l.o.s.e.r", "loser"),
+     ("idiooot", "idiot"), ("$tupid", "stupid"), ("mmmoronnn", "moron"), ("", "")],
+)
+def test_restoring(chars, written, word):
+    assert toxicity.restore(written, chars) == word
+
+
+def test_outer_signs():
+    assert [toxicity.core(w) for w in (b"Word***", b'"a.b",', b"x$$$", b"%%%", b"")] == ["word", "a.b", "x", "", ""]
+    assert toxicity.core(b"$tupid!!!") == "$tupid"
+
+
+def labelled(spark, n=600):
+    draw = random.Random(9)
+    words = [w for w in PLAIN if w not in PLAIN[:4]]
+    rows, labels = [], []
+    for i in range(n):
+        text = [draw.choice(words) for _ in range(40)]
+        bad = i % 5 == 0
+        if bad:
+            text[draw.randrange(40)] = draw.choice(PLAIN[:4])
+        rows.append((i, " ".join(text), "en", "x"))
+        labels.append((i, int(bad)))
+    return spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, toxic int")
+
+
+def test_toxicity_of_hidden_words(spark):
+    docs, labels = labelled(spark)
+    model = toxicity.fit(docs, labels)
+    asked = ["the house is 1d10t water", "you m.o.r.o.n stone", "river s t u p i d plant", "loooser", "music 1234 house", None, "", "apple " * 30_000]
+    frame = spark.createDataFrame([(i, t, "en", "x") for i, t in enumerate(asked)], DOCS)
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.toxicity(frame.drop("score"), model, ["doc_id"]).collect()}
+    assert [got[i] for i in range(len(asked))] == [1, 1, 1, 1, 0, 0, 0, 0]
+
+
+def test_toxicity_without_labels(spark):
+    docs, labels = labelled(spark, 10)
+    model = toxicity.fit(docs, labels.filter("false"))
+    assert {r["predicted"] for r in toxicity.toxicity(docs.drop("score"), model, ["doc_id"]).collect()} == {0}
+    one_class = toxicity.fit(docs, labels.withColumn("toxic", F.lit(None).cast("int")))
+    assert one_class.weights == {}
+
+
+def test_toxicity_on_held_out(spark):
+    got = toxicity.op2(spark, "/root/testdata/sf0.1").filter("held_out").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id")
+    r = got.agg(F.avg((F.col("predicted") == F.col("toxic")).cast("int")), F.avg("toxic")).first()
+    assert r[0] > 0.97
+
+
+def test_gradients_of_the_network():
+    """Backpropagation through time against differences."""
+    network = langid.Network.initial(["a", "b", "c"], 4, 1)
+    network.weights = {k: v.astype(np.float64) for k, v in network.weights.items()}
+    words, labels = [b"abcab", b"zz", b"q"], np.array([0, 1, 2])
+    codes, lengths = langid._codes(words)
+    mask = (np.arange(codes.shape[0])[:, None] < lengths)[:, :, None]
+
+    def loss():
+        logs = langid.position_logs(network, codes, lengths)
+        return -(logs * mask)[:, np.arange(3), labels].sum()
+
+    logs, both, turn, kept_f, kept_b = langid.position_logs(network, codes, lengths, keep=True)
+    slope = np.exp(logs)
+    slope[:, np.arange(3), labels] -= 1
+    slope = np.where(mask, slope, 0)
+    up = slope @ network.weights["out"].T
+    grads = langid._backward(network.weights, "f", codes, kept_f, up[:, :, :4])
+    turned = np.take_along_axis(codes, turn, 0)
+    grads |= langid._backward(network.weights, "b", turned, kept_b, np.take_along_axis(up[:, :, 4:], turn[:, :, None], 0))
+    draw = np.random.default_rng(0)
+    for name, grad in grads.items():
+        w = network.weights[name]
+        for _ in range(6):
+            at = (int(codes[0, 0]) if name.endswith("_in") else draw.integers(w.shape[0]), draw.integers(w.shape[1]))
+            old, step = w[at], 1e-3
+            w[at] = old + step
+            high = loss()
+            w[at] = old - step
+            low = loss()
+            w[at] = old
+            assert grad[at] == pytest.approx((high - low) / (2 * step), rel=2e-2, abs=2e-3)
+
+
+def test_language_on_held_out(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
+    got = langid.op9(spark, SF).filter("held_out").join(docs, "doc_id")
+    assert got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.97
+
+
+def test_language_odd_rows(spark):
+    rows = [(i, f"the house and the water {i}", "en", "x") for i in range(40)]
+    rows += [(100 + i, f"das Haus und über Wasser {i}", "de", "x") for i in range(40)]
+    rows += [(None, "and then", None, "x"), (300, None, "de", "x"), (301, "", "de", "x")]
+    docs = spark.createDataFrame(rows, DOCS)
+    network = langid.fit(docs)
+    asked = [("the and", "en"), ("und über", "de"), (None, "und"), ("", "und"), ("123 !?", "und"), ("und " * 40_000, "de"), ("the" * 20_000, "en")]
+    frame = spark.createDataFrame([(i, t, None, "x") for i, (t, _) in enumerate(asked)], DOCS).drop("score")
+    got = {r["doc_id"]: r for r in langid.identify(frame, network, ["doc_id"]).collect()}
+    assert [got[i]["lang_pred"] for i in range(len(asked))] == [name for _, name in asked]
+    assert all(0 <= r["score"] <= 1 for r in got.values())
+    assert langid.identify(frame.limit(0), network, ["doc_id"]).count() == 0
+    lone = langid.fit(docs.filter("lang = 'de'"))
+    assert langid.identify(frame, lone, ["doc_id"]).filter("doc_id = 0").first()["lang_pred"] == "de"
+    none = langid.fit(docs.filter("lang = 'xx'"))
+    assert langid.identify(frame, none, ["doc_id"]).filter("doc_id = 0").first()["lang_pred"] == "und"

@@ -17,52 +17,96 @@ and repeated ids are documents of their own. An empty table gives an empty resul
 from __future__ import annotations
 
 import os
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from millrace.llm.common import null_safe, query, table, texts
 from millrace.operators.ranking import running_totals
-from millrace.session import materialize
+from millrace.session import materialize, new_path
+
+os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread
 
 END_ID = 1
-CACHE_WORDS = 200_000
+MARKS = ".,;:!?"
+LATIN_END = "\u0250"
+CACHE_WORDS = 400_000
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letters by which byte-level vocabularies write bytes: printable ones as they are, the rest in
+    order from 256 up."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: 256 + i for i, b in enumerate(hidden)}
 
 
-class WordIds(dict):
-    """Ids of blank-free pieces as little-endian bytes; at most ``CACHE_WORDS`` pieces are held.
+BYTE_LETTERS = _byte_letters()
 
-    The tokenizer drops white space and no token crosses it, so a text's ids are those of its pieces.
+
+class WordIds:
+    """Ids of blank-free words as little-endian bytes.
+
+    The tokenizer drops white space and no token crosses it, so a text's ids are those of its words. A
+    letter never joins the punctuation after it either, so a word is encoded without its closing
+    marks. Words of Latin letters go to the tokenizer's merges directly: its normaliser only puts
+    them in lower case, and its pattern takes them whole.
+    Two generations of at most ``CACHE_WORDS`` words are held: when the young one is full it becomes
+    the old one, from which words that are met again come back.
     """
 
-    def __init__(self, tokenizer):
-        super().__init__()
-        self.tokenizer = tokenizer
+    def __init__(self, path: str):
+        self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def _part(self, text: str) -> bytes:
+        lower = text.lower()
+        if lower.isalpha() and max(lower) < LATIN_END:
+            letters = lower.encode().decode("latin-1").translate(BYTE_LETTERS)
+            ids = [t.id for t in self.merges.tokenize(letters)]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        found = self.parts[text] = array("I", ids).tobytes()
+        return found
+
+    def _learn(self, words: list[bytes]) -> None:
+        if len(self.parts) + len(words) > CACHE_WORDS:
+            self.parts = {"": b""}
+        parts = self.parts
+        for word in words:
+            text = word.decode("utf-8")
+            stem = text.rstrip(MARKS)
+            last = stem[-1:].lower()
+            if stem == text or not last.isalpha() or last >= LATIN_END:
+                self.young[word] = parts.get(text) or self._part(text)
+            else:
+                closing = text[len(stem) :]
+                self.young[word] = (parts.get(stem) or self._part(stem)) + (parts.get(closing) or self._part(closing))
 
     def of(self, raw: bytes) -> bytes:
         words = raw.split()
-        missing = [w for w in dict.fromkeys(words) if w not in self]
-        if missing:
-            if len(self) + len(missing) > CACHE_WORDS:
-                self.clear()
-                missing = list(dict.fromkeys(words))
-            for start in range(0, len(missing), 4096):
-                part = missing[start : start + 4096]
-                found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)
-                for word, encoding in zip(part, found, strict=True):
-                    self[word] = np.asarray(encoding.ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, words))
+        fresh = [w for w in dict.fromkeys(words) if w not in self.young]
+        if fresh:
+            if len(self.young) + len(fresh) > CACHE_WORDS:
+                self.old, self.young = self.young, {}
+                fresh = list(dict.fromkeys(words))
+            known = self.old
+            self.young.update((w, known[w]) for w in fresh if w in known)
+            self._learn([w for w in fresh if w not in known])
+        return b"".join(map(self.young.__getitem__, words))
 
 
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    return WordIds(Tokenizer.from_file(path))
+    return WordIds(path)
 
 
 def tokenize(docs: DataFrame, text: str, keep: list[str], vocabulary: str, end_id: int = END_ID) -> DataFrame:
@@ -70,8 +114,7 @@ def tokenize(docs: DataFrame, text: str, keep: list[str], vocabulary: str, end_i
     shape = docs.select(*keep, F.col(text).alias("_text"))
 
     def run(batches):
-        end = np.asarray([end_id], "<u4").tobytes()
-        coder = word_ids(vocabulary)
+        end, coder = np.asarray([end_id], "<u4").tobytes(), word_ids(vocabulary)
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)
@@ -116,7 +159,10 @@ def pack(
     ``sequence_id``, ``offset`` and ``padding`` (of the sequence: up to ``width``, none at a power of two).
     """
     coded = tokenize(docs.select(F.col(doc_id).alias("_id"), F.col(source).alias("_src"), F.col(text).alias("_text")), "_text", ["_id", "_src"], vocabulary, end_id)
-    stored = materialize(coded.withColumn("_row", F.monotonically_increasing_id()), "tokens")
+    path = new_path(spark := docs.sparkSession, "tokens")
+    numbered = coded.withColumn("_row", F.monotonically_increasing_id())
+    numbered.write.option("compression", "zstd").parquet(path)
+    stored = spark.read.schema(numbered.schema).parquet(path)
     name = F.coalesce(F.concat(F.lit("0"), F.col("_src").cast("string")), F.lit("1"))
     sent = deficit_schedule(stored.select("_row", name.alias("_source"), "tokens"), width)
     begin = F.col("_end") - F.col("tokens")

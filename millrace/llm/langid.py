@@ -27,6 +27,7 @@ LETTER = regex.compile(r"\p{L}")
 PIECE = 24
 CACHE_WORDS = 150_000
 PAD = 256
+MIN_STEPS = 150
 
 
 @dataclass
@@ -134,6 +135,7 @@ def train(words: list[bytes], labels: list[int], languages: list[str], hidden: i
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in w.items()}
     draw = np.random.default_rng(seed)
     labels, step, size = np.array(labels), 0, 256
+    epochs = max(epochs, -(-MIN_STEPS * size // len(words)))
     for epoch in range(epochs):
         order = draw.permutation(len(words))
         for start in range(0, len(words), size):
@@ -151,7 +153,7 @@ def train(words: list[bytes], labels: list[int], languages: list[str], hidden: i
             turned = np.take_along_axis(codes, turn, 0)
             grads |= _backward(w, "b", turned, kept_b, np.take_along_axis(up[:, :, hidden:], turn[:, :, None], 0))
             step += 1
-            rate = 0.02 * 0.5**epoch
+            rate = 0.02 * 0.1 ** (epoch / epochs)
             for k, g in grads.items():
                 m, v = moments[k]
                 m += 0.1 * (g - m)
@@ -226,6 +228,8 @@ def fit(
     counted = {r[0]: r[1] for r in words.groupBy("lang").count().collect()}
     limits = F.create_map(*[F.lit(x) for name in counted for x in (name, words_per_language / counted[name])])
     drawn = words.filter(share_below("word", 22, F.element_at(limits, F.col("lang")))).collect()
+    if not drawn:
+        return Network([], {})
     drawn = sorted((r["word"].encode()[:PIECE], languages.index(r["lang"])) for r in drawn)
     return train([d[0] for d in drawn], [d[1] for d in drawn], languages, hidden, epochs)
 

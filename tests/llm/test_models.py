@@ -17,15 +17,16 @@ DOCS = "doc_id long, text string, lang string, score string"
 
 def brute_kneser_ney(texts):
     """Probabilities of a small corpus from dictionaries."""
-    tokens = lambda t: ["</s>", *re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()), "</s>"]
+    lower_case = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    tokens = lambda t: ["</s>", *re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(lower_case)), "</s>"]
     pairs = Counter(p for t in texts for p in zip(tokens(t), tokens(t)[1:]))
     words, before, follow = Counter(), defaultdict(set), defaultdict(Counter)
     for (u, w), n in pairs.items():
         words[w] += n
         before[w].add(u)
         follow[u][w] = n
-    of_counts = lambda counts: kneser_ney.discounts(Counter(c for c in counts if c < 5))
-    high, low = of_counts(pairs.values()), of_counts(len(b) for b in before.values())
+    few = lambda counts: kneser_ney.discounts(Counter(c for c in counts if c < 5))
+    high, low = few(pairs.values()), few(len(b) for b in before.values())
     cut = lambda d, n: d[min(n, 3) - 1] if n else 0.0
     spare = sum(cut(low, len(b)) for b in before.values()) / len(pairs)
 
@@ -48,7 +49,7 @@ def test_language_model_against_brute_force(spark):
     draw = random.Random(6)
     corpus = [" ".join(draw.choice("abcdefgh") * draw.randint(1, 3) for _ in range(draw.randint(0, 40))) for _ in range(60)]
     corpus += [None, "", corpus[0], "É é", "A a"]
-    asked = ["a b zz", None, "unseen words only", "é", *corpus]
+    asked = ["a b zz", None, "unseen words only", "é", "A É", *corpus]
     frame = lambda rows: spark.createDataFrame([(i, t, None, "x") for i, t in enumerate(rows)], DOCS)
     model = kneser_ney.fit(frame(corpus))
     got = {r["doc_id"]: r for r in kneser_ney.score(frame(asked), model, ["doc_id"]).collect()}
@@ -96,7 +97,7 @@ def chars():
 
 @pytest.mark.parametrize(
     "written,word",
-    [("1d10t", "idiot"), ("st@pid", "stapid"), ("st-u-p-i-d", "stupid"), ("m0r0n", "moron"), ("l.o.s.e.r", "loser"),
+    [("1d10t", "idiot"), ("stup1d", "stupid"), ("st-u-p-i-d", "stupid"), ("m0r0n", "moron"), ("l.o.s.e.r", "loser"),
      ("idiooot", "idiot"), ("$tupid", "stupid"), ("mmmoronnn", "moron"), ("", "")],
 )
 def test_restoring(chars, written, word):

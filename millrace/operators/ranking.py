@@ -15,7 +15,7 @@ from operator import and_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.session import broadcast_if_small, materialize
+from millrace.session import stored_side, materialize
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition number above, row position below
 
@@ -49,7 +49,7 @@ def with_rank(
         "_first",
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
     )
-    located = attach_by(slots, broadcast_if_small(starts), ["_block", *groups])
+    located = attach_by(slots, stored_side(starts), ["_block", *groups])
     number = F.col("_before") + F.col("_slot") - F.col("_first") + 1
     return located.withColumn(rank, number).drop("_slot", "_block", "_first", "_before")
 
@@ -80,7 +80,7 @@ def running_totals(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = blocks.select("*", *[F.sum(c).over(inside).alias(f"_local_{c}") for c in totals.values()])
-    located = attach_by(local, broadcast_if_small(before), ["_block", *groups])
+    located = attach_by(local, stored_side(before), ["_block", *groups])
     added = {new: F.col(f"_before_{c}") + F.col(f"_local_{c}") for new, c in totals.items()}
     return located.select(*df.columns, *[value.alias(new) for new, value in added.items()])
 

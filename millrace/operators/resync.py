@@ -11,26 +11,38 @@ def index_manifest(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(key, F.sha2(F.col(text), 256).alias("content_hash"))
 
 
-def sync_status(docs: DataFrame, manifest: DataFrame, key: str, text: str) -> DataFrame:
-    """Rows ``(key, status)`` with status new, modified, unchanged or deleted.
+def _compared(docs: DataFrame, manifest: DataFrame, key: str, text: str) -> DataFrame:
+    """Keys of both sides with a status. Only keys and hashes are shuffled, not the texts.
 
-    Only keys and hashes are shuffled, not the texts.
+    A null text has a null hash, and a key may be null: presence is marked, and nulls are equal.
     """
-    now = index_manifest(docs, key, text).withColumnRenamed("content_hash", "now")
-    before = manifest.withColumnRenamed("content_hash", "before")
+    now = index_manifest(docs, key, text).select(
+        F.col(key).alias("_now"), F.col("content_hash").alias("_now_hash"), F.lit(True).alias("_here")
+    )
+    before = manifest.select(
+        F.col(key).alias("_old"), F.col("content_hash").alias("_old_hash"), F.lit(True).alias("_there")
+    )
     status = (
-        F.when(F.col("before").isNull(), "new")
-        .when(F.col("now").isNull(), "deleted")
-        .when(F.col("now") != F.col("before"), "modified")
-        .otherwise("unchanged")
+        F.when(F.col("_there").isNull(), "new")
+        .when(F.col("_here").isNull(), "deleted")
+        .when(F.col("_now_hash").eqNullSafe(F.col("_old_hash")), "unchanged")
+        .otherwise("modified")
     )
-    return now.join(before, key, "full_outer").select(key, status.alias("status"))
+    both = now.join(before, F.col("_now").eqNullSafe(F.col("_old")), "full_outer")
+    return both.select(F.coalesce("_now", "_old").alias(key), status.alias("status"))
+
+
+def sync_status(docs: DataFrame, manifest: DataFrame, key: str, text: str) -> DataFrame:
+    """Rows ``(key, status)`` with status new, modified, unchanged or deleted."""
+    return _compared(docs, manifest, key, text)
 
 
 def to_index(docs: DataFrame, manifest: DataFrame, key: str, text: str) -> DataFrame:
-    """The documents to index now."""
-    hashed = docs.withColumn("content_hash", F.sha2(F.col(text), 256))
-    return hashed.join(manifest, [key, "content_hash"], "left_anti")
+    """The documents to index now: keys are found first, and only then are their texts read."""
+    pending = _compared(docs, manifest, key, text).filter(F.col("status").isin("new", "modified"))
+    keys = pending.select(F.col(key).alias("_pending")).distinct()
+    found = docs.join(keys, F.col(key).eqNullSafe(F.col("_pending")), "left_semi")
+    return found.withColumn("content_hash", F.sha2(F.col(text), 256))
 
 
 def sync_report(status: DataFrame) -> DataFrame:

@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ranking import attach_by, with_rank
-from millrace.session import broadcast_if_small
-
-TOP_K_ROWS = 10_000
+from millrace.session import stored_side
 
 
 def hash_key(keys: Sequence[str], seed: int) -> Column:
@@ -20,7 +18,10 @@ def hash_key(keys: Sequence[str], seed: int) -> Column:
 
 def in_share(keys: Sequence[str], fraction: float, seed: int) -> Column:
     """True for about ``fraction`` of the keys, judged by the first eight hex digits of their digest."""
-    return F.substring(hash_key(keys, seed), 1, 8) < f"{int(fraction * 16**8):08x}"
+    if not 0 <= fraction <= 1:
+        raise ValueError(f"a share lies between 0 and 1: {fraction}")
+    draw = F.conv(F.substring(hash_key(keys, seed), 1, 8), 16, 10).cast("long")
+    return draw < int(fraction * 16**8)
 
 
 def hash_sample(df: DataFrame, keys: Sequence[str], fraction: float, seed: int) -> DataFrame:
@@ -29,13 +30,7 @@ def hash_sample(df: DataFrame, keys: Sequence[str], fraction: float, seed: int)
 
 
 def first_rows(df: DataFrame, order: Sequence[str], n: int = 200_000) -> DataFrame:
-    """The first ``n`` rows by an explicit total order.
-
-    A small ``n`` is a top-k, which one task merges. A large one would not fit there, so the rows are
-    ranked in their range partitions.
-    """
-    if n <= TOP_K_ROWS:
-        return df.orderBy(*order).limit(n)
+    """The first ``n`` rows by an explicit total order, ranked in range partitions: no task sorts them all."""
     return with_rank(df, order, "_rank").filter(F.col("_rank") <= n).drop("_rank")
 
 
@@ -53,4 +48,4 @@ def stratified_split(
     sizes = ranked.groupBy(label).agg(F.max("_rank").alias("_size"))
     cut = F.floor(F.col("_size") * test_share + 0.5)
     split = F.when(F.col("_rank") <= cut, F.lit("test")).otherwise(F.lit("train"))
-    return attach_by(ranked, broadcast_if_small(sizes), [label]).withColumn("split", split).select(*df.columns, "split")
+    return attach_by(ranked, stored_side(sizes), [label]).withColumn("split", split).select(*df.columns, "split")

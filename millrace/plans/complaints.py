@@ -15,7 +15,7 @@ from millrace.functions.timeparts import month_part, month_start, year_part
 from millrace.operators.merge import run_incremental
 from millrace.operators.profile import ingest_aggregates
 from millrace.operators.quality import MAX_NULL_KEY_SHARE, DataTestFailure
-from millrace.sources.writers import write_parquet
+from millrace.sources.writers import write_metrics, write_parquet
 
 # Staged columns by treatment, and the columns of the incremental fact.
 CLEANED = [
@@ -157,8 +157,9 @@ def ingest(
     key: str = "Complaint ID",
     date_text: str = "Date received",
     skip_existing: bool = False,
+    manifest_path: str | None = None,
 ) -> dict[str, Any] | None:
-    """Write text rows as a Hive-style ``year=/month=`` table and return the manifest.
+    """Write text rows as a Hive-style ``year=/month=`` table and its manifest beside it; return the manifest.
 
     Everything the manifest says is observed during the one write. An empty table or too many rows
     without a key is an error. With ``skip_existing`` nothing is written, but the table must be
@@ -175,4 +176,6 @@ def ingest(
     keyless = manifest["null_or_blank_keys"]
     if manifest["row_count"] == 0 or keyless > manifest["row_count"] * MAX_NULL_KEY_SHARE:
         raise DataTestFailure(f"{keyless} of {manifest['row_count']} rows written have no key")
-    return {**manifest, "elapsed_sec": round(time.time() - started, 1)}
+    manifest["elapsed_sec"] = round(time.time() - started, 1)
+    write_metrics(rows.sparkSession, manifest, manifest_path or f"{out.rstrip('/')}.manifest")
+    return manifest

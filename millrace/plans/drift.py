@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.ranking import running_totals
@@ -41,16 +41,30 @@ def _cumulative(reference: DataFrame, current: DataFrame, features: Sequence[str
     return materialize(summed, "cumulative")
 
 
+def _table_counts(df: DataFrame, features: Sequence[str], side: str) -> DataFrame:
+    """Per feature the table's rows and its non-null values, in one pass."""
+    known = [F.count(F.col(c).try_cast("double")).alias(f"n{i}") for i, c in enumerate(features)]
+    counts = df.agg(F.count(F.lit(1)).alias("all"), *known)
+    cells = [
+        F.struct(F.lit(c).alias("feature"), F.col("all").alias(f"{side}_table"), F.col(f"n{i}").alias(f"{side}_rows"))
+        for i, c in enumerate(features)
+    ]
+    return counts.select(F.inline(F.array(*cells)))
+
+
 def drift_report(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
-    """One row per feature: row counts, stability index over reference deciles, distance, drift flag.
+    """One row per feature: counts of values, null shares, stability index over reference deciles,
+    distance, drift flag, and the rows of both tables.
 
-    Both statistics come from one table of running counts over the distinct values of each feature.
+    Both statistics come from one table of running counts over the distinct values of each feature. A
+    feature without values on a side has no statistics; it has drifted if the other side has values.
+    ``features`` is a list written by the caller, so tables with one row per feature are broadcast.
     """
     summed = _cumulative(reference, current, features)
-    sizes = summed.groupBy("feature").agg(
-        F.sum("ref").alias("reference_rows"), F.sum("cur").alias("current_rows")
+    sizes = materialize(
+        _table_counts(reference, features, "reference").join(_table_counts(current, features, "current"), "feature"),
+        "sizes",
     )
-    # The features are a fixed list, so the table of their sizes is tiny.
     placed = summed.join(F.broadcast(sizes), "feature")
     gap = F.abs(
         F.try_divide(F.col("ref_upto"), F.col("reference_rows"))
@@ -90,20 +104,37 @@ def drift_report(reference: DataFrame, current: DataFrame, features: Sequence[st
         F.sum((F.col("c") - F.col("r")) * F.log(F.col("c") / F.col("r"))).alias("psi")
     )
     limit = KS_FACTOR * F.sqrt(
-        (F.col("reference_rows") + F.col("current_rows")) / (F.col("reference_rows") * F.col("current_rows"))
+        F.try_divide(F.col("reference_rows") + F.col("current_rows"), F.col("reference_rows") * F.col("current_rows"))
     )
+    one_sided = (F.col("reference_rows") == 0) != (F.col("current_rows") == 0)
+    measured = (F.col("psi") > PSI_LIMIT) | (F.col("ks") > limit)
+
+    def null_share(side: str) -> Column:
+        return 1 - F.try_divide(F.col(f"{side}_rows"), F.col(f"{side}_table"))
+
     return (
-        sizes.join(index, "feature")
-        .join(distance, "feature")
-        .withColumn("drifted", (F.col("psi") > PSI_LIMIT) | (F.col("ks") > limit))
-    )
+        sizes.join(index, "feature", "left")
+        .join(distance, "feature", "left")
+        .withColumns(
+            {
+                "psi": F.when((F.col("reference_rows") > 0) & (F.col("current_rows") > 0), F.col("psi")),
+                "drifted": F.coalesce(one_sided | F.coalesce(measured, F.lit(False)), F.lit(False)),
+                "reference_null_share": null_share("reference"),
+                "current_null_share": null_share("current"),
+            }
+        )
+        .select(
+            "feature", "reference_rows", "current_rows", "psi", "ks", "drifted",
+            "reference_null_share", "current_null_share", "reference_table", "current_table",
+        )
+    )
 
 
 def drift_summary(report: DataFrame) -> DataFrame:
     """One row: rows of both tables, drifted features, and whether at least half of them drifted."""
     return report.agg(
-        F.max("reference_rows").alias("reference_rows"),
-        F.max("current_rows").alias("current_rows"),
+        F.max("reference_table").alias("reference_rows"),
+        F.max("current_table").alias("current_rows"),
         F.count(F.lit(1)).alias("features"),
         F.count_if("drifted").alias("drifted_features"),
         (F.count_if("drifted") * 2 >= F.count(F.lit(1))).alias("dataset_drift"),

@@ -40,6 +40,7 @@ def load_all() -> tuple[dict[str, Query], dict[str, str]]:
         complaints,
         documents,
         features,
+        files,
         incremental,
         models,
         quality,

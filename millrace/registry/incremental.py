@@ -148,6 +148,18 @@ def first(spark: SparkSession, sf: str) -> DataFrame:
     return first_rows(table(spark, sf, "events").select("event_id", "event_type"), ["event_id"])
 
 
+@query("first_rows_cut", "SELECT event_id, event_type FROM events ORDER BY event_id LIMIT 700")
+def first_cut(spark: SparkSession, sf: str) -> DataFrame:
+    """The first 700 events (the operator's purpose): fewer than the table has."""
+    return first_rows(table(spark, sf, "events").select("event_id", "event_type"), ["event_id"], 700)
+
+
+@query("hash_sample_all", "SELECT event_id, user_id, event_type FROM events")
+def sample_all(spark: SparkSession, sf: str) -> DataFrame:
+    """A share of 1 keeps every row."""
+    return hash_sample(table(spark, sf, "events"), ["event_id"], 1.0, 7).select("event_id", "user_id", "event_type")
+
+
 def _manifest(spark: SparkSession, sf: str) -> DataFrame:
     """An older index: no French documents yet, other texts from src0, and some documents since deleted."""
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
@@ -195,3 +207,23 @@ SELECT doc_id, sha256(text) AS content_hash FROM documents WHERE lang = 'fr' OR
 def doc_to_index(spark: SparkSession, sf: str) -> DataFrame:
     pending = to_index(table(spark, sf, "documents"), _manifest(spark, sf), "doc_id", "text")
     return pending.select("doc_id", "content_hash")
+
+
+@query(
+    "doc_resync_nulls",
+    """
+SELECT doc_id, CASE WHEN lang = 'es' THEN 'new' WHEN lang = 'de' THEN 'modified' ELSE 'unchanged' END AS status,
+       lang IN ('es', 'de') AS pending
+FROM documents
+""",
+)
+def doc_resync_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts lost: French ones were null before too, German ones have become null, Spanish ones are new."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    nothing = F.lit(None).cast("string")
+    old = docs.filter("lang <> 'es'").withColumn("text", F.when(F.col("lang") == "fr", nothing).otherwise(F.col("text")))
+    new = docs.withColumn("text", F.when(F.col("lang").isin("fr", "de"), nothing).otherwise(F.col("text")))
+    manifest = index_manifest(old, "doc_id", "text")
+    pending = to_index(new, manifest, "doc_id", "text").select("doc_id", F.lit(True).alias("pending"))
+    status = sync_status(new, manifest, "doc_id", "text").join(pending, "doc_id", "left")
+    return status.select("doc_id", "status", F.coalesce("pending", F.lit(False)).alias("pending"))

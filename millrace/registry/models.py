@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.text import words
 from millrace.operators.encode import encode_categories
 from millrace.operators.sampling import in_share, stratified_split
-from millrace.plans.drift import drift_report
+from millrace.plans.drift import drift_report, drift_summary
 from millrace.plans.latency import latency_summary
 from millrace.plans.training import (
     accuracy_and_macro_f1,
@@ -222,7 +222,57 @@ def drift(spark: SparkSession, sf: str) -> DataFrame:
     report = drift_report(
         events.filter(F.col("ts") < HALF), events.filter(F.col("ts") >= HALF), ["value", "k", "hour"]
     )
-    return report.withColumns({c: F.round(c, 6) for c in ("psi", "ks")})
+    return report.select(
+        "feature", "reference_rows", "current_rows", F.round("psi", 6).alias("psi"), F.round("ks", 6).alias("ks"), "drifted"
+    )
+
+
+def _lost_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Drift of features that are null everywhere, null in half of the rows, or null on one side only."""
+    events = table(spark, sf, "events").select(
+        "ts",
+        F.lit(None).cast("double").alias("never"),
+        F.when(F.col("event_id") % 2 == 0, F.col("event_id") % 7).cast("double").alias("half"),
+        F.when(F.col("ts") < HALF, F.col("value")).alias("lost"),
+    )
+    return drift_report(
+        events.filter(F.col("ts") < HALF), events.filter(F.col("ts") >= HALF), ["never", "half", "lost"]
+    )
+
+
+@query(
+    "drift_nulls",
+    f"""
+WITH s AS (
+  SELECT count(*) FILTER (WHERE ts < '{HALF}') AS r, count(*) FILTER (WHERE ts >= '{HALF}') AS c,
+         count(*) FILTER (WHERE ts < '{HALF}' AND event_id % 2 = 0) AS rh,
+         count(*) FILTER (WHERE ts >= '{HALF}' AND event_id % 2 = 0) AS ch FROM events
+)
+SELECT feature, CAST(reference_rows AS BIGINT) AS reference_rows, CAST(current_rows AS BIGINT) AS current_rows,
+       round(1 - reference_rows / r, 6) AS reference_null_share, round(1 - current_rows / c, 6) AS current_null_share,
+       has_psi, feature = 'lost' AS drifted
+FROM (SELECT 'never' AS feature, 0 AS reference_rows, 0 AS current_rows, r, c, false AS has_psi FROM s
+      UNION ALL SELECT 'half', rh, ch, r, c, true FROM s UNION ALL SELECT 'lost', r, 0, r, c, false FROM s)
+""",
+)
+def drift_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    report = _lost_values(spark, sf)
+    return report.select(
+        "feature", "reference_rows", "current_rows", F.round("reference_null_share", 6).alias("reference_null_share"),
+        F.round("current_null_share", 6).alias("current_null_share"), F.col("psi").isNotNull().alias("has_psi"), "drifted",
+    )
+
+
+@query(
+    "drift_summary",
+    f"""
+SELECT count(*) FILTER (WHERE ts < '{HALF}') AS reference_rows, count(*) FILTER (WHERE ts >= '{HALF}') AS current_rows,
+       CAST(3 AS BIGINT) AS features, CAST(1 AS BIGINT) AS drifted_features, false AS dataset_drift FROM events
+""",
+)
+def summary_of_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows are those of the tables, however many values are null."""
+    return drift_summary(_lost_values(spark, sf))
 
 
 LATENCY = """

@@ -2,17 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
-
-# Rows up to which a side of a join may be broadcast. The tables this is used for have a
-# handful of narrow columns, so the limit keeps a broadcast in the low tens of megabytes.
-BROADCAST_ROWS = 200_000
-
-_local_dirs: dict[str, str] = {}
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "millrace", master: str | None = None, **conf: str) -> SparkSession:
@@ -35,20 +27,12 @@ def build_session(app_name: str = "millrace", master: str | None = None, **conf:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the one the cluster names in ``spark.checkpoint.dir``.
+    """Folder for intermediate tables: the one in ``spark.checkpoint.dir``, else one in the warehouse.
 
-    A local session without that setting gets a temporary folder. On a cluster an executor could
-    not read such a folder, so there the setting is required.
+    The warehouse (``spark.sql.warehouse.dir``) is on the default file system, which executors share.
     """
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that every executor can reach")
-    if sc.applicationId not in _local_dirs:
-        _local_dirs[sc.applicationId] = tempfile.mkdtemp(prefix="millrace-")
-    return _local_dirs[sc.applicationId]
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/intermediate").rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -76,18 +60,11 @@ def drop_intermediates(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Store ``df``, and mark it for broadcast if the rows counted while writing are few enough."""
-    run = Observation()
-    stored = materialize(df.observe(run, F.count(F.lit(1)).alias("rows")), "side")
-    return F.broadcast(stored) if run.get["rows"] <= max_rows else stored
+def stored_side(df: DataFrame) -> DataFrame:
+    """Store a side of a join, so that its size in bytes is known: Catalyst broadcasts it if it is small."""
+    return materialize(df, "side")
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt out to all cores if the scan has fewer partitions than the session has cores.
-
-    For work that is heavy per row: a file with one row group is one task, however long its texts.
-    A scan with enough partitions is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Rows dealt out evenly for work that is heavy per row: a file with one row group is one task."""
+    return df.hint("rebalance")

@@ -29,7 +29,7 @@ WINE_COLUMNS = [
 SPLITS = ["train", "valid", "test"]
 
 _OVERFLOW = "_overflow"
-SPARE_FIELDS = 8  # surplus fields looked at per line
+_RAW = "_raw_line"
 
 
 def wine_schema() -> T.StructType:
@@ -39,8 +39,20 @@ def wine_schema() -> T.StructType:
 
 
 def read_wine(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Semicolon-separated measures with a header. A given schema saves the inference pass."""
-    return spark.read.csv(path, sep=";", header=True, schema=schema or wine_schema())
+    """Semicolon-separated measures with a header; columns go by name, in any order.
+
+    The header decides the order in which fields are read, so types need no inference pass. A header
+    column that the schema lacks is read as text; a schema column that the header lacks is an error.
+    """
+    wanted = schema or wine_schema()
+    kinds = {field.name: field.dataType for field in wanted}
+    header = spark.read.csv(path, sep=";", header=True).columns
+    if lacking := [name for name in kinds if name not in header]:
+        raise ValueError(f"columns not in the header: {lacking}")
+    ordered = T.StructType([T.StructField(name, kinds.get(name, T.StringType())) for name in header])
+    # With enforceSchema off, a file whose header differs from this one is an error, not a mix-up.
+    rows = spark.read.csv(path, sep=";", header=True, schema=ordered, enforceSchema=False)
+    return rows.select(*kinds, *[name for name in header if name not in kinds])
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
@@ -57,15 +69,23 @@ def read_text_csv(spark: SparkSession, path: str, columns: Sequence[str] | None
     """Every column as text, with a column ``_overflow`` that is non-null on lines with too many fields.
 
     Quoted line breaks and doubled quotes are understood; short lines are filled with null. Surplus
-    fields that are all empty do no harm: such a line is a good one. Pass ``columns`` to save the look
-    at the header.
+    fields that are all empty do no harm: such a line is a good one. Spark keeps the raw text of every
+    line whose number of fields differs from the header's; what follows the last column decides, however
+    many fields that is. Pass ``columns`` to save the look at the header.
     """
     options = dict(header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8")
     names = list(columns) if columns else spark.read.csv(path, **options).columns
-    spare = [f"{_OVERFLOW}_{i}" for i in range(SPARE_FIELDS)]
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, *spare]])
-    lines = spark.read.csv(path, schema=schema, **options)
-    return lines.withColumn(_OVERFLOW, F.coalesce(*spare)).drop(*spare)
+    fields = [T.StructField(name, T.StringType()) for name in [*names, _RAW]]
+    lines = spark.read.csv(
+        path, schema=T.StructType(fields), mode="PERMISSIVE", columnNameOfCorruptRecord=_RAW, **options
+    )
+    # One field: quoted text with doubled quotes, or anything without a comma. Nothing to backtrack.
+    field = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^,]*+)'
+    known = rf"(?s)^{field}(?:,{field}){{{len(names) - 1}}}"
+    surplus = F.regexp_replace(F.col(_RAW), known, "")
+    lost = F.col(_RAW).rlike(f"{known},") & (F.regexp_replace(surplus, r'[,\s"]', "") != "")
+    content = F.when(lost, surplus)
+    return lines.select(*[F.col(f"`{name}`") for name in names], content.alias(_OVERFLOW))
 
 
 def split_malformed(raw: DataFrame) -> tuple[DataFrame, DataFrame]:

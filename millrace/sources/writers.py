@@ -8,6 +8,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import normalize_names
+
 
 def write_parquet(
     df: DataFrame,
@@ -21,19 +23,23 @@ def write_parquet(
 
     Rows are rebalanced on the partition columns first: small partitions get few files, and a
     partition that holds a large share of the rows is still written by many tasks. ``observe`` adds
-    aggregates to the metrics.
+    aggregates to the metrics. ``partitions`` are counted in the stored table, from its folders' names.
     """
     run = Observation()
     metrics = [F.count(F.lit(1)).alias("row_count")]
     metrics += [value.alias(name) for name, value in (observe or {}).items()]
-    if by:
-        metrics.append(F.size(F.collect_set(F.struct(*by))).alias("partitions"))
     # Observed behind the shuffle, in the writing tasks: a map task that runs again after a lost
     # executor must not be counted twice.
     rows = df.hint("rebalance", *by) if by else df
     writer = rows.observe(run, *metrics).write.mode("overwrite")
     (writer.partitionBy(*by) if by else writer).parquet(path)
-    return {"dataset": dataset, "input_path": source, "output_path": path, **run.get}
+    found = {"dataset": dataset, "input_path": source, "output_path": path, **run.get}
+    if by and found["row_count"]:
+        # Partition columns are read from the listing; files are not opened for them.
+        found["partitions"] = df.sparkSession.read.schema(df.schema).parquet(path).select(*by).distinct().count()
+    elif by:
+        found["partitions"] = 0
+    return found
 
 
 def write_splits(splits: Mapping[str, DataFrame], path: str) -> dict[str, Any]:
@@ -53,6 +59,11 @@ def write_table(df: DataFrame, name: str, path: str | None = None, format: str =
     writer.saveAsTable(name)
 
 
+def table_from_query(spark: SparkSession, sql: str, name: str, rule: str = "landing", path: str | None = None) -> None:
+    """Create or replace a table from a query, its column names mapped by a name rule."""
+    write_table(normalize_names(spark.sql(sql), rule), name, path)
+
+
 def publish_layer(df: DataFrame, name: str, layer: str) -> None:
     """Staging models become views, marts become tables."""
     if layer == "staging":
@@ -64,8 +75,8 @@ def publish_layer(df: DataFrame, name: str, layer: str) -> None:
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    """A small report as one JSON-lines file."""
-    report.coalesce(1).write.mode("overwrite").json(path)
+    """A report as JSON lines: small ones are one file, large ones as many as they need."""
+    report.hint("rebalance").write.mode("overwrite").json(path)
 
 
 def write_metrics(spark: SparkSession, metrics: Mapping[str, Any], path: str) -> None:

@@ -101,6 +101,10 @@ def test_drift_against_counting(spark):
         assert rows[name].ks == pytest.approx(ks, abs=1e-12)
     assert rows["a"].drifted and not rows["b"].drifted
     assert drift_summary(report).first()[:] == (500, 300, 2, 1, True)
+    lost = drift_report(frame(ref), frame([(None, b) for _, b in cur]), ["a", "b"])
+    rows = {r.feature: r for r in lost.collect()}
+    assert rows["a"].drifted and rows["a"].psi is None and rows["a"].current_null_share == 1
+    assert drift_summary(lost).first()[:2] == (500, 300)
     same = drift_report(frame(ref), frame(ref), ["a"]).first()
     assert same.psi == pytest.approx(0) and same.ks == 0 and not same.drifted
 

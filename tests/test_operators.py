@@ -173,6 +173,10 @@ def test_samples(skewed):
     sample = hash_sample(skewed, ["id"], 0.3, 7)
     assert 800 < sample.count() < 1000
     assert sample.exceptAll(hash_sample(skewed.repartition(2), ["id"], 0.3, 7)).count() == 0
+    assert hash_sample(skewed, ["id"], 1.0, 7).count() == 3000
+    assert hash_sample(skewed, ["id"], 0.0, 7).count() == 0
+    with pytest.raises(ValueError):
+        hash_sample(skewed, ["id"], 1.5, 7)
     for n in (10, 20_000):
         ids = sorted(r.id for r in first_rows(skewed.select("id"), ["id"], n).collect())
         assert ids == list(range(min(n, 3000)))
@@ -257,6 +261,16 @@ def test_resync(spark):
     assert to_index(new, index_manifest(new, "k", "t"), "k", "t").count() == 0
 
 
+def test_resync_of_null_texts_and_keys(spark):
+    old = spark.createDataFrame([(1, None), (2, "b"), (None, "n")], "k int, t string")
+    new = spark.createDataFrame([(1, None), (2, None), (3, None), (None, "n")], "k int, t string")
+    manifest = index_manifest(old, "k", "t")
+    status = dict(tuple(r) for r in sync_status(new, manifest, "k", "t").collect())
+    assert status == {1: "unchanged", 2: "modified", 3: "new", None: "unchanged"}
+    assert sorted(r.k for r in to_index(new, manifest, "k", "t").collect()) == [2, 3]
+    assert to_index(new, index_manifest(new, "k", "t"), "k", "t").count() == 0
+
+
 def test_shared_dir_follows_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:

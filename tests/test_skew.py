@@ -60,7 +60,7 @@ def executed(df):
 
 def test_group_values(spark, facts):
     with settings(spark, SHUFFLED):
-        joined = with_group_values(facts, ["k"], {"n": F.count(F.lit(1)), "mean": F.avg("v")}, max_rows=0)
+        joined = with_group_values(facts, ["k"], {"n": F.count(F.lit(1)), "mean": F.avg("v")})
         assert "skew=true" in executed(joined)
         window = F.count(F.lit(1)).over(Window.partitionBy("k"))
         assert joined.withColumn("w", window).filter("n <> w").count() == 0

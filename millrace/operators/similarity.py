@@ -1,15 +1,14 @@
 """Exact cosine top-k: the k nearest vectors of each query vector.
 
-The vectors, the side that grows, are scanned once and never shuffled. Each task keeps the best k per
-query over all its batches, so what is shuffled is tasks x queries x k rows and not every pair. Query
-vectors travel with the task in blocks of bounded size; more queries mean more scans, not larger tasks.
+Queries are gathered into blocks of bounded size, as rows of a table: the driver sees none of them. Vectors
+are dealt in blocks too, and every pair of blocks is one row of work, so a task holds two blocks however
+many queries there are. Each pair gives its best k per query, which is all that is shuffled after it.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -17,7 +16,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.ranking import with_rank
+from millrace.session import materialize
 
 QUERY_BLOCK = 1024
 BATCH_ROWS = 2048
@@ -40,35 +39,57 @@ def _best(parts: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarra
     return np.take_along_axis(scores, order, axis=1), np.take_along_axis(ids, order, axis=1)
 
 
-def _search_block(
-    vectors: DataFrame, query_ids: list[int], queries: np.ndarray, vector_id: str, column: str, k: int
-) -> DataFrame:
-    """Each task's best k vectors for one block of queries."""
-    unit_queries = _unit(queries)
-    id_type = vectors.schema[vector_id].dataType.simpleString()
+def _blocks(rows: DataFrame, key: str, column: str, size: int, prefix: str) -> DataFrame:
+    """Rows of ids and vectors gathered into rows that hold up to ``size`` of them as lists."""
+    id_type = rows.schema[key].dataType.simpleString()
+
+    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for start in range(0, len(batch), size):
+                part = batch.iloc[start : start + size]
+                yield pd.DataFrame({f"{prefix}_ids": [part[key].tolist()], f"{prefix}_data": [_bytes(part[column])]})
+
+    present = rows.select(key, column).filter(F.col(column).isNotNull())
+    return present.mapInPandas(gather, f"{prefix}_ids array<{id_type}>, {prefix}_data binary")
+
+
+def pair_blocks(stored: DataFrame, asked: DataFrame, key: str) -> DataFrame:
+    """Every block of ``stored`` beside every block of the stated queries ``asked`` (a stored table).
+
+    Query blocks are dealt into as many slots as there are blocks, and the other blocks go to each slot: a
+    join on the slot, which Catalyst broadcasts only while the query blocks are small in bytes, and
+    whose large partitions adaptive execution splits otherwise.
+    """
+    slots = max(asked.count(), 1)
+    dealt = asked.withColumn("_slot", F.pmod(F.xxhash64(key), F.lit(slots)).cast("int"))
+    spread = stored.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+    return spread.join(dealt, "_slot").drop("_slot")
+
+
+def _bytes(vectors: pd.Series) -> bytes:
+    return np.stack(vectors.to_numpy()).astype("float64").tobytes()
+
+
+def _scan(k: int, vector_id: str, work: DataFrame, id_type: str) -> DataFrame:
+    """The best k of each pair of blocks."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = None
         for batch in batches:
-            for start in range(0, len(batch), BATCH_ROWS):
-                rows = batch.iloc[start : start + BATCH_ROWS]
-                matrix = _unit(np.stack(rows[column].to_numpy()).astype("float64"))
-                scores = np.round(unit_queries @ matrix.T, DIGITS)
-                ids = rows[vector_id].to_numpy()
-                ids = np.broadcast_to(ids.astype(str) if id_type == "string" else ids, scores.shape)
-                best = _best([(scores, ids)] if best is None else [best, (scores, ids)], k)
-        if best is not None:
-            scores, ids = best
-            yield pd.DataFrame(
-                {
-                    "query_id": np.repeat(query_ids, scores.shape[1]),
-                    vector_id: ids.ravel(),
-                    "similarity": scores.ravel(),
-                }
-            )
-
-    present = vectors.select(vector_id, column).filter(F.col(column).isNotNull())
-    return present.mapInPandas(scan, f"query_id long, {vector_id} {id_type}, similarity double")
+            for row in batch.itertuples(index=False):
+                asked = _unit(np.frombuffer(row.asked_data).reshape(len(row.asked_ids), -1))
+                stored = _unit(np.frombuffer(row.stored_data).reshape(len(row.stored_ids), -1))
+                ids = np.asarray(row.stored_ids, dtype=str if id_type == "string" else None)
+                scores = np.round(asked @ stored.T, DIGITS)
+                scores, ids = _best([(scores, np.broadcast_to(ids, scores.shape))], k)
+                yield pd.DataFrame(
+                    {
+                        "query_id": np.repeat(np.asarray(row.asked_ids), scores.shape[1]),
+                        vector_id: ids.ravel(),
+                        "similarity": scores.ravel(),
+                    }
+                )
+
+    return work.mapInPandas(scan, f"query_id long, {vector_id} {id_type}, similarity double")
 
 
 def top_k_similar(
@@ -83,41 +104,18 @@ def top_k_similar(
     """Rows ``(query_id, <vector_id>, similarity, position)`` with position 1 to k.
 
     Query ids are integers, vector ids integers or text. Similarities are rounded to nine digits;
-    equal ones are ordered by id. A zero vector has similarity 0 to everything. Blocks of queries are
-    numbered by rank, so any number of queries is searched completely.
+    equal ones are ordered by id. A zero vector has similarity 0 to everything. ``block`` bounds the
+    queries that a task holds at once.
     """
     wanted = queries.select(F.col(query_id).cast("long").alias("query_id"), F.col(column).alias("_query"))
-    wanted = wanted.filter(F.col("_query").isNotNull())
-    first = wanted.limit(block + 1).collect()
-    if len(first) <= block:
-        blocks = [first]
-    else:
-        ranked = with_rank(wanted, ["query_id"], "_rank")
-        last = ranked.agg(F.max("_rank")).first()[0]
-        blocks = (
-            ranked.filter(F.col("_rank").between(low, low + block - 1)).collect()
-            for low in range(1, last + 1, block)
-        )
-    found = [
-        _search_block(
-            vectors,
-            [row.query_id for row in rows],
-            np.array([row["_query"] for row in rows], dtype="float64"),
-            vector_id,
-            column,
-            k,
-        )
-        for rows in blocks
-        if rows
-    ]
-    if not found:
-        id_type = vectors.schema[vector_id].dataType.simpleString()
-        return vectors.sparkSession.createDataFrame(
-            [], f"query_id long, {vector_id} {id_type}, similarity double, position int"
-        )
+    # Stored: the queries are evaluated once, however many blocks of vectors meet them.
+    asked = materialize(_blocks(wanted, "query_id", "_query", block, "asked"), "queries")
+    stored = _blocks(vectors, vector_id, column, BATCH_ROWS, "stored")
+    id_type = vectors.schema[vector_id].dataType.simpleString()
+    found = _scan(k, vector_id, pair_blocks(stored, asked, "asked_ids"), id_type)
     order = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), F.col(vector_id))
-    merged = reduce(DataFrame.unionByName, found).withColumn("position", F.row_number().over(order))
-    return merged.filter(F.col("position") <= k)
+    ranked = found.withColumn("position", F.row_number().over(order))
+    return ranked.filter(F.col("position") <= k)
 
 
 def centroids(vectors: DataFrame, group: str, column: str = "embedding") -> DataFrame:

@@ -35,13 +35,12 @@ from millrace.plans.documents import (
     chunk_documents,
     evaluate_cases,
     evaluation_report,
-    fit_lexical,
     guard,
-    lexical_vectors,
     report_cases,
+    retrieve,
 )
 from millrace.registry import query, table
-from millrace.session import materialize, spread
+from millrace.session import spread
 
 
 
@@ -92,18 +91,62 @@ def topk(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("similarity", F.round("similarity", 6))
 
 
-@query("retrieve_chunks")
+@query(
+    "topk_similar_each",
+    """
+WITH s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]),
+         CAST(v.embedding AS DOUBLE[])), 9) AS similarity
+  FROM embeddings q CROSS JOIN embeddings v WHERE q.label = 3
+)
+SELECT query_id, vec_id, round(similarity, 6) AS similarity, CAST(row_number() OVER w AS INTEGER) AS position
+FROM s WINDOW w AS (PARTITION BY query_id ORDER BY similarity DESC, vec_id) QUALIFY row_number() OVER w <= 3
+""",
+)
+def topk_each(spark: SparkSession, sf: str) -> DataFrame:
+    """Every stored vector of one label as a query, in blocks of sixteen."""
+    vectors = table(spark, sf, "embeddings")
+    asked = vectors.filter("label = 3").select(F.col("vec_id").alias("query_id"), "embedding")
+    found = top_k_similar(asked, vectors, 3, block=16)
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
+TERMS = r"""
+SELECT {key} AS key, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % 1024 AS term, count(*) AS n
+FROM (SELECT {key}, unnest(list_filter(string_split_regex(lower({text}), '[ \t\r\n\f]+'), lambda x: x <> '')) AS w FROM {rows})
+GROUP BY 1, 2
+"""
+
+
+@query(
+    "retrieve_chunks",
+    f"""
+WITH pieces AS (SELECT doc_id || '-' || chunk_no AS chunk_id, chunk_text FROM ({CHUNKS})
+), c AS ({TERMS.format(key="chunk_id", text="chunk_text", rows="pieces")}
+), f AS (
+  SELECT term, ln(((SELECT count(DISTINCT key) FROM c) + 1.0) / (count(*) + 1.0)) AS idf FROM c GROUP BY 1
+), v AS (SELECT key, term, n * idf AS w FROM c JOIN f USING (term) WHERE idf > 0
+), vn AS (SELECT key, sqrt(sum(w * w)) AS len FROM v GROUP BY 1
+), q AS (
+  SELECT key, term, n * idf AS w FROM ({TERMS.format(key="item_id", text="text", rows="benchmark")}) JOIN f USING (term)
+  WHERE idf > 0
+), qn AS (SELECT key, sqrt(sum(w * w)) AS len FROM q GROUP BY 1
+), s AS (
+  SELECT q.key AS query_id, v.key AS chunk_id, round(sum(v.w / vn.len * q.w / qn.len), 9) AS similarity
+  FROM v JOIN q USING (term) JOIN vn ON vn.key = v.key JOIN qn ON qn.key = q.key GROUP BY 1, 2
+)
+SELECT CAST(query_id AS BIGINT) AS query_id, chunk_id, round(similarity, 6) AS similarity,
+       CAST(row_number() OVER w AS INTEGER) AS position
+FROM s WINDOW w AS (PARTITION BY query_id ORDER BY similarity DESC, chunk_id) QUALIFY row_number() OVER w <= 5
+""",
+)
 def retrieve_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """The five document chunks nearest to each benchmark text, by word weights."""
     pieces = chunk_documents(documents(spark, sf), "doc_id", "text").select(
         F.concat_ws("-", F.col("doc_id").cast("string"), F.col("chunk_no").cast("string")).alias("chunk_id"),
         "chunk_text",
     )
-    stored = materialize(pieces, "chunks")
-    model = fit_lexical(stored, "chunk_text")
-    questions = lexical_vectors(model, table(spark, sf, "benchmark"), "item_id", "text")
-    vectors = lexical_vectors(model, stored, "chunk_id", "chunk_text")
-    found = top_k_similar(questions, vectors, 5, query_id="item_id", vector_id="chunk_id")
+    found = retrieve(table(spark, sf, "benchmark"), pieces, 5)
     return found.withColumn("similarity", F.round("similarity", 6))
 
 

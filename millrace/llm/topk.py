@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import query, rows_to_table, table
+from millrace.operators.similarity import pair_blocks
+from millrace.session import materialize
 
 DEPTHS = (1 / 8, 1 / 4, 1 / 2)
 
@@ -152,7 +154,8 @@ def top_k_inner(
     asked = _blocks(whole(queries), query_rows, "query")
     stored = _blocks(whole(vectors), block_rows, "block")
     # Blocks against blocks: a stated set of queries meets all vectors.
-    work = stored.crossJoin(asked).repartition(F.xxhash64("block_ids", "query_ids"))
+    work = pair_blocks(materialize(stored, "blocks"), materialize(asked, "queries"), "query_ids")
+    work = work.hint("rebalance")
 
     def run(batches):
         for batch in batches:

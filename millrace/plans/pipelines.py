@@ -19,9 +19,10 @@ from millrace.operators.quality import (
     not_empty_test,
     unique_test,
 )
+from millrace.operators.ranking import with_rank
 from millrace.plans.complaints import build_fact, company_product_mart, ingest, product_month_mart, stage
 from millrace.plans.features import MIN_WINE_ROWS, gate_features, run_wine
-from millrace.plans.training import save_model, train_and_evaluate
+from millrace.plans.training import save_model, settings_used, train_and_evaluate
 from millrace.session import materialize
 from millrace.sources.landing import COMPLAINT_SPELLINGS, land_parquet, typed_view
 from millrace.sources.readers import apply_null_tokens, read_text_csv, split_malformed
@@ -53,7 +54,8 @@ def complaints_pipeline(
     Stops at the first broken gate. Returns the ingest manifest, the number of malformed lines and
     the version of the fact.
     """
-    good, malformed = split_malformed(read_text_csv(spark, csv_path))
+    # Stored, so that the lines are parsed once for the rows, the manifest and the count of bad ones.
+    good, malformed = split_malformed(materialize(read_text_csv(spark, csv_path), "lines"))
     manifest = ingest(apply_null_tokens(good), f"{root}/parquet")
 
     landed = materialize(land_parquet(spark, f"{root}/parquet", loaded_at), "landing")
@@ -87,10 +89,10 @@ def wine_pipeline(
     """CSV to feature table, row-count gate, model and metadata. Returns run and model metrics."""
     metrics = run_wine(spark, csv_path, f"{root}/features")
     features = gate_features(spark.read.parquet(f"{root}/features"), "wine", min_rows)
-    # Wines have no key of their own: equal rows are told apart by their number in an arbitrary but
-    # fixed order.
-    keyed = materialize(features.withColumn("row_id", F.monotonically_increasing_id()), "wines")
+    # Wines have no key of their own: their place in the order of all columns is one. Equal rows are
+    # alike whichever of them comes first, so files and cores do not change the split.
+    keyed = materialize(with_rank(features, features.columns, "row_id"), "wines")
     model, quality, report = train_and_evaluate(keyed, ["row_id"], **settings)
     write_report(report, f"{root}/classification_report")
-    save_model(spark, model, f"{root}/model", name, quality, settings)
+    save_model(spark, model, f"{root}/model", name, quality, settings_used(**settings))
     return {**metrics, **quality}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -18,7 +19,6 @@ from millrace.functions.rules import Rule, keep_valid
 from millrace.operators.encode import encode_categories
 from millrace.operators.sampling import stratified_split
 from millrace.session import materialize
-from millrace.sources.writers import write_metrics
 
 # Feature order, target, tier names, model settings, encoded and cast columns.
 WINE_FEATURES = [
@@ -39,6 +39,8 @@ WINE_TARGET = "quality"
 TIER_NAMES = {"low": "3-5", "medium": "6-7", "high": "8-9"}
 TIER_TREES, TIER_DEPTH, TIER_RATE = 200, 6, 0.1
 RANKER_ROUNDS, RANKER_DEPTH, RANKER_RATE = 131, 7, 0.1944
+PATIENCE = 10
+TEST_SHARE = 0.2
 SEED = 42
 CATEGORIES = ["user_id", "item_id", "event_type", "main_category", "price_bucket"]
 DOUBLES = ["rating", "price_raw"]
@@ -101,6 +103,17 @@ def train_tiers(
     return Pipeline(stages=[assembler, model]).fit(rows)
 
 
+def stopping_round(losses: Sequence[float], patience: int) -> int:
+    """The 1-based round before the first ``patience`` rounds that bring no improvement."""
+    best = 0
+    for k, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = k
+        elif k - best >= patience:
+            break
+    return best + 1
+
+
 def train_ranker(
     rows: DataFrame,
     features: Sequence[str],
@@ -110,18 +123,31 @@ def train_ranker(
     depth: int = RANKER_DEPTH,
     rate: float = RANKER_RATE,
     seed: int = SEED,
+    patience: int = PATIENCE,
 ) -> PipelineModel:
-    """Boosted binary ranker that stops once the validation rows stop improving."""
+    """Boosted binary ranker that stops after ``patience`` rounds without a better validation loss.
+
+    Models grow in stages of doubling length; a stage's loss after each round on the validation rows
+    tells where to stop. Trees of a seed do not depend on how many follow, so the last fit up to the
+    best round is the same model cut off there. Without validation rows all rounds are trained.
+    """
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    ranker = GBTClassifier(
-        labelCol=label,
-        validationIndicatorCol=validation,
-        maxIter=rounds,
-        maxDepth=depth,
-        stepSize=rate,
-        seed=seed,
-    )
-    return Pipeline(stages=[assembler, ranker]).fit(rows)
+    ready = materialize(assembler.transform(rows).select("features", F.col(label).cast("double").alias(label), validation), "ranker")
+    train, held = ready.filter(~F.col(validation)), ready.filter(validation)
+
+    def fit(number: int):
+        return GBTClassifier(labelCol=label, maxIter=number, maxDepth=depth, stepSize=rate, seed=seed).fit(train)
+
+    number = rounds if held.isEmpty() else min(rounds, 2 * patience)
+    model = fit(number)
+    while not held.isEmpty():
+        best = stopping_round(model.evaluateEachIteration(held), patience)
+        if best + patience <= number or number == rounds:
+            model = fit(best) if best < number else model
+            break
+        number = min(rounds, 2 * number)
+        model = fit(number)
+    return PipelineModel(stages=[assembler, model])
 
 
 def score(
@@ -227,6 +253,12 @@ def train_and_evaluate(
     return model, metrics, report
 
 
+def settings_used(**given: Any) -> dict[str, Any]:
+    """The settings a tier model is trained with: those given, and the defaults of the rest."""
+    defaults = {"trees": TIER_TREES, "depth": TIER_DEPTH, "rate": TIER_RATE, "boosted": False, "seed": SEED}
+    return defaults | {"test_share": TEST_SHARE} | given
+
+
 def save_model(
     spark: SparkSession,
     model: PipelineModel,
@@ -239,12 +271,14 @@ def save_model(
 ) -> None:
     """Model, and beside it a metadata document: name, features, target, tiers, metrics, settings."""
     model.write().overwrite().save(f"{path}/model")
+    # The document's keys.
     metadata = {
         "model_name": name,
         "feature_columns": list(features),
         "target_column": target,
-        "quality_tiers": [f"{tier}: {span}" for tier, span in TIER_NAMES.items()],
-        **{f"metric_{k}": float(v) for k, v in metrics.items()},
-        **{f"param_{k}": v for k, v in params.items()},
+        "quality_tiers": TIER_NAMES,
+        "metrics": dict(metrics),
+        "params": dict(params),
     }
-    write_metrics(spark, metadata, f"{path}/metadata")
+    document = spark.createDataFrame([(json.dumps(metadata),)], "value string")
+    document.write.mode("overwrite").text(f"{path}/metadata")

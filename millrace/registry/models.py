@@ -11,6 +11,7 @@ from millrace.operators.sampling import in_share, stratified_split
 from millrace.plans.drift import drift_report, drift_summary
 from millrace.plans.latency import latency_summary
 from millrace.plans.training import (
+    CATEGORIES,
     accuracy_and_macro_f1,
     classification_report,
     join_splits,
@@ -93,8 +94,7 @@ def document_measures(spark: SparkSession, sf: str) -> DataFrame:
 @query("classify_documents")
 def classify_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Three-class forest on text measures: predictions for the held-out documents."""
-    measured = materialize(document_measures(spark, sf), "measures")
-    rows = materialize(stratified_split(measured, "tier", ["doc_id"]), "tiers")
+    rows = materialize(stratified_split(document_measures(spark, sf), "tier", ["doc_id"]), "tiers")
     model = train_tiers(rows.filter("split = 'train'"), TEXT_FEATURES)
     scored = score(model, rows.filter("split = 'test'"), "1")
     return scored.select("doc_id", "tier", "prediction", "model_version")
@@ -102,12 +102,13 @@ def classify_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("ranker")
 def ranker(spark: SparkSession, sf: str) -> DataFrame:
-    """Boosted binary ranker on returned-or-not lines, a fifth of the orders held out for validation:
-    log-loss on both parts."""
-    rows = materialize(training_rows(spark, sf), "rows")
+    """Boosted binary ranker on returned-or-not lines and all their columns, a fifth of the orders held
+    out for validation: log-loss on both parts."""
+    rows = training_rows(spark, sf)
     held_out = in_share(["l_orderkey"], 0.2, 42)
     encoded = ranking_rows(rows.filter(~held_out), rows.filter(held_out), ["l_orderkey"])
-    features = ["rating", "price_raw", "has_brand", "main_category_idx", "price_bucket_idx"]
+    codes = [f"{c}_idx" for c in CATEGORIES if f"{c}_idx" in encoded.columns]
+    features = ["rating", "price_raw", "has_brand", *codes]
     stored = materialize(encoded, "ranking").fillna(0.0, ["rating", "price_raw"]).fillna(0, ["has_brand"])
     scored = score(train_ranker(stored, features), stored, "1")
     return scored.groupBy("is_validation").agg(

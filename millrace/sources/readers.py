@@ -84,7 +84,9 @@ def read_text_csv(spark: SparkSession, path: str, columns: Sequence[str] | None
     known = rf"(?s)^{field}(?:,{field}){{{len(names) - 1}}}"
     surplus = F.regexp_replace(F.col(_RAW), known, "")
     lost = F.col(_RAW).rlike(f"{known},") & (F.regexp_replace(surplus, r'[,\s"]', "") != "")
-    content = F.when(lost, surplus)
+    # Spark refuses to read the raw line alone; the first column's length, never negative, goes with it.
+    first = F.coalesce(F.length(F.col(f"`{names[0]}`")), F.lit(0)) >= 0
+    content = F.when(lost & first, surplus)
     return lines.select(*[F.col(f"`{name}`") for name in names], content.alias(_OVERFLOW))
 
 

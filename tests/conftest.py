@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )

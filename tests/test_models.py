@@ -31,6 +31,8 @@ from millrace.plans.training import (
     save_model,
     score,
     train_and_evaluate,
+    settings_used,
+    stopping_round,
     train_ranker,
     train_tiers,
 )
@@ -175,9 +177,10 @@ def test_tier_model(spark, wines, boosted, tmp_path):
     scored = score(model, wines.unionByName(bad), "7", request_rules())
     assert scored.count() == 240 and scored.first().model_version == "7"
     assert dict(scored.dtypes)["prediction"] == "int"
-    save_model(spark, model, str(tmp_path / "m"), "tiers", metrics, settings)
+    save_model(spark, model, str(tmp_path / "m"), "tiers", metrics, settings_used(**settings))
     stored = spark.read.json(str(tmp_path / "m" / "metadata")).first()
-    assert stored.feature_columns == WINE_FEATURES and stored.param_trees == 5
+    assert stored.feature_columns == WINE_FEATURES and stored.params.trees == 5 and stored.params.seed == 42
+    assert stored.params.test_share == 0.2 and stored.metrics.accuracy > 0.8 and stored.quality_tiers.low == "3-5"
 
 
 def test_missing_feature_is_an_error(wines):
@@ -198,6 +201,19 @@ def test_ranker(spark):
     assert accuracy_and_macro_f1(report).first().accuracy > 0.95
 
 
+def test_ranker_stops_after_rounds_without_gain(spark):
+    assert stopping_round([3, 2, 1], 2) == 3
+    assert stopping_round([3, 2, 2.5, 2.4, 1], 2) == 2
+    assert stopping_round([1], 5) == 1
+    rng = random.Random(4)
+    rows = [(float(rng.random()), rng.randrange(2), i % 4 == 0) for i in range(400)]
+    noise = spark.createDataFrame(rows, "x double, label int, is_validation boolean")
+    stopped = train_ranker(noise, ["x"], rounds=40, depth=3, patience=2)
+    assert stopped.stages[-1].getNumTrees < 40
+    whole = train_ranker(noise.withColumn("is_validation", F.lit(False)), ["x"], rounds=4, depth=3)
+    assert whole.stages[-1].getNumTrees == 4
+
+
 def test_ranking_metrics_by_hand(spark):
     recommended = spark.createDataFrame([("u", "a", 1), ("u", "b", 2), ("u", "c", 3), ("v", "a", 1)], "user string, item string, position int")
     relevant = spark.createDataFrame([("u", "a"), ("u", "c"), ("v", "z"), ("w", "a")], "user string, item string")

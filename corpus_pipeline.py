@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import hidden, restored
+from millrace.llm.common import hidden, importable, restored
 from millrace.llm.minhash import without_near_duplicates
 from millrace.llm.mixing import mix_copies
 from millrace.llm.packing import pack, vocabulary_path
@@ -28,6 +28,7 @@ from millrace.session import materialize
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The model learns from the labels of the documents at hand, and scores all of them."""
+    importable(spark)
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     rows, names = hidden(docs)
     return restored(toxicity(rows, model, rows.columns, names["text"]).filter("predicted = 0"), names)
@@ -71,6 +72,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name)

@@ -6,29 +6,50 @@ import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import wraps
+from pathlib import Path
 from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.session import materialize
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
+PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did.
+
+    Enough for one machine, and for clusters where it lies at the same place; else use ``--py-files``.
+    """
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if PACKAGE_ROOT not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *filter(None, known)])
+
+
 def query(name: str, sql: str | None = None):
     """Register a query of this subpackage, with its SQL if it has one."""
 
     def register(function):
-        QUERIES[name] = function
+        @wraps(function)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            importable(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql:
             SQL[name] = sql
-        return function
+        return run
 
     return register
 
@@ -153,3 +174,10 @@ def hidden(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
 def restored(rows: DataFrame, names: dict[str, str]) -> DataFrame:
     """The columns of ``hidden`` under their own names again."""
     return rows.select(*[F.col(new).alias(old) for old, new in names.items()])
+
+
+def stored_with(df: DataFrame, label: str, measures: dict[str, Column]) -> tuple[DataFrame, dict]:
+    """The frame stored, and aggregates of it observed while it was written: no second job for them."""
+    run = Observation()
+    observed = df.observe(run, *[value.alias(name) for name, value in measures.items()])
+    return materialize(observed, label), run.get

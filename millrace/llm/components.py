@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import materialize
+from millrace.llm.common import stored_with
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -27,21 +27,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node, root`` for every node with a link; ``root`` is the least node of its component.
+    """``node, root`` for every node with a link to another; ``root`` is the least node of its component.
 
     ``links``: columns ``a`` and ``b``. Minima are aggregated before the joins, so a hub with very many
-    links is one row per task. Each step is written out, and the loop ends when nothing changes.
+    links is one row per task. Each step is written out, with a digest of its edges taken on the way, and
+    the loop ends when that no longer changes.
     """
-    edges = materialize(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-
-    def state(frame):
-        sign = F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))
-        return tuple(frame.agg(F.count(F.lit(1)), sign).first())
-
-    before = state(edges)
-    while before[0]:
-        edges = materialize(_small_star(_large_star(edges)), "stars")
-        now = state(edges)
+    digest = {
+        "edges": F.count(F.lit(1)),
+        "sum": F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")),
+    }
+    ordered = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b")
+    edges, before = stored_with(ordered.distinct(), "links", digest)
+    while before["edges"]:
+        edges, now = stored_with(_small_star(_large_star(edges)), "stars", digest)
         if now == before:
             break
         before = now

@@ -1,12 +1,17 @@
 """Near-duplicate documents: many universal hash minima, banding, verification, components.
 
 Documents with equal shingle sets are one node. Each node has ``bands * rows`` minima; nodes that
-agree on all minima of a band share a bucket. A bucket of any size is worked off by leaders instead
-of pairs: in each round some leaders are compared with the other members, leaders are done, members
-that turned out to belong to the same component need no comparison, and a bucket whose members are
-all of one component is finished. The number of leaders doubles from round to round, so every two
-members of a bucket are compared unless a chain of links already connects them: no cap, and no link
-is lost. Compared pairs are first held against their signatures and then against their full sets.
+agree on all minima of a band share a bucket. Buckets are worked off by leaders instead of pairs: the
+most central member, the one with the most neighbours over all its buckets, is compared with the
+others, and members that turn out to belong to one component need no comparison with each other. This
+settles copies of a text, however many, by comparing each with the text they were copied from.
+
+The few nodes in buckets that are not settled are clustered by their rarest shingles, one of which any
+two similar sets must share; a passage that many documents hold is not rare and joins nobody. Each
+cluster is laid out in blocks ordered by component, and blocks meet block by block: a task holds two
+blocks, compares what may be similar and is not connected yet, and gives links only. No cap is set,
+no pairs are listed, and no link is lost. Every comparison first holds sizes, and one bit of each
+minimum, against each other.
 
 With 64 bands of 8 minima, two documents at similarity 0.8 share no bucket with probability 8e-6.
 
@@ -23,13 +28,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WordHash, hidden, mix, query, restored, rows_to_table, table, texts
+from millrace.llm.common import WordHash, hidden, mix, query, restored, rows_to_table, stored_with, table, texts
 from millrace.llm.components import components
+from millrace.operators.ranking import with_rank
 from millrace.session import materialize
 
 NO_ID = 1 << 62
 SEED = 20_240_601
-DEVIATIONS = 5.5  # of a signature's estimate, below the limit, at which a pair is given up
+DEVIATIONS = 4.5  # of a signature's disagreements, above those expected, at which a pair is given up
+BLOCK = 512  # nodes of a cluster that are compared at once
 
 
 def shingles(raw: bytes, hashes: WordHash, size: int = 2) -> np.ndarray:
@@ -62,6 +69,12 @@ class MinHasher:
                 np.minimum(low[h : h + 64], (a * folded[k : k + 1024] + b).min(axis=1), out=low[h : h + 64])
         return low.astype(np.uint8).tobytes()
 
+    @staticmethod
+    def bits(signature: bytes) -> list[int]:
+        """One bit of each minimum, as whole numbers of 64 bits."""
+        packed = np.packbits(np.frombuffer(signature, np.uint8) >> 7)
+        return np.pad(packed, (0, -len(packed) % 8)).view(np.int64).tolist()
+
     def buckets(self, signatures: np.ndarray) -> np.ndarray:
         """One 64-bit key per band for each row of a signature matrix."""
         wide = np.zeros((len(signatures), self.bands), np.uint64)
@@ -72,7 +85,7 @@ class MinHasher:
 
 
 def sketch(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """``_id, doc_id, n_shingles``, the digest of the set (``hi``, ``lo``) and its ``signature``."""
+    """``_id, doc_id, n_shingles``, the digest of the set (``hi``, ``lo``), its ``signature`` and ``bits``."""
 
     def run(batches):
         hashes, hasher = WordHash(), MinHasher(bands, rows)
@@ -93,10 +106,13 @@ def sketch(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                     "hi": np.array(high, np.uint64).view(np.int64),
                     "lo": np.array(low, np.uint64).view(np.int64),
                     "signature": pa.array(signatures, pa.binary()),
+                    "bits": pa.array([s and hasher.bits(s) for s in signatures], pa.list_(pa.int64())),
                 }
             )
 
-    return docs.mapInArrow(run, "_id long, doc_id long, n_shingles long, hi long, lo long, signature binary")
+    return docs.mapInArrow(
+        run, "_id long, doc_id long, n_shingles long, hi long, lo long, signature binary, bits array<long>"
+    )
 
 
 def bucket_rows(nodes: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -119,22 +135,18 @@ def bucket_rows(nodes: DataFrame, bands: int, rows: int) -> DataFrame:
     return nodes.mapInArrow(run, "bucket long, node long")
 
 
-def _agreeing(pairs: DataFrame, nodes: DataFrame, limit: float) -> DataFrame:
-    """Pairs whose signatures do not rule the similarity out."""
-    left = nodes.select(F.col("node").alias("a"), F.col("signature").alias("_left"))
-    right = nodes.select(F.col("node").alias("b"), F.col("signature").alias("_right"))
-
-    def run(batches):
-        for batch in batches:
-            x = np.frombuffer(b"".join(batch.column("_left").to_pylist()), np.uint8)
-            y = np.frombuffer(b"".join(batch.column("_right").to_pylist()), np.uint8)
-            width = len(x) // max(batch.num_rows, 1)
-            share = (x == y).reshape(batch.num_rows, -1).mean(axis=1) if batch.num_rows else np.empty(0)
-            slack = DEVIATIONS * (limit * (1 - limit) / max(width, 1)) ** 0.5
-            mask = pa.array(share >= limit - slack)
-            yield batch.select(["a", "b"]).filter(mask)
+def _plausible(width: int, percent: int) -> Column:
+    """True unless sizes or signatures of ``member`` and ``leader`` rule the similarity out.
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "_left", "_right").mapInArrow(run, "a long, b long")
+    Minima differ with probability ``1 - similarity``, and then half of their bits do.
+    """
+    n, m = F.col("n_shingles"), F.col("_leader_shingles")
+    sizes = 100 * F.least(n, m) >= percent * F.greatest(n, m)
+    differ = F.lit(0)
+    for i in range(-(-width // 64)):
+        differ = differ + F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("_leader_bits")[i]))
+    share = (1 - percent / 100) / 2
+    return sizes & (differ <= int(width * share + DEVIATIONS * (width * share * (1 - share)) ** 0.5))
 
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -168,12 +180,106 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "_left", "_right").mapInArrow(run, "a long, b long")
 
 
-def _leaders(members: DataFrame, number: int) -> DataFrame:
-    """The first ``number`` members of each bucket: one minimum, or ranks of which each task keeps few."""
-    if number == 1:
-        return members.groupBy("bucket").agg(F.min("node").alias("leader"))
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-    return members.withColumn("_rank", rank).filter(F.col("_rank") <= number).select("bucket", F.col("node").alias("leader"))
+def _leaders(members: DataFrame) -> DataFrame:
+    """The most central member of each bucket."""
+    columns = {"node": "leader", "n_shingles": "_leader_shingles", "bits": "_leader_bits"}
+    first = F.max(F.struct("degree", (-F.col("node")).alias("_at"), *columns)).alias("_first")
+    led = members.groupBy("bucket").agg(first).select("bucket", *[F.col(f"_first.{c}") for c in columns])
+    return led.withColumnsRenamed(columns)
+
+
+def rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """``bucket, node``: each node under its rarest shingles.
+
+    Of sets that are similar enough, the ``n - ceil(percent * n) + 1`` rarest shingles of each have one in
+    common, in any order of rarity that holds for all. Shingles of one node alone are left out.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for node, members in zip(batch.column("node").to_pylist(), batch.column("members"), strict=True):
+                found = np.frombuffer(members.as_buffer(), np.int64)
+                yield rows_to_table({"shingle": found, "node": np.full(len(found), node), "n": np.full(len(found), len(found))})
+
+    rows = sets.mapInArrow(run, "shingle long, node long, n long")
+    frequent = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("_held"))
+    placed = rows.join(frequent, "shingle")
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("_held", "shingle"))
+    prefix = placed.withColumn("_rank", rank)
+    keep = F.col("_rank") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    return prefix.filter(keep & (F.col("_held") > 1)).select(F.col("shingle").alias("bucket"), "node")
+
+
+def _compare_blocks(work: DataFrame, percent: int, width: int) -> DataFrame:
+    """Links between the two blocks of each row; ``x`` and ``y`` are arrays of node structs."""
+    share = (1 - percent / 100) / 2
+    most = int(width * share + DEVIATIONS * (width * share * (1 - share)) ** 0.5)
+
+    def block(items):
+        columns = {f: np.array([i[f] for i in items], np.int64) for f in ("node", "root", "cluster", "n_shingles")}
+        bits = np.array([i["bits"] for i in items], np.int64).view(np.uint64).reshape(len(items), -1)
+        return columns, bits, [np.frombuffer(i["members"], np.uint64) for i in items]
+
+    def links(row):
+        (x, x_bits, x_sets), (y, y_bits, y_sets) = block(row["x"]), block(row["y"])
+        n, m = x["n_shingles"][:, None], y["n_shingles"][None, :]
+        may = (x["cluster"][:, None] == y["cluster"]) & (x["root"][:, None] != y["root"])
+        may &= 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+        if row["bx"] == row["by"]:
+            may &= np.tri(len(x_sets), k=-1, dtype=bool)
+        joined: dict[int, int] = {}
+
+        def root(r):
+            while r in joined:
+                r = joined[r]
+            return r
+
+        for i in np.flatnonzero(may.any(axis=1)):
+            differ = np.bitwise_count(y_bits ^ x_bits[i]).sum(axis=1)
+            for j in np.flatnonzero(may[i] & (differ <= most)):
+                r, q = root(int(x["root"][i])), root(int(y["root"][j]))
+                if r == q:
+                    continue
+                both = len(np.intersect1d(x_sets[i], y_sets[j], assume_unique=True))
+                if 100 * both >= percent * (len(x_sets[i]) + len(y_sets[j]) - both):
+                    joined[r] = q
+                    yield int(x["node"][i]), int(y["node"][j])
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                found = [p for row in batch.slice(k, 1).to_pylist() for p in links(row)]
+                if found:
+                    a, b = zip(*found, strict=True)
+                    yield rows_to_table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return work.mapInArrow(run, "a long, b long")
+
+
+def _within_clusters(nodes: DataFrame, sets: DataFrame, percent: int, width: int) -> DataFrame:
+    """Links among unsettled nodes (``node, root, n_shingles, bits``), cluster by cluster."""
+    rare = materialize(rare_shingles(sets.join(nodes.select("node"), "node", "left_semi"), percent), "rare")
+    first = rare.groupBy("bucket").agg(F.min("node").alias("b"))
+    together = rare.join(first, "bucket").select(F.col("node").alias("a"), "b").filter("a != b").distinct()
+    clusters = components(together).withColumnRenamed("root", "cluster")
+    members = nodes.join(clusters, "node").select("cluster", "root", "node", "n_shingles", "bits")
+    ranked = with_rank(materialize(members, "clustered"), ["cluster", "root", "node"], "_rank")
+    placed = materialize(ranked.withColumn("block", F.floor((F.col("_rank") - 1) / BLOCK)), "placed")
+    # Blocks of a cluster follow each other, so a cluster's pairs of blocks are those of a range.
+    spans = placed.groupBy("cluster").agg(F.min("block").alias("low"), F.max("block").alias("high"))
+    left = spans.select("high", F.explode(F.sequence("low", "high")).alias("bx"))
+    pairs = left.select("bx", F.explode(F.sequence("bx", "high")).alias("by")).distinct()
+    settled = placed.groupBy("block").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
+    for side in ("bx", "by"):
+        one = settled.select(F.col("block").alias(side), F.when(F.col("_low") == F.col("_high"), F.col("_low")).alias(f"_{side}"))
+        pairs = pairs.join(one, side)
+    pairs = pairs.filter(F.coalesce(F.col("_bx") != F.col("_by"), F.lit(True))).select("bx", "by")
+    item = F.struct("node", "root", "cluster", "n_shingles", "bits", "members")
+    blocks = placed.join(sets, "node").groupBy("block").agg(F.collect_list(item).alias("items"))
+    blocks = materialize(blocks, "blocks")
+    work = pairs.join(blocks.select(F.col("block").alias("bx"), F.col("items").alias("x")), "bx")
+    work = work.join(blocks.select(F.col("block").alias("by"), F.col("items").alias("y")), "by")
+    return _compare_blocks(work, percent, width)
 
 
 def internal_id(doc_id: str, text: str) -> Column:
@@ -188,41 +294,38 @@ def near_duplicate_roots(named: DataFrame, size: int, percent: int, bands: int,
     """
     sketched = materialize(sketch(named, size, bands, rows), "sketch")
     filled = sketched.filter("n_shingles > 0")
-    nodes = materialize(
-        filled.groupBy("hi", "lo").agg(F.min("_id").alias("node"), F.first("signature").alias("signature")), "nodes"
-    )
+    firsts = [F.first(c).alias(c) for c in ("n_shingles", "signature", "bits")]
+    nodes = materialize(filled.groupBy("hi", "lo").agg(F.min("_id").alias("node"), *firsts), "nodes")
     bucketed = bucket_rows(nodes, bands, rows)
-    shared = bucketed.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("bucket")
-    members = materialize(bucketed.join(shared, "bucket", "left_semi").distinct(), "buckets")
-    candidates = members.select(F.col("node").alias("_id")).distinct()
-    sets = materialize(shingle_sets(named.join(candidates, "_id", "left_semi").dropDuplicates(["_id"]), size), "sets")
-    signed = materialize(nodes.join(candidates.withColumnRenamed("_id", "node"), "node", "left_semi"), "signed")
-
-    links = roots = tested = None
-    number = 1
-    while True:
-        leaders = materialize(_leaders(members, number), "leaders")
-        pairs = members.join(leaders, "bucket").filter("node != leader")
-        pairs = pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-        if roots is not None:
-            left = roots.select(F.col("node").alias("a"), F.col("root").alias("_ra"))
-            right = roots.select(F.col("node").alias("b"), F.col("root").alias("_rb"))
-            pairs = pairs.join(left, "a", "left").join(right, "b", "left")
-            apart = F.coalesce("_ra", "a") != F.coalesce("_rb", "b")
-            pairs = pairs.filter(apart).select("a", "b").join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        found = materialize(_linked(_agreeing(pairs, signed, percent / 100), sets, percent), "links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        roots = components(links)
-        rest = members.join(leaders.withColumnRenamed("leader", "node"), ["bucket", "node"], "left_anti")
-        marked = rest.join(roots, "node", "left").withColumn("_root", F.coalesce("root", "node")).select("bucket", "node", "_root")
-        mixed = marked.groupBy("bucket").agg(F.min("_root").alias("_low"), F.max("_root").alias("_high"))
-        mixed = mixed.filter("_low != _high").select("bucket")
-        members = materialize(marked.select("bucket", "node").join(mixed, "bucket", "left_semi"), "buckets")
-        if members.isEmpty():
-            break
-        number *= 2
+    shared = bucketed.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    placed = materialize(bucketed.join(shared, "bucket").distinct(), "buckets")
+    degrees = placed.groupBy("node").agg(F.sum("_n").alias("degree"))
+    candidates = materialize(
+        nodes.select("node", "n_shingles", "bits").join(degrees, "node").dropDuplicates(["node"]), "candidates"
+    )
+    members = materialize(placed.select("bucket", "node").join(candidates, "node"), "members")
+    wanted = candidates.select(F.col("node").alias("_id"))
+    sets = materialize(shingle_sets(named.join(wanted, "_id", "left_semi").dropDuplicates(["_id"]), size), "sets")
+
+    leaders = materialize(_leaders(members), "leaders")
+    facing = members.join(
+        leaders,
+        (members["bucket"] == leaders["bucket"]) & (F.col("node") != F.col("leader")) & _plausible(bands * rows, percent),
+    )
+    pairs = facing.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    found = materialize(_linked(pairs, sets, percent), "links")
+    roots = components(found)
+    rest = members.join(leaders.select("bucket", F.col("leader").alias("node")), ["bucket", "node"], "left_anti")
+    marked = rest.select("bucket", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = marked.groupBy("bucket").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
+    mixed = mixed.filter("_low != _high").select("bucket")
+    unsettled = marked.join(mixed, "bucket", "left_semi").select("node", "root").distinct().join(
+        candidates.drop("degree"), "node"
+    )
+    unsettled, number = stored_with(unsettled, "unsettled", {"rows": F.count(F.lit(1))})
+    if number["rows"]:
+        more = _within_clusters(unsettled, sets, percent, bands * rows)
+        roots = components(more.unionByName(roots.toDF("a", "b")))
 
     rooted = nodes.join(roots, "node", "left").select("hi", "lo", F.coalesce("root", "node").alias("_root"))
     labelled = sketched.join(rooted, ["hi", "lo"], "left")

@@ -5,7 +5,6 @@ import random
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from millrace.llm import minhash
 from millrace.llm.components import components
@@ -69,6 +68,18 @@ def test_against_brute_force(spark, size):
     assert run(spark, rows, size) == brute(rows, size)
 
 
+def test_group_at_the_edge_of_similarity(spark):
+    """Copies of which many are just too different from each other and from their source; small blocks."""
+    draw = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(mutate(draw, base, draw.choice([0.02, 0.06, 0.09, 0.12])))) for i in range(150)]
+    minhash.BLOCK, old = 16, minhash.BLOCK
+    try:
+        assert run(spark, rows, 2) == brute(rows, 2)
+    finally:
+        minhash.BLOCK = old
+
+
 def test_many_near_copies_need_few_pairs(spark):
     """A group of near copies is worked off by leaders, not by pairs."""
     draw = random.Random(1)
@@ -103,7 +114,13 @@ def test_components_of_paths_and_hubs(spark):
     assert got == want
 
 
-def test_leaders_of_a_round(spark):
-    frame = spark.createDataFrame([(1, n) for n in range(10)] + [(2, 5)], "bucket long, node long")
-    assert {tuple(r) for r in minhash._leaders(frame, 2).collect()} == {(1, 0), (1, 1), (2, 5)}
-    assert minhash._leaders(frame, 1).agg(F.count("*")).first()[0] == 2
+def test_most_central_members_lead(spark):
+    rows = [(1, n, 5, [0], n % 4) for n in range(10)] + [(2, 5, 5, [0], 1)]
+    frame = spark.createDataFrame(rows, "bucket long, node long, n_shingles long, bits array<long>, degree long")
+    assert {(r["bucket"], r["leader"]) for r in minhash._leaders(frame).collect()} == {(1, 3), (2, 5)}
+
+
+def test_bits_of_signatures():
+    hasher = minhash.MinHasher(4, 5)
+    signature = hasher.signature(minhash.shingles(b"a b c d", minhash.WordHash()))
+    assert len(signature) == 20 and len(hasher.bits(signature)) == 1

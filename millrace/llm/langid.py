@@ -14,6 +14,7 @@ Repeated rows are scored alike.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,8 @@ from millrace.llm.common import fold, query, rows_to_table, share_below, table
 
 LETTER = regex.compile(r"\p{L}")
 PIECE = 24
-CACHE_WORDS = 150_000
+CACHE_WORDS = 600_000
+TEXT_BYTES = 1 << 21  # of texts taken together
 PAD = 256
 MIN_STEPS = 150
 
@@ -121,11 +123,12 @@ def position_logs(network: Network, codes: np.ndarray, lengths: np.ndarray, keep
 
 
 def _codes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    lengths = np.array([len(w) for w in words])
-    codes = np.full((len(words), max(lengths.max(), 1)), PAD)
-    for i, w in enumerate(words):
-        codes[i, : len(w)] = np.frombuffer(w, np.uint8)
-    return codes.T.copy(), lengths
+    """Bytes of words, ``steps x words``, padded behind their ends, and their lengths."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    width = max(int(lengths.max()), 1)
+    codes = np.frombuffer(b"".join([w.ljust(width, b"\0") for w in words]), np.uint8).reshape(-1, width).T.astype(np.int64)
+    codes[np.arange(width)[:, None] >= lengths] = PAD
+    return codes, lengths
 
 
 def train(words: list[bytes], labels: list[int], languages: list[str], hidden: int, epochs: int, seed: int = 7) -> Network:
@@ -162,42 +165,48 @@ def train(words: list[bytes], labels: list[int], languages: list[str], hidden: i
     return network
 
 
-class WordLogs(dict):
-    """Summed log probabilities of each word's positions, computed in groups of equal length."""
+class WordLogs:
+    """Summed log probabilities of the positions of words, remembered while a word keeps coming.
+
+    Texts are taken together, so that the network reads many new words at once, in groups of like length.
+    When the table is full, the words of the texts at hand stay and the others go.
+    """
 
     def __init__(self, network: Network):
-        super().__init__()
         self.network = network
-
-    def add(self, words: list[bytes]) -> None:
-        if len(self) + len(words) > CACHE_WORDS:
-            self.clear()
-        words = sorted(words, key=len)
-        for start in range(0, len(words), 4096):
-            part = words[start : start + 4096]
-            pieces = [(i, w[k : k + PIECE]) for i, w in enumerate(part) for k in range(0, len(w), PIECE)]
-            sums = np.zeros((len(part), len(self.network.languages)), np.float32)
-            for first in range(0, len(pieces), 8192):
-                group = pieces[first : first + 8192]
-                codes, lengths = _codes([p for _, p in group])
-                logs = position_logs(self.network, codes, lengths)
-                logs[np.arange(codes.shape[0])[:, None] >= lengths] = 0
-                np.add.at(sums, [i for i, _ in group], logs.sum(0))
-            for word, row in zip(part, sums, strict=True):
-                self[word] = row
-
-    def document(self, raw: bytes) -> np.ndarray:
-        words = raw.split()
-        if missing := [w for w in dict.fromkeys(words) if w not in self]:
-            for start in range(0, len(missing), CACHE_WORDS // 2):
-                self.add(missing[start : start + CACHE_WORDS // 2])
-        total = np.zeros(len(self.network.languages), np.float64)
-        for start in range(0, len(words), 4096):
-            part = words[start : start + 4096]
-            if again := [w for w in dict.fromkeys(part) if w not in self]:
-                self.add(again)
-            total += np.sum(list(map(self.__getitem__, part)), axis=0, dtype=np.float64)
-        return total
+        self.place: dict[bytes, int] = {}
+        self.table = np.zeros((0, len(network.languages)), np.float32)
+
+    def _read(self, words: list[bytes]) -> np.ndarray:
+        """Sums for new words. Words longer than a piece are read piece by piece."""
+        sums = np.zeros((len(words), len(self.network.languages)), np.float32)
+        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        pieces = [(i, words[i][k : k + PIECE]) for i in order for k in range(0, len(words[i]), PIECE)]
+        for start in range(0, len(pieces), 4096):
+            group = pieces[start : start + 4096]
+            codes, lengths = _codes([p for _, p in group])
+            logs = position_logs(self.network, codes, lengths)
+            logs[np.arange(codes.shape[0])[:, None] >= lengths] = 0
+            np.add.at(sums, [i for i, _ in group], logs.sum(0))
+        return sums
+
+    def documents(self, raws: list[bytes]) -> np.ndarray:
+        """Pooled log probabilities, ``texts x languages``."""
+        split = [raw.split() for raw in raws]
+        words = list(chain.from_iterable(split))
+        distinct = dict.fromkeys(words)
+        new = [w for w in distinct if w not in self.place]
+        if len(self.place) + len(new) > CACHE_WORDS:
+            kept = [w for w in distinct if w in self.place]
+            self.table = self.table[[self.place[w] for w in kept]]
+            self.place = {w: i for i, w in enumerate(kept)}
+        if new:
+            self.place.update(zip(new, range(len(self.table), len(self.table) + len(new)), strict=True))
+            self.table = np.concatenate([self.table, self._read(new)])
+        found = self.table[np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))].astype(np.float64)
+        ends = np.cumsum([len(s) for s in split])
+        running = np.concatenate([np.zeros((1, found.shape[1])), np.cumsum(found, axis=0)])
+        return running[ends] - running[np.concatenate([[0], ends[:-1]])]
 
 
 def fit(
@@ -242,23 +251,32 @@ def identify(docs: DataFrame, network: Network, keep: list[str], text: str = "te
     def run(batches):
         known = WordLogs(network)
         for batch in batches:
-            names, scores = [], []
-            for raw in batch.column("_text").cast(pa.binary()).to_pylist():
-                name, score = "und", 0.0
-                if raw and network.languages and LETTER.search(raw.decode("utf-8", "replace")):
-                    if len(network.languages) == 1:
-                        name, score = network.languages[0], 1.0
-                    else:
-                        logs = known.document(raw)
-                        best = int(logs.argmax())
-                        # Positions of a word are not independent: pooled evidence is tempered.
-                        name = network.languages[best]
-                        score = float(1 / np.exp((logs - logs[best]) / len(raw) ** 0.5).sum())
-                names.append(name)
-                scores.append(score)
+            names, scores, held, size = [], [], [], 0
+            raws = batch.column("_text").cast(pa.binary()).to_pylist()
+            for k, raw in enumerate(raws, 1):
+                held.append(raw or b"")
+                size += len(held[-1])
+                if size >= TEXT_BYTES or k == len(raws):
+                    for name, score in answers(known, held):
+                        names.append(name)
+                        scores.append(score)
+                    held, size = [], 0
             out = {n: batch.column(n) for n in keep}
             yield rows_to_table(out | {"lang_pred": pa.array(names, pa.string()), "score": pa.array(scores, pa.float64())})
 
+    def answers(known: WordLogs, raws: list[bytes]):
+        pooled = known.documents(raws) if len(network.languages) > 1 else None
+        for i, raw in enumerate(raws):
+            if not network.languages or not LETTER.search(raw.decode("utf-8", "replace")):
+                yield "und", 0.0
+            elif pooled is None:
+                yield network.languages[0], 1.0
+            else:
+                logs = pooled[i]
+                best = int(logs.argmax())
+                # Positions of a word are not independent: pooled evidence is tempered.
+                yield network.languages[best], float(1 / np.exp((logs - logs[best]) / len(raw) ** 0.5).sum())
+
     return shape.mapInArrow(run, ", ".join([*[f"`{n}` {kinds[n]}" for n in keep], "lang_pred string", "score double"]))
 
 

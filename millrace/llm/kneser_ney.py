@@ -30,6 +30,7 @@ from millrace.session import materialize, new_path
 END = np.uint64(0xE4D0E4D0E4D0E4D1)  # the hash of the end token; words have hashes of their bytes
 SHARD_ROWS = 500_000
 MIN_SHARDS = 64
+BATCH_TOKENS = 4_000_000  # counted at once: about 250 MB in a worker
 
 
 def token_pairs(raw: bytes, hashes: WordHash) -> tuple[np.ndarray, np.ndarray]:
@@ -70,7 +71,7 @@ def bigram_counts(docs: DataFrame, text: str) -> DataFrame:
                 before.append(b)
                 tokens.append(t)
                 held += len(t)
-                if held >= 2_000_000:
+                if held >= BATCH_TOKENS:
                     yield rows(before, tokens)
                     before, tokens, held = [], [], 0
             if tokens:

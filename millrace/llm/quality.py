@@ -2,7 +2,8 @@
 
 Each text gets counts and a vector of transformed statistics. Per language and source the location
 and scatter of most vectors are estimated by the minimum covariance determinant; a text far from
-them by Mahalanobis distance is rejected, and so is one that fails the base rules.
+them by Mahalanobis distance is rejected, and so is one that fails the base rules. How far is too
+far follows from the distances of the group itself.
 
 Null and empty texts have no words: they fail the base rules and take no part in the estimates.
 Null languages and sources are groups of their own. A group whose scatter is singular is
@@ -13,6 +14,7 @@ texts of its language, and below that the one of all texts.
 from __future__ import annotations
 
 from collections import Counter
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,7 @@ from millrace.session import materialize
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 STATS = ("s0", "s1", "s2", "s3", "s4", "s5")
 SYMBOLS = b"#*$%&|<>"
+QUARTILE = NormalDist().inv_cdf(0.75)
 UPPER = regex.compile(r"\p{Lu}")
 
 
@@ -141,13 +144,26 @@ def _distance() -> Column:
     return total
 
 
+def chi_squared(p: float, d: int = len(STATS)) -> float:
+    """Quantile of the chi-squared law, as Wilson and Hilferty approximate it."""
+    return d * (1 - 2 / (9 * d) + NormalDist().inv_cdf(p) * (2 / (9 * d)) ** 0.5) ** 3
+
+
+def cutoff(tail: float) -> Column:
+    """The scaled distance that a share ``tail`` of ordinary texts exceeds, by ``spread``."""
+    reach = F.lit(chi_squared(0.5)) * F.exp(NormalDist().inv_cdf(1 - tail) * F.col("spread"))
+    return F.greatest(F.lit(chi_squared(0.975)), reach)
+
+
 def mcd(rows: DataFrame, groups: list[str], share: float = 0.75, steps: int = 3, ridge: float = 1e-2) -> DataFrame:
     """Centre and precision per group by concentration steps, and the scale of its distances.
 
     The start is the coordinate-wise median and spread. Each step keeps the ``share`` of rows nearest
     to the estimate and estimates again from their moments, which never enlarges the determinant.
     Quantiles come from mergeable sketches and moments from sums, so a hot group is one row per task.
-    ``scale`` makes the median distance that of a chi-squared variable.
+    ``scale`` makes the median distance that of a chi-squared variable. ``spread`` is the standard
+    deviation of the logarithm of the distances, from their median and upper quartile: junk of up to
+    a quarter of the group does not move it.
     """
     spread = [F.expr(f"percentile_approx({c}, array(0.25, 0.5, 0.75), 2000)").alias(f"q{i}") for i, c in enumerate(STATS)]
     d = len(STATS)
@@ -169,11 +185,12 @@ def mcd(rows: DataFrame, groups: list[str], share: float = 0.75, steps: int = 3,
     model = materialize(model, "mcd")
     placed = null_safe(rows, model, groups, "inner").withColumn("_d2", _distance())
     middle = placed.groupBy(*groups).agg(
-        F.percentile_approx("_d2", 0.5, 2000).alias("_middle"), F.count(F.lit(1)).alias("members")
+        F.percentile_approx("_d2", [0.5, 0.75], 2000).alias("_middle"), F.count(F.lit(1)).alias("members")
     )
-    typical = d * (1 - 2 / (9 * d)) ** 3
     scaled = null_safe(model.drop("n"), middle, groups, "inner")
-    return materialize(scaled.withColumn("scale", F.lit(typical) / (F.col("_middle") + 1e-9)).drop("_middle"), "mcd")
+    half, upper = F.col("_middle")[0] + 1e-9, F.col("_middle")[1] + 1e-9
+    scaled = scaled.withColumns({"scale": F.lit(chi_squared(0.5)) / half, "spread": F.log(upper / half) / QUARTILE})
+    return materialize(scaled.drop("_middle"), "mcd")
 
 
 def quality_verdicts(
@@ -181,14 +198,16 @@ def quality_verdicts(
     text: str = "text",
     groups: tuple[str, str] = ("lang", "source"),
     keep: tuple[str, ...] = (),
-    cutoff: float = 2500.0,
+    tail: float = 1e-3,
     min_group: int = 100,
     min_words: int = 50,
 ) -> DataFrame:
     """Counts, statistics, ``distance`` and verdicts per document.
 
-    ``cutoff`` bounds the scaled squared distance. It lies far outside the chi-squared law, because
-    most ordinary texts repeat nothing at all: one repeated line is already many deviations away.
+    Most ordinary texts repeat nothing at all, so one repeated line is already many deviations away and
+    distances have a longer tail than the chi-squared law. Each group's bound is therefore that of a
+    log-normal law through its median and upper quartile: a share ``tail`` of ordinary texts lies
+    beyond it. It is never less than the chi-squared law's 97.5 % point.
     """
     names = list(groups)
     carried = [c for c in keep if c not in names]
@@ -199,7 +218,8 @@ def quality_verdicts(
     wider = mcd(valid.withColumn("_all", F.lit(1)).select("_all", *STATS), ["_all"], steps=1)
     joined = null_safe(rows, model, names, "left")
     fallback = wider.select(
-        "_all", F.col("centre").alias("_centre"), F.col("precision").alias("_precision"), F.col("scale").alias("_scale")
+        "_all", F.col("centre").alias("_centre"), F.col("precision").alias("_precision"), F.col("scale").alias("_scale"),
+        F.col("spread").alias("_spread"),
     )
     # One row: the estimate over all texts.
     joined = joined.join(F.broadcast(fallback), F.lit(1) == F.col("_all"), "left").drop("_all")
@@ -209,11 +229,12 @@ def quality_verdicts(
             "centre": F.when(own, F.col("centre")).otherwise(F.col("_centre")),
             "precision": F.when(own, F.col("precision")).otherwise(F.col("_precision")),
             "scale": F.when(own, F.col("scale")).otherwise(F.col("_scale")),
+            "spread": F.when(own, F.col("spread")).otherwise(F.col("_spread")),
         }
     )
     distance = F.when(F.col("n_words") > 0, _distance() * F.col("scale"))
     scored = joined.withColumn("distance", distance)
-    kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))
+    kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff(tail), F.lit(True))
     return scored.withColumn("kept", kept).select(*names, *carried, *COUNTS, "distance", "base_failed", "kept")
 
 

@@ -108,6 +108,31 @@ def test_quality_odd_rows(spark):
     assert not any(kept[i] for i in range(1000, 1006))
 
 
+def prose(draw, alphabet, n=200, capital=0.1):
+    """Clean lines of invented words; now and then one line stands twice."""
+    words = ["".join(draw.choices(alphabet, k=draw.randint(3, 8))) for _ in range(2 * n)]
+    words = [w.capitalize() if draw.random() < capital else w for w in draw.choices(words, k=n)]
+    lines = [" ".join(words[i : i + 8]) for i in range(0, n, 8)]
+    return "\n".join(lines + lines[:1] * (draw.random() < 0.1))
+
+
+def test_quality_cutoff_follows_the_group(spark):
+    draw = random.Random(8)
+    rows = [(i, prose(draw, "etaoinshrdlu", draw.randint(150, 400)), "en", "s") for i in range(400)]
+    tokens = prose(draw, "etaoinshrdlu", 300, 0).split()
+    junk = {
+        1000: " ".join(w + "#" * (j % 10 == 0) for j, w in enumerate(tokens)),
+        1001: " ".join(w.capitalize() if j % 2 else w for j, w in enumerate(tokens)),
+        1002: " ".join(w.capitalize() if j % 5 else w for j, w in enumerate(tokens)),
+    }
+    rows += [(i, text, "en", "s") for i, text in junk.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in quality.quality_verdicts(docs, keep=("doc_id",)).collect()}
+    assert not any(got[i]["kept"] or got[i]["base_failed"] for i in junk)
+    assert all(got[i]["distance"] < 2500 for i in junk)  # a fixed bound of 2500 kept them all
+    assert sum(got[i]["kept"] for i in range(400)) >= 392
+
+
 def test_quality_empty(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert quality.quality_verdicts(empty, keep=("doc_id",)).count() == 0

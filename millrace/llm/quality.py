@@ -7,8 +7,10 @@ far follows from the distances of the group itself.
 
 Null and empty texts have no words: they fail the base rules and take no part in the estimates.
 Null languages and sources are groups of their own. A group whose scatter is singular is
-regularised by ``ridge``; a group with fewer than ``min_group`` texts uses the estimate of all
-texts of its language, and below that the one of all texts.
+regularised by ``ridge``; a group with fewer than ``min_own`` texts uses the estimate of all texts
+of its language, and a language below that the one of all texts. How widely distances spread is
+harder to tell from few texts: a group's figure is drawn towards its language's, by as much as
+``min_group`` texts weigh.
 """
 
 from __future__ import annotations
@@ -200,6 +202,7 @@ def quality_verdicts(
     keep: tuple[str, ...] = (),
     tail: float = 1e-3,
     min_group: int = 100,
+    min_own: int = 5 * len(STATS),
     min_words: int = 50,
 ) -> DataFrame:
     """Counts, statistics, ``distance`` and verdicts per document.
@@ -215,21 +218,22 @@ def quality_verdicts(
     rows = stored.withColumn("base_failed", base_failed(min_words))
     valid = rows.filter("NOT base_failed").select(*names, *STATS)
     model = mcd(valid, names)
-    wider = mcd(valid.withColumn("_all", F.lit(1)).select("_all", *STATS), ["_all"], steps=1)
+    wide = mcd(valid, names[:1])
+    whole = mcd(valid.withColumn("_all", F.lit(1)).select("_all", *STATS), ["_all"])
+    parts = ("centre", "precision", "scale", "spread", "members")
     joined = null_safe(rows, model, names, "left")
-    fallback = wider.select(
-        "_all", F.col("centre").alias("_centre"), F.col("precision").alias("_precision"), F.col("scale").alias("_scale"),
-        F.col("spread").alias("_spread"),
-    )
+    joined = null_safe(joined, wide.select(names[0], *[F.col(c).alias(f"_lang_{c}") for c in parts]), names[:1], "left")
     # One row: the estimate over all texts.
+    fallback = whole.select("_all", *[F.col(c).alias(f"_all_{c}") for c in parts])
     joined = joined.join(F.broadcast(fallback), F.lit(1) == F.col("_all"), "left").drop("_all")
-    own = F.coalesce(F.col("members") >= min_group, F.lit(False))
+    own = F.coalesce(F.col("members") >= min_own, F.lit(False))
+    common = F.coalesce(F.col("_lang_members") >= min_own, F.lit(False))
+    weight = F.col("members") / (F.col("members") + min_group)
+    drawn = weight * F.col("spread") + (1 - weight) * F.col("_lang_spread")
     joined = joined.withColumns(
         {
-            "centre": F.when(own, F.col("centre")).otherwise(F.col("_centre")),
-            "precision": F.when(own, F.col("precision")).otherwise(F.col("_precision")),
-            "scale": F.when(own, F.col("scale")).otherwise(F.col("_scale")),
-            "spread": F.when(own, F.col("spread")).otherwise(F.col("_spread")),
+            c: F.when(own, drawn if c == "spread" else F.col(c)).when(common, F.col(f"_lang_{c}")).otherwise(F.col(f"_all_{c}"))
+            for c in ("centre", "precision", "scale", "spread")
         }
     )
     distance = F.when(F.col("n_words") > 0, _distance() * F.col("scale"))

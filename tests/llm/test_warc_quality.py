@@ -133,6 +133,20 @@ def test_quality_cutoff_follows_the_group(spark):
     assert sum(got[i]["kept"] for i in range(400)) >= 392
 
 
+def test_quality_small_group_is_judged_by_its_language(spark):
+    draw = random.Random(9)
+    rows = [(i, prose(draw, "etaoinshrdlu"), "en", "s") for i in range(300)]
+    kana = "あいうえおかきくけこさしすせそ"
+    long = lambda: "\n".join("".join(draw.choices(kana, k=draw.randint(24, 36))) for _ in range(80))
+    rows += [(1000 + i, long(), "ja", f"s{i % 4}") for i in range(60)]  # 15 a source: no estimate of their own
+    rows += [(2000 + i, prose(draw, "etaoinshrdlu"), "ja", f"s{i}") for i in range(2)]  # ordinary, but not there
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in quality.quality_verdicts(docs, keep=("doc_id",)).collect()}
+    assert sum(got[1000 + i]["kept"] for i in range(60)) >= 58
+    assert not got[2000]["kept"] and not got[2001]["kept"]
+    assert sum(got[i]["kept"] for i in range(300)) >= 294
+
+
 def test_quality_empty(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert quality.quality_verdicts(empty, keep=("doc_id",)).count() == 0

@@ -31,10 +31,10 @@ from millrace.session import materialize
 
 BARRIER, CHUNK_END = b",", b"\n"  # neither is part of a word
 BARRIERS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", BARRIER * 10)
-BLOCK_BYTES = 12 << 20  # of chunks in a block
+BLOCK_BYTES = 4 << 20  # of chunks in a block
 SLOT_WORDS = 2 << 20  # of the dictionary, for each slot
 DICTIONARY = "lang string, chunk binary, words long, copies long"
-BLOCKS = "block string, langs array<string>, chunk_langs binary, chunks binary, copies binary"
+BLOCKS = "block string, words long, langs array<string>, lang_words array<bigint>, chunk_langs binary, chunks binary, copies binary"
 
 
 def parse(raw: bytes, hashes: WordHash, overlap: int, modulus: int) -> list[tuple[bytes, int]]:
@@ -84,15 +84,24 @@ def chunk_dictionary(docs: DataFrame, lang: str, text: str, overlap: int, modulu
 
 
 def in_blocks(dictionary: DataFrame) -> DataFrame:
-    """The dictionary in rows of some ``BLOCK_BYTES``, whatever the languages of their chunks."""
+    """The dictionary in rows of some ``BLOCK_BYTES``, whatever the languages of their chunks.
 
-    def block(names, chunks, copies):
+    ``words`` counts those of the distinct chunks, ``lang_words`` all words by language.
+    """
+
+    def block(rows):
+        names, chunks, words, copies = zip(*rows, strict=True)
         langs = sorted(set(names))
         code = {name: i for i, name in enumerate(langs)}
+        total = [0] * len(langs)
+        for name, number, times in zip(names, words, copies, strict=True):
+            total[code[name]] += number * times
         return rows_to_table(
             {
                 "block": pa.array([uuid.uuid4().hex]),
+                "words": pa.array([sum(words)], pa.int64()),
                 "langs": pa.array([langs], pa.list_(pa.string())),
+                "lang_words": pa.array([total], pa.list_(pa.int64())),
                 "chunk_langs": pa.array([np.array([code[x] for x in names], np.int32).tobytes()], pa.binary()),
                 "chunks": pa.array([b" \n ".join(chunks)], pa.binary()),
                 "copies": pa.array([np.array(copies, np.int64).tobytes()], pa.binary()),
@@ -100,22 +109,27 @@ def in_blocks(dictionary: DataFrame) -> DataFrame:
         )
 
     def run(batches):
-        names, chunks, copies, held = [], [], [], 0
+        rows, held = [], 0
         for batch in batches:
-            for name, chunk, times in zip(*(batch.column(c).to_pylist() for c in ("lang", "chunk", "copies")), strict=True):
-                names.append(name)
-                chunks.append(chunk)
-                copies.append(times)
-                held += len(chunk)
+            for row in zip(*(batch.column(c).to_pylist() for c in ("lang", "chunk", "words", "copies")), strict=True):
+                rows.append(row)
+                held += len(row[1])
                 if held >= BLOCK_BYTES:
-                    yield block(names, chunks, copies)
-                    names, chunks, copies, held = [], [], [], 0
-        if chunks:
-            yield block(names, chunks, copies)
+                    yield block(rows)
+                    rows, held = [], 0
+        if rows:
+            yield block(rows)
 
     return dictionary.mapInArrow(run, BLOCKS)
 
 
+def each_row(batches):
+    """One row after the other: a batch may hold many blocks."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
+
+
 class Block:
     """A block's tokens as numbers: what begins where, in which language, how often."""
 
@@ -156,26 +170,25 @@ def screened(blocks: DataFrame, overlap: int, bits: int, least: int) -> DataFram
     kind = np.uint8 if least < 1 << 8 else np.uint32  # a count goes no higher than the least that suffices
 
     def send(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row, overlap)
-                one, two = block.hashes()
-                pairs = block.pairs()
-                keys = np.concatenate([one[block.own], two[pairs]]) >> short
-                weights = np.concatenate([block.weight[block.own], (block.weight * block.own)[pairs]])
-                keys, place = np.unique(keys, return_inverse=True)
-                counts = np.minimum(np.bincount(place, weights, len(keys)), least).astype(kind)
-                bounds = np.searchsorted(keys, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32))
-                low = keys.astype(np.uint32)
-                filled = [(s, a, b) for s, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)) if b > a]
-                yield rows_to_table(
-                    {
-                        "slot": pa.array([s for s, _, _ in filled], pa.int64()),
-                        "block": pa.array([row["block"]] * len(filled), pa.string()),
-                        "hashes": pa.array([low[a:b].tobytes() for _, a, b in filled], pa.binary()),
-                        "counts": pa.array([counts[a:b].tobytes() for _, a, b in filled], pa.binary()),
-                    }
-                )
+        for row in each_row(batches):
+            block = Block(row, overlap)
+            one, two = block.hashes()
+            pairs = block.pairs()
+            keys = np.concatenate([one[block.own], two[pairs]]) >> short
+            weights = np.concatenate([block.weight[block.own], (block.weight * block.own)[pairs]])
+            keys, place = np.unique(keys, return_inverse=True)
+            counts = np.minimum(np.bincount(place, weights, len(keys)), least).astype(kind)
+            bounds = np.searchsorted(keys, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32))
+            low = keys.astype(np.uint32)
+            filled = [(s, a, b) for s, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)) if b > a]
+            yield rows_to_table(
+                {
+                    "slot": pa.array([s for s, _, _ in filled], pa.int64()),
+                    "block": pa.array([row["block"]] * len(filled), pa.string()),
+                    "hashes": pa.array([low[a:b].tobytes() for _, a, b in filled], pa.binary()),
+                    "counts": pa.array([counts[a:b].tobytes() for _, a, b in filled], pa.binary()),
+                }
+            )
 
     def answer(rows: pa.Table) -> pa.Table:
         parts = [np.frombuffer(x, np.uint32) for x in rows.column("hashes").to_pylist()]
@@ -226,20 +239,19 @@ def phrase_counts(blocks: DataFrame, overlap: int, bits: int, longest: int) -> D
     """``lang, phrase, size, f`` of the phrases made of words and pairs that may be frequent."""
 
     def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row, overlap)
-                keys = np.sort(np.frombuffer(b"".join(row["keys"]), np.uint64))
-                for size, first, lang, weight in _phrases(block, keys, bits, longest):
-                    phrases = [b" ".join(block.tokens[i : i + size]) for i in first.tolist()]
-                    yield rows_to_table(
-                        {
-                            "lang": pa.array([block.langs[i] for i in lang.tolist()], pa.string()),
-                            "phrase": pa.array(phrases, pa.binary()).cast(pa.string()),
-                            "size": pa.array(np.full(len(first), size, np.int32)),
-                            "f": weight,
-                        }
-                    )
+        for row in each_row(batches):
+            block = Block(row, overlap)
+            keys = np.sort(np.frombuffer(b"".join(row["keys"]), np.uint64))
+            for size, first, lang, weight in _phrases(block, keys, bits, longest):
+                phrases = [b" ".join(block.tokens[i : i + size]) for i in first.tolist()]
+                yield rows_to_table(
+                    {
+                        "lang": pa.array([block.langs[i] for i in lang.tolist()], pa.string()),
+                        "phrase": pa.array(phrases, pa.binary()).cast(pa.string()),
+                        "size": pa.array(np.full(len(first), size, np.int32)),
+                        "f": weight,
+                    }
+                )
 
     counted = blocks.mapInArrow(run, "lang string, phrase string, size int, f long")
     return counted.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
@@ -253,10 +265,11 @@ def frequent_phrases(
     """
     overlap = max(1, longest - 1)
     dictionary = chunk_dictionary(docs, lang, text, overlap, modulus)
-    stored, known = stored_with(dictionary, "dictionary", {"words": F.coalesce(F.sum("words"), F.lit(0))})
-    totals = materialize(stored.groupBy("lang").agg(F.sum(F.col("words") * F.col("copies")).alias("n")), "totals")
+    blocks, known = stored_with(in_blocks(dictionary), "blocks", {"words": F.coalesce(F.sum("words"), F.lit(0))})
     bits = min(31, max(0, int(known["words"] // SLOT_WORDS).bit_length()))
-    blocks = materialize(in_blocks(stored), "blocks")
+    by_lang = blocks.select(F.inline(F.arrays_zip("langs", "lang_words"))).toDF("lang", "n")
+    totals = materialize(by_lang.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+    blocks = blocks.drop("words", "lang_words")
     keys = screened(blocks, overlap, bits, least)
     counted = phrase_counts(blocks.join(keys, "block"), overlap, bits, longest)
     return materialize(counted.filter(F.col("f") >= least), "phrases"), totals

@@ -43,7 +43,7 @@ JOBS = {
     "events": _events,
     "items": _items,
     "complaints": lambda spark, args: complaints_pipeline(spark, args.input, args.output),
-    "train": lambda spark, args: wine_pipeline(spark, args.input, args.output, boosted=args.boosted),
+    "train": lambda spark, args: wine_pipeline(spark, args.input, args.output, boosted=not args.forest),
     "drift": _drift,
     "evaluate": _evaluate,
 }
@@ -59,7 +59,7 @@ def parse(argv: Sequence[str]) -> argparse.Namespace:
     parser.add_argument("--current", help="drift: table to compare; a sample of the reference if left out")
     parser.add_argument("--answers", help="evaluate: recorded answers, JSON lines")
     parser.add_argument("--epoch-unit", choices=["s", "ms", "us"], help="events: unit of numeric timestamps")
-    parser.add_argument("--boosted", action="store_true", help="train: boosted trees, one class each")
+    parser.add_argument("--forest", action="store_true", help="train: a forest instead of boosted trees")
     args = parser.parse_args(argv)
     if args.job == "evaluate" and not args.answers:
         parser.error("evaluate needs --answers")

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import require_columns
 from millrace.functions.measures import score_tier
 from millrace.functions.rules import Rule, keep_valid
+from millrace.operators.boosting import BoostedTrees, boost
 from millrace.operators.encode import encode_categories
 from millrace.operators.sampling import stratified_split
 from millrace.session import materialize
@@ -86,20 +87,17 @@ def train_tiers(
     trees: int = TIER_TREES,
     depth: int = TIER_DEPTH,
     rate: float = TIER_RATE,
-    boosted: bool = False,
+    boosted: bool = True,
     seed: int = SEED,
-) -> PipelineModel:
-    """Three-class tree model.
+) -> PipelineModel | BoostedTrees:
+    """Three-class tree model: boosted trees by softmax, ``trees`` rounds of one tree per class.
 
-    Boosting is binary in Spark ML: ``boosted`` trains one boosted model per class, tree after tree.
-    The default is a forest, whose trees grow side by side; ``rate`` then has no meaning.
+    Without ``boosted`` it is a forest, for which ``rate`` has no meaning; boosting has no use for ``seed``.
     """
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     if boosted:
-        single = GBTClassifier(labelCol=label, maxIter=trees, maxDepth=depth, stepSize=rate, seed=seed)
-        model: Any = OneVsRest(classifier=single, labelCol=label)
-    else:
-        model = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed)
+        return boost(rows, features, label, len(TIER_NAMES), rounds=trees, depth=depth, rate=rate)
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
+    model = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, seed=seed)
     return Pipeline(stages=[assembler, model]).fit(rows)
 
 
@@ -122,49 +120,26 @@ def train_ranker(
     rounds: int = RANKER_ROUNDS,
     depth: int = RANKER_DEPTH,
     rate: float = RANKER_RATE,
-    seed: int = SEED,
     patience: int = PATIENCE,
-) -> PipelineModel:
+) -> BoostedTrees:
     """Boosted binary ranker that stops after ``patience`` rounds without a better validation loss.
 
-    Models grow in stages of doubling length; a stage's loss after each round on the validation rows
-    tells where to stop. Trees of a seed do not depend on how many follow, so the last fit up to the
-    best round is the same model cut off there. Without validation rows all rounds are trained.
+    Without validation rows all rounds are trained.
     """
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    ready = materialize(assembler.transform(rows).select("features", F.col(label).cast("double").alias(label), validation), "ranker")
-    train, held = ready.filter(~F.col(validation)), ready.filter(validation)
-
-    def fit(number: int):
-        return GBTClassifier(labelCol=label, maxIter=number, maxDepth=depth, stepSize=rate, seed=seed).fit(train)
-
-    number = rounds if held.isEmpty() else min(rounds, 2 * patience)
-    model = fit(number)
-    while not held.isEmpty():
-        best = stopping_round(model.evaluateEachIteration(held), patience)
-        if best + patience <= number or number == rounds:
-            model = fit(best) if best < number else model
-            break
-        number = min(rounds, 2 * number)
-        model = fit(number)
-    return PipelineModel(stages=[assembler, model])
+    return boost(rows, features, label, 2, validation, rounds, depth, rate, patience)
 
 
 def score(
-    model: PipelineModel, requests: DataFrame, version: str, rules: Sequence[Rule] = ()
+    model: PipelineModel | BoostedTrees, requests: DataFrame, version: str, rules: Sequence[Rule] = ()
 ) -> DataFrame:
-    """Valid requests with integer class and model version."""
+    """Valid requests with integer class, class probabilities if the model gives them, and model version."""
     valid = keep_valid(requests, rules) if rules else requests
-    scored = model.transform(valid).select(
-        *requests.columns,
-        F.col("prediction").cast("int").alias("prediction"),
-        *([vector_to_array("probability").alias("probability")] if _gives_probability(model) else []),
-    )
-    return scored.withColumn("model_version", F.lit(version))
-
-
-def _gives_probability(model: PipelineModel) -> bool:
-    return model.stages[-1].hasParam("probabilityCol")
+    found = model.transform(valid)
+    added = [F.col("prediction").cast("int").alias("prediction")]
+    if "probability" in found.columns:
+        is_array = dict(found.dtypes)["probability"].startswith("array")
+        added.append(F.col("probability") if is_array else vector_to_array("probability").alias("probability"))
+    return found.select(*requests.columns, *added).withColumn("model_version", F.lit(version))
 
 
 def confusion_counts(predictions: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -238,7 +213,7 @@ def train_and_evaluate(
     features: Sequence[str] = WINE_FEATURES,
     target: str = WINE_TARGET,
     **settings: Any,
-) -> tuple[PipelineModel, dict[str, float], DataFrame]:
+) -> tuple[PipelineModel | BoostedTrees, dict[str, float], DataFrame]:
     """Tier, split, train and test: the model, its test metrics, and the report per class.
 
     Rows should already have passed their gates.
@@ -255,13 +230,13 @@ def train_and_evaluate(
 
 def settings_used(**given: Any) -> dict[str, Any]:
     """The settings a tier model is trained with: those given, and the defaults of the rest."""
-    defaults = {"trees": TIER_TREES, "depth": TIER_DEPTH, "rate": TIER_RATE, "boosted": False, "seed": SEED}
+    defaults = {"trees": TIER_TREES, "depth": TIER_DEPTH, "rate": TIER_RATE, "boosted": True, "seed": SEED}
     return defaults | {"test_share": TEST_SHARE} | given
 
 
 def save_model(
     spark: SparkSession,
-    model: PipelineModel,
+    model: PipelineModel | BoostedTrees,
     path: str,
     name: str,
     metrics: Mapping[str, float],
@@ -270,7 +245,10 @@ def save_model(
     target: str = WINE_TARGET,
 ) -> None:
     """Model, and beside it a metadata document: name, features, target, tiers, metrics, settings."""
-    model.write().overwrite().save(f"{path}/model")
+    if isinstance(model, BoostedTrees):
+        model.save(spark, f"{path}/model")
+    else:
+        model.write().overwrite().save(f"{path}/model")
     # The document's keys.
     metadata = {
         "model_name": name,

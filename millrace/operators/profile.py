@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,22 +20,33 @@ def distinct_counts(df: DataFrame, *columns: str) -> DataFrame:
     )
 
 
+def duplicate_rows(df: DataFrame) -> DataFrame:
+    """One row with the number of rows that repeat an earlier one.
+
+    Two 64-bit hashes of a row are shuffled instead of its columns. Rows are compared in full only among
+    those whose hashes occur more than once, so equal hashes of unequal rows do no harm.
+    """
+    whole = F.struct(*[F.col(c) for c in df.columns])
+    empty = [F.isnull(c) for c in df.columns]
+    hashed = df.withColumns({"_h1": F.xxhash64(*df.columns), "_h2": F.xxhash64(F.lit(1), *df.columns, *empty)})
+    often = hashed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    alike = hashed.join(often, ["_h1", "_h2"], "left_semi").groupBy("_h1", "_h2", whole.alias("_row"))
+    counted = alike.agg(F.count(F.lit(1)).alias("_n"))
+    return counted.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"))
+
+
 def profile(df: DataFrame, null_checks: Sequence[str], day: str) -> DataFrame:
     """One row: rows, nulls per column, duplicate rows, first and last day.
 
-    Equal rows are counted first. Every figure then follows from the counted rows, in one pass and
-    with a hot row shrunk before the shuffle.
+    All but the duplicates is one pass that shuffles a row per task.
     """
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    return counted.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"),
-        *[
-            F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("_n"))), F.lit(0)).alias(f"null_{c}")
-            for c in null_checks
-        ],
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"),
+    return df.agg(
+        F.count(F.lit(1)).alias("total_rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in null_checks],
         F.min(day).alias("first_day"),
         F.max(day).alias("last_day"),
+    ).select(
+        "total_rows", *[f"null_{c}" for c in null_checks], duplicate_rows(df).scalar().alias("duplicate_rows"), "first_day", "last_day"
     )
 
 
@@ -89,3 +101,25 @@ def table_inventory(spark: SparkSession, pattern: str = "*") -> DataFrame:
     for one in counts[1:]:
         merged = merged.unionByName(one)
     return merged.orderBy("table")
+
+
+def _like(pattern: str) -> re.Pattern:
+    """A case-blind name pattern where ``%`` stands for any text and ``_`` for one character."""
+    parts = {"%": ".*", "_": "."}
+    return re.compile("".join(parts.get(c, re.escape(c)) for c in pattern), re.IGNORECASE | re.DOTALL)
+
+
+def schema_inventory(spark: SparkSession, schema_pattern: str, name_pattern: str) -> DataFrame:
+    """Rows ``(schema, table, rows)``, by schema and name, of the tables and views whose schema or name matches.
+
+    All schemas of the catalog are searched. Temporary views have the empty schema.
+    """
+    listed = [(d.name, t) for d in spark.catalog.listDatabases() for t in spark.catalog.listTables(d.name)]
+    found = {("" if t.isTemporary else schema, t.name) for schema, t in listed}
+    schema_fits, name_fits = _like(schema_pattern).fullmatch, _like(name_pattern).fullmatch
+    merged = spark.createDataFrame([], "schema string, table string, rows long")
+    for schema, name in sorted(found):
+        if schema_fits(schema) or name_fits(name):
+            rows = spark.table(f"`{schema}`.`{name}`" if schema else f"`{name}`").agg(F.count(F.lit(1)).alias("rows"))
+            merged = merged.unionByName(rows.select(F.lit(schema).alias("schema"), F.lit(name).alias("table"), "rows"))
+    return merged.orderBy("schema", "table")

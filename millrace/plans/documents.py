@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.guard import (
@@ -75,31 +75,55 @@ def lexical_vectors(
     return model.transform(tokens).select(key, vector_to_array("_unit", "float32").alias(column))
 
 
-def term_bucket(word: Column, dimensions: int = VECTOR_DIMENSIONS) -> Column:
-    """The vector position of a word, by its MD5 digest."""
-    return (F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("long") % dimensions).cast("int")
-
-
-def term_counts(texts: DataFrame, key: str, text: str, dimensions: int = VECTOR_DIMENSIONS) -> DataFrame:
-    """Sparse count vectors: rows ``(key, term, n)``."""
-    terms = texts.select(key, F.explode(words(F.lower(F.col(text)))).alias("_word"))
-    placed = terms.select(key, term_bucket(F.col("_word").cast("binary"), dimensions).alias("term"))
-    return placed.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
+def term_counts(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """Sparse count vectors over words: rows ``(key, term, n)``."""
+    terms = texts.select(key, F.explode(words(F.lower(F.col(text)))).alias("term"))
+    return terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def inverse_frequencies(counts: DataFrame, total: int) -> DataFrame:
-    """``term, idf`` over ``total`` texts. At most as many rows as the vectors have dimensions."""
+    """``term, idf`` over ``total`` texts, for the terms with a positive weight."""
     held = counts.groupBy("term").agg(F.count(F.lit(1)).alias("_held"))
-    return held.select("term", F.log((F.lit(total) + 1.0) / (F.col("_held") + 1.0)).alias("idf"))
+    return held.select("term", F.log((F.lit(total) + 1.0) / (F.col("_held") + 1.0)).alias("idf")).filter("idf > 0")
 
 
 def unit_weights(counts: DataFrame, frequencies: DataFrame, key: str) -> DataFrame:
-    """Sparse unit vectors: rows ``(key, term, weight)`` with positive weights only."""
-    # The table of frequencies is bounded by the number of dimensions.
-    weighted = counts.join(F.broadcast(frequencies), "term").select(key, "term", (F.col("n") * F.col("idf")).alias("_w"))
-    positive = weighted.filter("_w > 0")
-    lengths = positive.groupBy(key).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_length"))
-    return positive.join(lengths, key).select(key, "term", (F.col("_w") / F.col("_length")).alias("weight"))
+    """Sparse unit vectors: rows ``(key, term, weight)``."""
+    weighted = counts.join(frequencies, "term").select(key, "term", (F.col("n") * F.col("idf")).alias("_w"))
+    lengths = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_length"))
+    return weighted.join(lengths, key).select(key, "term", (F.col("_w") / F.col("_length")).alias("weight"))
+
+
+def impact_level(weight: Column) -> Column:
+    """Blocks of a term's list: weights within a factor of 2^(1/4)."""
+    return F.least(F.floor(-4 * F.log2(weight)), F.lit(60)).cast("int")
+
+
+def build_lists(texts: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Inverted lists ``key, term, level, weight`` of the texts, the greatest weight of each block
+    ``term, level, top``, and ``term, idf``. All three are stored.
+    """
+    counts = materialize(term_counts(texts, key, text), "terms")
+    # A text without words has no terms; it is none of the texts counted.
+    total = counts.agg(F.count_distinct(key)).first()[0]
+    frequencies = materialize(inverse_frequencies(counts, total), "frequencies")
+    lists = unit_weights(counts, frequencies, key).withColumn("level", impact_level(F.col("weight")))
+    lists = materialize(lists, "lists")
+    blocks = materialize(lists.groupBy("term", "level").agg(F.max("weight").alias("top")), "blocks")
+    return lists, blocks, frequencies
+
+
+def question_blocks(asked: DataFrame, blocks: DataFrame, question_id: str) -> DataFrame:
+    """Each question's blocks ``term, level, _asked, _gain, _rest``.
+
+    ``_gain``: the most that the block adds to a text's score; ``_rest``: the most that all other terms of the
+    question add.
+    """
+    met = asked.join(blocks, "term").withColumn("_gain", F.col("_asked") * F.col("top"))
+    best = met.groupBy(question_id, "term").agg(F.max("_gain").alias("_best"))
+    whole = best.groupBy(question_id).agg(F.sum("_best").alias("_whole"))
+    told = met.join(best, [question_id, "term"]).join(whole, question_id)
+    return told.withColumn("_rest", F.col("_whole") - F.col("_best"))
 
 
 def retrieve(
@@ -110,24 +134,52 @@ def retrieve(
     question: str = "text",
     text_id: str = "chunk_id",
     text: str = "chunk_text",
-    dimensions: int = VECTOR_DIMENSIONS,
+    seeds: int = 3,
 ) -> DataFrame:
-    """The ``k`` texts nearest to each question by cosine of word weights: exact, on sparse terms.
+    """The ``k`` texts nearest to each question by cosine of word weights: exact, with bounds.
 
-    Vectors stay sparse: texts meet questions only over the terms of the questions, products are summed
-    per pair, and each task keeps ``k`` rows a question before the last shuffle. A hot term's partition
-    is split by adaptive execution. Texts without a term of the question are not returned.
+    Inverted lists are cut into blocks by weight, each with its maximum. The lists of the ``seeds`` terms that
+    can add most to a question's scores give it a first k-th score. A block is then read only if a text in it can
+    still reach that score with the maxima of all other terms. Texts whose read weights and the maxima of what was
+    not read stay below it are given up; the others are scored in full. Texts that share no term with the question are not
+    returned.
     """
-    counts = materialize(term_counts(texts, text_id, text, dimensions), "terms")
-    # A text without words has no terms; it is none of the texts counted.
-    total = counts.select(text_id).distinct().count()
-    frequencies = materialize(inverse_frequencies(counts, total), "frequencies")
-    asked = unit_weights(term_counts(questions, question_id, question, dimensions), frequencies, question_id)
+    lists, blocks, frequencies = build_lists(texts, text_id, text)
+    asked = unit_weights(term_counts(questions, question_id, question), frequencies, question_id)
     asked = materialize(asked.withColumnRenamed("weight", "_asked"), "questions")
-    stored = unit_weights(counts, frequencies, text_id)
-    scored = stored.join(asked, "term").groupBy(question_id, text_id).agg(
-        F.round(F.sum(F.col("weight") * F.col("_asked")), 9).alias("similarity")
-    )
+    met = materialize(question_blocks(asked, blocks, question_id), "question-blocks")
+
+    # A first bound: sums over some of the terms are not above the full scores.
+    gains = met.groupBy(question_id, "term", "_asked").agg(F.max("_gain").alias("_gain"))
+    strong = top_per_key(gains, [question_id], [F.desc("_gain"), F.asc("term")], seeds)
+    begun = lists.join(strong.select(question_id, "term", "_asked"), "term")
+    begun = begun.groupBy(question_id, text_id).agg(F.sum(F.col("weight") * F.col("_asked")).alias("_part"))
+    some = top_per_key(begun, [question_id], [F.desc("_part"), F.asc(text_id)], k)
+    floor = some.groupBy(question_id).agg(F.when(F.count(F.lit(1)) >= k, F.min("_part")).alias("_floor"))
+    floor = materialize(floor, "floor")
+
+    # Rounding: scores are compared at nine digits.
+    reaches = lambda most: most >= F.coalesce(F.col("_floor"), F.lit(0.0)) - 1e-8
+    bounded = met.join(floor, question_id, "left")
+    # Terms by falling gain; the last ones together cannot lift a text without the others over the floor.
+    ranked = bounded.groupBy(question_id, "term", "_asked", "_floor").agg(F.max("_gain").alias("_best"))
+    tail = Window.partitionBy(question_id).orderBy("_best", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    needed = ranked.withColumn("_upto", F.sum("_best").over(tail)).filter(reaches(F.col("_upto")))
+    needed = materialize(needed, "needed")
+    unread = ranked.join(needed.select(question_id, "term"), [question_id, "term"], "left_anti")
+    unread = unread.groupBy(question_id).agg(F.sum("_best").alias("_unread"))
+    open_blocks = bounded.join(needed.select(question_id, "term"), [question_id, "term"], "left_semi")
+    open_blocks = open_blocks.filter(reaches(F.col("_gain") + F.col("_rest"))).select(question_id, "term", "level", "_asked")
+    read = lists.join(materialize(open_blocks, "open"), ["term", "level"])
+    sums = read.groupBy(question_id, text_id).agg(F.sum(F.col("weight") * F.col("_asked")).alias("_part"))
+    limits = floor.join(unread, question_id, "outer")
+    # A text in a block that is left out stays below the floor in any case, so its sum may lack that block.
+    most = F.col("_part") + F.coalesce("_unread", F.lit(0.0))
+    near = sums.join(limits, question_id, "left").filter(reaches(most)).select(question_id, text_id)
+    near = materialize(near, "near")
+
+    full = near.join(asked, question_id).join(lists.select(text_id, "term", "weight"), [text_id, "term"])
+    scored = full.groupBy(question_id, text_id).agg(F.round(F.sum(F.col("weight") * F.col("_asked")), 9).alias("similarity"))
     best = top_per_key(scored, [question_id], [F.desc("similarity"), F.asc(text_id)], k)
     return best.select(F.col(question_id).cast("long").alias("query_id"), text_id, "similarity", "position")
 

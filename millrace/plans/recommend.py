@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from millrace.functions.measures import rate
 from millrace.functions.rules import Rule, reject_counts
 from millrace.operators.encode import encode_categories
-from millrace.operators.ranking import with_rank
-from millrace.operators.sampling import hash_key
+from millrace.operators.inner_product import top_inner_products
+from millrace.operators.ranking import running_totals, with_rank
+from millrace.operators.sampling import hash_key, in_share
 from millrace.operators.windows import top_per_key
+from millrace.session import materialize
 
 # Clicks kept per user, rating range, share of the first variant.
 LAST_CLICKS = 10
@@ -118,14 +120,8 @@ def factorize(
 
 def model_top_n(model: ALSModel, user: str, item: str, n: int) -> DataFrame:
     """Top ``n`` items of every user by the factor model: ``(user, item, score, position)``."""
-    return model.recommendForAllUsers(n).select(
-        user, F.posexplode("recommendations").alias("_p", "_r")
-    ).select(
-        user,
-        F.col(f"_r.{item}").alias(item),
-        F.col("_r.rating").alias("score"),
-        (F.col("_p") + 1).alias("position"),
-    )
+    users = model.userFactors.withColumnRenamed("id", user)
+    return top_inner_products(users, model.itemFactors.withColumnRenamed("id", item), n, user, item, "features", "features")
 
 
 def top_n(scores: DataFrame, user: str, item: str, score: str, n: int) -> DataFrame:
@@ -136,24 +132,32 @@ def top_n(scores: DataFrame, user: str, item: str, score: str, n: int) -> DataFr
 def negative_samples(
     positives: DataFrame, items: DataFrame, user: str, item: str, per_positive: int = 1, seed: int = 42
 ) -> DataFrame:
-    """Items a user has not touched, drawn by hash: up to ``per_positive`` draws for each positive pair.
+    """Items a user has not touched: ``per_positive`` for each positive pair, or all there are if these are fewer.
 
-    A draw picks the item at a hashed place in the numbered item list, so no user meets all items. A
-    draw that hits a touched item, or one drawn before, is dropped.
+    Draws are numbers of untouched items. The ``i``-th of ``m`` draws lies in the ``i``-th of ``m`` equal parts
+    of these numbers, at a hashed place, so no two draws of a user agree. With ``j`` touched items before
+    it, the ``r``-th untouched item has place ``r + j`` in the list of items: one running count over a user's
+    draws and touched places together finds it. No user meets all items.
     """
-    numbered = with_rank(items.select(item).distinct(), [item], "_place")
+    numbered = materialize(with_rank(items.filter(F.col(item).isNotNull()).select(item).distinct(), [item], "_place"), "items")
     size = numbered.count()
-    pairs = positives.select(user, item).distinct()
-    draws = pairs.select(user, item, F.explode(F.sequence(F.lit(1), F.lit(per_positive))).alias("_draw"))
-    digest = F.substring(hash_key([user, item, "_draw"], seed), 1, 8)
-    place = F.conv(digest, 16, 10).cast("long") % max(size, 1) + 1
-    drawn = (
-        draws.select(user, place.alias("_place"))
-        .join(numbered, "_place")
-        .select(user, item)
-        .distinct()
-    )
-    return drawn.join(pairs, [user, item], "left_anti")
+    pairs = positives.filter(F.col(user).isNotNull()).select(user, item).distinct()
+    touched = with_rank(pairs.join(numbered, item).select(user, "_place"), ["_place"], "_nth", groups=[user])
+    touched = materialize(touched, "touched")
+    left = F.lit(size) - F.max("_nth")
+    asked = touched.groupBy(user).agg(left.alias("_left"), F.least(F.count(F.lit(1)) * per_positive, left).alias("_asked"))
+    draws = asked.filter("_asked > 0").select("*", F.explode(F.sequence(F.lit(1).cast("long"), "_asked")).alias("_draw"))
+    # Decimals: products of two counts may pass 64 bits.
+    edge = lambda i: F.expr(f"CAST((CAST({i} AS DECIMAL(19,0)) * CAST(_left AS DECIMAL(19,0))) div CAST(_asked AS DECIMAL(19,0)) AS BIGINT)")
+    digest = F.conv(F.substring(hash_key([user, "_draw"], seed), 1, 8), 16, 10).cast("long")
+    number = edge("(_draw - 1)") + digest % (edge("_draw") - edge("(_draw - 1)")) + 1
+    # A touched item lies before the draws whose number is above the count of untouched items before it.
+    before = touched.select(user, (F.col("_place") - F.col("_nth")).alias("_at"), F.lit(1).alias("_touched"), F.lit(0).alias("_kind"))
+    wanted = draws.select(user, (number - 1).alias("_at"), F.lit(0).alias("_touched"), F.lit(1).alias("_kind"))
+    events = before.unionByName(wanted).groupBy(user, "_at", "_kind").agg(F.sum("_touched").alias("_touched"))
+    placed = running_totals(events, ["_at", "_kind"], {"_before": "_touched"}, groups=[user]).filter("_kind = 1")
+    found = placed.select(user, (F.col("_at") + 1 + F.col("_before")).alias("_place"))
+    return found.join(numbered, "_place").select(user, item)
 
 
 def ranking_metrics(recommended: DataFrame, relevant: DataFrame, user: str, item: str, k: int) -> DataFrame:
@@ -218,9 +222,8 @@ def business_metrics(
 
 
 def assign_variant(df: DataFrame, user: str, share: float = FIRST_VARIANT_SHARE, seed: int = 0) -> DataFrame:
-    """Add ``variant`` A or B; a user always gets the same one."""
-    bucket = F.conv(F.substring(hash_key([user], seed), 1, 8), 16, 10).cast("long") % 100
-    return df.withColumn("variant", F.when(bucket < int(round(share * 100)), "A").otherwise("B"))
+    """Add ``variant``: A for ``share`` of the users, however small, else B; a user always gets the same one."""
+    return df.withColumn("variant", F.when(in_share([user], share, seed), "A").otherwise("B"))
 
 
 def compare_variants(

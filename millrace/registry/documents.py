@@ -30,6 +30,7 @@ from millrace.functions.text import (
     request_question,
     words,
 )
+from millrace.operators.vector_index import build_index, search_index
 from millrace.operators.similarity import centroids, top_k_similar
 from millrace.plans.documents import (
     chunk_documents,
@@ -91,6 +92,26 @@ def topk(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("similarity", F.round("similarity", 6))
 
 
+@query(
+    "topk_similar_all",
+    """
+WITH s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]),
+         CAST(v.embedding AS DOUBLE[])), 9) AS similarity
+  FROM embeddings q CROSS JOIN embeddings v
+)
+SELECT query_id, vec_id, round(similarity, 6) AS similarity, CAST(row_number() OVER w AS INTEGER) AS position
+FROM s WINDOW w AS (PARTITION BY query_id ORDER BY similarity DESC, vec_id) QUALIFY row_number() OVER w <= 3
+""",
+)
+def topk_all(spark: SparkSession, sf: str) -> DataFrame:
+    """The three vectors nearest to every vector, by an index of cells."""
+    vectors = table(spark, sf, "embeddings")
+    asked = vectors.select(F.col("vec_id").alias("query_id"), "embedding")
+    found, _ = search_index(build_index(vectors, cells=32), asked, 3)
+    return found.select("query_id", F.col("id").alias("vec_id"), F.round("similarity", 6).alias("similarity"), "position")
+
+
 @query(
     "topk_similar_each",
     """
@@ -112,7 +133,7 @@ def topk_each(spark: SparkSession, sf: str) -> DataFrame:
 
 
 TERMS = r"""
-SELECT {key} AS key, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % 1024 AS term, count(*) AS n
+SELECT {key} AS key, w AS term, count(*) AS n
 FROM (SELECT {key}, unnest(list_filter(string_split_regex(lower({text}), '[ \t\r\n\f]+'), lambda x: x <> '')) AS w FROM {rows})
 GROUP BY 1, 2
 """

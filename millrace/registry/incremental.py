@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from millrace.operators.dedup import key_counts, latest_per_key
 from millrace.operators.joins import count_difference
 from millrace.operators.merge import incremental_build, newer_rows
+from millrace.operators.partitions import merge_partitions, read_partitions
 from millrace.operators.resync import index_manifest, sync_report, sync_status, to_index
 from millrace.operators.sampling import first_rows, hash_sample
 from millrace.registry import query, table
+from millrace.session import new_path
 
 LINE_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -112,6 +114,44 @@ def incremental_merge(spark: SparkSession, sf: str) -> DataFrame:
     return merged.withColumn("loaded_at", F.col("loaded_at").cast("date").cast("string"))
 
 
+@query(
+    "incremental_partitions",
+    """
+WITH target AS (
+  SELECT o_orderkey, o_orderstatus, o_orderdate, o_orderdate AS loaded_at FROM orders WHERE o_orderdate < '1999-01-01'
+), source AS (
+  SELECT o_orderkey, o_orderstatus, o_orderdate, o_orderdate AS loaded_at FROM orders
+  UNION ALL SELECT o_orderkey, 'F', o_orderdate, o_orderdate + INTERVAL 10 YEARS FROM orders
+  WHERE o_orderstatus = 'P' AND strftime(o_orderdate, '%Y-%m') = '1996-03'
+), batch AS (
+  SELECT * FROM source WHERE loaded_at > (SELECT max(loaded_at) FROM target)
+  QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY loaded_at DESC, o_orderstatus) = 1
+), merged AS (
+  SELECT * FROM target WHERE o_orderkey NOT IN (SELECT o_orderkey FROM batch) UNION ALL SELECT * FROM batch
+)
+SELECT o_orderkey, o_orderstatus, CAST(CAST(loaded_at AS DATE) AS VARCHAR) AS loaded_at,
+       strftime(o_orderdate, '%Y-%m') AS month,
+       CASE WHEN strftime(o_orderdate, '%Y-%m') IN (SELECT strftime(o_orderdate, '%Y-%m') FROM batch) THEN 2 ELSE 1 END AS version
+FROM merged
+""",
+)
+def incremental_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders by month, loaded up to a day and then to the end, with one month's pending orders loaded again: only the
+    months with new or changed orders are in the second version's files."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate").withColumn("loaded_at", F.col("o_orderdate"))
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    again = orders.filter((F.col("o_orderstatus") == "P") & (month == "1996-03"))
+    again = again.withColumns({"o_orderstatus": F.lit("F"), "loaded_at": F.expr("loaded_at + INTERVAL 10 YEARS")})
+    root = new_path(spark, "orders")
+    for source in (orders.filter(F.col("loaded_at") < CUT), orders.unionByName(again)):
+        merge_partitions(source, root, ["o_orderkey"], "loaded_at", month, [F.col("o_orderstatus")])
+    current = read_partitions(spark, root)
+    return current.select(
+        "o_orderkey", "o_orderstatus", F.col("loaded_at").cast("date").cast("string").alias("loaded_at"),
+        F.col("_part").alias("month"), F.col("_version").alias("version"),
+    )
+
+
 @query(
     "count_difference",
     """

@@ -11,6 +11,7 @@ from millrace.operators.profile import (
     profile,
     profile_alerts,
     rows_per_month,
+    schema_inventory,
     table_inventory,
     value_distribution,
 )
@@ -27,6 +28,7 @@ from millrace.operators.quality import (
     unique_test,
 )
 from millrace.registry import query, table
+from millrace.session import materialize, new_path
 from millrace.sources.landing import land_parquet
 
 
@@ -137,6 +139,30 @@ def inventory(spark: SparkSession, sf: str) -> DataFrame:
     return table_inventory(spark, "given_*")
 
 
+@query(
+    "schema_inventory",
+    " UNION ALL ".join(
+        f"SELECT 'inventory_marts' AS schema, '{n}' AS \"table\", count(*) AS rows FROM {n}" for n in ("nation", "region")
+    )
+    + " UNION ALL SELECT 'inventory_staging', 'fct_customer', count(*) FROM customer",
+)
+def inventory_of_schemas(spark: SparkSession, sf: str) -> DataFrame:
+    """Given tables in two schemas: those of the mart schema, and fact tables elsewhere."""
+    places = {"inventory_marts": ["nation", "region"], "inventory_staging": ["fct_customer", "stg_supplier"]}
+    for schema, names in places.items():
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+        for name in names:
+            # External tables over files that this application's ``drop_intermediates`` removes.
+            path = new_path(spark, name)
+            table(spark, sf, name.split("_")[-1]).write.parquet(path)
+            spark.sql(f"DROP TABLE IF EXISTS {schema}.{name}")
+            spark.catalog.createTable(f"{schema}.{name}", path, "parquet")
+    found = materialize(schema_inventory(spark, "inventory_mart%", "FCT_%"), "inventory")
+    for schema in places:
+        spark.sql(f"DROP DATABASE {schema} CASCADE")
+    return found.filter(F.col("schema").startswith("inventory_"))
+
+
 DQ_SQL = """
 SELECT 'not_null' AS test, 'o_orderkey' AS "column",
        count(*) FILTER (WHERE o_orderkey IS NULL) AS failures, 'error' AS severity, 'pass' AS status FROM orders

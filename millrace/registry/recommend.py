@@ -156,23 +156,51 @@ def factor_top_n(spark: SparkSession, sf: str) -> DataFrame:
     return model_top_n(factorize(weighted, "user_id_idx", "item_id_idx"), "user_id_idx", "item_id_idx", 5)
 
 
+@query(
+    "factor_top_n_fixed",
+    """
+WITH u AS (SELECT vec_id AS user_id, embedding AS v FROM embeddings WHERE label < 5),
+i AS (SELECT vec_id AS item_id, list_transform(embedding, lambda x: x * (1 + vec_id % 10)) AS v FROM embeddings WHERE label >= 5),
+s AS (
+  SELECT user_id, item_id, round(list_inner_product(CAST(u.v AS DOUBLE[]), CAST(i.v AS DOUBLE[])), 9) AS score FROM u CROSS JOIN i
+)
+SELECT user_id, item_id, round(score, 6) AS score, CAST(row_number() OVER w AS INTEGER) AS position
+FROM s WINDOW w AS (PARTITION BY user_id ORDER BY score DESC, item_id) QUALIFY row_number() OVER w <= 5
+""",
+)
+def factor_top_n_fixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Given vectors as factors: half of the labels are users, the others items of different lengths."""
+    vectors = table(spark, sf, "embeddings")
+    users = vectors.filter("label < 5").select(F.col("vec_id").alias("user_id"), F.col("embedding").alias("factors"))
+    longer = F.transform("embedding", lambda x: (x * (1 + F.col("vec_id") % 10)).cast("float"))
+    items = vectors.filter("label >= 5").select(F.col("vec_id").alias("item_id"), longer.alias("factors"))
+    return top_inner_products(users, items, 5, item_rows=128).withColumn("score", F.round("score", 6))
+
+
 @query(
     "negative_samples",
     ACTED
     + """
 , pairs AS (SELECT DISTINCT user_id, item_id FROM e WHERE event_type = 'purchase'),
 numbered AS (SELECT item_id, row_number() OVER (ORDER BY item_id) AS place FROM (SELECT DISTINCT item_id FROM e)),
-draws AS (
-  SELECT user_id, ('0x' || substr(md5(user_id || '-' || item_id || '-' || d || '-42'), 1, 8))::BIGINT
-           % (SELECT count(*) FROM numbered) + 1 AS place
-  FROM pairs CROSS JOIN (SELECT unnest(range(1, 4)) AS d)
+asked AS (
+  SELECT user_id, size - count(*) AS untouched, least(3 * count(*), size - count(*)) AS asked
+  FROM pairs CROSS JOIN (SELECT count(*) AS size FROM numbered) GROUP BY user_id, size
+), draws AS (
+  SELECT *, (d - 1) * untouched // asked AS low, d * untouched // asked AS high
+  FROM (SELECT *, unnest(range(1, asked + 1)) AS d FROM asked)
+), wanted AS (
+  SELECT user_id, low + ('0x' || substr(md5(user_id || '-' || d || '-42'), 1, 8))::BIGINT % (high - low) + 1 AS nth FROM draws
+), untouched AS (
+  SELECT u.user_id, n.item_id, row_number() OVER (PARTITION BY u.user_id ORDER BY place) AS nth
+  FROM (SELECT DISTINCT user_id FROM pairs) u CROSS JOIN numbered n
+  WHERE (u.user_id, n.item_id) NOT IN (SELECT (user_id, item_id) FROM pairs)
 )
-SELECT DISTINCT d.user_id, n.item_id FROM draws d JOIN numbered n ON d.place = n.place
-WHERE (d.user_id, n.item_id) NOT IN (SELECT (user_id, item_id) FROM pairs)
+SELECT user_id, item_id FROM wanted JOIN untouched USING (user_id, nth)
 """,
 )
 def negatives(spark: SparkSession, sf: str) -> DataFrame:
-    """Three draws per purchased item of a user."""
+    """Three untouched items for each item that a user has bought."""
     acted = interactions(spark, sf)
     return negative_samples(acted.filter("event_type = 'purchase'"), acted, "user_id", "item_id", 3)
 
@@ -240,7 +268,7 @@ def business(spark: SparkSession, sf: str) -> DataFrame:
     "variant_comparison",
     """
 WITH v AS (
-  SELECT *, CASE WHEN ('0x' || substr(md5(user_id || '-0'), 1, 8))::BIGINT % 100 < 80 THEN 'A' ELSE 'B' END AS variant
+  SELECT *, CASE WHEN ('0x' || substr(md5(user_id || '-0'), 1, 8))::BIGINT < floor(0.8 * 4294967296) THEN 'A' ELSE 'B' END AS variant
   FROM events
 )
 SELECT variant, count(*) AS rows, round(count(*) FILTER (WHERE event_type = 'click') / count(*), 4) AS ctr,

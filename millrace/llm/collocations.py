@@ -8,7 +8,8 @@ dictionary with their frequencies. A phrase belongs to the chunk in which it beg
 
 A phrase is frequent only if its words and pairs of neighbours are. Blocks of chunks send short hashes
 of these with their counts to slots, which tell each block which of its own may be frequent (unequal
-words of one hash only keep more). Then the blocks count what is left by its words, so counts are exact.
+words of one hash only keep more); then the same for longer phrases made of such pairs. At last the blocks
+count what is left by its words, so counts are exact.
 Slots grow with the number of words; a block gets back only what it holds; nothing is broadcast.
 
 Null texts are empty, a null language is ``und``. Repeated rows count each. Empty texts and tables give no
@@ -151,32 +152,72 @@ class Block:
 
     def hashes(self) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the words and of the pairs that begin at each token, apart by language."""
-        word = np.array([xxhash.xxh3_64_intdigest(w) for w in self.vocabulary], np.uint64)
+        word = np.array([xxhash.xxh3_64_intdigest(w) for w in self.vocabulary], np.uint64)[self.words]
         name = np.array([xxhash.xxh3_64_intdigest(x.encode(), 1) for x in self.langs], np.uint64)
-        one = mix(name[self.lang], word[self.words])
-        return one, np.append(mix(one[:-1], word[self.words[1:]]), np.uint64(0))
+        one = mix(name[self.lang], word)
+        return one, np.append(mix(one[:-1], word[1:]), np.uint64(0))
 
     def pairs(self) -> np.ndarray:
         """True where a pair of neighbours begins, whether this chunk counts it or the next."""
         return ~self.wall & ~np.append(self.wall[1:], True)
 
+    def longer(self, two: np.ndarray, pair: np.ndarray, longest: int):
+        """``size, places, hashes`` of the longer phrases that this chunk counts and that consist of the marked pairs."""
+        places = np.flatnonzero(pair & self.own)
+        mixed = two[places]
+        for size in range(3, longest + 1):
+            goes_on = pair[places + size - 2]
+            places = places[goes_on]
+            mixed = mix(mixed[goes_on], two[places + size - 2])
+            yield size, places, mixed
 
-def screened(blocks: DataFrame, overlap: int, bits: int, least: int) -> DataFrame:
-    """``block, keys``: of each block's words and pairs, the short hashes of those that may be frequent.
 
-    A short hash is the first ``32 + bits`` bits; the first ``bits`` of them choose the slot.
+def _among(keys: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
+    """True for the hashes whose short form is among the sorted keys."""
+    if not len(keys):
+        return np.zeros(len(hashes), bool)
+    wanted = hashes >> np.uint64(32 - bits)
+    return keys[np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)] == wanted
+
+
+def _keys(row: dict, name: str) -> np.ndarray:
+    return np.sort(np.frombuffer(b"".join(row[name] or ()), np.uint64))
+
+
+def _marked(block: Block, keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the words that may be frequent, the pairs' hashes, and where a pair begins that may be."""
+    one, two = block.hashes()
+    places = np.flatnonzero(block.own)
+    pair = block.pairs()
+    pair[pair] = _among(keys, two[pair], bits)
+    return places[_among(keys, one[places], bits)], two, pair
+
+
+def screened(blocks: DataFrame, overlap: int, bits: int, least: int, longest: int, name: str) -> DataFrame:
+    """``block`` and, as ``name``, the short hashes of those of its phrases that may be frequent.
+
+    Words and pairs at first; for blocks that have the column ``keys`` of these, the longer phrases made of
+    such pairs. A short hash is the first ``32 + bits`` bits; the first ``bits`` of them choose the slot.
     """
     short = np.uint64(32 - bits)
     kind = np.uint8 if least < 1 << 8 else np.uint32  # a count goes no higher than the least that suffices
+    further = "keys" in blocks.columns
+
+    def phrases(row):
+        block = Block(row, overlap)
+        if further:
+            _, two, pair = _marked(block, _keys(row, "keys"), bits)
+            found = [(mixed, block.weight[places]) for _, places, mixed in block.longer(two, pair, longest)]
+        else:
+            one, two = block.hashes()
+            pairs = block.pairs()
+            found = [(one[block.own], block.weight[block.own]), (two[pairs], (block.weight * block.own)[pairs])]
+        return (np.concatenate([x[i] for x in found]) for i in (0, 1))
 
     def send(batches):
         for row in each_row(batches):
-            block = Block(row, overlap)
-            one, two = block.hashes()
-            pairs = block.pairs()
-            keys = np.concatenate([one[block.own], two[pairs]]) >> short
-            weights = np.concatenate([block.weight[block.own], (block.weight * block.own)[pairs]])
-            keys, place = np.unique(keys, return_inverse=True)
+            hashes, weights = phrases(row)
+            keys, place = np.unique(hashes >> short, return_inverse=True)
             counts = np.minimum(np.bincount(place, weights, len(keys)), least).astype(kind)
             bounds = np.searchsorted(keys, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32))
             low = keys.astype(np.uint32)
@@ -203,46 +244,49 @@ def screened(blocks: DataFrame, overlap: int, bits: int, least: int) -> DataFram
 
     hashed = blocks.mapInArrow(send, "slot long, block string, hashes binary, counts binary")
     answers = hashed.groupBy("slot").applyInArrow(answer, "block string, keys binary")
-    return answers.filter(F.octet_length("keys") > 0).groupBy("block").agg(F.collect_list("keys").alias("keys"))
-
-
-def _phrases(block: Block, keys: np.ndarray, bits: int, longest: int):
-    """``size, first token, lang, weight`` arrays of the block's distinct phrases of frequent pairs."""
-    short = np.uint64(32 - bits)
+    return answers.filter(F.octet_length("keys") > 0).groupBy("block").agg(F.collect_list("keys").alias(name))
 
-    def among(hashes, where):
-        places = np.flatnonzero(where)
-        wanted = hashes[places] >> short
-        at = np.searchsorted(keys, wanted)
-        at[at == len(keys)] = 0
-        return places[keys[at] == wanted]
 
-    one, two = block.hashes()
-    pair = np.zeros(len(two), bool)
-    pair[among(two, block.pairs())] = True
+def _phrases(block: Block, row: dict, bits: int, longest: int):
+    """``size, first token, lang, weight`` arrays of the block's distinct phrases that may be frequent."""
+    words, two, pair = _marked(block, _keys(row, "keys"), bits)
+    more = _keys(row, "more")
     code = block.words + block.lang * block.size
-    places = among(one, block.own)
-    for size in range(1, longest + 1):
-        if size > 1:
-            places = np.flatnonzero(pair & block.own) if size == 2 else places[pair[places + size - 2]]
-            code[places] = code[places] * block.size + block.words[places + size - 1]
-        if not len(places):
-            return
+
+    def counted(size, places):
         found, first, number = np.unique(code[places], return_index=True, return_inverse=True)
         weight = np.bincount(number, block.weight[places], len(found)).astype(np.int64)
-        yield size, places[first], block.lang[places[first]], weight
         if size > 1:
             code[places] = number  # dense again, so that the next product fits
+        return size, places[first], block.lang[places[first]], weight
+
+    if len(words):
+        yield counted(1, words)
+    places = np.flatnonzero(pair & block.own)
+    if longest > 1 and len(places):
+        code[places] = code[places] * block.size + block.words[places + 1]
+        yield counted(2, places)
+    # A phrase that is not frequent begins none that is, so its place is left out for good.
+    open_ = np.zeros(len(pair), bool)
+    open_[places] = True
+    for size, places, mixed in block.longer(two, pair, longest):
+        keep = open_[places] & _among(more, mixed, bits)
+        open_[:] = False
+        open_[places[keep]] = True
+        places = places[keep]
+        if not len(places):
+            return
+        code[places] = code[places] * block.size + block.words[places + size - 1]
+        yield counted(size, places)
 
 
 def phrase_counts(blocks: DataFrame, overlap: int, bits: int, longest: int) -> DataFrame:
-    """``lang, phrase, size, f`` of the phrases made of words and pairs that may be frequent."""
+    """``lang, phrase, size, f`` of the phrases that may be frequent, by the columns ``keys`` and ``more``."""
 
     def run(batches):
         for row in each_row(batches):
             block = Block(row, overlap)
-            keys = np.sort(np.frombuffer(b"".join(row["keys"]), np.uint64))
-            for size, first, lang, weight in _phrases(block, keys, bits, longest):
+            for size, first, lang, weight in _phrases(block, row, bits, longest):
                 phrases = [b" ".join(block.tokens[i : i + size]) for i in first.tolist()]
                 yield rows_to_table(
                     {
@@ -270,8 +314,14 @@ def frequent_phrases(
     by_lang = blocks.select(F.inline(F.arrays_zip("langs", "lang_words"))).toDF("lang", "n")
     totals = materialize(by_lang.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     blocks = blocks.drop("words", "lang_words")
-    keys = screened(blocks, overlap, bits, least)
-    counted = phrase_counts(blocks.join(keys, "block"), overlap, bits, longest)
+    keys = materialize(screened(blocks, overlap, bits, least, longest, "keys"), "keys")
+    blocks = blocks.join(keys, "block")
+    if longest > 2:
+        more = materialize(screened(blocks, overlap, bits, least, longest, "more"), "keys")
+        blocks = blocks.join(more, "block", "left")
+    else:
+        blocks = blocks.withColumn("more", F.lit(None).cast("array<binary>"))
+    counted = phrase_counts(blocks, overlap, bits, longest)
     return materialize(counted.filter(F.col("f") >= least), "phrases"), totals
 
 

@@ -20,12 +20,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WORD, null_safe, query, table
+from millrace.llm.common import WORD, null_safe, query, stored_with, table
 from millrace.operators.ranking import running_totals
 from millrace.session import materialize
 
 SCALE = 1 << 24  # rates and multipliers as whole numbers
-ROUNDS = 14
+TOLERANCE = 1e-5  # of the words expected of a source
 
 
 def text_size(text: str) -> Column:
@@ -64,14 +64,18 @@ def _rate(multiplier: Column, z: Column, limit: float) -> Column:
     return F.lit(limit) / (1 + F.exp(-multiplier * z))
 
 
-def tilt(histogram: DataFrame, targets: DataFrame, limit: float, rounds: int = ROUNDS) -> DataFrame:
+def tilt(histogram: DataFrame, targets: DataFrame, limit: float, tolerance: float = TOLERANCE) -> DataFrame:
     """``source, source_size, target, mean, multiplier`` by Newton iterations on the dual.
 
-    ``histogram``: rows ``source, size, docs``. A step moves a multiplier by at most 4, which keeps the
-    first iterations from overshooting; later steps are whole Newton steps. A source at its limit
-    has no finite multiplier and gets rate ``limit`` by ``full``.
+    ``histogram``: rows ``source, size, docs``. Words grow with the multiplier, so the gap's sign says on which
+    side of a multiplier the solution lies. A Newton step is taken if it stays between the bounds so found
+    and below a longest step, which doubles whenever it is met; else the bounds are halved. The largest relative
+    gap is observed while a state is written, and the loop ends when it is below ``tolerance`` or no multiplier
+    moves any more (they are whole multiples of 2^-24). A source at its limit has no finite multiplier
+    and gets rate ``limit`` by ``full``.
     """
     means = histogram.groupBy("source").agg((F.sum(F.col("size") * F.col("docs")) / F.sum("docs")).alias("mean"))
+    none = F.lit(None).cast("double")
     state = null_safe(targets, means, ["source"], "inner").select(
         "source",
         "source_size",
@@ -79,9 +83,12 @@ def tilt(histogram: DataFrame, targets: DataFrame, limit: float, rounds: int = R
         "mean",
         (F.col("target") >= F.col("source_size") * F.lit(limit)).alias("full"),
         F.lit(0.0).alias("multiplier"),
+        none.alias("_low"),
+        none.alias("_high"),
+        F.lit(4.0).alias("_reach"),
     )
-    for _ in range(rounds):
-        state = materialize(state, "tilt")
+    state = materialize(state, "tilt")
+    while True:
         joined = null_safe(histogram, state, ["source"], "inner")
         z = F.col("size") / F.col("mean")
         rate = _rate(F.col("multiplier"), z, limit)
@@ -90,10 +97,28 @@ def tilt(histogram: DataFrame, targets: DataFrame, limit: float, rounds: int = R
         sums = joined.groupBy("source").agg(F.sum(words).alias("_words"), F.sum(slope).alias("_slope"))
         both = null_safe(state, sums, ["source"], "inner")
         gap = F.col("target") * 1024 - F.col("_words").cast("double")
-        step = F.greatest(F.lit(-4.0), F.least(F.lit(4.0), gap / (F.col("_slope").cast("double") + 1)))
-        moved = F.round((F.col("multiplier") + step) * SCALE) / SCALE
-        state = both.withColumn("multiplier", moved).drop("_words", "_slope")
-    return materialize(state, "tilt")
+        both = both.withColumn("_gap", F.when(~F.col("full"), gap))
+        both = both.withColumns(
+            {
+                "_low": F.when(F.col("_gap") > 0, F.col("multiplier")).otherwise(F.col("_low")),
+                "_high": F.when(F.col("_gap") < 0, F.col("multiplier")).otherwise(F.col("_high")),
+            }
+        )
+        newton = F.col("_gap") / (F.col("_slope").cast("double") + 1)
+        clipped = F.greatest(-F.col("_reach"), F.least(F.col("_reach"), newton))
+        aim = F.col("multiplier") + clipped
+        beside = (aim <= F.col("_low")) | (aim >= F.col("_high")) | (F.abs(newton) > F.col("_reach"))
+        middle = (F.col("_low") + F.col("_high")) / 2  # null until both bounds are known
+        moved = F.when(F.coalesce(beside, F.lit(False)), F.coalesce(middle, aim)).otherwise(aim)
+        moved = F.when(F.coalesce(F.col("_gap") != 0, F.lit(False)), F.round(moved * SCALE) / SCALE).otherwise(F.col("multiplier"))
+        reach = F.when(F.abs(newton) > F.col("_reach"), 2 * F.col("_reach")).otherwise(F.col("_reach"))
+        both = both.withColumns({"_next": moved, "_reach": F.coalesce(reach, F.col("_reach"))}).drop("_words", "_slope")
+        off = F.max(F.abs(F.col("_gap")) / (F.col("target") * 1024))
+        moves = F.count_if(F.col("_next") != F.col("multiplier"))
+        both, seen = stored_with(both, "tilt", {"off": F.coalesce(off, F.lit(0.0)), "moves": moves})
+        if seen["off"] <= tolerance or not seen["moves"]:
+            return both.select("source", "source_size", "target", "mean", "full", "multiplier")
+        state = both.withColumn("multiplier", F.col("_next")).drop("_next", "_gap")
 
 
 def mix_copies(

@@ -1,5 +1,7 @@
 """Mixing and packing: brute force, balance, and odd rows."""
 
+import math
+import random
 import re
 import zlib
 from collections import defaultdict
@@ -9,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from millrace.llm import mixing
 from millrace.llm.mixing import mix_copies
 from millrace.llm.packing import deficit_schedule, pack, vocabulary_path
 
@@ -72,6 +75,33 @@ def test_mix_meets_targets(spark):
     check_mix(rows, lambda s: longest[s])
 
 
+def test_mix_converges_for_small_targets(spark):
+    """A long-tailed source among thousands: its multiplier goes far beyond what a few bounded steps reach."""
+    docs = [(i, "w " * (5000 if i < 100 else 5), "0") for i in range(1000)]
+    docs += [(1000 + i, "x " * 1512, f"s{i:04d}") for i in range(3000)]
+    mixed = mixing.mix_copies(spark.createDataFrame(docs, "doc_id long, text string, source string")).filter("source = '0'")
+    row = mixed.agg(F.sum(F.col("copies") * F.col("size")).alias("taken"), F.first("target").alias("target")).first()
+    assert row["target"] < 5000 and abs(row["taken"] - row["target"]) <= 0.02 * row["target"]
+
+
+def test_tilt_equals_a_solver(spark):
+    """Multipliers against bisection in plain numbers."""
+    rng = random.Random(3)
+    sources = {s: [rng.choice([1, 3, 10, 400]) for _ in range(rng.randint(1, 60))] for s in "abcde"}
+    share = {"a": 0.001, "b": 0.3, "c": 1.0, "d": 1.9, "e": 1.9999}
+    rows = [(s, n, sizes.count(n)) for s, sizes in sources.items() for n in set(sizes)]
+    targets = [(s, sum(x), share[s] * sum(x)) for s, x in sources.items()]
+    found = mixing.tilt(
+        spark.createDataFrame(rows, "source string, size long, docs long"),
+        spark.createDataFrame(targets, "source string, source_size long, target double"), 2,
+    )
+    for r in found.collect():
+        sizes = sources[r["source"]]
+        mean = sum(sizes) / len(sizes)
+        words = lambda m: sum(n * 2 / (1 + math.exp(min(700, -m * n / mean))) for n in sizes)  # noqa: E731,B023
+        assert words(r["multiplier"]) == pytest.approx(r["target"], rel=1e-3, abs=0.01)
+
+
 def test_mix_reruns_agree(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     first = sorted(mix_copies(docs).select("doc_id", "copies").collect())

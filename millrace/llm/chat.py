@@ -5,13 +5,15 @@ number signs and opening brackets inside texts and roles are escaped, so that ne
 can occur in them, and reading back is exact.
 
 Prefix sums of turn tokens place each turn in a span: turns end in the same half budget, and a turn
-above half a budget is a span of its own. A window is a span after the system turn and as much
-earlier history as fits its share. Repeated turns carry no loss: every assistant text is a target in
+above half of it is a span of its own. The budget of spans is what system turn and history leave of the whole,
+so a window, which is a span after the system turn and as much earlier history as fits its share, keeps
+to the budget. Repeated turns carry no loss: every assistant text is a target in
 exactly one window.
 
 Turns are ordered by ``turn``, then role and text; nulls come first, and null texts and roles are
 empty. Rows with a null conversation are one conversation. Repeated rows are turns of their own. A
-turn longer than the budget keeps its whole text in a window of its own. An empty table gives none.
+turn longer than the budget of spans keeps its whole text in a window of its own, which may exceed the budget; if
+the system turn leaves no room at all, every turn has a window to itself. An empty table gives none.
 """
 
 from __future__ import annotations
@@ -77,8 +79,12 @@ def windows(
         {"_at": F.row_number().over(order), "_upto": F.sum("_tokens").over(order.rowsBetween(Window.unboundedPreceding, 0))}
     )
     placed = placed.withColumn("_before", F.col("_upto") - F.col("_tokens"))
-    room = budget - history
-    half = room // 2
+    # A conversation's system turn is its first turn, if that has the role. It stands in every window.
+    leading = (F.col("_at") == 1) & (F.col("_role") == SYSTEM_ROLE)
+    system = F.max(F.when(leading, F.struct("_role", "_text", "_tokens"))).over(Window.partitionBy("_conv"))
+    placed = placed.withColumn("_system", system)
+    room = budget - history - F.coalesce(F.col("_system._tokens"), F.lit(0))
+    half = F.greatest(F.floor(room / 2), F.lit(1))
     large = (F.col("_tokens") > half).cast("int")
     by_place = Window.partitionBy("_conv").orderBy("_at")
     placed = placed.withColumn("_large", F.sum(large).over(by_place))
@@ -87,9 +93,6 @@ def windows(
     fresh = F.coalesce(F.col("_grid") != F.lag("_grid").over(by_place), F.lit(True))
     placed = placed.withColumn("_fresh", fresh)
     placed = placed.withColumn("_span", F.sum(F.col("_fresh").cast("int")).over(by_place))
-    # A conversation's system turn is its first turn, if that has the role.
-    leading = (F.col("_at") == 1) & (F.col("_role") == SYSTEM_ROLE)
-    placed = placed.withColumn("_system", F.max(F.when(leading, F.struct("_role", "_text", "_tokens"))).over(Window.partitionBy("_conv")))
     recent = Window.partitionBy("_conv").orderBy("_before").rangeBetween(-history, -1)
     spare = F.collect_list(F.when(~leading, F.struct("_at", "_role", "_text", "_tokens"))).over(recent)
     # Only the first turn of a span needs its history.

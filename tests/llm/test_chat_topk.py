@@ -59,6 +59,16 @@ def test_chat_budgets(spark, budget, history):
     check_chat(spark, ODD, budget=budget, history=history)
 
 
+def test_chat_system_turn_is_within_the_budget(spark):
+    say = lambda n: " ".join(["word"] * n)
+    rows = [(8, 0, "system", say(600))] + [(8, i, ("user", "assistant")[i % 2], say(20)) for i in range(1, 60)]
+    made, _ = check_chat(spark, rows)
+    assert len(made) > 3 and max(r["tokens"] for r in made) <= 1024
+    # A system turn that leaves no room: a window for every turn.
+    made, want = check_chat(spark, rows, budget=700, history=100)
+    assert len(made) == len(want[8])
+
+
 def test_chat_empty(spark):
     assert chat.windows(spark.createDataFrame([], TURNS)).count() == 0
 

@@ -85,8 +85,9 @@ def bigram_counts(docs: DataFrame, text: str) -> DataFrame:
     return shape.mapInArrow(run, "before long, word long, n long").groupBy("before", "word").agg(F.sum("n").alias("n"))
 
 
-def write_arrays(rows: DataFrame, uri: str, values: list[str], total: int) -> int:
-    """Write ``key`` and integer ``values`` as sorted arrays, one file per range of keys; their number.
+def write_arrays(rows: DataFrame, uri: str, values: list[str], total: int) -> tuple[int, frozenset[int]]:
+    """Write ``key`` and integer ``values`` as sorted arrays, one file per range of keys; the number of
+    ranges, and those that have a file.
 
     Keys are hashes, so ranges of equal width hold about equally many.
     """
@@ -119,17 +120,14 @@ def write_arrays(rows: DataFrame, uri: str, values: list[str], total: int) -> in
     placed = rows.select(shard.cast("long").alias("shard"), "key", *values)
     sorted_rows = placed.repartition(shards, "shard").sortWithinPartitions("shard", "key")
     written = sorted_rows.mapInArrow(run, "shard long, rows long")
-    materialize(written, "shards")
-    return shards
+    # A number per file.
+    return shards, frozenset(row["shard"] for row in materialize(written, "shards").select("shard").collect())
 
 
 @lru_cache(maxsize=4096)
 def _shard(uri: str, shard: int, width: int) -> np.ndarray:
-    try:
-        data = mapped_bytes(f"{uri}/{shard}")
-    except FileNotFoundError:  # no key in this range
-        return np.empty((width, 0), np.int64)
-    return data.view(np.int64).reshape(width, -1)
+    """A file that was written. If it cannot be found the task fails: its keys must not pass for unseen."""
+    return mapped_bytes(f"{uri}/{shard}").view(np.int64).reshape(width, -1)
 
 
 @dataclass(frozen=True)
@@ -138,6 +136,7 @@ class SortedArrays:
 
     uri: str
     shards: int
+    filled: frozenset[int]
     values: int
 
     def find(self, keys: np.ndarray) -> np.ndarray:
@@ -146,7 +145,7 @@ class SortedArrays:
         numbers = (keys >> np.int64(65 - self.shards.bit_length())) + self.shards // 2
         cuts = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(keys)]
         for a, b in zip(cuts, cuts[1:], strict=False):
-            if b == a:
+            if b == a or int(numbers[a]) not in self.filled:
                 continue
             stored = _shard(self.uri, int(numbers[a]), self.values + 1)
             if not stored.shape[1]:
@@ -273,7 +272,7 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
 
     def store(frame, values, total, label):
         uri = new_path(spark, label)
-        return SortedArrays(uri, write_arrays(frame, uri, values, total), len(values))
+        return SortedArrays(uri, *write_arrays(frame, uri, values, total), len(values))
 
     context_count = contexts.count()
     return Model(

@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import kneser_ney, langid, toxicity
+from millrace.llm import common, kneser_ney, langid, toxicity
+from millrace.llm.common import importable
 
 SF = "/root/testdata/sf0.01"
 DOCS = "doc_id long, text string, lang string, score string"
@@ -202,3 +203,17 @@ def test_language_odd_rows(spark):
     assert langid.identify(frame, lone, ["doc_id"]).filter("doc_id = 0").first()["lang_pred"] == "de"
     none = langid.fit(docs.filter("lang = 'xx'"))
     assert langid.identify(frame, none, ["doc_id"]).filter("doc_id = 0").first()["lang_pred"] == "und"
+
+
+def test_a_lost_file_of_the_language_model_raises(spark):
+    """Keys of a file that was written and is gone must not pass for unseen."""
+    importable(spark)
+    frame = spark.createDataFrame([(i, f"a b c w{i}") for i in range(40)], "doc_id long, text string")
+    model = kneser_ney.fit(frame)
+    assert model.words.filled
+    files, path = common.shared_files(model.words.uri)
+    for shard in model.words.filled:
+        files.delete_file(f"{path}/{shard}")
+    kneser_ney._shard.cache_clear()
+    with pytest.raises(Exception, match="No such file|FileNotFound"):
+        model.words.find(np.sort(kneser_ney.WordHash().of([b"a", b"b"]).view(np.int64)))

@@ -184,13 +184,12 @@ def _keys(row: dict, name: str) -> np.ndarray:
     return np.sort(np.frombuffer(b"".join(row[name] or ()), np.uint64))
 
 
-def _marked(block: Block, keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of the words that may be frequent, the pairs' hashes, and where a pair begins that may be."""
-    one, two = block.hashes()
+def _marked(block: Block, one: np.ndarray, two: np.ndarray, keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the words that may be frequent, and where a pair begins that may be."""
     places = np.flatnonzero(block.own)
     pair = block.pairs()
     pair[pair] = _among(keys, two[pair], bits)
-    return places[_among(keys, one[places], bits)], two, pair
+    return places[_among(keys, one[places], bits)], pair
 
 
 def screened(blocks: DataFrame, overlap: int, bits: int, least: int, longest: int, name: str) -> DataFrame:
@@ -205,11 +204,11 @@ def screened(blocks: DataFrame, overlap: int, bits: int, least: int, longest: in
 
     def phrases(row):
         block = Block(row, overlap)
+        one, two = block.hashes()
         if further:
-            _, two, pair = _marked(block, _keys(row, "keys"), bits)
+            _, pair = _marked(block, one, two, _keys(row, "keys"), bits)
             found = [(mixed, block.weight[places]) for _, places, mixed in block.longer(two, pair, longest)]
         else:
-            one, two = block.hashes()
             pairs = block.pairs()
             found = [(one[block.own], block.weight[block.own]), (two[pairs], (block.weight * block.own)[pairs])]
         return (np.concatenate([x[i] for x in found]) for i in (0, 1))
@@ -248,24 +247,24 @@ def screened(blocks: DataFrame, overlap: int, bits: int, least: int, longest: in
 
 
 def _phrases(block: Block, row: dict, bits: int, longest: int):
-    """``size, first token, lang, weight`` arrays of the block's distinct phrases that may be frequent."""
-    words, two, pair = _marked(block, _keys(row, "keys"), bits)
+    """``size, first token, hash, weight`` arrays of the block's distinct phrases that may be frequent."""
+    one, two = block.hashes()
+    words, pair = _marked(block, one, two, _keys(row, "keys"), bits)
     more = _keys(row, "more")
     code = block.words + block.lang * block.size
 
-    def counted(size, places):
+    def counted(size, places, hashes):
         found, first, number = np.unique(code[places], return_index=True, return_inverse=True)
         weight = np.bincount(number, block.weight[places], len(found)).astype(np.int64)
         if size > 1:
             code[places] = number  # dense again, so that the next product fits
-        return size, places[first], block.lang[places[first]], weight
+        return size, places[first], hashes[first], weight
 
-    if len(words):
-        yield counted(1, words)
+    yield counted(1, words, one[words])
     places = np.flatnonzero(pair & block.own)
-    if longest > 1 and len(places):
+    if longest > 1:
         code[places] = code[places] * block.size + block.words[places + 1]
-        yield counted(2, places)
+        yield counted(2, places, two[places])
     # A phrase that is not frequent begins none that is, so its place is left out for good.
     open_ = np.zeros(len(pair), bool)
     open_[places] = True
@@ -274,31 +273,60 @@ def _phrases(block: Block, row: dict, bits: int, longest: int):
         open_[:] = False
         open_[places[keep]] = True
         places = places[keep]
-        if not len(places):
-            return
         code[places] = code[places] * block.size + block.words[places + size - 1]
-        yield counted(size, places)
+        yield counted(size, places, mixed[keep])
 
 
-def phrase_counts(blocks: DataFrame, overlap: int, bits: int, longest: int) -> DataFrame:
-    """``lang, phrase, size, f`` of the phrases that may be frequent, by the columns ``keys`` and ``more``."""
+def phrase_counts(blocks: DataFrame, overlap: int, bits: int, longest: int, least: int) -> DataFrame:
+    """``lang, phrase, size, f`` of the frequent phrases, among those that the columns ``keys`` and ``more`` leave.
 
-    def run(batches):
+    Each block sends its distinct phrases with their counts to slots by hash, as lists; a slot adds them up.
+    """
+
+    def send(batches):
         for row in each_row(batches):
             block = Block(row, overlap)
-            for size, first, lang, weight in _phrases(block, row, bits, longest):
-                phrases = [b" ".join(block.tokens[i : i + size]) for i in first.tolist()]
-                yield rows_to_table(
-                    {
-                        "lang": pa.array([block.langs[i] for i in lang.tolist()], pa.string()),
-                        "phrase": pa.array(phrases, pa.binary()).cast(pa.string()),
-                        "size": pa.array(np.full(len(first), size, np.int32)),
-                        "f": weight,
-                    }
-                )
+            found = list(_phrases(block, row, bits, longest))
+            size = np.concatenate([np.full(len(first), k) for k, first, _, _ in found])
+            first, mixed, weight = (np.concatenate([x[i] for x in found]) for i in (1, 2, 3))
+            slot = (mixed >> np.uint64(32 - bits) >> np.uint64(32)).astype(np.int64)
+            order = np.argsort(slot, kind="stable")
+            bounds = np.searchsorted(slot[order], np.arange((1 << bits) + 1))
+            for number, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
+                if b > a:
+                    at = order[a:b]
+                    phrases = [b" ".join(block.tokens[i : i + k]) for i, k in zip(first[at].tolist(), size[at].tolist(), strict=True)]
+                    yield rows_to_table(
+                        {
+                            "slot": pa.array([number], pa.int64()),
+                            "langs": pa.array([block.langs], pa.list_(pa.string())),
+                            "codes": pa.array([block.lang[first[at]].astype(np.int32).tobytes()], pa.binary()),
+                            "phrases": pa.array([b"\n".join(phrases)], pa.binary()),
+                            "counts": pa.array([weight[at].tobytes()], pa.binary()),
+                        }
+                    )
+
+    def add_up(rows: pa.Table) -> pa.Table:
+        total: Counter = Counter()
+        for row in rows.to_batches():
+            for k in range(row.num_rows):
+                part = row.slice(k, 1).to_pylist()[0]
+                langs = [part["langs"][i] for i in np.frombuffer(part["codes"], np.int32).tolist()]
+                counts = np.frombuffer(part["counts"], np.int64).tolist()
+                for lang, phrase, count in zip(langs, part["phrases"].split(b"\n"), counts, strict=True):
+                    total[lang, phrase] += count
+        kept = [(lang, phrase, n) for (lang, phrase), n in total.items() if n >= least]
+        return pa.table(
+            {
+                "lang": pa.array([x[0] for x in kept], pa.string()),
+                "phrase": pa.array([x[1] for x in kept], pa.binary()).cast(pa.string()),
+                "size": pa.array([x[1].count(b" ") + 1 for x in kept], pa.int32()),
+                "f": pa.array([x[2] for x in kept], pa.int64()),
+            }
+        )
 
-    counted = blocks.mapInArrow(run, "lang string, phrase string, size int, f long")
-    return counted.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
+    sent = blocks.mapInArrow(send, "slot long, langs array<string>, codes binary, phrases binary, counts binary")
+    return sent.groupBy("slot").applyInArrow(add_up, "lang string, phrase string, size int, f long")
 
 
 def frequent_phrases(
@@ -321,8 +349,7 @@ def frequent_phrases(
         blocks = blocks.join(more, "block", "left")
     else:
         blocks = blocks.withColumn("more", F.lit(None).cast("array<binary>"))
-    counted = phrase_counts(blocks, overlap, bits, longest)
-    return materialize(counted.filter(F.col("f") >= least), "phrases"), totals
+    return materialize(phrase_counts(blocks, overlap, bits, longest, least), "phrases"), totals
 
 
 def _part(start, size):

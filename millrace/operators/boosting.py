@@ -3,9 +3,11 @@
 Feature values become bins by quantile sketches, once. Rows are then kept in persisted blocks of bins
 with their margins. A tree grows level by level: every block sums gradients and hessians per (node,
 feature, bin), the sums are added up across the cluster, and only these sums, whose size the settings
-bound, reach the driver, which chooses the splits. One tree per class grows in the same passes. The pass
-over the root also applies the trees of the round before and takes the validation loss, so early
-stopping costs no pass.
+bound, reach the driver, which chooses the splits. Below the root a pass sums the left children only; the right
+ones are what is left of their parents. One tree per class grows in the same passes. The pass over the root also
+applies the trees of the round before and takes the validation loss, so early stopping costs no pass. A
+table of one block (``BLOCK_ROWS`` rows at most) is one task's work: that task's sums are the whole sums, and it
+grows the same trees by the same code without an exchange.
 
 Gradients count in whole multiples of 2^-24, so their sums do not depend on the order of addition: a lost
 executor or another number of partitions gives the same trees. Lineage is cut by ``checkpoint()`` every
@@ -182,21 +184,26 @@ class Block:
         own = p[self.label[~self.trained], np.arange(p.shape[1])]
         return int(np.rint(-np.log(np.maximum(own, 1e-15)) * UNIT).sum()), p.shape[1]
 
-    def sums(self, trees: list[Tree], level: int, width: int) -> np.ndarray:
-        """Gradients and hessians per class, node of the level, feature and bin."""
-        nodes, first = 1 << level, (1 << level) - 1
+    def sums(self, trees: list[Tree], level: int, starts: np.ndarray) -> np.ndarray:
+        """Gradients and hessians per class, node of the level, and bin of all features side by side.
+
+        Below the root only of the left children: what remains of the parent is the right child's.
+        """
+        step = 2 if level else 1
+        nodes, first, width = (1 << level) // step, (1 << level) - 1, int(starts[-1])
         gradient, hessian = self.gradients()
-        out = np.zeros((len(trees), 2, nodes, len(self.bins), width), np.int64)
+        out = np.zeros((len(trees), 2, nodes, width), np.int64)
         for c, tree in enumerate(trees):
             at = tree.nodes(self.bins, level) - first
-            rows = np.flatnonzero(self.trained & (at >= 0))
-            base = at[rows].astype(np.int64) * width
-            g, h = gradient[c, rows], hessian[c, rows]
+            rows = np.flatnonzero(self.trained & (at >= 0) & (at % step == 0))
+            node = at[rows].astype(np.int64) // step
+            weights = gradient[c, rows], hessian[c, rows]
             for f, codes in enumerate(self.bins):
-                place = base + codes[rows]
-                for k, weights in enumerate((g, h)):
-                    total = np.bincount(place, weights, nodes * width)
-                    out[c, k, :, f] = total.astype(np.int64).reshape(nodes, width)
+                low, size = starts[f], int(starts[f + 1] - starts[f])
+                place = node * size + codes[rows]
+                for k in (0, 1):
+                    total = np.bincount(place, weights[k], nodes * size)
+                    out[c, k, :, low : low + size] = total.astype(np.int64).reshape(nodes, size)
         return out
 
     def grown(self, trees: list[Tree]) -> Block:
@@ -204,37 +211,65 @@ class Block:
         return Block(self.bins, self.label, self.trained, self.margin + more)
 
 
-def _split(sums: np.ndarray, tree: Tree, first: int, penalty: float, least: float, rate: float, last: bool) -> bool:
-    """Choose the splits of a level's nodes, given ``sums[gradient or hessian, node, feature, bin]``."""
-    g, h = sums / UNIT
-    width = g.shape[2] - 1
-    whole_g, whole_h = g[:, 0].sum(axis=1), h[:, 0].sum(axis=1)
-    tree.value[first : first + len(g)] = -rate * whole_g / (whole_h + penalty)
-    if last:
-        return False
-    own = (whole_g**2 / (whole_h + penalty))[:, None, None]
-    best = np.full(len(g), LEAST_GAIN)
-    for side in (True, False):  # missing values to the left or to the right
-        left_g = np.cumsum(g[:, :, 1:], axis=2) + side * g[:, :, :1]
-        left_h = np.cumsum(h[:, :, 1:], axis=2) + side * h[:, :, :1]
-        right_g, right_h = whole_g[:, None, None] - left_g, whole_h[:, None, None] - left_h
-        gain = 0.5 * (left_g**2 / (left_h + penalty) + right_g**2 / (right_h + penalty) - own)
-        gain[(left_h < least) | (right_h < least)] = -np.inf
-        flat = gain.reshape(len(g), -1)
-        at = flat.argmax(axis=1)
-        top = flat[np.arange(len(g)), at]
-        for i in np.flatnonzero(top > best + 1e-12):
-            best[i] = top[i]
-            tree.feature[first + i], tree.cut[first + i] = divmod(int(at[i]), width)
-            tree.cut[first + i] += 1
-            tree.missing_left[first + i] = side
-    return bool((best > LEAST_GAIN).any())
+@dataclass
+class Settings:
+    """What a tree depends on besides its sums; ``starts``: where each feature's bins begin, and their end."""
+
+    starts: np.ndarray
+    depth: int
+    rate: float
+    penalty: float
+    least: float
+
+    def split(self, sums: np.ndarray, tree: Tree, level: int) -> bool:
+        """Choose the splits of a level's nodes, given ``sums[gradient or hessian, node, bin]``."""
+        span = slice(self.starts[0], self.starts[1])  # every feature's bins hold all rows
+        value = lambda x, y: -self.rate * x / (y + self.penalty)
+        part = lambda x, y: x**2 / (y + self.penalty)
+        filled = np.flatnonzero(sums[1, :, span].any(axis=1))
+        first = (1 << level) - 1 + filled
+        g, h = sums[:, filled] / UNIT
+        whole_g, whole_h = g[:, span].sum(axis=1), h[:, span].sum(axis=1)
+        if level == 0:
+            tree.value[0] = value(whole_g, whole_h)[0]
+        own = part(whole_g, whole_h)
+        best = np.full(len(g), LEAST_GAIN)
+        # Missing values go to the left or to the right; without any, both are the same.
+        sides = (True, False) if sums[1][:, self.starts[:-1]].any() else (True,)
+        for side in sides:
+            for f, (low, high) in enumerate(zip(self.starts, self.starts[1:], strict=False)):
+                left_g = np.cumsum(g[:, low + 1 : high], axis=1) + side * g[:, low : low + 1]
+                left_h = np.cumsum(h[:, low + 1 : high], axis=1) + side * h[:, low : low + 1]
+                right_g, right_h = whole_g[:, None] - left_g, whole_h[:, None] - left_h
+                gain = 0.5 * (part(left_g, left_h) + part(right_g, right_h) - own[:, None])
+                gain[(left_h < self.least) | (right_h < self.least)] = -np.inf
+                at = gain.argmax(axis=1)
+                top = gain[np.arange(len(g)), at]
+                for i in np.flatnonzero(top > best + 1e-12):
+                    best[i], node, cut = top[i], first[i], at[i]
+                    tree.feature[node], tree.cut[node], tree.missing_left[node] = f, cut + 1, side
+                    tree.value[2 * node + 1] = value(left_g[i, cut], left_h[i, cut])
+                    tree.value[2 * node + 2] = value(right_g[i, cut], right_h[i, cut])
+        return bool((best > LEAST_GAIN).any())
+
+    def grow(self, trees: list[Tree], sums: np.ndarray, add_up) -> None:
+        """Grow the trees of a round. ``sums`` are those of the root, ``add_up(level)`` gives those of left children."""
+        for level in range(self.depth):
+            if level:
+                left = add_up(level)
+                # The right child has what the left one leaves of the parent; nothing, if the parent is a leaf.
+                split = np.stack([tree.feature[(1 << level - 1) - 1 : (1 << level) - 1] >= 0 for tree in trees])
+                sums = np.stack([left, (sums - left) * split[:, None, :, None]], axis=3)
+                sums = sums.reshape(len(trees), 2, 1 << level, -1)
+            # A list: every class's splits are chosen, also if the first of them has some.
+            if not any([self.split(sums[c], tree, level) for c, tree in enumerate(trees)]):
+                return
 
 
 def quantile_edges(rows: DataFrame, features: Sequence[str], bins: int = BINS) -> list[np.ndarray]:
     """Upper edges of each feature's bins but the last, from one pass of mergeable quantile sketches."""
     shares = [i / (bins - 1) for i in range(1, bins - 1)]
-    found = rows.approxQuantile(list(features), shares, 1 / (4 * bins))
+    found = rows.approxQuantile(list(features), shares, 1 / (2 * bins))
     return [np.unique(np.array(values, np.float64)) for values in found]
 
 
@@ -281,31 +316,79 @@ def _added(parts: RDD) -> tuple:
     return total
 
 
-def _level(blocks: RDD, trees: list[Tree], level: int, width: int) -> tuple[np.ndarray, int, int]:
+def _level(blocks: RDD, trees: list[Tree], level: int, starts: np.ndarray) -> tuple[np.ndarray, int, int]:
     """Sums of a level; at the root also the validation loss and its number of rows."""
 
     def run(part):
-        sums, loss, held = 0, 0, 0
-        for block in part:
-            sums = sums + block.sums(trees, level, width)
-            if level == 0:
-                more, rows = block.loss()
-                loss, held = loss + more, held + rows
-        yield sums, loss, held
+        yield _summed(part, trees, level, starts)
 
     return _added(blocks.mapPartitions(run))
 
 
-def _grow(blocks: RDD, trees: list[Tree], sums: np.ndarray, penalty: float, least: float, rate: float) -> None:
-    """Grow the trees of a round, one pass per level; ``sums`` are those of the root."""
-    depth, width = trees[0].depth, sums.shape[-1]
-    for level in range(depth + 1):
-        if level:
-            sums = _level(blocks, trees, level, width)[0]
-        first = (1 << level) - 1
-        # A list: every class's splits are chosen, also if the first of them has some.
-        if not any([_split(sums[c], tree, first, penalty, least, rate, level == depth) for c, tree in enumerate(trees)]):
-            break
+def _summed(blocks, trees: list[Tree], level: int, starts: np.ndarray) -> tuple[np.ndarray, int, int]:
+    sums, loss, held = 0, 0, 0
+    for block in blocks:
+        sums = sums + block.sums(trees, level, starts)
+        if level == 0:
+            more, rows = block.loss()
+            loss, held = loss + more, held + rows
+    return sums, loss, held
+
+
+class Progress:
+    """Rounds so far and when to stop."""
+
+    def __init__(self, rounds: int, patience: int | None):
+        self.rounds, self.patience = rounds, patience
+        self.trees: list[list[Tree]] = []
+        self.losses: list[float] = []
+        self.best = 0
+
+    def over(self, loss: int, tested: int) -> bool:
+        """Take the validation loss of the rounds so far; True if no further round is to be grown."""
+        number = len(self.trees)
+        if tested:
+            self.losses.append(loss / UNIT / tested)
+            self.best = number if self.losses[-1] < self.losses[self.best] else self.best
+        return number == self.rounds or bool(self.patience and tested and number - self.best >= self.patience)
+
+
+def _grow_in_task(blocks: list[Block], progress: Progress, margins: int, settings: Settings) -> Progress:
+    """All rounds over the blocks of one task: its sums are the whole sums."""
+    while True:
+        trees = [Tree.empty(settings.depth) for _ in range(margins)]
+        sums, loss, tested = _summed(blocks, trees, 0, settings.starts)
+        if progress.over(loss, tested):
+            return progress
+        settings.grow(trees, sums, lambda level: _summed(blocks, trees, level, settings.starts)[0])  # noqa: B023
+        progress.trees.append(trees)
+        blocks = [block.grown(trees) for block in blocks]
+
+
+def _grow_on_cluster(blocks: RDD, progress: Progress, margins: int, settings: Settings, spark: SparkSession) -> Progress:
+    """All rounds, one pass over the persisted blocks per level."""
+    sc, stale = spark.sparkContext, None
+    blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        while True:
+            trees = [Tree.empty(settings.depth) for _ in range(margins)]
+            sums, loss, tested = _level(blocks, trees, 0, settings.starts)
+            if stale is not None:
+                stale.unpersist()
+            if progress.over(loss, tested):
+                return progress
+            settings.grow(trees, sums, lambda level: _level(blocks, trees, level, settings.starts)[0])  # noqa: B023
+            progress.trees.append(trees)
+            grown = blocks.map(lambda block, trees=trees: block.grown(trees)).persist(StorageLevel.MEMORY_AND_DISK)
+            if len(progress.trees) % CUT_AFTER == 0:
+                if not sc.getCheckpointDir():
+                    sc.setCheckpointDir(f"{shared_dir(spark)}/checkpoints")
+                grown.checkpoint()
+            stale, blocks = blocks, grown
+    finally:
+        blocks.unpersist()
+        if stale is not None:
+            stale.unpersist()
 
 
 def boost(
@@ -339,35 +422,27 @@ def boost(
         return BoostedTrees(list(features), [np.empty(0) for _ in features], classes)
     edges = quantile_edges(ready.filter(~F.col("_held")), [f"_f{i}" for i in range(len(features))], bins)
     model = BoostedTrees(list(features), edges, classes)
-    margins, width = (1 if classes == 2 else classes), 2 + max(len(e) for e in edges)
+    margins = 1 if classes == 2 else classes
+    settings = Settings(np.cumsum([0, *[len(e) + 2 for e in edges]]), depth, rate, penalty, least_hessian)
+    progress = Progress(rounds, patience)
     sc = rows.sparkSession.sparkContext
-    # As many partitions as keep the cores busy, fewer if there are not enough rows for blocks of their own.
+    # Blocks of their own for all cores, or more of them; a table of one block needs no exchange at all.
     parts = max(1, min(4 * sc.defaultParallelism, -(-shape["rows"] // BLOCK_ROWS)))
-    blocks = _blocks(ready.repartition(parts), edges, margins).persist(StorageLevel.MEMORY_AND_DISK)
-    stale, best = None, 0
-    try:
-        for number in range(rounds + 1):
-            trees = [Tree.empty(depth) for _ in range(margins)]
-            sums, loss, tested = _level(blocks, trees, 0, width)
-            if stale is not None:
-                stale.unpersist()
-            if tested:
-                model.losses.append(loss / UNIT / tested)
-                best = number if model.losses[-1] < model.losses[best] else best
-            if number == rounds or (patience and tested and number - best >= patience):
-                break
-            _grow(blocks, trees, sums, penalty, least_hessian, rate)
-            model.rounds.append(trees)
-            grown = blocks.map(lambda block, trees=trees: block.grown(trees)).persist(StorageLevel.MEMORY_AND_DISK)
-            if (number + 1) % CUT_AFTER == 0:
-                if not sc.getCheckpointDir():
-                    sc.setCheckpointDir(f"{shared_dir(rows.sparkSession)}/checkpoints")
-                grown.checkpoint()
-            stale, blocks = blocks, grown
-    finally:
-        blocks.unpersist()
-        if stale is not None:
-            stale.unpersist()
+    if parts > 1:
+        parts = -(-parts // sc.defaultParallelism) * sc.defaultParallelism
+    blocks = _blocks(ready.repartition(parts), edges, margins)
+    if parts == 1:
+
+        def run(part):
+            done = _grow_in_task(list(part), Progress(rounds, patience), margins, settings)
+            plain = [[(t.feature, t.cut, t.missing_left, t.value) for t in trees] for trees in done.trees]
+            yield plain, done.losses, done.best
+
+        plain, progress.losses, progress.best = blocks.coalesce(1).mapPartitions(run).collect()[0]
+        progress.trees = [[Tree(*t) for t in trees] for trees in plain]
+    else:
+        progress = _grow_on_cluster(blocks, progress, margins, settings, rows.sparkSession)
+    model.rounds, model.losses = progress.trees, progress.losses
     if patience and model.losses:
-        model.rounds = model.rounds[: max(best, 1)]
+        model.rounds = model.rounds[: max(progress.best, 1)]
     return model

@@ -29,6 +29,11 @@ NOTE_NOT_BLOCKED = "expected guardrail block"
 NOTE_KEYWORDS = "missing keywords: "
 NOTE_BLOCKED = "unexpected guardrail: "
 
+# Our own choice: texts, for each one asked for, that are scored in full for a first bound.
+SEED_TEXTS = 8
+BLOCKS_PER_DOUBLING = 4  # of a text's vector length
+UNREAD_SHARE = 0.3  # of the k-th score: the most that the lists of a block that are not read may add up to
+
 
 def chunk_documents(
     docs: DataFrame,
@@ -87,43 +92,45 @@ def inverse_frequencies(counts: DataFrame, total: int) -> DataFrame:
     return held.select("term", F.log((F.lit(total) + 1.0) / (F.col("_held") + 1.0)).alias("idf")).filter("idf > 0")
 
 
-def unit_weights(counts: DataFrame, frequencies: DataFrame, key: str) -> DataFrame:
-    """Sparse unit vectors: rows ``(key, term, weight)``."""
-    weighted = counts.join(frequencies, "term").select(key, "term", (F.col("n") * F.col("idf")).alias("_w"))
-    lengths = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_length"))
-    return weighted.join(lengths, key).select(key, "term", (F.col("_w") / F.col("_length")).alias("weight"))
+def vector_lengths(counts: DataFrame, frequencies: DataFrame, key: str) -> DataFrame:
+    """``key, _length`` of the weight vectors; texts without a weighted term are left out."""
+    weighted = counts.join(frequencies, "term").select(key, (F.col("n") * F.col("idf")).alias("_w"))
+    return weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_length"))
+
 
+def unit_weights(counts: DataFrame, frequencies: DataFrame, lengths: DataFrame, key: str) -> DataFrame:
+    """Sparse unit vectors: rows ``(key, term, weight)``."""
+    weighted = counts.join(frequencies, "term").join(lengths, key)
+    return weighted.select(key, "term", (F.col("n") * F.col("idf") / F.col("_length")).alias("weight"))
 
-def impact_level(weight: Column) -> Column:
-    """Blocks of a term's list: weights within a factor of 2^(1/4)."""
-    return F.least(F.floor(-4 * F.log2(weight)), F.lit(60)).cast("int")
 
+def build_lists(texts: DataFrame, key: str, text: str, wanted: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Inverted lists ``key, term, block, weight`` of the texts, the greatest weight of each block
+    ``term, block, top``, and ``term, idf``. All three are stored. With ``wanted`` (a column ``term``) only the
+    lists of these terms are built.
 
-def build_lists(texts: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Inverted lists ``key, term, level, weight`` of the texts, the greatest weight of each block
-    ``term, level, top``, and ``term, idf``. All three are stored.
+    A text is in one block, by the length of its vector before it is made a unit: a word weighs much in short texts,
+    which would make a maximum over all texts useless for long ones.
     """
     counts = materialize(term_counts(texts, key, text), "terms")
     # A text without words has no terms; it is none of the texts counted.
     total = counts.agg(F.count_distinct(key)).first()[0]
     frequencies = materialize(inverse_frequencies(counts, total), "frequencies")
-    lists = unit_weights(counts, frequencies, key).withColumn("level", impact_level(F.col("weight")))
-    lists = materialize(lists, "lists")
-    blocks = materialize(lists.groupBy("term", "level").agg(F.max("weight").alias("top")), "blocks")
+    lengths = materialize(vector_lengths(counts, frequencies, key), "lengths")
+    if wanted is not None:
+        frequencies = materialize(frequencies.join(wanted, "term", "left_semi"), "frequencies")
+    weighted = counts.join(frequencies, "term").join(lengths, key)
+    block = F.floor(BLOCKS_PER_DOUBLING * F.log2("_length")).cast("int")
+    weight = F.col("n") * F.col("idf") / F.col("_length")
+    lists = materialize(weighted.select(key, "term", block.alias("block"), weight.alias("weight")), "lists")
+    blocks = materialize(lists.groupBy("term", "block").agg(F.max("weight").alias("top")), "blocks")
     return lists, blocks, frequencies
 
 
-def question_blocks(asked: DataFrame, blocks: DataFrame, question_id: str) -> DataFrame:
-    """Each question's blocks ``term, level, _asked, _gain, _rest``.
-
-    ``_gain``: the most that the block adds to a text's score; ``_rest``: the most that all other terms of the
-    question add.
-    """
-    met = asked.join(blocks, "term").withColumn("_gain", F.col("_asked") * F.col("top"))
-    best = met.groupBy(question_id, "term").agg(F.max("_gain").alias("_best"))
-    whole = best.groupBy(question_id).agg(F.sum("_best").alias("_whole"))
-    told = met.join(best, [question_id, "term"]).join(whole, question_id)
-    return told.withColumn("_rest", F.col("_whole") - F.col("_best"))
+def full_scores(pairs: DataFrame, asked: DataFrame, lists: DataFrame, question_id: str, text_id: str) -> DataFrame:
+    """``similarity`` of the given pairs of question and text over all their common terms, at nine digits."""
+    met = pairs.join(asked, question_id).join(lists.select(text_id, "term", "weight"), [text_id, "term"])
+    return met.groupBy(question_id, text_id).agg(F.round(F.sum(F.col("weight") * F.col("_asked")), 9).alias("similarity"))
 
 
 def retrieve(
@@ -138,48 +145,47 @@ def retrieve(
 ) -> DataFrame:
     """The ``k`` texts nearest to each question by cosine of word weights: exact, with bounds.
 
-    Inverted lists are cut into blocks by weight, each with its maximum. The lists of the ``seeds`` terms that
-    can add most to a question's scores give it a first k-th score. A block is then read only if a text in it can
-    still reach that score with the maxima of all other terms. Texts whose read weights and the maxima of what was
-    not read stay below it are given up; the others are scored in full. Texts that share no term with the question are not
-    returned.
+    Inverted lists are cut into blocks of texts, each with its maximum weight. The lists of the ``seeds`` weightiest
+    terms of a question give it some texts, whose full scores give a first k-th score. Of each block the lists
+    are left out whose maxima add up to a small share of that score. Texts whose read weights and the maxima of what
+    was not read stay below the k-th score, as far as it is known by then, are given up; the others are scored in
+    full. Texts that share no term with the question are not returned.
     """
-    lists, blocks, frequencies = build_lists(texts, text_id, text)
-    asked = unit_weights(term_counts(questions, question_id, question), frequencies, question_id)
+    words_asked = materialize(term_counts(questions, question_id, question), "words-asked")
+    lists, blocks, frequencies = build_lists(texts, text_id, text, words_asked.select("term").distinct())
+    lengths = vector_lengths(words_asked, frequencies, question_id)
+    asked = unit_weights(words_asked, frequencies, lengths, question_id)
     asked = materialize(asked.withColumnRenamed("weight", "_asked"), "questions")
-    met = materialize(question_blocks(asked, blocks, question_id), "question-blocks")
 
-    # A first bound: sums over some of the terms are not above the full scores.
-    gains = met.groupBy(question_id, "term", "_asked").agg(F.max("_gain").alias("_gain"))
-    strong = top_per_key(gains, [question_id], [F.desc("_gain"), F.asc("term")], seeds)
+    # Texts of the questions' weightiest words, scored in full, give a first k-th score.
+    strong = top_per_key(asked, [question_id], [F.desc("_asked"), F.asc("term")], seeds)
     begun = lists.join(strong.select(question_id, "term", "_asked"), "term")
     begun = begun.groupBy(question_id, text_id).agg(F.sum(F.col("weight") * F.col("_asked")).alias("_part"))
-    some = top_per_key(begun, [question_id], [F.desc("_part"), F.asc(text_id)], k)
-    floor = some.groupBy(question_id).agg(F.when(F.count(F.lit(1)) >= k, F.min("_part")).alias("_floor"))
-    floor = materialize(floor, "floor")
-
-    # Rounding: scores are compared at nine digits.
-    reaches = lambda most: most >= F.coalesce(F.col("_floor"), F.lit(0.0)) - 1e-8
-    bounded = met.join(floor, question_id, "left")
-    # Terms by falling gain; the last ones together cannot lift a text without the others over the floor.
-    ranked = bounded.groupBy(question_id, "term", "_asked", "_floor").agg(F.max("_gain").alias("_best"))
-    tail = Window.partitionBy(question_id).orderBy("_best", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    needed = ranked.withColumn("_upto", F.sum("_best").over(tail)).filter(reaches(F.col("_upto")))
-    needed = materialize(needed, "needed")
-    unread = ranked.join(needed.select(question_id, "term"), [question_id, "term"], "left_anti")
-    unread = unread.groupBy(question_id).agg(F.sum("_best").alias("_unread"))
-    open_blocks = bounded.join(needed.select(question_id, "term"), [question_id, "term"], "left_semi")
-    open_blocks = open_blocks.filter(reaches(F.col("_gain") + F.col("_rest"))).select(question_id, "term", "level", "_asked")
-    read = lists.join(materialize(open_blocks, "open"), ["term", "level"])
-    sums = read.groupBy(question_id, text_id).agg(F.sum(F.col("weight") * F.col("_asked")).alias("_part"))
-    limits = floor.join(unread, question_id, "outer")
-    # A text in a block that is left out stays below the floor in any case, so its sum may lack that block.
-    most = F.col("_part") + F.coalesce("_unread", F.lit(0.0))
-    near = sums.join(limits, question_id, "left").filter(reaches(most)).select(question_id, text_id)
-    near = materialize(near, "near")
-
-    full = near.join(asked, question_id).join(lists.select(text_id, "term", "weight"), [text_id, "term"])
-    scored = full.groupBy(question_id, text_id).agg(F.round(F.sum(F.col("weight") * F.col("_asked")), 9).alias("similarity"))
+    some = materialize(top_per_key(begun, [question_id], [F.desc("_part"), F.asc(text_id)], SEED_TEXTS * k), "seeds")
+    tried = full_scores(some.select(question_id, text_id), asked, lists, question_id, text_id)
+    first = top_per_key(tried, [question_id], [F.desc("similarity"), F.asc(text_id)], k)
+    floor = first.groupBy(question_id).agg((F.when(F.count(F.lit(1)) >= k, F.min("similarity")) - 1e-8).alias("_floor"))
+
+    # In each block, terms by rising gain: the first ones together cannot lift a text to the floor without others.
+    met = asked.join(blocks, "term").withColumn("_gain", F.col("_asked") * F.col("top")).join(floor, question_id, "left")
+    rising = Window.partitionBy(question_id, "block").orderBy("_gain", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = met.withColumns({"_upto": F.sum("_gain").over(rising), "_floor": F.coalesce("_floor", F.lit(0.0))})
+    met = materialize(met, "question-blocks")
+    spare = F.col("_upto") < UNREAD_SHARE * F.col("_floor")
+    needed = met.filter(~spare).select(question_id, "term", "block", "_asked")
+    unread = met.filter(spare).groupBy(question_id, "block").agg(F.max("_upto").alias("_unread"))
+    sums = lists.join(needed, ["term", "block"]).groupBy(question_id, text_id, "block")
+    sums = sums.agg(F.sum(F.col("weight") * F.col("_asked")).alias("_part"))
+    # The floor again, by what was read: sums over some of the terms are not above the full scores.
+    limits = sums.join(met.select(question_id, "_floor").distinct(), question_id).join(unread, [question_id, "block"], "left")
+    limits = limits.withColumn("_most", F.col("_part") + F.coalesce("_unread", F.lit(0.0))).filter("_most >= _floor")
+    limits = materialize(limits.select(question_id, text_id, "_part", "_most"), "limits")
+    best_parts = top_per_key(limits, [question_id], [F.desc("_part"), F.asc(text_id)], k)
+    raised = best_parts.groupBy(question_id).agg((F.when(F.count(F.lit(1)) >= k, F.min("_part")) - 1e-8).alias("_raised"))
+    near = limits.join(raised, question_id).filter(F.col("_most") >= F.coalesce("_raised", F.lit(0.0)))
+    near = materialize(near.select(question_id, text_id), "near")
+
+    scored = full_scores(near, asked, lists, question_id, text_id)
     best = top_per_key(scored, [question_id], [F.desc("similarity"), F.asc(text_id)], k)
     return best.select(F.col(question_id).cast("long").alias("query_id"), text_id, "similarity", "position")
 

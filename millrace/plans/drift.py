@@ -7,14 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.ranking import running_totals
-from millrace.session import materialize
+from millrace.operators.ranking import running_totals, with_rank
+from millrace.session import materialize, stored_side
 
 # Our own limits: a feature drifts if its stability index or its distribution distance is too high.
 PSI_LIMIT = 0.2
 KS_FACTOR = 1.36  # large-sample 5 % point of the two-sample Kolmogorov-Smirnov distance
+DISTANCE_LIMIT = 0.1  # of either distance, from which a feature of a large sample drifts
+FEW_VALUES = 5  # a feature of so many values at most is compared value by value
 BINS = 10
 EMPTY_SHARE = 1e-4
+LEAST_SPREAD = 1e-3  # by which an area is divided at least
 
 
 def _long(df: DataFrame, features: Sequence[str], side: str) -> DataFrame:
@@ -130,6 +133,50 @@ def drift_report(reference: DataFrame, current: DataFrame, features: Sequence[st
     )
 
 
+def drift_distances(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
+    """One row per feature for samples too large for tests, which call every difference significant.
+
+    ``wasserstein``: the area between the two distribution functions in standard deviations of the reference.
+    ``jensen_shannon``: the square root of the divergence (base 2) between the shares of values. ``distance`` is the
+    second for features of at most ``FEW_VALUES`` values, else the first; from ``DISTANCE_LIMIT`` on the feature
+    ``drifted``. Without values on a side all are null, and it has drifted if the other side has some.
+    Both are sums over the stored running counts of distinct values; neighbours meet by rank, so no task
+    holds a feature.
+    """
+    summed = with_rank(_cumulative(reference, current, features), ["value"], "_rank", ["feature"])
+    summed = materialize(summed, "ranked")
+    following = summed.select("feature", (F.col("_rank") - 1).alias("_rank"), F.col("value").alias("_next"))
+    sizes = summed.groupBy("feature").agg(F.sum("ref").alias("reference_rows"), F.sum("cur").alias("current_rows"))
+    sizes = stored_side(sizes)  # one row per feature
+    placed = summed.join(following, ["feature", "_rank"], "left").join(sizes, "feature")
+    share = lambda part, whole: F.try_divide(F.col(part), F.col(whole))
+    area = F.abs(share("ref_upto", "reference_rows") - share("cur_upto", "current_rows")) * (F.col("_next") - F.col("value"))
+    p, q = share("ref", "reference_rows"), share("cur", "current_rows")
+    lost = lambda x: F.when(x > 0, x * F.log2(x / ((p + q) / 2)))
+    zero = F.lit(0.0)
+    found = placed.groupBy("feature", "reference_rows", "current_rows").agg(
+        F.count(F.lit(1)).alias("values"),
+        F.coalesce(F.sum(area), zero).alias("_area"),
+        (F.coalesce(F.sum(lost(p)), zero) / 2 + F.coalesce(F.sum(lost(q)), zero) / 2).alias("_divergence"),
+        F.sum(F.col("ref") * F.col("value")).alias("_sum"),
+        F.sum(F.col("ref") * F.col("value") * F.col("value")).alias("_squares"),
+    )
+    n = F.col("reference_rows")
+    spread = F.sqrt(F.greatest(F.try_divide(F.col("_squares"), n) - F.pow(F.try_divide(F.col("_sum"), n), F.lit(2)), zero))
+    both = (n > 0) & (F.col("current_rows") > 0)
+    found = found.withColumns(
+        {
+            "wasserstein": F.when(both, F.col("_area") / F.greatest(spread, F.lit(LEAST_SPREAD))),
+            "jensen_shannon": F.when(both, F.sqrt(F.greatest("_divergence", zero))),
+        }
+    )
+    distance = F.when(F.col("values") <= FEW_VALUES, F.col("jensen_shannon")).otherwise(F.col("wasserstein"))
+    drifted = F.coalesce(F.col("distance") >= DISTANCE_LIMIT, F.lit(True))
+    return found.withColumn("distance", distance).select(
+        "feature", "reference_rows", "current_rows", "values", "wasserstein", "jensen_shannon", "distance", drifted.alias("drifted")
+    )
+
+
 def drift_summary(report: DataFrame) -> DataFrame:
     """One row: rows of both tables, drifted features, and whether at least half of them drifted."""
     return report.agg(

@@ -9,7 +9,7 @@ from millrace.functions.cleaning import blank_to_null, safe_date, safe_double, t
 from millrace.functions.timeparts import month_part, month_start, year_part
 from millrace.plans.complaints import company_product_mart, product_month_mart, ranked_counts, stage
 from millrace.registry import query, table
-from millrace.sources.landing import land_parquet, read_with_rescue, typed_view, variant_schema
+from millrace.sources.landing import land_parquet, read_with_rescue, typed_view, variant_paths, variant_schema
 
 
 def complaint_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -201,6 +201,28 @@ def variant_keys(spark: SparkSession, sf: str) -> DataFrame:
     return variant_schema(land_parquet(spark, f"{sf}/events.parquet"))
 
 
+@query(
+    "variant_paths",
+    r"""
+WITH d AS (
+  SELECT concat('{"props": ', props, ', "tags": ["', event_type, '", null, [', event_id, ', 1.5]], "ok": ',
+    CASE WHEN event_type = 'error' THEN 'null' ELSE 'true' END, '}')::JSON AS doc FROM events
+), t AS (SELECT regexp_replace(fullkey, '\[[0-9]+\]', '[*]', 'g') AS path, type FROM d, json_tree(d.doc))
+SELECT path, CASE WHEN type IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN 'number' WHEN type = 'VARCHAR' THEN 'text' ELSE lower(type) END
+  AS type, count(*) AS rows
+FROM t GROUP BY 1, 2
+""",
+)
+def paths_of_variants(spark: SparkSession, sf: str) -> DataFrame:
+    """All paths of a nested document made of each event."""
+    ok = F.when(F.col("event_type") == "error", "null").otherwise("true")
+    text = F.concat(
+        F.lit('{"props": '), "props", F.lit(', "tags": ["'), "event_type", F.lit('", null, ['),
+        F.col("event_id").cast("string"), F.lit(', 1.5]], "ok": '), ok, F.lit("}"),
+    )
+    return variant_paths(table(spark, sf, "events").select(F.try_parse_json(text).alias("src")))
+
+
 @query(
     "schema_merge_rescue",
     """

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.text import words
 from millrace.operators.encode import encode_categories
 from millrace.operators.sampling import in_share, stratified_split
-from millrace.plans.drift import drift_report, drift_summary
+from millrace.plans.drift import drift_distances, drift_report, drift_summary
 from millrace.plans.latency import latency_summary
 from millrace.plans.training import (
     CATEGORIES,
@@ -228,6 +228,45 @@ def drift(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "drift_distances",
+    f"""
+WITH long AS (
+  SELECT 'value' AS feature, value, ts < '{HALF}' AS is_ref FROM events
+  UNION ALL SELECT 'weekday', CAST(dayofweek(ts) AS DOUBLE), ts < '{HALF}' FROM events
+  UNION ALL SELECT 'late', CAST(hour(ts) > 17 AND ts < '{HALF}' AS DOUBLE), ts < '{HALF}' FROM events
+), v AS (
+  SELECT feature, value, count(*) FILTER (WHERE is_ref) AS r, count(*) FILTER (WHERE NOT is_ref) AS c
+  FROM long GROUP BY 1, 2
+), s AS (
+  SELECT *, sum(r) OVER w / sum(r) OVER f AS rs, sum(c) OVER w / sum(c) OVER f AS cs, r / sum(r) OVER f AS p,
+         c / sum(c) OVER f AS q, sum(r) OVER f AS rn, sum(c) OVER f AS cn, lead(value) OVER w AS following
+  FROM v WINDOW w AS (PARTITION BY feature ORDER BY value), f AS (PARTITION BY feature)
+), d AS (
+  SELECT feature, any_value(rn) AS rn, any_value(cn) AS cn, count(*) AS n, sum(abs(rs - cs) * (following - value)) AS area,
+         sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END) / 2
+           + sum(CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2 AS js,
+         sqrt(sum(r * value * value) / any_value(rn) - (sum(r * value) / any_value(rn)) ** 2) AS spread
+  FROM s GROUP BY 1
+), e AS (
+  SELECT *, area / greatest(spread, 0.001) AS wasserstein, sqrt(greatest(js, 0)) AS jensen_shannon FROM d
+)
+SELECT feature, CAST(rn AS BIGINT) AS reference_rows, CAST(cn AS BIGINT) AS current_rows, n AS "values",
+       round(wasserstein, 6) AS wasserstein, round(jensen_shannon, 6) AS jensen_shannon,
+       CASE WHEN n <= 5 THEN jensen_shannon ELSE wasserstein END >= 0.1 AS drifted
+FROM e
+""",
+)
+def distances(spark: SparkSession, sf: str) -> DataFrame:
+    """First against second half of the month: a value, the weekday, and a flag that only the first half knows."""
+    events = table(spark, sf, "events").select(
+        "ts", "value", (F.dayofweek("ts") - 1).alias("weekday"),
+        ((F.hour("ts") > 17) & (F.col("ts") < HALF)).cast("int").alias("late"),
+    )
+    found = drift_distances(events.filter(F.col("ts") < HALF), events.filter(F.col("ts") >= HALF), ["value", "weekday", "late"])
+    return found.withColumns({c: F.round(c, 6) for c in ("wasserstein", "jensen_shannon")}).drop("distance")
+
+
 def _lost_values(spark: SparkSession, sf: str) -> DataFrame:
     """Drift of features that are null everywhere, null in half of the rows, or null on one side only."""
     events = table(spark, sf, "events").select(

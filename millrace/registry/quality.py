@@ -27,6 +27,7 @@ from millrace.operators.quality import (
     row_count_test,
     unique_test,
 )
+from millrace.operators.sketches import DISTINCT_ERROR, RANK_ERROR, daily_sketches, range_summary
 from millrace.registry import query, table
 from millrace.session import materialize, new_path
 from millrace.sources.landing import land_parquet
@@ -163,6 +164,42 @@ def inventory_of_schemas(spark: SparkSession, sf: str) -> DataFrame:
     return found.filter(F.col("schema").startswith("inventory_"))
 
 
+@query(
+    "sketch_ranges",
+    """
+WITH r AS (
+  SELECT * FROM (VALUES ('day', '2024-01-03', '2024-01-03'), ('week', '2024-01-08', '2024-01-14'), ('all', '2024-01-01', '2024-12-31'))
+    AS v("range", first, last)
+)
+SELECT "range", count(*) AS rows, count(DISTINCT user_id) AS exact_distinct, true AS distinct_within, true AS ranks_within
+FROM r JOIN events e ON strftime(e.ts, '%Y-%m-%d') BETWEEN r.first AND r.last GROUP BY 1
+""",
+)
+def sketch_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Users and value quantiles of ranges of days from stored sketches, held against the raw rows: distinct counts
+    within three standard errors, the ranks of the quantiles within twice their bound."""
+    events = table(spark, sf, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    rows = [("day", "2024-01-03", "2024-01-03"), ("week", "2024-01-08", "2024-01-14"), ("all", "2024-01-01", "2024-12-31")]
+    ranges = spark.createDataFrame(rows, "range string, first string, last string")
+    stored = materialize(daily_sketches(events, F.col("day"), "user_id", "value"), "sketches")
+    shares = (0.5, 0.95)
+    found = materialize(range_summary(stored, ranges, shares), "ranges")
+    raw = events.join(F.broadcast(ranges), F.col("day").between(F.col("first"), F.col("last")))
+    raw = raw.join(F.broadcast(found.select("range", "quantiles")), "range")
+    # A value's rank is a span where others are equal to it.
+    below = [F.avg((F.col("value") < F.col("quantiles")[i]).cast("double")).alias(f"_below{i}") for i in range(len(shares))]
+    upto = [F.avg((F.col("value") <= F.col("quantiles")[i]).cast("double")).alias(f"_upto{i}") for i in range(len(shares))]
+    exact = raw.groupBy("range").agg(F.count_distinct("user_id").alias("exact_distinct"), *below, *upto)
+    near = F.lit(True)
+    for i, share in enumerate(shares):
+        near = near & (F.col(f"_below{i}") - 2 * RANK_ERROR <= share) & (F.col(f"_upto{i}") + 2 * RANK_ERROR >= share)
+    error = F.abs(F.col("distinct") - F.col("exact_distinct"))
+    return found.join(exact, "range").select(
+        "range", "rows", "exact_distinct", (error <= 3 * DISTINCT_ERROR * F.col("exact_distinct") + 1).alias("distinct_within"),
+        near.alias("ranks_within"),
+    )
+
+
 DQ_SQL = """
 SELECT 'not_null' AS test, 'o_orderkey' AS "column",
        count(*) FILTER (WHERE o_orderkey IS NULL) AS failures, 'error' AS severity, 'pass' AS status FROM orders

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.cleaning import variant_text
+from millrace.session import materialize
 
 # Header spellings of the complaint columns.
 COMPLAINT_SPELLINGS = {
@@ -69,6 +70,35 @@ def variant_schema(landing: DataFrame, source: str = "src") -> DataFrame:
     return landing.agg(F.schema_of_variant_agg(source).alias("variant_schema"))
 
 
+def _variant_type(value: str) -> Column:
+    """object, array, number, text, boolean, null, or another type's own name."""
+    name = F.lower(F.regexp_extract(F.schema_of_variant(value), r"^(\w+)", 1))
+    known = F.when(name == "void", "null").when(name == "string", "text")
+    return known.when(name.isin("bigint", "decimal", "double", "float", "int", "smallint", "tinyint"), "number").otherwise(name)
+
+
+def variant_paths(landing: DataFrame, source: str = "src") -> DataFrame:
+    """Rows ``path, type, rows`` of all values in the landed variants, however deep they lie.
+
+    Members are ``.name``, elements of arrays ``[*]``; nulls are a type. Each level is exploded once and counted; the
+    loop ends with the level that holds no object and no array.
+    """
+    spark = landing.sparkSession
+    level = landing.select(F.lit("$").alias("path"), F.col(source).alias("value")).filter(F.col(source).isNotNull())
+    counts = None
+    while True:
+        level = level.withColumn("type", _variant_type("value"))
+        found = materialize(level.groupBy("path", "type").agg(F.count(F.lit(1)).alias("rows")), "paths")
+        counts = found if counts is None else counts.unionByName(found)
+        if found.filter(F.col("type").isin("object", "array")).isEmpty():
+            return counts
+        inner = level.filter(F.col("type").isin("object", "array")).select("path", "value")
+        level = spark.sql(
+            "SELECT concat(path, coalesce(concat('.', e.key), '[*]')) AS path, e.value FROM {inner}, LATERAL variant_explode(value) AS e",
+            inner=inner,
+        )
+
+
 def read_with_rescue(spark: SparkSession, contract: Sequence[str], *paths: str) -> DataFrame:
     """Files of differing schemas as one frame of the contract columns.
 

@@ -232,3 +232,25 @@ def test_one_writer_per_version(spark, tmp_path):
     assert merge_partitions(rows, root, ["k"], "at", F.col("day")) == 1
     with pytest.raises(ValueError, match="announced"):
         release(spark, root, 1)
+
+
+def test_distances_of_large_samples(spark):
+    from millrace.plans.drift import drift_distances
+
+    rng = random.Random(2)
+    ref = [(rng.gauss(0, 2), float(rng.randrange(3)), None) for _ in range(400)]
+    cur = [(rng.gauss(1, 2), float(rng.randrange(2)), 1.0) for _ in range(300)]
+    frame = lambda rows: spark.createDataFrame(rows, "a double, b double, c double")
+    rows = {r["feature"]: r for r in drift_distances(frame(ref), frame(cur), ["a", "b", "c"]).collect()}
+    x, y = sorted(r[0] for r in ref), sorted(r[0] for r in cur)
+    points = sorted(x + y)
+    below = lambda data, v: sum(d <= v for d in data) / len(data)
+    area = sum(abs(below(x, v) - below(y, v)) * (w - v) for v, w in zip(points, points[1:]))
+    assert rows["a"]["wasserstein"] == pytest.approx(area / np.std(x)) and rows["a"]["distance"] == rows["a"]["wasserstein"]
+    p = [sum(r[1] == v for r in ref) / 400 for v in range(3)]
+    q = [sum(r[1] == v for r in cur) / 300 for v in range(3)]
+    half = lambda a: sum(s * math.log2(2 * s / (t + u)) for s, t, u in zip(a, p, q) if s) / 2
+    assert rows["b"]["distance"] == rows["b"]["jensen_shannon"] == pytest.approx(math.sqrt(half(p) + half(q)))
+    assert rows["b"]["drifted"] and rows["c"]["drifted"] and rows["c"]["distance"] is None
+    same = drift_distances(frame(ref), frame(ref), ["a"]).first()
+    assert same["wasserstein"] == 0 and same["jensen_shannon"] == 0 and not same["drifted"]

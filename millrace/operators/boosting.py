@@ -210,6 +210,9 @@ class Block:
         more = np.stack([tree.scores(self.bins) for tree in trees])
         return Block(self.bins, self.label, self.trained, self.margin + more)
 
+    def fields(self) -> tuple:
+        return self.bins, self.label, self.trained, self.margin
+
 
 @dataclass
 class Settings:
@@ -274,7 +277,9 @@ def quantile_edges(rows: DataFrame, features: Sequence[str], bins: int = BINS) -
 
 
 def _blocks(rows: DataFrame, edges: list[np.ndarray], margins: int) -> RDD:
-    """Persistable blocks of the rows: one column per feature, then ``_label`` and ``_held``."""
+    """The fields of ``Block`` as tuples, which are quickly stored: rows are one column per feature, then ``_label``
+    and ``_held``.
+    """
 
     def packed(batches):
         columns = pa.Table.from_batches(batches).columns
@@ -299,7 +304,7 @@ def _blocks(rows: DataFrame, edges: list[np.ndarray], margins: int) -> RDD:
     def load(row):
         label = np.frombuffer(row["label"], np.int16).astype(np.int64)
         bins = np.frombuffer(row["bins"], np.uint8).reshape(len(edges), len(label))
-        return Block(bins, label, np.frombuffer(row["trained"], bool), np.zeros((margins, len(label))))
+        return bins, label, np.frombuffer(row["trained"], bool), np.zeros((margins, len(label)))
 
     return stored.rdd.map(load)
 
@@ -320,7 +325,7 @@ def _level(blocks: RDD, trees: list[Tree], level: int, starts: np.ndarray) -> tu
     """Sums of a level; at the root also the validation loss and its number of rows."""
 
     def run(part):
-        yield _summed(part, trees, level, starts)
+        yield _summed((Block(*fields) for fields in part), trees, level, starts)
 
     return _added(blocks.mapPartitions(run))
 
@@ -379,7 +384,8 @@ def _grow_on_cluster(blocks: RDD, progress: Progress, margins: int, settings: Se
                 return progress
             settings.grow(trees, sums, lambda level: _level(blocks, trees, level, settings.starts)[0])  # noqa: B023
             progress.trees.append(trees)
-            grown = blocks.map(lambda block, trees=trees: block.grown(trees)).persist(StorageLevel.MEMORY_AND_DISK)
+            grown = blocks.map(lambda fields, trees=trees: Block(*fields).grown(trees).fields())
+            grown = grown.persist(StorageLevel.MEMORY_AND_DISK)
             if len(progress.trees) % CUT_AFTER == 0:
                 if not sc.getCheckpointDir():
                     sc.setCheckpointDir(f"{shared_dir(spark)}/checkpoints")
@@ -426,15 +432,14 @@ def boost(
     settings = Settings(np.cumsum([0, *[len(e) + 2 for e in edges]]), depth, rate, penalty, least_hessian)
     progress = Progress(rounds, patience)
     sc = rows.sparkSession.sparkContext
-    # Blocks of their own for all cores, or more of them; a table of one block needs no exchange at all.
-    parts = max(1, min(4 * sc.defaultParallelism, -(-shape["rows"] // BLOCK_ROWS)))
-    if parts > 1:
-        parts = -(-parts // sc.defaultParallelism) * sc.defaultParallelism
+    # A partition for each core, or four if these still hold many blocks; a table of one block needs no exchange at all.
+    full, cores = -(-shape["rows"] // BLOCK_ROWS), sc.defaultParallelism
+    parts = max(1, min(full, cores if full < 16 * cores else 4 * cores))
     blocks = _blocks(ready.repartition(parts), edges, margins)
     if parts == 1:
 
         def run(part):
-            done = _grow_in_task(list(part), Progress(rounds, patience), margins, settings)
+            done = _grow_in_task([Block(*fields) for fields in part], Progress(rounds, patience), margins, settings)
             plain = [[(t.feature, t.cut, t.missing_left, t.value) for t in trees] for trees in done.trees]
             yield plain, done.losses, done.best
 

@@ -133,6 +133,16 @@ def test_toxicity_of_hidden_words(spark):
     assert [got[i] for i in range(len(asked))] == [1, 1, 1, 1, 0, 0, 0, 0]
 
 
+def test_toxicity_learns_from_all_labels(spark):
+    ids = spark.range(26_000).withColumnRenamed("id", "doc_id")
+    rare = F.when(F.col("doc_id") % 2_000 == 0, "zaffle").otherwise("river")
+    docs = ids.select("doc_id", F.concat_ws(" ", F.lit("apple"), rare).alias("text"))
+    model = toxicity.fit(docs, ids.select("doc_id", (F.col("doc_id") % 2_000 == 0).cast("int").alias("toxic")))
+    first = ids.filter(common.share_below("doc_id", 12, 0.5))
+    assert model.chars["^^a"] == first.count()
+    assert model.chars["^^z"] == first.filter("doc_id % 2000 = 0").count()
+
+
 def test_toxicity_without_labels(spark):
     docs, labels = labelled(spark, 10)
     model = toxicity.fit(docs, labels.filter("false"))

@@ -1,9 +1,9 @@
 """Top-n items of every user by inner product, without all users meeting all items.
 
-Items are stored in blocks by falling length. By Cauchy's inequality no item of a block scores more than the
-user's length times the length of the block's first item. The first block gives each user an n-th score, and
-from there a user visits the following blocks only as long as their bound reaches it: a prefix, which
-shrinks as item lengths fall. Users who need the same blocks are gathered in blocks, too.
+Items are stored in blocks by falling length, one file per block in the shared folder. By Cauchy's inequality
+no item of a block scores more than the user's length times the length of the block's first item. A user
+visits the blocks in order, only as long as their bound reaches the n-th score found so far: a prefix, which
+shrinks as item lengths fall. Users are dealt out once and read the files; no row is sent to meet each block.
 """
 
 from __future__ import annotations
@@ -12,15 +12,16 @@ import sys
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ranking import with_rank
+from millrace.operators.shared import mapped_bytes, write_shared
 from millrace.operators.similarity import DIGITS, _best
 from millrace.operators.windows import top_per_key
-from millrace.session import materialize
+from millrace.session import materialize, new_path
 
 ITEM_ROWS = 2048
 USER_ROWS = 1024
@@ -38,52 +39,62 @@ def _measured(rows: DataFrame, key: str, column: str) -> DataFrame:
     return present.select(F.col(key).cast("long").alias("id"), values.alias("vector"), length.alias("length"))
 
 
-def item_blocks(items: DataFrame, key: str, column: str, rows: int = ITEM_ROWS) -> DataFrame:
-    """``block, length, ids, data``: items by falling length in blocks of ``rows``; ``length`` is the first's."""
+def _matrix(column: pa.Array, rows: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(rows, -1)
+
+
+def item_files(items: DataFrame, key: str, column: str, rows: int = ITEM_ROWS) -> tuple[str, list[float]]:
+    """Items by falling length in files of ``rows``, numbered from 0: ids, then vectors. The folder, and the
+    length of each file's first item.
+    """
     ordered = _measured(items, key, column).withColumn("_short", -F.col("length"))
     ranked = with_rank(ordered, ["_short", "id"], "_rank").withColumn("block", F.floor((F.col("_rank") - 1) / rows))
     entry = F.struct("_rank", "id", "vector", "length")
     grouped = ranked.groupBy("block").agg(F.array_sort(F.collect_list(entry)).alias("_items"))  # rows of them at most
-    return materialize(
-        grouped.select(
-            "block", F.col("_items")[0]["length"].alias("length"), F.col("_items.id").alias("ids"),
-            F.flatten("_items.vector").alias("data"),
-        ),
-        "item-blocks",
-    )
-
-
-def _scored(work: DataFrame, n: int) -> DataFrame:
-    """The best ``n`` items per user of each row: a block of users beside a block of items."""
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                users = np.asarray(row.asked).reshape(len(row.users), -1)
-                items = np.asarray(row.data).reshape(len(row.ids), -1)
-                scores = np.round(users @ items.T, DIGITS)
-                scores, ids = _best([(scores, np.broadcast_to(np.asarray(row.ids), scores.shape))], n)
-                yield pd.DataFrame(
-                    {"user": np.repeat(np.asarray(row.users), scores.shape[1]), "item": ids.ravel(), "score": scores.ravel()}
-                )
-
-    return work.select("users", "asked", "ids", "data").mapInPandas(score, "user long, item long, score double")
-
+    uri = new_path(items.sparkSession, "item-blocks")
 
-def _user_blocks(users: DataFrame, last: str, rows: int) -> DataFrame:
-    """Users in rows of up to ``rows``, by the number of the last block that they need."""
-    ordered = users.repartitionByRange(last, "id").sortWithinPartitions(last, "id")
-
-    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, len(batch), rows):
-                part = batch.iloc[start : start + rows]
-                yield pd.DataFrame(
-                    {"users": [part["id"].tolist()], "asked": [np.concatenate(part["vector"].to_list()).tolist()], "last": [part["last"].max()]}
-                )
-
-    renamed = ordered.select("id", "vector", F.col(last).alias("last"))
-    return renamed.mapInPandas(gather, "users array<long>, asked array<double>, last long")
+            for block, ids, vectors in zip(batch.column("block").to_pylist(), batch.column("ids"), batch.column("vectors"), strict=True):
+                own = ids.values.to_numpy().astype(np.int64)
+                write_shared(f"{uri}/{block}", own.tobytes() + _matrix(vectors.values, len(own)).tobytes())
+            yield batch.select(["block", "length"])
+
+    shape = grouped.select("block", F.col("_items")[0]["length"].alias("length"), F.col("_items.id").alias("ids"), F.col("_items.vector").alias("vectors"))
+    written = materialize(shape.mapInArrow(write, "block long, length double"), "item-lengths")
+    return uri, [row["length"] for row in written.orderBy("block").collect()]  # a number per file
+
+
+def _read(uri: str, block: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of a file."""
+    words = mapped_bytes(f"{uri}/{block}").view(np.int64)
+    rows = len(words) // (width + 1)
+    return words[:rows], words[rows:].view(np.float64).reshape(rows, width)
+
+
+def _best_of_files(users: np.ndarray, uri: str, lengths: list[float], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Scores and ids of the best ``n`` items per user (row)."""
+    size = np.linalg.norm(users, axis=1)
+    ids, vectors = _read(uri, 0, users.shape[1])
+    found = np.round(users @ vectors.T, DIGITS)
+    scores, best = _best([(found, np.broadcast_to(ids, found.shape))], n)
+    going = np.arange(len(users))
+    for block in range(1, len(lengths)):
+        if scores.shape[1] == n:  # fewer rule nothing out
+            going = going[~(size[going] * lengths[block] * (1 + SLACK) + SLACK < scores[going, -1])]
+            if not len(going):
+                break
+        ids, vectors = _read(uri, block, users.shape[1])
+        found = users[going] @ vectors.T
+        if scores.shape[1] == n:
+            higher = ~(found.max(axis=1) + SLACK < scores[going, -1])
+            rows, found = going[higher], np.round(found[higher], DIGITS)
+            if len(rows):
+                scores[rows], best[rows] = _best([(scores[rows], best[rows]), (found, np.broadcast_to(ids, found.shape))], n)
+        else:
+            found = np.round(found, DIGITS)
+            scores, best = _best([(scores, best), (found, np.broadcast_to(ids, found.shape))], n)
+    return scores, best
 
 
 def top_inner_products(
@@ -101,29 +112,19 @@ def top_inner_products(
 
     Ids are integers, scores are rounded to nine digits. Rows without a vector are left out.
     """
-    blocks = item_blocks(items, item, item_vector, item_rows)
-    asked = materialize(_measured(users, user, user_vector), "users")
-    first = _user_blocks(asked.withColumn("_none", F.lit(0).cast("long")), "_none", user_rows)
-    begun = _scored(first.withColumn("block", F.col("last")).join(blocks, "block"), n)
-    begun = materialize(begun, "begun")
-    order = [F.desc("score"), F.asc("item")]
-    kth = top_per_key(begun, ["user"], order, n).groupBy("user").agg(F.when(F.count(F.lit(1)) >= n, F.min("score")).alias("_kth"))
-
-    # How far each user must go: up to the last block whose bound reaches the n-th score.
-    lengths = [row["length"] for row in blocks.select("block", "length").orderBy("block").collect()]  # a number per block
-    falling = -np.array(lengths)
-
-    def reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    uri, lengths = item_files(items, item, item_vector, item_rows)
+    asked = materialize(_measured(users, user, user_vector).select("id", "vector"), "users")
+    cores = users.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(-(-asked.count() // user_rows), 8 * cores))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, wanted = batch["length"].to_numpy("float64"), batch["_kth"].to_numpy("float64")
-            with np.errstate(divide="ignore", invalid="ignore"):
-                needed = np.where(np.isnan(wanted) | (wanted <= 0) | (size == 0), -np.inf, wanted / size * (1 - SLACK) - SLACK)
-            last = np.searchsorted(falling, -needed, side="right") - 1
-            yield pd.DataFrame({"id": batch["id"], "vector": batch["vector"], "last": last})
-
-    bounded = asked.join(kth.withColumnRenamed("user", "id"), "id", "left")
-    going = bounded.mapInPandas(reach, "id long, vector array<double>, last long").filter("last > 0")
-    more = _user_blocks(going, "last", user_rows).withColumn("block", F.explode(F.sequence(F.lit(1).cast("long"), "last")))
-    found = begun.unionByName(_scored(more.join(blocks, "block"), n))
-    best = top_per_key(found, ["user"], order, n)
+            for k in range(0, batch.num_rows if lengths else 0, user_rows):
+                part = batch.slice(k, user_rows)
+                scores, ids = _best_of_files(_matrix(part.column("vector"), part.num_rows), uri, lengths, n)
+                repeated = np.repeat(part.column("id").to_numpy(zero_copy_only=False), scores.shape[1])
+                yield pa.RecordBatch.from_arrays([pa.array(repeated, pa.int64()), pa.array(ids.ravel(), pa.int64()), pa.array(scores.ravel())], names=["user", "item", "score"])
+
+    found = asked.repartition(parts, "id").mapInArrow(score, "user long, item long, score double")
+    best = top_per_key(found, ["user"], [F.desc("score"), F.asc("item")], n)
     return best.select(F.col("user").alias(user), F.col("item").alias(item), "score", "position")

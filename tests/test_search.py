@@ -136,6 +136,18 @@ def test_inner_products_equal_all_pairs(spark, item_rows, user_rows):
     assert 91 not in mine
 
 
+def test_inner_products_send_users_once(spark):
+    # Equal lengths rule nothing out: every user meets every item, though no user's row is sent to each block.
+    rng = np.random.default_rng(5)
+    unit = lambda: (lambda v: (v / np.linalg.norm(v)).tolist())(rng.normal(size=8))
+    users = spark.createDataFrame([(i, unit()) for i in range(300)], "user_id long, factors array<double>")
+    items = spark.createDataFrame([(i, unit()) for i in range(200)], "item_id long, factors array<double>")
+    found = top_inner_products(users, items, 3, item_rows=4, user_rows=16)
+    assert found.count() == 900
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" not in plan and "Join" not in plan
+
+
 def test_factors_equal_the_library(spark):
     rows = [(n % 23, n * 7 % 31, float(1 + n % 5)) for n in range(300)]
     model = ALS(userCol="u", itemCol="i", ratingCol="w", implicitPrefs=True, rank=4, seed=1).fit(spark.createDataFrame(rows, "u int, i int, w double"))

@@ -2,9 +2,10 @@
 
 Feature values become bins by quantile sketches, once. Rows are then kept in persisted blocks of bins
 with their margins. A tree grows level by level: every block sums gradients and hessians per (node,
-feature, bin), the sums are added up across the cluster, and only these sums, whose size the settings
-bound, reach the driver, which chooses the splits. Below the root a pass sums the left children only; the right
-ones are what is left of their parents. One tree per class grows in the same passes. The pass over the root also
+feature, bin), and the sums of each class and feature are added up in one task, which keeps them and finds the
+feature's best cut of each node. Only these cuts reach the driver, which chooses among the features. Below the
+root a pass sums the left children only; the right ones are what is left of their parents. One tree per class
+grows in the same passes. The pass over the root also
 applies the trees of the round before and takes the validation loss, so early stopping costs no pass. A
 table of one block (``BLOCK_ROWS`` rows at most) is one task's work: that task's sums are the whole sums, and it
 grows the same trees by the same code without an exchange.
@@ -36,7 +37,8 @@ BLOCK_ROWS = 1 << 16
 UNIT = float(1 << 24)
 LEAST_GAIN = 1e-6
 CUT_AFTER = 25
-DRIVER_PARTS = 32  # partial sums that the driver adds up itself; more are added up in a tree of tasks
+LOSS = (-1, -1)  # the key of the validation loss among those of classes and features
+DRIVER_PARTS = 8  # partitions of blocks whose sums one task adds up, so that the driver need not
 
 # Task functions travel inside the task, so executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -184,26 +186,25 @@ class Block:
         own = p[self.label[~self.trained], np.arange(p.shape[1])]
         return int(np.rint(-np.log(np.maximum(own, 1e-15)) * UNIT).sum()), p.shape[1]
 
-    def sums(self, trees: list[Tree], level: int, starts: np.ndarray) -> np.ndarray:
-        """Gradients and hessians per class, node of the level, and bin of all features side by side.
+    def sums(self, trees: list[Tree], level: int, starts: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
+        """Gradients and hessians per node of the level and bin, by class and feature.
 
         Below the root only of the left children: what remains of the parent is the right child's.
         """
         step = 2 if level else 1
-        nodes, first, width = (1 << level) // step, (1 << level) - 1, int(starts[-1])
+        nodes, first = (1 << level) // step, (1 << level) - 1
         gradient, hessian = self.gradients()
-        out = np.zeros((len(trees), 2, nodes, width), np.int64)
+        out = {}
         for c, tree in enumerate(trees):
             at = tree.nodes(self.bins, level) - first
             rows = np.flatnonzero(self.trained & (at >= 0) & (at % step == 0))
             node = at[rows].astype(np.int64) // step
             weights = gradient[c, rows], hessian[c, rows]
             for f, codes in enumerate(self.bins):
-                low, size = starts[f], int(starts[f + 1] - starts[f])
+                size = int(starts[f + 1] - starts[f])
                 place = node * size + codes[rows]
-                for k in (0, 1):
-                    total = np.bincount(place, weights[k], nodes * size)
-                    out[c, k, :, low : low + size] = total.astype(np.int64).reshape(nodes, size)
+                total = [np.bincount(place, w, nodes * size).astype(np.int64) for w in weights]
+                out[c, f] = np.stack(total).reshape(2, nodes, size)
         return out
 
     def grown(self, trees: list[Tree]) -> Block:
@@ -214,6 +215,12 @@ class Block:
         return self.bins, self.label, self.trained, self.margin
 
 
+# Of one feature: nodes with rows, their gradients and hessians, and by the side of missing values each
+# node's best gain, its cut, and gradients and hessians left of it.
+Cuts = tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[np.ndarray, ...]]]
+AllCuts = dict[tuple[int, int], Cuts]  # by class and feature
+
+
 @dataclass
 class Settings:
     """What a tree depends on besides its sums; ``starts``: where each feature's bins begin, and their end."""
@@ -224,51 +231,63 @@ class Settings:
     penalty: float
     least: float
 
-    def split(self, sums: np.ndarray, tree: Tree, level: int) -> bool:
-        """Choose the splits of a level's nodes, given ``sums[gradient or hessian, node, bin]``."""
-        span = slice(self.starts[0], self.starts[1])  # every feature's bins hold all rows
-        value = lambda x, y: -self.rate * x / (y + self.penalty)
+    def cuts(self, sums: np.ndarray) -> Cuts:
+        """The best cut of each node by one feature, given ``sums[gradient or hessian, node, bin]``."""
         part = lambda x, y: x**2 / (y + self.penalty)
-        filled = np.flatnonzero(sums[1, :, span].any(axis=1))
-        first = (1 << level) - 1 + filled
+        filled = np.flatnonzero(sums[1].any(axis=1))
         g, h = sums[:, filled] / UNIT
-        whole_g, whole_h = g[:, span].sum(axis=1), h[:, span].sum(axis=1)
-        if level == 0:
-            tree.value[0] = value(whole_g, whole_h)[0]
+        whole_g, whole_h = g.sum(axis=1), h.sum(axis=1)
         own = part(whole_g, whole_h)
-        best = np.full(len(g), LEAST_GAIN)
+        found, rows = [], np.arange(len(filled))
         # Missing values go to the left or to the right; without any, both are the same.
-        sides = (True, False) if sums[1][:, self.starts[:-1]].any() else (True,)
-        for side in sides:
-            for f, (low, high) in enumerate(zip(self.starts, self.starts[1:], strict=False)):
-                left_g = np.cumsum(g[:, low + 1 : high], axis=1) + side * g[:, low : low + 1]
-                left_h = np.cumsum(h[:, low + 1 : high], axis=1) + side * h[:, low : low + 1]
-                right_g, right_h = whole_g[:, None] - left_g, whole_h[:, None] - left_h
-                gain = 0.5 * (part(left_g, left_h) + part(right_g, right_h) - own[:, None])
-                gain[(left_h < self.least) | (right_h < self.least)] = -np.inf
-                at = gain.argmax(axis=1)
-                top = gain[np.arange(len(g)), at]
+        for side in (True, False) if sums[1, :, 0].any() else (True,):
+            left_g = np.cumsum(g[:, 1:], axis=1) + side * g[:, :1]
+            left_h = np.cumsum(h[:, 1:], axis=1) + side * h[:, :1]
+            right_g, right_h = whole_g[:, None] - left_g, whole_h[:, None] - left_h
+            gain = 0.5 * (part(left_g, left_h) + part(right_g, right_h) - own[:, None])
+            gain[(left_h < self.least) | (right_h < self.least)] = -np.inf
+            at = gain.argmax(axis=1)
+            found.append((gain[rows, at], at, left_g[rows, at], left_h[rows, at]))
+        return filled, whole_g, whole_h, found
+
+    def split(self, cuts: list[Cuts], tree: Tree, level: int) -> bool:
+        """Choose the splits of a level's nodes among the features' best cuts."""
+        value = lambda x, y: -self.rate * x / (y + self.penalty)
+        filled, whole_g, whole_h, _ = cuts[0]  # every feature's bins hold all rows
+        first = (1 << level) - 1 + filled
+        if level == 0:
+            tree.value[0] = value(whole_g, whole_h)[0]
+        best = np.full(len(filled), LEAST_GAIN)
+        for k, side in enumerate((True, False)):
+            for f, (_, _, _, found) in enumerate(cuts):
+                if k == len(found):
+                    continue
+                top, at, left_g, left_h = found[k]
                 for i in np.flatnonzero(top > best + 1e-12):
-                    best[i], node, cut = top[i], first[i], at[i]
-                    tree.feature[node], tree.cut[node], tree.missing_left[node] = f, cut + 1, side
-                    tree.value[2 * node + 1] = value(left_g[i, cut], left_h[i, cut])
-                    tree.value[2 * node + 2] = value(right_g[i, cut], right_h[i, cut])
+                    best[i], node = top[i], first[i]
+                    tree.feature[node], tree.cut[node], tree.missing_left[node] = f, at[i] + 1, side
+                    tree.value[2 * node + 1] = value(left_g[i], left_h[i])
+                    tree.value[2 * node + 2] = value(whole_g[i] - left_g[i], whole_h[i] - left_h[i])
         return bool((best > LEAST_GAIN).any())
 
-    def grow(self, trees: list[Tree], sums: np.ndarray, add_up) -> None:
-        """Grow the trees of a round. ``sums`` are those of the root, ``add_up(level)`` gives those of left children."""
+    def grow(self, trees: list[Tree], cuts: AllCuts, next_cuts) -> None:
+        """Grow the trees of a round. ``cuts`` are those of the root, ``next_cuts(level)`` gives those of lower levels."""
+        features = range(len(self.starts) - 1)
         for level in range(self.depth):
-            if level:
-                left = add_up(level)
-                # The right child has what the left one leaves of the parent; nothing, if the parent is a leaf.
-                split = np.stack([tree.feature[(1 << level - 1) - 1 : (1 << level) - 1] >= 0 for tree in trees])
-                sums = np.stack([left, (sums - left) * split[:, None, :, None]], axis=3)
-                sums = sums.reshape(len(trees), 2, 1 << level, -1)
+            cuts = next_cuts(level) if level else cuts
             # A list: every class's splits are chosen, also if the first of them has some.
-            if not any([self.split(sums[c], tree, level) for c, tree in enumerate(trees)]):
+            if not any([self.split([cuts[c, f] for f in features], tree, level) for c, tree in enumerate(trees)]):
                 return
 
 
+def _with_right(left: np.ndarray, parents: np.ndarray, tree: Tree, level: int) -> np.ndarray:
+    """Sums of a level from those of its left children: the right child has what they leave of the parent,
+    nothing if the parent is a leaf.
+    """
+    split = tree.feature[(1 << level - 1) - 1 : (1 << level) - 1] >= 0
+    return np.stack([left, (parents - left) * split[None, :, None]], axis=2).reshape(2, 1 << level, -1)
+
+
 def quantile_edges(rows: DataFrame, features: Sequence[str], bins: int = BINS) -> list[np.ndarray]:
     """Upper edges of each feature's bins but the last, from one pass of mergeable quantile sketches."""
     shares = [i / (bins - 1) for i in range(1, bins - 1)]
@@ -309,31 +328,32 @@ def _blocks(rows: DataFrame, edges: list[np.ndarray], margins: int) -> RDD:
     return stored.rdd.map(load)
 
 
-def _added(parts: RDD) -> tuple:
-    """The sum of one tuple per partition."""
-    add = lambda a, b: tuple(x + y for x, y in zip(a, b, strict=True))
-    if parts.getNumPartitions() > DRIVER_PARTS:
-        return parts.treeReduce(add, depth=2)
-    found = parts.collect()
-    total = found[0]
-    for part in found[1:]:
-        total = add(total, part)
-    return total
-
-
-def _level(blocks: RDD, trees: list[Tree], level: int, starts: np.ndarray) -> tuple[np.ndarray, int, int]:
-    """Sums of a level; at the root also the validation loss and its number of rows."""
+def _level(blocks: RDD, trees: list[Tree], level: int, settings: Settings, above: RDD | None) -> tuple[AllCuts, RDD, int, int]:
+    """Cuts of a level, its sums by class and feature, and at the root the validation loss and its number of rows."""
+    parts = min(len(trees) * (len(settings.starts) - 1), -(-blocks.getNumPartitions() // DRIVER_PARTS))
 
     def run(part):
-        yield _summed((Block(*fields) for fields in part), trees, level, starts)
+        sums, loss, held = _summed((Block(*fields) for fields in part), trees, level, settings.starts)
+        yield from sums.items()
+        if level == 0:
+            yield LOSS, np.array([loss, held], np.int64)
 
-    return _added(blocks.mapPartitions(run))
+    added = blocks.mapPartitions(run).reduceByKey(lambda a, b: a + b, parts)
+    if above is not None:
+        both = added.join(above, parts)
+        whole = lambda item: (item[0], _with_right(*item[1], trees[item[0][0]], level))
+        added = both.map(whole, preservesPartitioning=True)
+    added = added.persist(StorageLevel.MEMORY_AND_DISK)
+    found = dict(added.map(lambda item: (item[0], item[1] if item[0] == LOSS else settings.cuts(item[1]))).collect())
+    loss, held = found.pop(LOSS, (0, 0))
+    return found, added, int(loss), int(held)
 
 
-def _summed(blocks, trees: list[Tree], level: int, starts: np.ndarray) -> tuple[np.ndarray, int, int]:
-    sums, loss, held = 0, 0, 0
+def _summed(blocks, trees: list[Tree], level: int, starts: np.ndarray) -> tuple[dict[tuple[int, int], np.ndarray], int, int]:
+    sums, loss, held = {}, 0, 0
     for block in blocks:
-        sums = sums + block.sums(trees, level, starts)
+        for key, more in block.sums(trees, level, starts).items():
+            sums[key] = sums[key] + more if key in sums else more
         if level == 0:
             more, rows = block.loss()
             loss, held = loss + more, held + rows
@@ -365,7 +385,14 @@ def _grow_in_task(blocks: list[Block], progress: Progress, margins: int, setting
         sums, loss, tested = _summed(blocks, trees, 0, settings.starts)
         if progress.over(loss, tested):
             return progress
-        settings.grow(trees, sums, lambda level: _summed(blocks, trees, level, settings.starts)[0])  # noqa: B023
+
+        def next_cuts(level: int) -> AllCuts:
+            nonlocal sums
+            left = _summed(blocks, trees, level, settings.starts)[0]  # noqa: B023
+            sums = {key: _with_right(left[key], sums[key], trees[key[0]], level) for key in left}  # noqa: B023
+            return {key: settings.cuts(own) for key, own in sums.items()}
+
+        settings.grow(trees, {key: settings.cuts(own) for key, own in sums.items()}, next_cuts)
         progress.trees.append(trees)
         blocks = [block.grown(trees) for block in blocks]
 
@@ -377,12 +404,22 @@ def _grow_on_cluster(blocks: RDD, progress: Progress, margins: int, settings: Se
     try:
         while True:
             trees = [Tree.empty(settings.depth) for _ in range(margins)]
-            sums, loss, tested = _level(blocks, trees, 0, settings.starts)
+            cuts, sums, loss, tested = _level(blocks, trees, 0, settings, None)
             if stale is not None:
                 stale.unpersist()
             if progress.over(loss, tested):
+                sums.unpersist()
                 return progress
-            settings.grow(trees, sums, lambda level: _level(blocks, trees, level, settings.starts)[0])  # noqa: B023
+
+            def next_cuts(level: int) -> AllCuts:
+                nonlocal sums
+                above = sums
+                found, sums, _, _ = _level(blocks, trees, level, settings, above)  # noqa: B023
+                above.unpersist()
+                return found
+
+            settings.grow(trees, cuts, next_cuts)
+            sums.unpersist()
             progress.trees.append(trees)
             grown = blocks.map(lambda fields, trees=trees: Block(*fields).grown(trees).fields())
             grown = grown.persist(StorageLevel.MEMORY_AND_DISK)

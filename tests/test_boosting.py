@@ -1,10 +1,12 @@
 """Boosted trees on histograms against a plain exact booster."""
 
 import math
+import pickle
 import random
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.sql import functions as F
 
 from millrace.operators import boosting
@@ -97,6 +99,24 @@ def test_partitions_do_not_change_the_trees(spark, monkeypatch):
                 assert (a.feature == b.feature).all() and (a.cut == b.cut).all() and np.array_equal(a.value, b.value)
 
 
+def test_only_cuts_reach_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 100)
+    sent, cores = [], spark.sparkContext.defaultParallelism
+    plain = RDD.collect
+
+    def counted(self):
+        rows = plain(self)
+        sent.append(len(pickle.dumps(rows)))
+        return rows
+
+    monkeypatch.setattr(RDD, "collect", counted)
+    rng = random.Random(4)
+    rows = [(rng.random(), rng.random(), rng.random(), rng.randrange(3)) for _ in range(100 * cores)]
+    boost(spark.createDataFrame(rows, "a double, b double, c double, y int"), ["a", "b", "c"], "y", 3, rounds=2, depth=5, least_hessian=0.1)
+    sums = 3 * 2 * 3 * boosting.BINS * 8  # of one node, from one task
+    assert len(sent) >= 10 and max(sent) < sums
+
+
 def test_patience_and_checkpoints(spark, monkeypatch):
     monkeypatch.setattr(boosting, "CUT_AFTER", 2)
     rng = random.Random(1)

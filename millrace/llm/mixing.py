@@ -133,15 +133,17 @@ def mix_copies(
 ) -> DataFrame:
     """Per document its id, ``source``, ``size``, ``source_size``, ``target`` and number of ``copies``.
 
-    ``carry`` names further columns to keep; they travel through one range shuffle.
+    ``carry`` names further columns to keep; only their rows' numbers are sorted, and copies are joined to them.
     """
     sized = materialize(
         docs.select(
             F.col(doc_id).alias("_id"), F.col(source).alias("source"), text_size(text).alias("size"),
-            *[F.col(c).alias(f"_carry_{c}") for c in carry],
+            *[F.col(c).alias(f"_carry_{c}") for c in carry], *([F.monotonically_increasing_id().alias("_row")] if carry else []),
         ),
         "sizes",
     )
+    carried = sized.select("_row", *[f"_carry_{c}" for c in carry]) if carry else None
+    sized = sized.drop(*[f"_carry_{c}" for c in carry])
     histogram = materialize(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("docs")), "histogram")
     totals = histogram.groupBy("source").agg(F.sum(F.col("size") * F.col("docs")).alias("source_size"))
     state = tilt(histogram.filter("size > 0"), materialize(source_targets(totals, weights, share, limit), "targets"), limit)
@@ -158,6 +160,9 @@ def mix_copies(
     half = SCALE // 2
     copies = F.floor((F.col("_upto") + half) / SCALE) - F.floor((F.col("_upto") - F.col("_units") + half) / SCALE)
     own = [] if doc_id in carry else [F.col("_id").alias(doc_id)]
+    if carry:
+        kept = ["source", "size", "source_size", "target", "_upto", "_units", *([] if doc_id in carry else ["_id"])]
+        run = carried.join(run.select("_row", *kept), "_row")
     return run.select(
         *own, "source", "size", "source_size",
         F.coalesce("target", F.lit(0.0)).alias("target"), copies.cast("long").alias("copies"),

@@ -204,3 +204,17 @@ def test_words_have_the_ids_of_the_tokenizer():
         if word.split() == [word]:
             ids = words.tokenizer.encode(word, add_special_tokens=False).ids
             assert words.of(word.encode()) == np.asarray(ids, "<u4").tobytes(), word
+
+
+def test_carried_columns_are_not_sorted(spark, monkeypatch):
+    plain, seen = mixing.running_totals, []
+
+    def watched(df, *rest):
+        seen.append(df.columns)
+        return plain(df, *rest)
+
+    monkeypatch.setattr(mixing, "running_totals", watched)
+    docs = spark.createDataFrame([(i, "a b " * (i % 5), "xy"[i % 2]) for i in range(40)], "doc_id long, text string, source string")
+    mixed = mixing.mix_copies(docs, carry=("doc_id", "text"))
+    assert mixed.select("doc_id", "text").exceptAll(docs.select("doc_id", "text")).isEmpty() and mixed.count() == 40
+    assert seen and not any(c.startswith("_carry_") for columns in seen for c in columns)

@@ -247,7 +247,8 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
 def fit(docs: DataFrame, text: str = "text") -> Model:
     """Count the texts and write the model into the shared folder."""
     spark = docs.sparkSession
-    bigrams = materialize(bigram_counts(docs, text), "bigrams")
+    # Sorted, so that a word's hash before its followers is stored once and not with each of them.
+    bigrams = materialize(bigram_counts(docs, text).sortWithinPartitions("before"), "bigrams")
     n = F.col("n")
     words = materialize(
         bigrams.groupBy("word").agg(F.sum("n").alias("count"), F.count(F.lit(1)).alias("different")), "words"

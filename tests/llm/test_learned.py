@@ -71,6 +71,17 @@ def test_language_model_is_a_distribution(spark):
         assert (10**logs).sum() == pytest.approx(1)
 
 
+def test_bigrams_are_stored_by_first_word(spark, monkeypatch):
+    plain, seen = kneser_ney.materialize, {}
+    monkeypatch.setattr(kneser_ney, "materialize", lambda df, label: seen.setdefault(label, plain(df, label)))
+    draw = random.Random(7)
+    kneser_ney.fit(spark.createDataFrame([(i, " ".join(draw.choices("abcdefghijkl", k=40)), None, "x") for i in range(20)], DOCS))
+    files = defaultdict(list)
+    for r in seen["bigrams"].select("before", F.input_file_name().alias("file")).collect():
+        files[r["file"]].append(r["before"])
+    assert files and all(rows == sorted(rows) for rows in files.values())
+
+
 def test_language_model_empty(spark):
     nothing = spark.createDataFrame([], DOCS)
     model = kneser_ney.fit(nothing)

@@ -218,3 +218,29 @@ def test_carried_columns_are_not_sorted(spark, monkeypatch):
     mixed = mixing.mix_copies(docs, carry=("doc_id", "text"))
     assert mixed.select("doc_id", "text").exceptAll(docs.select("doc_id", "text")).isEmpty() and mixed.count() == 40
     assert seen and not any(c.startswith("_carry_") for columns in seen for c in columns)
+
+
+def test_marks_are_told_apart_without_changing_ids():
+    import pyarrow as pa
+
+    from millrace.llm.packing import WordIds, marks_apart
+
+    words = WordIds(vocabulary_path())
+    tails = ("a. b", "a, ", "a.", "é! x", "×. x", "÷, x", "?. x", "1, x", "a.. x", "a.\u0301 x", "e\u0301. x", "Σ. x", "'S, x")
+    made = [None, "", ". a", ", ", *tails, *[f"Ab{x} {y}" for x in tails for y in tails]]
+    for column in (pa.array(made), pa.array(["zz, ", *made]).slice(1), pa.array(made, pa.large_string())):
+        apart = marks_apart(column)
+        assert len(apart) == len(made)
+        for text, raw in zip(made, apart, strict=True):
+            ids = words.tokenizer.encode(text or "", add_special_tokens=False).ids
+            assert words.of(raw) == np.asarray(ids, "<u4").tobytes(), text
+    assert marks_apart(pa.array(["Ab, c. d"])) == [b"ab , c . d"]
+    assert marks_apart(pa.array([], pa.string())) == []
+
+
+def test_ids_are_stored_in_as_few_bytes_as_they_need(spark):
+    from millrace.llm.packing import tokenize
+
+    docs = spark.createDataFrame([("a bc def",), (None,)], "text string")
+    rows = tokenize(docs, "text", [], vocabulary_path()).collect()
+    assert [len(r["ids"]) for r in rows] == [2 * r["tokens"] for r in rows]

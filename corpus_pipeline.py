@@ -23,7 +23,7 @@ from millrace.llm.mixing import mix_copies
 from millrace.llm.packing import pack, vocabulary_path
 from millrace.llm.quality import quality_verdicts
 from millrace.llm.toxicity import fit, toxicity
-from millrace.session import materialize
+from millrace.session import settled
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,5 +75,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     importable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        docs = settled(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), name)
     return docs

@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import WordHash, hidden, mix, query, restored, rows_to_table, stored_with, table, texts
 from millrace.llm.components import components
+from millrace.operators.joins import only_wanted, with_maybe
 from millrace.operators.ranking import with_rank
-from millrace.session import materialize
+from millrace.session import materialize, settled
 
 NO_ID = 1 << 62
 SEED = 20_240_601
@@ -258,7 +259,8 @@ def _compare_blocks(work: DataFrame, percent: int, width: int) -> DataFrame:
 
 def _within_clusters(nodes: DataFrame, sets: DataFrame, percent: int, width: int) -> DataFrame:
     """Links among unsettled nodes (``node, root, n_shingles, bits``), cluster by cluster."""
-    rare = materialize(rare_shingles(sets.join(nodes.select("node"), "node", "left_semi"), percent), "rare")
+    sets = materialize(only_wanted(sets, nodes, "node"), "sets")
+    rare = materialize(rare_shingles(sets, percent), "rare")
     first = rare.groupBy("bucket").agg(F.min("node").alias("b"))
     together = rare.join(first, "bucket").select(F.col("node").alias("a"), "b").filter("a != b").distinct()
     clusters = components(together).withColumnRenamed("root", "cluster")
@@ -305,7 +307,7 @@ def near_duplicate_roots(named: DataFrame, size: int, percent: int, bands: int,
     )
     members = materialize(placed.select("bucket", "node").join(candidates, "node"), "members")
     wanted = candidates.select(F.col("node").alias("_id"))
-    sets = materialize(shingle_sets(named.join(wanted, "_id", "left_semi").dropDuplicates(["_id"]), size), "sets")
+    sets = materialize(shingle_sets(only_wanted(named, wanted, "_id").dropDuplicates(["_id"]), size), "sets")
 
     leaders = materialize(_leaders(members), "leaders")
     facing = members.join(
@@ -349,7 +351,7 @@ def near_duplicates(
     named = docs.select(
         internal_id(doc_id, text).alias("_id"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text")
     )
-    found = near_duplicate_roots(named, size, percent, bands, rows)
+    found = settled(lambda: near_duplicate_roots(named, size, percent, bands, rows), "near-duplicates")
     component = F.when(F.col("_root") < NO_ID, F.col("_root"))
     result = found.select(F.col("doc_id").alias(doc_id), "n_shingles", component.alias("component_id"))
     return result.withColumn("kept", F.col(doc_id).eqNullSafe(F.col("component_id")))
@@ -362,11 +364,15 @@ def without_near_duplicates(
     wide, names = hidden(docs)
     wide = wide.withColumn("_id", internal_id(names[doc_id], names[text]))
     named = wide.select("_id", F.col(names[doc_id]).cast("long").alias("doc_id"), F.col(names[text]).alias("_text"))
-    found = materialize(near_duplicate_roots(named, size, percent, bands, rows), "near-duplicates")
-    stays = wide.join(found.filter("_id != _root").select("_id").distinct(), "_id", "left_anti")
-    again = materialize(found.groupBy("_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_id"), "again")
-    once = stays.join(again, "_id", "left_anti")
-    return restored(once.unionByName(stays.join(again, "_id", "left_semi").dropDuplicates(["_id"])), names)
+    found = settled(lambda: near_duplicate_roots(named, size, percent, bands, rows), "near-duplicates")
+    # Most rows are the only ones of their id and stay: they are not shuffled.
+    counted = found.groupBy("_id").agg((F.min("_root") != F.col("_id")).alias("_goes"), F.count(F.lit(1)).alias("_n"))
+    touched = materialize(counted.filter("_goes OR _n > 1").select("_id", "_goes"), "touched")
+    flagged = with_maybe(wide, touched.select("_id"), "_id", "_maybe")
+    clear, maybe = flagged.filter("NOT _maybe").drop("_maybe"), flagged.filter("_maybe").drop("_maybe")
+    once = maybe.join(touched, "_id", "left_anti")
+    first = maybe.join(touched.filter("NOT _goes"), "_id", "left_semi").dropDuplicates(["_id"])
+    return restored(clear.unionByName(once).unionByName(first), names)
 
 
 @query(

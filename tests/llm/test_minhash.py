@@ -7,6 +7,7 @@ import re
 import pytest
 
 from millrace.llm import minhash
+from millrace.operators import joins
 from millrace.llm.components import components
 
 SCHEMA = "doc_id long, text string, kept string"
@@ -124,3 +125,48 @@ def test_bits_of_signatures():
     hasher = minhash.MinHasher(4, 5)
     signature = hasher.signature(minhash.shingles(b"a b c d", minhash.WordHash()))
     assert len(signature) == 20 and len(hasher.bits(signature)) == 1
+
+
+@pytest.mark.parametrize("most_bits", [64, 1 << 28])
+def test_screened_semi_join(spark, most_bits):
+    """All wanted rows stay and no others; unless the bitmap is full it lets few others pass."""
+    rows = spark.range(20_000).selectExpr("(id % 10000) * 7919 - 40000000 AS k", "id")
+    wanted = spark.range(300).selectExpr("id * 7919 * 30 - 40000000 AS k")
+    flagged = joins.with_maybe(rows, wanted, "k", "maybe", most_bits)
+    assert flagged.columns == ["k", "id", "maybe"] and flagged.count() == 20_000
+    assert flagged.join(wanted, "k", "left_semi").filter("NOT maybe").isEmpty()
+    assert most_bits == 64 or flagged.filter("maybe").count() < 0.15 * 20_000
+    got, want = joins.only_wanted(rows, wanted, "k", most_bits), rows.join(wanted, "k", "left_semi")
+    assert got.exceptAll(want).isEmpty() and got.count() == want.count() == 600
+    assert joins.only_wanted(rows, wanted.limit(0), "k").isEmpty()
+
+
+def test_texts_that_stay_are_not_shuffled(spark, monkeypatch):
+    """Only documents in question meet an exact join, and intermediate tables are gone once roots are stored."""
+    seen = []
+    plain = minhash.shingle_sets
+
+    def watched(docs, size):
+        seen.append(docs._jdf.queryExecution().toString())
+        return plain(docs, size)
+
+    monkeypatch.setattr(minhash, "shingle_sets", watched)
+    draw = random.Random(1)
+    texts = [" ".join(f"w{draw.randint(0, 10**6)}" for _ in range(40)) for _ in range(300)]
+    rows = [*enumerate(texts), (900, texts[3]), (901, texts[4] + " x"), (5, texts[5]), (902, "other"), (902, texts[6])]
+    frame = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA)
+    kept = sorted(r["doc_id"] for r in minhash.without_near_duplicates(frame).collect())
+    assert kept == list(range(300))
+    assert seen and "bitmap_construct_agg" in seen[0]
+
+
+def test_settled_drops_what_was_made_on_the_way(spark):
+    import os
+
+    from millrace.session import materialize, settled, shared_dir
+
+    outside = materialize(spark.range(3), "outside")
+    result = settled(lambda: settled(lambda: materialize(outside, "deep"), "inner").join(outside, "id"), "result")
+    folder = f"{shared_dir(spark)}/millrace/{spark.sparkContext.applicationId}".removeprefix("file:")
+    left = {name.split("-")[0] for name in os.listdir(folder)}
+    assert result.count() == outside.count() == 3 and "result" in left and not left & {"deep", "inner"}

@@ -39,6 +39,23 @@ def _best(parts: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarra
     return np.take_along_axis(scores, order, axis=1), np.take_along_axis(ids, order, axis=1)
 
 
+def _best_of_all(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """``_best`` of one part, of rounded similarities. Only those that may be among them after rounding are rounded
+    and sorted; they are found without sorting a row.
+    """
+    rows, number = scores.shape
+    if number <= k or np.isnan(scores).any():
+        return _best([(np.round(scores, DIGITS), np.broadcast_to(ids, scores.shape))], k)
+    kth = np.partition(scores, number - k, axis=1)[:, number - k]
+    row, at = np.nonzero(scores >= kth[:, None] - 2 * 10.0**-DIGITS)
+    found = np.bincount(row, minlength=rows)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(found) - found, found)
+    near = np.full((rows, found.max(initial=k)), -np.inf)
+    names = np.full(near.shape, ids[0], ids.dtype)
+    near[row, place], names[row, place] = np.round(scores[row, at], DIGITS), ids[at]
+    return _best([(near, names)], k)
+
+
 def _blocks(rows: DataFrame, key: str, column: str, size: int, prefix: str) -> DataFrame:
     """Rows of ids and vectors gathered into rows that hold up to ``size`` of them as lists."""
     id_type = rows.schema[key].dataType.simpleString()
@@ -79,8 +96,7 @@ def _scan(k: int, vector_id: str, work: DataFrame, id_type: str) -> DataFrame:
                 asked = _unit(np.frombuffer(row.asked_data).reshape(len(row.asked_ids), -1))
                 stored = _unit(np.frombuffer(row.stored_data).reshape(len(row.stored_ids), -1))
                 ids = np.asarray(row.stored_ids, dtype=str if id_type == "string" else None)
-                scores = np.round(asked @ stored.T, DIGITS)
-                scores, ids = _best([(scores, np.broadcast_to(ids, scores.shape))], k)
+                scores, ids = _best_of_all(asked @ stored.T, ids, k)
                 yield pd.DataFrame(
                     {
                         "query_id": np.repeat(np.asarray(row.asked_ids), scores.shape[1]),

@@ -25,7 +25,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.similarity import DIGITS, _best, _unit
+from millrace.operators.similarity import DIGITS, _best_of_all, _unit
 from millrace.operators.windows import top_per_key
 from millrace.session import materialize
 
@@ -187,9 +187,9 @@ def _scan(visits: DataFrame, index: VectorIndex, k: int, rows: int) -> DataFrame
                 asked = np.frombuffer(row.asked).reshape(len(away), -1)[wanted]
                 stored = np.frombuffer(row.data).reshape(len(row.ids), -1)
                 ids = np.asarray(row.ids, dtype=str if id_type == "string" else None)
-                scores = np.round(asked @ stored.T, DIGITS)
+                scores = asked @ stored.T
                 number = scores.size
-                scores, found = _best([(scores, np.broadcast_to(ids, scores.shape))], k)
+                scores, found = _best_of_all(scores, ids, k)
                 told = np.zeros(scores.size, np.int64)
                 told[0] = number
                 yield pd.DataFrame(

@@ -266,3 +266,26 @@ def test_distances_of_large_samples(spark):
     assert rows["b"]["drifted"] and rows["c"]["drifted"] and rows["c"]["distance"] is None
     same = drift_distances(frame(ref), frame(ref), ["a"]).first()
     assert same["wasserstein"] == 0 and same["jensen_shannon"] == 0 and not same["drifted"]
+
+
+@pytest.mark.parametrize("k", [1, 3, 50])
+def test_best_of_all_sorts_few(monkeypatch, k):
+    """Same answers as sorting whole rows, ties and rounding included, from a few scores of each row."""
+    from millrace.operators import similarity
+
+    rng = np.random.default_rng(k)
+    scores = rng.normal(size=(20, 400))
+    scores[:5] = np.round(scores[:5], 1)
+    scores[5:10] += np.where(rng.random((5, 400)) < 0.5, 4e-10, -4e-10) - scores[5:10] + np.round(scores[5:10], 1)
+    scores[10] = 0.0
+    plain, sizes = similarity._best, []
+    for ids in (rng.permutation(400), np.array([f"v{i}" for i in rng.permutation(400)])):
+        want = plain([(np.round(scores, similarity.DIGITS), np.broadcast_to(ids, scores.shape))], k)
+        got = similarity._best_of_all(scores, ids, k)
+        assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
+    monkeypatch.setattr(similarity, "_best", lambda parts, k: sizes.append(parts[0][0].shape[1]) or plain(parts, k))
+    similarity._best_of_all(scores[11:], np.arange(400), k)
+    assert sizes == [k]
+    assert similarity._best_of_all(np.zeros((0, 400)), np.arange(400), k)[0].shape == (0, k)
+    scores[0, 0] = np.nan
+    assert (similarity._best_of_all(scores, np.arange(400), k)[0][1:] == plain([(np.round(scores, 9), np.broadcast_to(np.arange(400), scores.shape))], k)[0][1:]).all()

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.guard import (
@@ -18,7 +20,15 @@ from millrace.functions.guard import (
     guarded_text,
 )
 from millrace.functions.text import CHUNK_OVERLAP, CHUNK_TOKENS, any_keyword, chunk_starts, preview, words
-from millrace.operators.windows import top_per_key
+from millrace.operators.lexical import (
+    BLOCK_BYTES,
+    QUESTION_TERMS,
+    best_texts,
+    held_terms,
+    question_blocks,
+    text_blocks,
+    weighted_blocks,
+)
 from millrace.session import materialize
 
 # Vector length, the case left out of the faithfulness rate, the pass gate, note texts.
@@ -29,11 +39,6 @@ NOTE_NOT_BLOCKED = "expected guardrail block"
 NOTE_KEYWORDS = "missing keywords: "
 NOTE_BLOCKED = "unexpected guardrail: "
 
-# Our own choice: texts, for each one asked for, that are scored in full for a first bound.
-SEED_TEXTS = 8
-BLOCKS_PER_DOUBLING = 4  # of a text's vector length
-UNREAD_SHARE = 0.3  # of the k-th score: the most that the lists of a block that are not read may add up to
-
 
 def chunk_documents(
     docs: DataFrame,
@@ -47,19 +52,16 @@ def chunk_documents(
     Words stand in for model tokens. Within a chunk, words are joined by single blanks. A text
     without words has no chunk. Each row is cut by itself: no shuffle.
     """
-    split = docs.select(key, words(text).alias("_words")).filter(F.size("_words") > 0)
-    starts = split.select(
-        key,
-        "_words",
-        F.posexplode(chunk_starts(F.size("_words"), size, overlap)).alias("chunk_no", "_start"),
-    )
-    piece = F.slice("_words", F.col("_start") + 1, F.lit(size))
-    return starts.select(
-        key,
-        "chunk_no",
-        F.size(piece).alias("n_words"),
-        F.array_join(piece, " ").alias("chunk_text"),
-    )
+    split = docs.select(key, words(text).alias("_words"))
+    starts = F.when(F.size("_words") > 0, chunk_starts(F.size("_words"), size, overlap))
+
+    def cut(start: Column) -> Column:
+        piece = F.slice("_words", start + 1, F.lit(size))
+        return F.struct(F.size(piece).alias("n_words"), F.array_join(piece, " ").alias("chunk_text"))
+
+    # Only chunks leave the row: its words are not copied for each of them.
+    chunks = split.select(key, F.posexplode(F.transform(starts, cut)).alias("chunk_no", "_chunk"))
+    return chunks.select(key, "chunk_no", "_chunk.n_words", "_chunk.chunk_text")
 
 
 def fit_lexical(texts: DataFrame, text: str, dimensions: int = VECTOR_DIMENSIONS) -> PipelineModel:
@@ -86,10 +88,10 @@ def term_counts(texts: DataFrame, key: str, text: str) -> DataFrame:
     return terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def inverse_frequencies(counts: DataFrame, total: int) -> DataFrame:
-    """``term, idf`` over ``total`` texts, for the terms with a positive weight."""
-    held = counts.groupBy("term").agg(F.count(F.lit(1)).alias("_held"))
-    return held.select("term", F.log((F.lit(total) + 1.0) / (F.col("_held") + 1.0)).alias("idf")).filter("idf > 0")
+def inverse_frequencies(held: DataFrame, total: int) -> DataFrame:
+    """``term, _held, idf`` over ``total`` texts, ``_held`` of which hold the term; no weight is below zero."""
+    weight = F.log((F.lit(total) + 1.0) / (F.col("_held") + 1.0))
+    return held.select("term", "_held", F.greatest(weight, F.lit(0.0)).alias("idf"))
 
 
 def vector_lengths(counts: DataFrame, frequencies: DataFrame, key: str) -> DataFrame:
@@ -104,35 +106,6 @@ def unit_weights(counts: DataFrame, frequencies: DataFrame, lengths: DataFrame,
     return weighted.select(key, "term", (F.col("n") * F.col("idf") / F.col("_length")).alias("weight"))
 
 
-def build_lists(texts: DataFrame, key: str, text: str, wanted: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Inverted lists ``key, term, block, weight`` of the texts, the greatest weight of each block
-    ``term, block, top``, and ``term, idf``. All three are stored. With ``wanted`` (a column ``term``) only the
-    lists of these terms are built.
-
-    A text is in one block, by the length of its vector before it is made a unit: a word weighs much in short texts,
-    which would make a maximum over all texts useless for long ones.
-    """
-    counts = materialize(term_counts(texts, key, text), "terms")
-    # A text without words has no terms; it is none of the texts counted.
-    total = counts.agg(F.count_distinct(key)).first()[0]
-    frequencies = materialize(inverse_frequencies(counts, total), "frequencies")
-    lengths = materialize(vector_lengths(counts, frequencies, key), "lengths")
-    if wanted is not None:
-        frequencies = materialize(frequencies.join(wanted, "term", "left_semi"), "frequencies")
-    weighted = counts.join(frequencies, "term").join(lengths, key)
-    block = F.floor(BLOCKS_PER_DOUBLING * F.log2("_length")).cast("int")
-    weight = F.col("n") * F.col("idf") / F.col("_length")
-    lists = materialize(weighted.select(key, "term", block.alias("block"), weight.alias("weight")), "lists")
-    blocks = materialize(lists.groupBy("term", "block").agg(F.max("weight").alias("top")), "blocks")
-    return lists, blocks, frequencies
-
-
-def full_scores(pairs: DataFrame, asked: DataFrame, lists: DataFrame, question_id: str, text_id: str) -> DataFrame:
-    """``similarity`` of the given pairs of question and text over all their common terms, at nine digits."""
-    met = pairs.join(asked, question_id).join(lists.select(text_id, "term", "weight"), [text_id, "term"])
-    return met.groupBy(question_id, text_id).agg(F.round(F.sum(F.col("weight") * F.col("_asked")), 9).alias("similarity"))
-
-
 def retrieve(
     questions: DataFrame,
     texts: DataFrame,
@@ -142,51 +115,43 @@ def retrieve(
     text_id: str = "chunk_id",
     text: str = "chunk_text",
     seeds: int = 3,
+    block_bytes: int = BLOCK_BYTES,
+    question_terms: int = QUESTION_TERMS,
+    dealt: bool = False,
 ) -> DataFrame:
     """The ``k`` texts nearest to each question by cosine of word weights: exact, with bounds.
 
-    Inverted lists are cut into blocks of texts, each with its maximum weight. The lists of the ``seeds`` weightiest
-    terms of a question give it some texts, whose full scores give a first k-th score. Of each block the lists
-    are left out whose maxima add up to a small share of that score. Texts whose read weights and the maxima of what
-    was not read stay below the k-th score, as far as it is known by then, are given up; the others are scored in
-    full. Texts that share no term with the question are not returned.
+    Texts are gathered into blocks, which meet by the terms of their vocabularies; each block beside each block of
+    questions gives every question's best ``k``. There the lists of the ``seeds`` terms that can add most give a first
+    k-th score. Lists are read until what is left adds up to a small share of it. Texts whose read weights and the
+    maxima of what was not read stay below the k-th score are given up; the others are scored in full. Texts that
+    share no term with the question are not returned. Rows of one text id are one text; with ``dealt`` they are in one
+    partition already.
     """
-    words_asked = materialize(term_counts(questions, question_id, question), "words-asked")
-    lists, blocks, frequencies = build_lists(texts, text_id, text, words_asked.select("term").distinct())
-    lengths = vector_lengths(words_asked, frequencies, question_id)
-    asked = unit_weights(words_asked, frequencies, lengths, question_id)
+    together = texts.select(text_id, text)
+    if not dealt:
+        together = together.repartition(text_id)
+    together = together.sortWithinPartitions(text_id)
+    blocks = materialize(text_blocks(together, text_id, text, block_bytes), "blocks")
+    # A text without words has no terms; it is none of the texts counted.
+    total = blocks.agg(F.coalesce(F.sum("texts"), F.lit(0))).first()[0]
+    frequencies = materialize(inverse_frequencies(held_terms(blocks), total), "frequencies")
+
+    words_asked = term_counts(questions.filter(F.col(question_id).isNotNull()), question_id, question)
+    words_asked = materialize(words_asked, "words-asked")
+    known = words_asked.select("term").distinct().join(frequencies.filter("idf > 0"), "term").select("term", "idf")
+    known = materialize(known, "known")
+    lengths = vector_lengths(words_asked, known, question_id)
+    asked = unit_weights(words_asked, known, lengths, question_id)
     asked = materialize(asked.withColumnRenamed("weight", "_asked"), "questions")
-
-    # Texts of the questions' weightiest words, scored in full, give a first k-th score.
-    strong = top_per_key(asked, [question_id], [F.desc("_asked"), F.asc("term")], seeds)
-    begun = lists.join(strong.select(question_id, "term", "_asked"), "term")
-    begun = begun.groupBy(question_id, text_id).agg(F.sum(F.col("weight") * F.col("_asked")).alias("_part"))
-    some = materialize(top_per_key(begun, [question_id], [F.desc("_part"), F.asc(text_id)], SEED_TEXTS * k), "seeds")
-    tried = full_scores(some.select(question_id, text_id), asked, lists, question_id, text_id)
-    first = top_per_key(tried, [question_id], [F.desc("similarity"), F.asc(text_id)], k)
-    floor = first.groupBy(question_id).agg((F.when(F.count(F.lit(1)) >= k, F.min("similarity")) - 1e-8).alias("_floor"))
-
-    # In each block, terms by rising gain: the first ones together cannot lift a text to the floor without others.
-    met = asked.join(blocks, "term").withColumn("_gain", F.col("_asked") * F.col("top")).join(floor, question_id, "left")
-    rising = Window.partitionBy(question_id, "block").orderBy("_gain", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    met = met.withColumns({"_upto": F.sum("_gain").over(rising), "_floor": F.coalesce("_floor", F.lit(0.0))})
-    met = materialize(met, "question-blocks")
-    spare = F.col("_upto") < UNREAD_SHARE * F.col("_floor")
-    needed = met.filter(~spare).select(question_id, "term", "block", "_asked")
-    unread = met.filter(spare).groupBy(question_id, "block").agg(F.max("_upto").alias("_unread"))
-    sums = lists.join(needed, ["term", "block"]).groupBy(question_id, text_id, "block")
-    sums = sums.agg(F.sum(F.col("weight") * F.col("_asked")).alias("_part"))
-    # The floor again, by what was read: sums over some of the terms are not above the full scores.
-    limits = sums.join(met.select(question_id, "_floor").distinct(), question_id).join(unread, [question_id, "block"], "left")
-    limits = limits.withColumn("_most", F.col("_part") + F.coalesce("_unread", F.lit(0.0))).filter("_most >= _floor")
-    limits = materialize(limits.select(question_id, text_id, "_part", "_most"), "limits")
-    best_parts = top_per_key(limits, [question_id], [F.desc("_part"), F.asc(text_id)], k)
-    raised = best_parts.groupBy(question_id).agg((F.when(F.count(F.lit(1)) >= k, F.min("_part")) - 1e-8).alias("_raised"))
-    near = limits.join(raised, question_id).filter(F.col("_most") >= F.coalesce("_raised", F.lit(0.0)))
-    near = materialize(near.select(question_id, text_id), "near")
-
-    scored = full_scores(near, asked, lists, question_id, text_id)
-    best = top_per_key(scored, [question_id], [F.desc("similarity"), F.asc(text_id)], k)
+    # What one text holds has one weight, which the blocks need not be told, if nobody asks for it.
+    told = frequencies.join(known.select("term", F.lit(True).alias("_known")), "term", "left").filter("_held > 1 OR _known")
+    single = max(0.0, math.log((total + 1) / 2))
+    weighted = materialize(weighted_blocks(blocks, told.select("term", "idf"), known, single), "weights")
+
+    number = max(1, -(-asked.count() // question_terms))
+    gathered = materialize(question_blocks(asked, question_id, number), "question-blocks")
+    best = best_texts(weighted, gathered, question_id, text_id, k, seeds)
     return best.select(F.col(question_id).cast("long").alias("query_id"), text_id, "similarity", "position")
 
 

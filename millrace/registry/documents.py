@@ -163,11 +163,12 @@ FROM s WINDOW w AS (PARTITION BY query_id ORDER BY similarity DESC, chunk_id) QU
 )
 def retrieve_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """The five document chunks nearest to each benchmark text, by word weights."""
-    pieces = chunk_documents(documents(spark, sf), "doc_id", "text").select(
+    # Dealt by document, so that chunks of one id, even of a repeated document, are in one partition.
+    pieces = chunk_documents(table(spark, sf, "documents").repartition("doc_id"), "doc_id", "text").select(
         F.concat_ws("-", F.col("doc_id").cast("string"), F.col("chunk_no").cast("string")).alias("chunk_id"),
         "chunk_text",
     )
-    found = retrieve(table(spark, sf, "benchmark"), pieces, 5)
+    found = retrieve(table(spark, sf, "benchmark"), pieces, 5, dealt=True)
     return found.withColumn("similarity", F.round("similarity", 6))
 
 

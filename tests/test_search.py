@@ -21,8 +21,10 @@ from millrace.operators.partitions import (
 from millrace.operators.profile import duplicate_rows, schema_inventory
 from millrace.operators.similarity import top_k_similar
 from millrace.operators.vector_index import build_index, search_index
+from millrace.plans import documents
 from millrace.plans.documents import retrieve
 from millrace.plans.recommend import assign_variant, model_top_n, negative_samples
+from millrace.session import materialize
 
 
 def clustered(spark, n=600, dims=8, groups=6, seed=0):
@@ -116,6 +118,46 @@ def test_retrieval_equals_brute_force(spark, seeds):
     assert {(r[0], r[1], round(r[2], 6), r[3]) for r in found.collect()} == brute_retrieve(questions, texts, 4)
 
 
+@pytest.mark.parametrize("block_bytes", [1, 200, 1 << 20])
+def test_retrieval_by_blocks_of_any_size_equals_brute_force(spark, block_bytes):
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(40)] + ["Ärger", "naïve", "日本", "\u00a0", "a\x0bb", "x"]
+    text = lambda n: rng.choice([" ", "\t", "\r\n", " \f "]).join(rng.choices(vocabulary, k=n)).join(rng.choice([("", ""), (" ", "\n")]))
+    texts = [(i, text(rng.randint(1, 30))) for i in range(80)] + [(3, text(9)), (3, text(2)), (7, "\n"), (200, ""), (201, None)]
+    texts += [(300 + i, texts[5][1]) for i in range(10)]
+    questions = [(i, text(rng.randint(1, 6))) for i in range(20)] + [(50, texts[5][1]), (50, "x w1"), (51, "unknown")]
+    merged = {}
+    for q, words in questions:
+        merged[q] = f"{merged.get(q, '')} {words}"
+    ascii_blanks = [(key, "".join(c if c not in "\u00a0\x0b" else "_" for c in t or "")) for key, t in texts]
+    asked = [(q, t.replace("\u00a0", "_").replace("\x0b", "_")) for q, t in merged.items()]
+    found = retrieve(
+        spark.createDataFrame(questions, "item_id long, text string"),
+        spark.createDataFrame(texts, "chunk_id long, chunk_text string").repartition(3), 6, block_bytes=block_bytes, question_terms=10,
+    )
+    assert {(r[0], r[1], round(r[2], 6), r[3]) for r in found.collect()} == brute_retrieve(asked, ascii_blanks, 6)
+
+
+def test_retrieval_of_nothing(spark):
+    questions = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    texts = spark.createDataFrame([("t", "a b"), ("u", " ")], "chunk_id string, chunk_text string")
+    assert retrieve(questions, texts.limit(0)).isEmpty() and retrieve(questions, texts.filter("chunk_id = 'u'")).isEmpty()
+    assert retrieve(questions.limit(0), texts).isEmpty()
+
+
+def test_retrieval_stores_vocabularies_and_no_row_for_each_word_of_a_text(spark, monkeypatch):
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(50)]
+    texts = [(f"t{i}", " ".join(rng.choices(vocabulary, k=100))) for i in range(300)]
+    stored = []
+    monkeypatch.setattr(documents, "materialize", lambda df, label="step": stored.append(materialize(df, label)) or stored[-1])
+    questions = spark.createDataFrame([(1, "w1 w2 w3"), (2, "w4")], "item_id long, text string")
+    found = retrieve(questions, spark.createDataFrame(texts, "chunk_id string, chunk_text string"), 3)
+    assert found.count() == 6
+    pairs = sum(len(set(t.split())) for _, t in texts)
+    assert max(df.count() for df in stored) < pairs / 20
+
+
 @pytest.mark.parametrize(("item_rows", "user_rows"), [(7, 5), (100, 100)])
 def test_inner_products_equal_all_pairs(spark, item_rows, user_rows):
     rng = np.random.default_rng(3)

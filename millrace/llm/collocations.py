@@ -23,6 +23,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ BARRIER, CHUNK_END = b",", b"\n"  # neither is part of a word
 BARRIERS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", BARRIER * 10)
 BLOCK_BYTES = 4 << 20  # of chunks in a block
 SLOT_WORDS = 2 << 20  # of the dictionary, for each slot
+LOW_BITS = 22  # of short hashes, looked at before these are searched for
 DICTIONARY = "lang string, chunk binary, words long, copies long"
 BLOCKS = "block string, words long, langs array<string>, lang_words array<bigint>, chunk_langs binary, chunks binary, copies binary"
 
@@ -135,14 +137,14 @@ class Block:
     """A block's tokens as numbers: what begins where, in which language, how often."""
 
     def __init__(self, row: dict, overlap: int):
-        self.tokens = row["chunks"].split(b" ")
+        self.raw = row["chunks"]
+        coded = self._tokens().dictionary_encode()
+        self.vocabulary = coded.dictionary
         self.langs = row["langs"]
-        self.vocabulary: dict[bytes, int] = {}
-        number = self.vocabulary.setdefault
-        self.words = np.fromiter((number(t, len(self.vocabulary)) for t in self.tokens), np.int64, len(self.tokens))
+        self.words = coded.indices.to_numpy().astype(np.int64)
         self.size = len(self.vocabulary)
-        end = self.words == self.vocabulary.get(CHUNK_END, -1)
-        wall = end | (self.words == self.vocabulary.get(BARRIER, -1))
+        end = self.words == self._number(CHUNK_END)
+        wall = end | (self.words == self._number(BARRIER))
         ends = np.append(np.flatnonzero(end), len(end))
         chunk = np.cumsum(end)
         self.lang = np.frombuffer(row["chunk_langs"], np.int32).astype(np.int64)[chunk]
@@ -150,9 +152,26 @@ class Block:
         self.own = ~wall & (np.arange(len(end)) < (ends - overlap)[chunk])
         self.wall = wall
 
+    def _tokens(self) -> pa.Array:
+        """The tokens between single blanks; ``begins`` and ``finishes`` tell where each lies in the block."""
+        data = np.frombuffer(self.raw, np.uint8)
+        blanks = np.flatnonzero(data == ord(" "))
+        self.begins, self.finishes = np.append(0, blanks + 1), np.append(blanks, len(data))
+        offsets = np.append(0, np.cumsum(self.finishes - self.begins))
+        held = [None, pa.py_buffer(offsets), pa.py_buffer(data[data != ord(" ")])]
+        return pa.Array.from_buffers(pa.large_binary(), len(self.begins), held)
+
+    def _number(self, token: bytes) -> int:
+        return pc.index(self.vocabulary, pa.scalar(token, pa.large_binary())).as_py()
+
+    def phrases(self, first: np.ndarray, size: np.ndarray) -> list[bytes]:
+        """The phrases of so many words that begin at these tokens."""
+        ends = self.finishes[first + size - 1]
+        return [self.raw[a:b] for a, b in zip(self.begins[first].tolist(), ends.tolist(), strict=True)]
+
     def hashes(self) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the words and of the pairs that begin at each token, apart by language."""
-        word = np.array([xxhash.xxh3_64_intdigest(w) for w in self.vocabulary], np.uint64)[self.words]
+        word = np.array([xxhash.xxh3_64_intdigest(w) for w in self.vocabulary.to_numpy(zero_copy_only=False)], np.uint64)[self.words]
         name = np.array([xxhash.xxh3_64_intdigest(x.encode(), 1) for x in self.langs], np.uint64)
         one = mix(name[self.lang], word)
         return one, np.append(mix(one[:-1], word[1:]), np.uint64(0))
@@ -177,7 +196,12 @@ def _among(keys: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
     if not len(keys):
         return np.zeros(len(hashes), bool)
     wanted = hashes >> np.uint64(32 - bits)
-    return keys[np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)] == wanted
+    held = np.zeros(1 << LOW_BITS, bool)  # most of the others end in bits of none
+    held[keys & np.uint64(len(held) - 1)] = True
+    near = np.flatnonzero(held[wanted & np.uint64(len(held) - 1)])
+    found = np.zeros(len(wanted), bool)
+    found[near] = keys[np.minimum(np.searchsorted(keys, wanted[near]), len(keys) - 1)] == wanted[near]
+    return found
 
 
 def _keys(row: dict, name: str) -> np.ndarray:
@@ -295,7 +319,7 @@ def phrase_counts(blocks: DataFrame, overlap: int, bits: int, longest: int, leas
             for number, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
                 if b > a:
                     at = order[a:b]
-                    phrases = [b" ".join(block.tokens[i : i + k]) for i, k in zip(first[at].tolist(), size[at].tolist(), strict=True)]
+                    phrases = block.phrases(first[at], size[at])
                     yield rows_to_table(
                         {
                             "slot": pa.array([number], pa.int64()),

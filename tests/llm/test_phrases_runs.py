@@ -2,6 +2,7 @@
 
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -82,6 +83,31 @@ def test_chunks_share_their_overlap(docs):
         assert all(a[-4:] == b[:4] for a, b in zip(chunks, chunks[1:]))
 
 
+def test_blocks_number_their_tokens_without_a_python_step_for_each():
+    rng = random.Random(2)
+    chunks = [b" ".join(rng.choices([b"a", b"bb", "ß日".encode(), b"\x1c", b",", b"w7"], k=rng.randint(1, 20))) for _ in range(400)]
+    row = {
+        "langs": ["de", "en"], "chunks": b" \n ".join(chunks), "copies": np.ones(400, np.int64).tobytes(),
+        "chunk_langs": np.arange(400, dtype=np.int32).__mod__(2).tobytes(),
+    }
+    col.Block(row, 4)  # imports what the first call needs
+    calls = []
+    sys.setprofile(lambda frame, event, arg: calls.append(event))
+    try:
+        block = col.Block(row, 4)
+    finally:
+        sys.setprofile(None)
+    tokens = row["chunks"].split(b" ")
+    assert len(calls) < len(tokens) / 4
+    names = block.vocabulary.to_pylist()
+    assert [names[i] for i in block.words] == tokens and len(set(names)) == block.size
+    first, size = np.array([0, 5, len(tokens) - 2]), np.array([3, 1, 2])
+    assert block.phrases(first, size) == [b" ".join(tokens[i : i + k]) for i, k in zip(first, size, strict=True)]
+    keys = np.unique(np.array([rng.getrandbits(36) for _ in range(500)], np.uint64))
+    asked = np.append(keys[::2], np.array([rng.getrandbits(36) for _ in range(500)] + [int(keys[3]) ^ 1 << 30], np.uint64))
+    assert col._among(keys, asked << np.uint64(28), 4).tolist() == np.isin(asked, keys).tolist()
+
+
 def test_collocations_of_nothing(spark, docs):
     assert col.collocations(docs.limit(0)).count() == 0
     odd = spark.createDataFrame([(None, None, 1), ("", "x", 2)], "text string, lang string, f int")

@@ -24,7 +24,7 @@ from millrace.operators.similarity import pair_blocks
 from millrace.operators.windows import top_per_key
 from millrace.session import materialize
 
-BLOCK_BYTES = 16 << 20  # of texts in a block
+BLOCK_BYTES = 8 << 20  # of texts in a block
 QUESTION_TERMS = 1 << 16  # in a block of questions
 BLANKS = np.isin(np.arange(256), list(b" \t\r\n\f"))  # as in functions.text.words
 DIGITS = 9

@@ -8,6 +8,7 @@ import pytest
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
 
+from millrace.operators import similarity
 from millrace.operators.inner_product import top_inner_products
 from millrace.operators.partitions import (
     VersionClaimed,
@@ -74,6 +75,59 @@ def test_index_with_less_than_k_vectors_in_a_cell(spark):
     assert found.count() == 72 and found.drop("similarity").exceptAll(want.drop("similarity")).isEmpty()
 
 
+def test_top_k_sends_no_vectors_to_the_queries(spark):
+    # All pairs are scored, though no row of vectors is copied for each block of queries.
+    rng = np.random.default_rng(6)
+    vectors = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(600)], "vec_id long, embedding array<double>")
+    asked = vectors.filter("vec_id < 200").withColumnRenamed("vec_id", "query_id")
+    found = top_k_similar(asked, vectors, 3, block=4)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "stored_data" not in plan
+    assert found.count() == 600 and found.filter("position = 1 and query_id = vec_id").count() == 200
+
+
+@pytest.mark.parametrize("results", [1, 1 << 20])
+@pytest.mark.parametrize("text", [False, True])
+def test_top_k_over_many_files_equals_brute_force(spark, monkeypatch, results, text):
+    monkeypatch.setattr(similarity, "RESULTS", results)
+    rng = np.random.default_rng(7)
+    points = [[float(x) for x in rng.integers(-2, 3, size=3)] for _ in range(300)] + [[0.0] * 3]  # many equal similarities
+    name = (lambda i: "v" * (i % 9) + str(i)) if text else (lambda i: (1 << 53) + i)
+    vectors = [(name(i), v) for i, v in enumerate(points)] + [(name(0), points[1]), (name(400), None)]
+    asked = [((1 << 53) + i, points[i]) for i in range(0, 301, 4)] + [((1 << 53) + 4, points[7]), (None, points[9]), (5, None)]
+    found = top_k_similar(
+        spark.createDataFrame(asked, "query_id long, embedding array<double>").repartition(3),
+        spark.createDataFrame(vectors, f"vec_id {'string' if text else 'long'}, embedding array<double>").repartition(7), 4, block=5,
+    )
+    want = {}
+    for q, a in asked:
+        for v, b in vectors if a else ():
+            if b:
+                size = np.linalg.norm(a) * np.linalg.norm(b)
+                want.setdefault(q, []).append((-round(float(np.dot(a, b) / size), 9) if size else 0.0, v))
+    mine = {}
+    for r in found.orderBy("query_id", "position").collect():
+        mine.setdefault(r["query_id"], []).append((-r["similarity"], r["vec_id"]))
+    assert mine == {q: sorted(scores)[:4] for q, scores in want.items()}
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_top_k_of_vectors_without_ids(spark, kind):
+    ids = [None, (1 << 53) + 1, None, (1 << 53) + 3]
+    rows = [(i if kind == "long" or i is None else str(i), v) for i, v in zip(ids, [[1.0, 0.0], [1.0, 0.0], [0.0, 1.0], [1.0, 1.0]], strict=True)]
+    vectors = spark.createDataFrame(rows, f"vec_id {kind}, embedding array<double>").coalesce(1)
+    asked = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, embedding array<double>")
+    found = [(r["vec_id"], r["similarity"]) for r in top_k_similar(asked, vectors, 3).orderBy("position").collect()]
+    assert found == [(None, 1.0), (rows[1][0], 1.0), (rows[3][0], 0.707106781)]
+    assert top_k_similar(asked, vectors.filter("vec_id is null"), 3).count() == 2
+
+
+def test_top_k_of_vectors_of_unequal_length(spark):
+    vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0]), (3, [1.0])], "vec_id long, embedding array<double>").coalesce(1)
+    with pytest.raises(Exception, match="vectors have 1 to 2 numbers"):
+        top_k_similar(vectors.withColumnRenamed("vec_id", "query_id"), vectors, 3).count()
+
+
 def brute_retrieve(questions, texts, k):
     counts = {key: {} for key, _ in texts}
     for key, text in texts:

@@ -184,7 +184,8 @@ def sketch_ranges(spark: SparkSession, sf: str) -> DataFrame:
     stored = materialize(daily_sketches(events, F.col("day"), "user_id", "value"), "sketches")
     shares = (0.5, 0.95)
     found = materialize(range_summary(stored, ranges, shares), "ranges")
-    raw = events.join(F.broadcast(ranges), F.col("day").between(F.col("first"), F.col("last")))
+    met = [F.when(F.col("day").between(first, last), name) for name, first, last in rows]  # a row may be in several
+    raw = events.withColumn("range", F.explode(F.array_compact(F.array(*met))))
     raw = raw.join(F.broadcast(found.select("range", "quantiles")), "range")
     # A value's rank is a span where others are equal to it.
     below = [F.avg((F.col("value") < F.col("quantiles")[i]).cast("double")).alias(f"_below{i}") for i in range(len(shares))]

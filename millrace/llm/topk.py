op8_exact_top_k: sort a block's lists once, go on with the best scores so far, send queries to vectors

Symptom: nearly all time went into Python: every pair of blocks sorted the lists of its vectors again, no bound left a vector out, and all pairs of vectors and queries were gathered one by one, scored and sorted.
Evidence: on 51,282 vectors (0.02 GB) 1638 task seconds a GB, of these 1408 Python, 175 JVM, 7 GC; 67 MB shuffled, since blocks of vectors were repeated for each block of queries. One pair of blocks took 0.37 s, 0.25 s of it in gathering and sorting candidates.
Fix: blocks of vectors are sent once and the smaller query blocks go to them, by a shuffled join. A task keeps the lists it sorted and each query's k best scores, skips depths at which unseen vectors may still qualify, scores what is left by one matrix product in the narrowest exact precision, and sorts only the k best.
Effect: at 0.6 GB of input CPU 183 -> 106 s, shuffle 0.16 -> 0.03 GB, spill 0.00 -> 0.00 GB, read 0.06 -> 0.06 GB, longest task 8 -> 3 s, most memory of a task 38 -> 101 MB; at 6 GB of input CPU 8684 -> 759 s, shuffle 6.59 -> 1.27 GB, spill 4.04 -> 0.00 GB, read 0.62 -> 0.62 GB, longest task 108 -> 44 s, most memory of a task 67 -> 243 MB; with hot keys, at 0.6 GB of input CPU 155 -> 110 s, shuffle 0.13 -> 0.02 GB, spill 0.00 -> 0.00 GB, read 0.06 -> 0.06 GB, longest task 5 -> 3 s, most memory of a task 36 -> 101 MB.

@@ -8,7 +8,9 @@ bounds, and none that no list has shown yet, can qualify; only the few that stil
 
 Vectors are dealt into blocks, and queries too; each pair of blocks is one row of work, so what a
 task holds is bounded by the block sizes, not by the tables. In a block the lists are read for all
-queries at once: sums over what has been read are matrix products with a mask of read entries.
+queries at once: lower and upper bounds are matrix products with the values read, the rest replaced by
+what bounds it. A task sorts a block's lists once for the query blocks that it meets, and goes on with
+the queries' ``k`` best scores so far: what cannot beat them is out in the next block.
 
 Vectors that are null, or hold a null or a component that is not finite, take no part. A missing
 component of a shorter vector counts as 0. Ties go to the smaller id. Repeated ids are vectors of
@@ -17,8 +19,11 @@ their own, except that a query is not compared with vectors of its own id. Null
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +32,8 @@ from millrace.operators.similarity import pair_blocks
 from millrace.session import materialize
 
 DEPTHS = (1 / 8, 1 / 4, 1 / 2)
+HELD_LISTS = 2  # blocks whose sorted lists a task keeps
+HELD_QUERIES = 1024  # blocks of queries whose best scores a task keeps
 
 
 class SortedLists:
@@ -40,48 +47,65 @@ class SortedLists:
         np.put_along_axis(self.place, order, np.broadcast_to(np.arange(n)[:, None], order.shape), axis=0)
         self.sorted = np.take_along_axis(vectors, order, axis=0)
 
+    def outside(self, queries: np.ndarray, depth: int) -> np.ndarray:
+        """The upper bound of vectors that no list has shown."""
+        # The next unread values bound the rest: from the top, and from the bottom.
+        high, low = self.sorted[depth], self.sorted[len(self.vectors) - 1 - depth]
+        return queries.clip(min=0) @ high + queries.clip(max=0) @ low
+
     def bounds(self, queries: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Lower and upper bounds, vectors by queries, and the upper bound of vectors not yet seen."""
         n = len(self.vectors)
         top, bottom = self.place < depth, self.place >= n - depth
-        up, down = np.maximum(queries, 0).T, np.minimum(queries, 0).T
-        read = (self.vectors * top) @ up + (self.vectors * bottom) @ down
-        # The next unread values bound the rest: from the top, and from the bottom.
-        high, low = self.sorted[depth], self.sorted[n - 1 - depth]
-        best = (~top) @ (up * high[:, None]) + (~bottom) @ (down * low[:, None])
-        worst = (~top) @ (up * self.sorted[-1][:, None]) + (~bottom) @ (down * self.sorted[0][:, None])
-        outside = queries.clip(min=0) @ high + queries.clip(max=0) @ low
-        return read + worst, read + best, outside
+        up, down = queries.clip(min=0).T, queries.clip(max=0).T
+        between = lambda above, below: np.where(top, self.vectors, above) @ up + np.where(bottom, self.vectors, below) @ down
+        lower, upper = between(self.sorted[-1], self.sorted[0]), between(self.sorted[depth], self.sorted[n - 1 - depth])
+        return lower, upper, self.outside(queries, depth)
+
 
+def block_top_k(lists: SortedLists, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int, least: np.ndarray):
+    """``(query, place, score)`` arrays of the best vectors of a block, at most ``k`` for each query, by rows of both.
 
-def block_top_k(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int):
-    """``(query_id, vec_id, score)`` arrays of the ``k`` best vectors of a block for each query."""
-    lists = SortedLists(vectors)
+    ``least`` holds for each query a score that ``k`` vectors of other blocks reach; what is below it is left out.
+    """
+    vectors = lists.vectors
     n, number = len(vectors), len(queries)
-    own = ids[:, None] == query_ids[None, :]
-    alive = ~own
-    least = np.full(number, -np.inf)
+    alive = ids[:, None] != query_ids[None, :]
+    own = ~alive
     # Beyond 2^53 bounds would not be exact: all lists are read to their ends.
     for share in DEPTHS if vectors.dtype.kind == "f" else ():
         depth = int(n * share)
         if depth < 1 or n - depth < k:
             continue
+        if np.isfinite(least).all() and (lists.outside(queries, depth) >= least).mean() > 0.5:
+            continue  # For most queries even a vector that no list has shown may qualify: the lists are read on.
         lower, upper, outside = lists.bounds(queries, depth)
-        lower = np.where(own, -np.inf, lower)
+        lower[own] = -np.inf
         least = np.maximum(least, np.partition(lower, n - k, axis=0)[n - k])
         alive &= upper >= least
         # Vectors that no list has shown are below ``outside``; they stop mattering with it.
         if (outside < least).all() and alive.sum() <= 4 * k * number:
             break
-    who, which = np.nonzero(alive)
-    scores = np.empty(len(who), vectors.dtype)
-    for start in range(0, len(who), 1 << 16):
-        part = slice(start, start + (1 << 16))
-        scores[part] = np.einsum("ij,ij->i", vectors[who[part]], queries[which[part]])
+    left = np.flatnonzero(alive.any(axis=1))
+    alive = alive[left]
+    scores = vectors[left] @ queries.T
+    if len(left) > k:
+        lowest = -np.inf if scores.dtype.kind == "f" else np.iinfo(scores.dtype).min
+        alive &= scores >= np.partition(np.where(alive, scores, lowest), len(left) - k, axis=0)[len(left) - k]
+    who, which = np.nonzero(alive & (scores >= least))
+    scores, who = scores[who, which].astype(np.int64), left[who]
     order = np.lexsort((ids[who], -scores, which))
     first = np.searchsorted(which[order], np.arange(number))
     keep = order[np.arange(len(order)) - first[which[order]] < k]
-    return query_ids[which[keep]], ids[who[keep]], scores[keep].astype(np.int64)
+    return which[keep], who[keep], scores[keep]
+
+
+def better(held: np.ndarray, which: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    """The best scores of each query (row) so far, and of another block; the least comes first."""
+    number, k = held.shape
+    found = np.full((number, k), -np.inf)
+    found[which, np.arange(len(which)) - np.searchsorted(which, which)] = scores
+    return np.partition(np.hstack([held, found]), k, axis=1)[:, k:]
 
 
 def _usable(vector: str) -> Column:
@@ -94,30 +118,32 @@ def _whole(vector: str, factor: int) -> Column:
 
 
 def _blocks(vectors: DataFrame, rows: int, name: str) -> DataFrame:
-    """Rows of ``id, vector`` gathered into blocks of at most ``rows``: ids, offsets and values as bytes."""
+    """Rows of ``id, vector`` gathered into blocks of at most ``rows``: a name, and ids, lengths and values as bytes."""
 
     def run(batches):
-        ids, parts, held = [], [], 0
-
-        def block():
-            lengths = np.array([len(p) for p in parts], np.int32)
-            values = np.concatenate(parts) if parts else np.empty(0, np.int64)
-            columns = [[np.array(ids, np.int64).tobytes()], [lengths.tobytes()], [values.tobytes()]]
-            return rows_to_table(dict(zip(names, [pa.array(c, pa.binary()) for c in columns], strict=True)))
-
+        held, size = [], 0
         for batch in batches:
-            for i, v in zip(batch.column("id").to_pylist(), batch.column("vector"), strict=True):
-                ids.append(i)
-                parts.append(np.asarray(v.values.to_numpy(zero_copy_only=False), np.int64))
-                held += 1
-                if held == rows:
-                    yield block()
-                    ids, parts, held = [], [], 0
+            for start in range(0, batch.num_rows, rows):
+                part = batch.slice(start, rows)
+                if size + part.num_rows > rows:
+                    room = rows - size
+                    yield block([*held, part.slice(0, room)])
+                    held, size, part = [], 0, part.slice(room)
+                held.append(part)
+                size += part.num_rows
         if held:
-            yield block()
+            yield block(held)
+
+    def block(parts):
+        ids = np.concatenate([p.column("id").to_numpy() for p in parts])
+        lengths = np.concatenate([pc.list_value_length(p.column("vector")).to_numpy() for p in parts])
+        values = np.concatenate([p.column("vector").flatten().to_numpy(zero_copy_only=False).astype(np.int64) for p in parts])
+        data = ids.astype(np.int64), lengths.astype(np.int32), values
+        columns = [[uuid.uuid4().hex], *[pa.array([c.tobytes()], pa.binary()) for c in data]]
+        return rows_to_table(dict(zip(names, columns, strict=True)))
 
-    names = [f"{name}_ids", f"{name}_lengths", f"{name}_values"]
-    return vectors.mapInArrow(run, ", ".join(f"{n} binary" for n in names))
+    names = [f"{name}_name", f"{name}_ids", f"{name}_lengths", f"{name}_values"]
+    return vectors.mapInArrow(run, f"{names[0]} string, " + ", ".join(f"{n} binary" for n in names[1:]))
 
 
 def _matrix(row: dict, name: str, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,21 +179,35 @@ def top_k_inner(
 
     asked = _blocks(whole(queries), query_rows, "query")
     stored = _blocks(whole(vectors), block_rows, "block")
-    # Blocks against blocks: a stated set of queries meets all vectors.
-    work = pair_blocks(materialize(stored, "blocks"), materialize(asked, "queries"), "query_ids")
-    work = work.hint("rebalance")
+    # Blocks against blocks: a block of vectors is sent once, and the smaller blocks of queries go to each. Catalyst does
+    # not know how often these are repeated, so it must not broadcast them.
+    work = pair_blocks(materialize(asked, "queries").hint("merge"), materialize(stored, "blocks"), "block_name")
 
     def run(batches):
+        best: dict[bytes, np.ndarray] = {}
+        lists: dict[tuple[bytes, int, type], SortedLists] = {}
         for batch in batches:
-            for row in batch.to_pylist():
-                width = max(np.frombuffer(row["block_lengths"], np.int32).max(), np.frombuffer(row["query_lengths"], np.int32).max())
-                ids, block = _matrix(row, "block", int(width))
-                query_ids, asks = _matrix(row, "query", int(width))
-                size = max(int(width), 1) * max(int(np.abs(block).max(initial=0)), 1) * max(int(np.abs(asks).max(initial=0)), 1)
-                # Whole numbers below 2^53 are exact in double precision, which multiplies faster.
-                kind = np.float64 if size < 1 << 53 else np.int64
-                found = block_top_k(block.astype(kind), ids, asks.astype(kind), query_ids, k)
-                yield rows_to_table(dict(zip(("query_id", "vec_id", "score"), found, strict=True)))
+            for i in range(batch.num_rows):
+                row = {n: batch.column(n)[i].as_buffer() for n in batch.schema.names}
+                lengths = [np.frombuffer(row[f"{n}_lengths"], np.int32) for n in ("block", "query")]
+                width = int(max(own.max() for own in lengths))
+                ids, block = _matrix(row, "block", width)
+                query_ids, asks = _matrix(row, "query", width)
+                size = max(width, 1) * max(int(np.abs(block).max(initial=0)), 1) * max(int(np.abs(asks).max(initial=0)), 1)
+                # Whole numbers below 2^24 and 2^53 are exact in single and double precision, which multiply faster.
+                kind = np.float32 if size < 1 << 24 else np.float64 if size < 1 << 53 else np.int64
+                place = (row["block_name"].to_pybytes(), width, kind)
+                if place not in lists:
+                    if len(lists) >= HELD_LISTS:
+                        lists.clear()
+                    lists[place] = SortedLists(block.astype(kind))
+                name = row["query_name"].to_pybytes()
+                if name not in best and len(best) >= HELD_QUERIES:
+                    best.clear()
+                held = best.get(name, np.full((len(asks), k), -np.inf))
+                which, who, scores = block_top_k(lists[place], ids, asks.astype(kind), query_ids, k, held[:, 0])
+                best[name] = better(held, which, scores)
+                yield rows_to_table({"query_id": query_ids[which], "vec_id": ids[who], "score": scores})
 
     best = work.mapInArrow(run, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))

@@ -145,3 +145,43 @@ def test_bounds_hold():
         assert (lower <= exact).all() and (upper >= exact).all()
         unseen = ~((lists.place < depth) | (lists.place >= 300 - depth)).any(axis=1)
         assert (exact[unseen] <= outside).all()
+
+
+def test_blocks_go_on_with_the_best_so_far(monkeypatch):
+    """A query's best scores leave vectors of later blocks out, and lists are read on where they cannot stop."""
+    rounds, bounds = [], topk.SortedLists.bounds
+    monkeypatch.setattr(topk.SortedLists, "bounds", lambda *a: rounds.append(a[2]) or bounds(*a))
+    draw = np.random.default_rng(3)
+    values, asks = np.floor(256 * draw.normal(0, 0.1, (4_000, 32))), np.floor(256 * draw.normal(0, 0.1, (20, 32)))
+    held, found = np.full((20, 5), -np.inf), []
+    for start in range(0, 4_000, 500):
+        ids = np.arange(start, start + 500)
+        which, who, scores = topk.block_top_k(topk.SortedLists(values[start : start + 500]), ids, asks, -np.ones(20), 5, held[:, 0])
+        assert (scores >= held[which, 0]).all()
+        held = topk.better(held, which, scores)
+        found.append(len(which))
+    assert (np.sort(held, axis=1) == np.sort(values @ asks.T, axis=0)[-5:].T).all()
+    assert sum(found) < 8 * 5 * 20 / 2 and len(rounds) < 8 * len(topk.DEPTHS) / 2
+
+
+def test_top_k_of_mixed_blocks(spark):
+    """Blocks of single, double and whole precision, lengths, nulls and rows that come twice."""
+    draw = np.random.default_rng(5)
+    rows = [(i, (10.0 ** draw.integers(-1, 6) * draw.normal(0, 1, draw.integers(0, 9))).astype(np.float32).tolist()) for i in range(300)]
+    rows += [(i, None) for i in range(300, 400, 10)] + [(None, [1.0, 2.0]), (400, [1.0, None]), (401, [0.5] * 8), (401, [0.5] * 8)]
+    asked = lambda i: i % 50 == 0
+    padded = [(i, None if v is None else [*v, *[0.0] * (9 - len(v))]) for i, v in rows]
+    frame = vectors(spark, rows).repartition(3)
+    for sizes in ((16, 2), (64, 4)):
+        got = topk.top_k_inner(frame, frame.filter("vec_id % 50 = 0"), block_rows=sizes[0], query_rows=sizes[1]).collect()
+        assert sorted(map(tuple, got)) == brute_top_k(padded, asked, 5)
+
+
+def test_queries_are_sent_to_blocks_of_vectors(spark):
+    """The smaller blocks of queries are repeated for each block of vectors, and not the other way round."""
+    frame = vectors(spark, [(i, [1.0, 2.0]) for i in range(200)])
+    made = topk.top_k_inner(frame, frame.filter("vec_id % 50 = 0"), block_rows=16)._jdf.queryExecution()
+    plan = made.optimizedPlan().toString()
+    dealt = plan[plan.index("Generate") :].split("\n")[1]
+    assert "query_values" in dealt and "block_values" not in dealt
+    assert "Broadcast" not in made.executedPlan().toString()

@@ -162,6 +162,54 @@ def test_toxicity_without_labels(spark):
     assert one_class.weights == {}
 
 
+def shuffled_texts(spark, monkeypatch, docs, labels):
+    """What ``fit`` learns, and the columns that its stored plans shuffle beside ids."""
+    plain, plans = toxicity.materialize, {}
+
+    def stored(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return plain(df, label)
+
+    monkeypatch.setattr(toxicity, "materialize", stored)
+    return toxicity.fit(docs, labels), plans
+
+
+def test_toxicity_shuffles_texts_that_may_be_labelled(spark, monkeypatch):
+    docs, labels = labelled(spark)
+    _, plans = shuffled_texts(spark, monkeypatch, docs, labels.filter("doc_id < 100"))
+    assert "bitmap_construct_agg" in plans["words"] and "bitmap_construct_agg" in plans["evidence"]
+    # Evidence is found before the join, so no text of the second half is sent.
+    assert plans["evidence"].index("strategy=merge") < plans["evidence"].index("MapInArrow")
+
+
+def test_toxicity_of_odd_labels(spark):
+    """Null and repeated ids, several labels of one id, ids of another type, texts that are null or come twice."""
+    docs, labels = labelled(spark)
+    more = spark.createDataFrame([(None, "idiot stone", "en", "x"), (0, "idiot house", "en", "x"), (7, None, "en", "x"), (1_000, "idiot", "en", "x")], DOCS)
+    odd = spark.createDataFrame([(None, 1), (1, None), (0, 0), (5_000, 1)], "doc_id long, toxic int")
+    docs, labels = docs.union(more), labels.filter("doc_id < 400").union(odd)
+    # By hand: the texts of the first half, joined with the largest label of each id.
+    known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    joined = docs.join(known, "doc_id").withColumn("first", common.share_below("doc_id", 12, 0.5))
+    rows = joined.select("first", "text", "toxic").collect()
+    chars = Counter()
+    for r in rows:
+        for word in {toxicity.core(w) for w in (r["text"] or "").encode().split()} if r["first"] else ():
+            chars.update(f"^^{word}$"[i : i + 3] for i in range(len(word) + 1))
+    model = toxicity.fit(docs, labels)
+    assert model.chars == chars
+    scores = toxicity.WordScores(model)
+    x = np.array([[1, *scores.evidence((r["text"] or "").encode())] for r in rows if not r["first"]])
+    y = np.array([r["toxic"] for r in rows if not r["first"]])
+    # The gradient of the penalised likelihood vanishes over exactly these rows.
+    w = np.array(model.logistic)
+    assert np.abs(x.T @ (y - 1 / (1 + np.exp(-x @ w))) - np.array([0, 0.1, 0.1, 0.1, 0.1]) * w).max() < 1e-3
+    # Join keys of another type match as they did.
+    short = toxicity.fit(docs.withColumn("doc_id", F.col("doc_id").cast("int")), labels.withColumn("doc_id", F.col("doc_id").cast("int")))
+    assert sum(short.chars.values()) > 0
+    assert toxicity.fit(docs, labels.withColumn("doc_id", F.col("doc_id").cast("int"))).chars
+
+
 def test_toxicity_on_held_out(spark):
     got = toxicity.op2(spark, "/root/testdata/sf0.1").filter("held_out").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id")
     r = got.agg(F.avg((F.col("predicted") == F.col("toxic")).cast("int")), F.avg("toxic")).first()

op3_kneser_ney: one shuffle sums bigrams and deals them out to their files

Symptom: distinct bigrams were shuffled again to reach their files, and the first shuffle sent two random hashes a row that hardly pack.
Evidence: quick run on 0.10 GB: 500 MB shuffled (257 MB to sum bigrams, 124 MB to write them, 84 MB for sums by word, 34 MB for their files), 1069 task seconds a GB (543 JVM, 428 Python, 18 GC), 0.42 GB of disk, executor 1541 MB, at most 168 MB in a task.
Fix: a bigram's key begins with bits of its two words in turn, and one shuffle by these bits serves sums and files. Rows go out next to others of their first word, keys are found by Spark's own hash, counts are stored in the narrowest type; a word with many neighbours is spread over many tasks.
Effect: at 0.6 GB of input CPU 761 -> 698 s, shuffle 2.13 -> 1.35 GB, spill 0.00 -> 0.00 GB, read 2.21 -> 1.65 GB, longest task 20 -> 16 s, most memory of a task 570 -> 436 MB; at 6 GB of input CPU 6501 -> 4539 s, shuffle 14.92 -> 11.56 GB, spill 10.30 -> 8.79 GB, read 19.16 -> 14.34 GB, longest task 68 -> 45 s, most memory of a task 772 -> 1040 MB; with hot keys, at 0.6 GB of input CPU 365 -> 465 s, shuffle 0.73 -> 0.47 GB, spill 0.00 -> 0.00 GB, read 0.71 -> 0.56 GB, longest task 9 -> 10 s, most memory of a task 268 -> 201 MB.

@@ -5,6 +5,10 @@ first word. Bigrams are counted in each batch, summed by Spark, and written as a
 64-bit hash: one file per hash range in the shared folder. Workers map these files into memory and
 look their bigrams up by binary search, so a model may be far larger than any worker's memory.
 
+The key of a bigram begins with bits of its two words in turn, and bigrams are dealt out by these bits:
+the same shuffle serves the sums and the files, a task meets a word again and again, which packs well,
+and a word with very many neighbours is spread over many tasks.
+
 Discounts for counts 1, 2, and 3 or more follow from the counts of counts. Words are weighted by the
 number of different words they follow; the discount's mass goes to a uniform law over the known words
 and one unknown word. The order is 2: counted three words deep, nearly every trigram of a corpus is
@@ -30,6 +34,9 @@ from millrace.session import materialize, new_path
 END = np.uint64(0xE4D0E4D0E4D0E4D1)  # the hash of the end token; words have hashes of their bytes
 SHARD_ROWS = 500_000
 MIN_SHARDS = 64
+TURNS = 8  # bits of each word at the front of a bigram's key, at most
+PRIMES = np.array([0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
+TURN_BITS = np.array([sum((v >> i & 1) << 2 * i for i in range(TURNS)) for v in range(1 << TURNS)], np.uint64)
 BATCH_TOKENS = 4_000_000  # counted at once: about 250 MB in a worker
 
 
@@ -40,15 +47,35 @@ def token_pairs(raw: bytes, hashes: WordHash) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([[END], words]), tokens
 
 
-def keyed(bigrams: DataFrame) -> DataFrame:
-    """``key, n``: bigrams under one hash of both words."""
+def cells(before: np.ndarray, word: np.ndarray, bits: int) -> np.ndarray:
+    """A range of keys for each bigram: the first ``bits`` of both words' hashes, in turn."""
+    turns = TURN_BITS[before >> np.uint64(64 - TURNS)] << np.uint64(1) | TURN_BITS[word >> np.uint64(64 - TURNS)]
+    return turns >> np.uint64(2 * TURNS - bits)
+
+
+def xxhash64(*columns: np.ndarray) -> np.ndarray:
+    """Spark's function of this name, for columns of 64-bit numbers."""
+    value = np.full(len(columns[0]), 42, np.uint64)
+    with np.errstate(over="ignore"):
+        for column in columns:
+            mixed = column * PRIMES[1]
+            value = value + PRIMES[4] + np.uint64(8) ^ (mixed << np.uint64(31) | mixed >> np.uint64(33)) * PRIMES[0]
+            value = (value << np.uint64(27) | value >> np.uint64(37)) * PRIMES[0] + PRIMES[3]
+            value = (value ^ value >> np.uint64(33)) * PRIMES[1]
+            value = (value ^ value >> np.uint64(29)) * PRIMES[2]
+            value ^= value >> np.uint64(32)
+    return value
 
-    def run(batches):
-        for batch in batches:
-            before, word = (batch.column(n).to_numpy().view(np.uint64) for n in ("before", "word"))
-            yield rows_to_table({"key": mix(before, word).view(np.int64), "n": batch.column("n")})
 
-    return bigrams.mapInArrow(run, "key long, n long")
+def pair_key(before: np.ndarray, word: np.ndarray, bits: int) -> np.ndarray:
+    """The ``key`` of ``keyed``."""
+    return cells(before, word, bits) << np.uint64(64 - bits) | xxhash64(before, word) >> np.uint64(bits)
+
+
+def keyed(bigrams: DataFrame, bits: int) -> DataFrame:
+    """Add ``key``, one hash of both words that begins with the ``bits`` of the cell."""
+    cell = F.shiftleft(F.col("cell").cast("long"), 64 - bits)
+    return bigrams.withColumn("key", cell.bitwiseOR(F.shiftrightunsigned(F.xxhash64("before", "word"), bits)))
 
 
 def _count(columns: list[np.ndarray], counts: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
@@ -58,8 +85,10 @@ def _count(columns: list[np.ndarray], counts: np.ndarray | None = None) -> tuple
     return [c[first] for c in columns], number
 
 
-def bigram_counts(docs: DataFrame, text: str) -> DataFrame:
-    """``before, word, n`` over all texts. Each batch sends a bigram once."""
+def bigram_counts(docs: DataFrame, text: str, bits: int) -> DataFrame:
+    """``cell, before, word, n`` over all texts, dealt out by cells. Each batch sends a bigram once, next to others of
+    its first word.
+    """
 
     def run(batches):
         hashes = WordHash()
@@ -78,83 +107,110 @@ def bigram_counts(docs: DataFrame, text: str) -> DataFrame:
                 yield rows(before, tokens)
 
     def rows(before, tokens):
-        (b, t), n = _count([np.concatenate(before), np.concatenate(tokens)])
-        return rows_to_table({"before": b.view(np.int64), "word": t.view(np.int64), "n": n.astype(np.int64)})
+        pairs = [np.concatenate(before), np.concatenate(tokens)]
+        before.clear()
+        tokens.clear()
+        (b, t), n = _count(pairs)
+        del pairs
+        cell = cells(b, t, bits).astype(np.int32)
+        order = np.argsort(cell.astype(np.uint64) << np.uint64(64 - bits) | b >> np.uint64(bits))
+        found = {"cell": cell, "before": b.view(np.int64), "word": t.view(np.int64), "n": n.astype(np.int64)}
+        return rows_to_table({name: column[order] for name, column in found.items()})
 
     shape = docs.select(F.col(text).alias("_text"))
-    return shape.mapInArrow(run, "before long, word long, n long").groupBy("before", "word").agg(F.sum("n").alias("n"))
+    counted = shape.mapInArrow(run, "cell int, before long, word long, n long").repartitionById(1 << bits, "cell")
+    return counted.groupBy("cell", "before", "word").agg(F.sum("n").alias("n"))
 
 
-def write_arrays(rows: DataFrame, uri: str, values: list[str], total: int) -> tuple[int, frozenset[int]]:
-    """Write ``key`` and integer ``values`` as sorted arrays, one file per range of keys; the number of
-    ranges, and those that have a file.
+def array_files(uri: str, values: list[str], bits: int, passed: bool = False, most: int = SHARD_ROWS):
+    """A ``mapInArrow`` function that writes ``key`` and integer ``values`` of rows sorted by key as arrays, in files
+    of some ``most`` rows. It yields ``file``, the first key of each file and its name, or all rows with it if ``passed``.
 
-    Keys are hashes, so ranges of equal width hold about equally many.
+    A file ends where the first ``bits`` of the key change, so that files of different tasks do not overlap.
     """
-    shards = max(MIN_SHARDS, 1 << (total // SHARD_ROWS).bit_length())
-    shard = F.shiftright("key", 65 - shards.bit_length()) + F.lit(shards // 2)
 
     def run(batches):
         held: list[pa.RecordBatch] = []
-        current = None
+        file = cell = None
+        size = 0
 
         def flush():
-            columns = [np.concatenate([b.column(n).to_numpy() for b in held]) for n in ("key", *values)]
-            data = b"".join(c.astype(np.int64).tobytes() for c in columns)
-            write_shared(f"{uri}/{current}", data)
-            return rows_to_table({"shard": pa.array([current], pa.int64()), "rows": pa.array([len(columns[0])], pa.int64())})
+            keys, *counts = [np.concatenate([b.column(n).to_numpy() for b in held]) for n in ("key", *values)]
+            # Counts are stored in the narrowest type that holds them.
+            kind = np.min_scalar_type(max(int(c.max()) for c in counts))
+            write_shared(f"{uri}/{file}-values", b"".join(c.astype(kind).tobytes() for c in counts))
+            write_shared(f"{uri}/{file}", keys.tobytes())
 
         for batch in batches:
-            numbers = batch.column("shard").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), batch.num_rows]
+            keys = batch.column("key").to_numpy()
+            cells = keys >> np.int64(64 - bits)
+            cuts = [0, *(np.flatnonzero(np.diff(cells)) + 1).tolist(), batch.num_rows]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if b > a:
-                    if current is not None and numbers[a] != current:
-                        yield flush()
-                        held = []
-                    current = int(numbers[a])
-                    held.append(batch.slice(a, b - a))
+                    if held and (cells[a] != cell or size >= most):
+                        flush()
+                        held, size = [], 0
+                    part = batch.slice(a, b - a)
+                    if not held:
+                        file, cell = int(keys[a]), cells[a]
+                        if not passed:
+                            yield rows_to_table({"file": pa.array([file], pa.int64())})
+                    held.append(part.select(["key", *values]))
+                    size += b - a
+                    if passed:
+                        yield part.append_column("file", pa.array(np.full(b - a, file)))
         if held:
-            yield flush()
+            flush()
 
-    placed = rows.select(shard.cast("long").alias("shard"), "key", *values)
-    sorted_rows = placed.repartition(shards, "shard").sortWithinPartitions("shard", "key")
-    written = sorted_rows.mapInArrow(run, "shard long, rows long")
-    # A number per file.
-    return shards, frozenset(row["shard"] for row in materialize(written, "shards").select("shard").collect())
+    return run
+
+
+def write_arrays(rows: DataFrame, uri: str, values: list[str], total: int) -> tuple[int, ...]:
+    """Write ``key`` and integer ``values`` as sorted arrays, one file per range of keys; the first keys of the files.
+
+    Keys are hashes, so ranges of equal width hold about equally many.
+    """
+    shards = max(MIN_SHARDS, 1 << (total // SHARD_ROWS).bit_length())
+    bits = shards.bit_length() - 1
+    shard = F.shiftright("key", 64 - bits) + F.lit(shards // 2)
+    placed = rows.select("key", *values).repartition(shards, shard).sortWithinPartitions("key")
+    return first_keys(materialize(placed.mapInArrow(array_files(uri, values, bits), "file long"), "shards"))
+
+
+def first_keys(written: DataFrame) -> tuple[int, ...]:
+    """The ``file`` of rows that were stored: a number per file."""
+    return tuple(sorted(row["file"] for row in written.select("file").distinct().collect()))
 
 
 @lru_cache(maxsize=4096)
-def _shard(uri: str, shard: int, width: int) -> np.ndarray:
-    """A file that was written. If it cannot be found the task fails: its keys must not pass for unseen."""
-    return mapped_bytes(f"{uri}/{shard}").view(np.int64).reshape(width, -1)
+def _shard(uri: str, shard: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and values that were written. If a file cannot be found the task fails: its keys must not pass for unseen."""
+    keys, values = mapped_bytes(f"{uri}/{shard}").view(np.int64), mapped_bytes(f"{uri}/{shard}-values")
+    return keys, values.view(f"u{len(values) // (width * len(keys))}").reshape(width, -1)
 
 
 @dataclass(frozen=True)
 class SortedArrays:
-    """Look-up of keys in mapped files."""
+    """Look-up of keys in mapped files, which are named by their first keys."""
 
     uri: str
-    shards: int
-    filled: frozenset[int]
+    filled: tuple[int, ...]
     values: int
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The values of sorted distinct keys, 0 where there is none: an array ``values x keys``."""
         out = np.zeros((self.values, len(keys)), np.int64)
-        numbers = (keys >> np.int64(65 - self.shards.bit_length())) + self.shards // 2
+        numbers = np.searchsorted(np.array(self.filled, np.int64), keys, side="right") - 1
         cuts = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(keys)]
         for a, b in zip(cuts, cuts[1:], strict=False):
-            if b == a or int(numbers[a]) not in self.filled:
-                continue
-            stored = _shard(self.uri, int(numbers[a]), self.values + 1)
-            if not stored.shape[1]:
+            if b == a or numbers[a] < 0:
                 continue
-            at = np.searchsorted(stored[0], keys[a:b])
-            at[at == stored.shape[1]] = 0
-            hit = stored[0][at] == keys[a:b]
+            stored, values = _shard(self.uri, self.filled[numbers[a]], self.values)
+            at = np.searchsorted(stored, keys[a:b])
+            at[at == len(stored)] = 0
+            hit = stored[at] == keys[a:b]
             for v in range(self.values):
-                out[v, a:b] = np.where(hit, stored[v + 1][at], 0)
+                out[v, a:b] = np.where(hit, values[v][at], 0)
         return out
 
 
@@ -181,6 +237,7 @@ class Model:
     high: tuple[float, float, float]
     low: tuple[float, float, float]
     low_spare: float
+    bits: int  # of a bigram's key that tell its cell
 
     def score(self, before: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Counts of tokens and log10 probabilities."""
@@ -195,7 +252,7 @@ class Model:
         context, place = np.unique(before.view(np.int64), return_inverse=True)
         total, once, twice, more = self.contexts.find(context)
         spare = self.high[0] * once + self.high[1] * twice + self.high[2] * more
-        pair, where = np.unique(mix(before, tokens).view(np.int64), return_inverse=True)
+        pair, where = np.unique(pair_key(before, tokens, self.bits).view(np.int64), return_inverse=True)
         (seen,) = self.bigrams.find(pair)
         seen = seen[where]
         cut = np.array([0.0, *self.high])[np.minimum(seen, 3)]
@@ -247,8 +304,13 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
 def fit(docs: DataFrame, text: str = "text") -> Model:
     """Count the texts and write the model into the shared folder."""
     spark = docs.sparkSession
+    # A task sums and sorts, so it gets half of a partition.
+    bits = min((max(MIN_SHARDS, 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))) - 1).bit_length(), 2 * TURNS)
+    pairs_uri = new_path(spark, "kn-bigrams")
+    placed = keyed(bigram_counts(docs, text, bits), bits).drop("cell").sortWithinPartitions("key")
+    filed = placed.mapInArrow(array_files(pairs_uri, ["n"], bits, passed=True), "before long, word long, n long, key long, file long")
     # Sorted, so that a word's hash before its followers is stored once and not with each of them.
-    bigrams = materialize(bigram_counts(docs, text).sortWithinPartitions("before"), "bigrams")
+    bigrams = materialize(filed.drop("key").sortWithinPartitions("before"), "bigrams")
     n = F.col("n")
     words = materialize(
         bigrams.groupBy("word").agg(F.sum("n").alias("count"), F.count(F.lit(1)).alias("different")), "words"
@@ -273,14 +335,14 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
 
     def store(frame, values, total, label):
         uri = new_path(spark, label)
-        return SortedArrays(uri, *write_arrays(frame, uri, values, total), len(values))
+        return SortedArrays(uri, write_arrays(frame, uri, values, total), len(values))
 
     context_count = contexts.count()
     return Model(
-        store(keyed(bigrams), ["n"], pairs, "kn-bigrams"),
+        SortedArrays(pairs_uri, first_keys(bigrams), 1),
         store(contexts.withColumnRenamed("before", "key"), ["total", "once", "twice", "more"], context_count, "kn-contexts"),
         store(words.withColumnRenamed("word", "key"), ["count", "different"], vocabulary, "kn-words"),
-        sums[0], vocabulary, pairs, discounts(high), low_cuts, spare,
+        sums[0], vocabulary, pairs, discounts(high), low_cuts, spare, bits,
     )
 
 

@@ -82,6 +82,65 @@ def test_bigrams_are_stored_by_first_word(spark, monkeypatch):
     assert files and all(rows == sorted(rows) for rows in files.values())
 
 
+def test_bigrams_are_shuffled_once(spark, monkeypatch):
+    """The shuffle that sums them up also deals them out to their files."""
+    plain, plans = kneser_ney.materialize, []
+    monkeypatch.setattr(kneser_ney, "materialize", lambda df, label: plans.append((label, df._jdf.queryExecution().executedPlan().toString())) or plain(df, label))
+    frame = spark.createDataFrame([(i, f"a b c w{i % 7} w{i}", None, "x") for i in range(60)], DOCS)
+    model = kneser_ney.fit(frame)
+    assert [label for label, _ in plans] == ["bigrams", "words", "contexts", "shards", "shards"]
+    assert plans[0][1].count("Exchange") == 1
+    # Nothing is lost on the way: files hold every bigram that was counted.
+    keys = np.concatenate([kneser_ney._shard(model.bigrams.uri, file, 1)[0] for file in model.bigrams.filled])
+    assert len(keys) == len(np.unique(keys)) == model.pairs
+
+
+def test_hash_of_a_bigram(spark):
+    draw = np.random.default_rng(2)
+    before, word = (draw.integers(0, 1 << 64, 50_000, np.uint64, endpoint=False) for _ in range(2))
+    keys = kneser_ney.pair_key(before, word, 16)
+    assert len(np.unique(keys)) == 50_000 and keys.dtype == np.uint64
+    for bit in range(16):
+        own = (before, word)[bit % 2] >> np.uint64(63 - bit // 2) & np.uint64(1)
+        assert (keys >> np.uint64(63 - bit) & np.uint64(1) == own).all()
+    # A word with very many neighbours lies in many ranges, on either side.
+    hot = np.full_like(word, before[0])
+    for pair in ((hot, word), (word, hot)):
+        share = np.bincount(kneser_ney.cells(*pair, 6).astype(int), minlength=64)
+        assert (share > 0).sum() == 8 and share.max() < 50_000 / 7
+    # Spark finds the same keys.
+    for bits in (6, 7, 16):
+        few = [kneser_ney.cells(before[:300], word[:300], bits), before[:300].view(np.int64), word[:300].view(np.int64)]
+        frame = spark.createDataFrame(list(zip(*[c.tolist() for c in few], strict=True)), "cell int, before long, word long")
+        got = {(r["before"], r["word"]): r["key"] for r in kneser_ney.keyed(frame, bits).collect()}
+        want = kneser_ney.pair_key(before[:300], word[:300], bits).view(np.int64).tolist()
+        assert got == dict(zip(zip(few[1].tolist(), few[2].tolist()), want))
+
+
+def test_files_of_arrays(tmp_path):
+    """Files end at a number of rows and where a range of keys ends; keys are found in all of them and nowhere else."""
+    draw = np.random.default_rng(1)
+    keys = np.unique(draw.integers(-(1 << 63), 1 << 63, 3_000))
+    large = lambda k: np.where(k > 1 << 62, 1 << 40, 1) + np.abs(k) % 900
+    told = []
+    for own in (keys[keys < 0], keys[keys >= 0]):
+        batches = [common.rows_to_table({"key": own[i : i + 70], "n": large(own[i : i + 70])}) for i in range(0, len(own), 70)]
+        rows = list(kneser_ney.array_files(str(tmp_path), ["n"], 2, passed=True, most=200)(iter(batches)))
+        assert (np.concatenate([r.column("key").to_numpy() for r in rows]) == own).all()
+        passed = np.concatenate([r.column("file").to_numpy() for r in rows])
+        assert (passed <= own).all()
+        names = [r.column("file")[0].as_py() for r in kneser_ney.array_files(str(tmp_path), ["n"], 2, most=200)(iter(batches))]
+        assert names == np.unique(passed).tolist()
+        told += names
+    # Some 200 rows and never more than a batch beyond; the first key of each quarter begins a file.
+    assert 3_000 / 270 <= len(told) <= 3_000 / 200 + 4 and {int(keys[keys >> 62 == q][0]) for q in range(-2, 2)} <= set(told)
+    arrays = kneser_ney.SortedArrays(str(tmp_path), tuple(sorted(told)), 1)
+    assert (arrays.find(keys)[0] == large(keys)).all()
+    other = np.setdiff1d(draw.integers(-(1 << 63), 1 << 63, 3_000), keys)
+    assert not arrays.find(other).any()
+    assert not kneser_ney.SortedArrays(str(tmp_path), (), 1).find(keys).any()
+
+
 def test_language_model_empty(spark):
     nothing = spark.createDataFrame([], DOCS)
     model = kneser_ney.fit(nothing)
